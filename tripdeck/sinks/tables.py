@@ -10,6 +10,8 @@ empty source clears its partition as the delete in the original workflow did.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,24 @@ from tripdeck.sources.schemas import PARTITION_KEYS
 MAX_RECORDS_PER_FILE = 5_000_000
 
 
+@contextmanager
+def session_conf(spark: SparkSession, key: str, value: str):
+    """Set a SQL conf for the duration of one write (``insertInto`` reads the overwrite mode
+    from the session, not from writer options)."""
+    old = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+
+
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _writer(df: DataFrame, fmt: str = "parquet"):
     return df.write.format(fmt).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
 
@@ -82,9 +102,8 @@ def replace_partitions(df: DataFrame, table: str, spec: PartitionSpec, run_id: s
     if not spark.catalog.tableExists(table):
         _writer(observed).partitionBy(*PARTITION_KEYS).saveAsTable(table)
         return obs
-    (_table_order(spark, table, observed).write
-     .option("partitionOverwriteMode", "dynamic")
-     .insertInto(table, overwrite=True))
+    with session_conf(spark, OVERWRITE_MODE, "dynamic"):
+        _table_order(spark, table, observed).write.insertInto(table, overwrite=True)
     stale = (spark.table(table).where(spec.predicate() & (F.col("run_id") != F.lit(run_id)))
              .select(*PARTITION_KEYS).distinct().collect())
     drop_partitions(spark, table, stale)
@@ -95,9 +114,8 @@ def truncate_reload(df: DataFrame, table: str) -> None:
     """Replace the whole table's content in one overwrite (static mode)."""
     spark = df.sparkSession
     if spark.catalog.tableExists(table):
-        (_table_order(spark, table, df).write
-         .option("partitionOverwriteMode", "static")
-         .insertInto(table, overwrite=True))
+        with session_conf(spark, OVERWRITE_MODE, "static"):
+            _table_order(spark, table, df).write.insertInto(table, overwrite=True)
     else:
         _writer(df).partitionBy(*PARTITION_KEYS).saveAsTable(table)
 
