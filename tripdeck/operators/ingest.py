@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripdeck.sources.schemas import SERVICE_TIME_COLUMNS, align, raw_table_schema
+from tripdeck.sources.schemas import SERVICE_TIME_COLUMNS, _q, raw_table_schema
 
 
 def default_run_id(prefix: str, now: datetime | None = None) -> str:
@@ -55,12 +55,42 @@ def ingest(df: DataFrame, service: str, run_id: str, ingested_at: datetime,
            year: int | None = None, month: int | None = None,
            keep: tuple[str, ...] = ()) -> DataFrame:
     """File rows of one service → raw-table rows with the declared raw schema (plus the
-    ``keep`` columns, e.g. ``source_path``)."""
-    out = add_lineage(rename_times(df, service), run_id, ingested_at, service, year, month)
-    schema = raw_table_schema(service)
+    ``keep`` columns, e.g. ``source_path``): rename, lineage and casts in one projection."""
+    if service not in SERVICE_TIME_COLUMNS:
+        raise ValueError(f"unsupported service {service!r}")
+    pickup, dropoff = SERVICE_TIME_COLUMNS[service]
+    if isinstance(ingested_at, datetime) and ingested_at.tzinfo is not None:
+        ingested_at = ingested_at.astimezone(timezone.utc).replace(tzinfo=None)
+    given = {"service_type": service, "source_year": year, "source_month": month,
+             "ingested_at_utc": ingested_at, "run_id": run_id}
+    fields = {f.name.lower(): f for f in df.schema.fields}
+    renamed = {"pickup_datetime": pickup.lower(), "dropoff_datetime": dropoff.lower()}
+    target = raw_table_schema(service)
     if keep:
-        schema = T.StructType(schema.fields + [out.schema[c] for c in keep])
-    return align(out, schema)
+        target = T.StructType(target.fields + [fields[c.lower()] for c in keep])
+    exprs = []
+    for f in target.fields:
+        t = f.dataType.simpleString()
+        v = given.get(f.name)
+        if v is not None:
+            lit = (f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'" if isinstance(v, datetime)
+                   else _sql_string(v) if isinstance(v, str) else str(int(v)))
+            exprs.append(f"CAST({lit} AS {t}) AS {_q(f.name)}")
+            continue
+        src = fields.get(renamed.get(f.name, f.name.lower()))
+        if src is None:
+            if f.name in given:
+                raise ValueError(f"lineage key {f.name!r} neither given nor present")
+            exprs.append(f"CAST(NULL AS {t}) AS {_q(f.name)}")
+        elif src.dataType == f.dataType:
+            exprs.append(f"{_q(src.name)} AS {_q(f.name)}")
+        else:
+            exprs.append(f"try_cast({_q(src.name)} AS {t}) AS {_q(f.name)}")
+    return df.selectExpr(*exprs)
+
+
+def _sql_string(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def with_run_id(df: DataFrame, run_id: str) -> DataFrame:

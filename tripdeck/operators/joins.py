@@ -24,8 +24,21 @@ class DimensionCheck:
     max_per_key: int
 
 
+_CHECKED: dict[tuple[int, str, int], DimensionCheck] = {}
+
+
 def check_dimension(dim: DataFrame, key: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
                     ) -> DimensionCheck:
+    """Bounded size and key-uniqueness check; remembered per (plan, key, bound) so that one
+    dimension is probed once per session however many joins use it."""
+    memo = (dim.semanticHash(), key, max_rows)
+    if memo in _CHECKED:
+        return _CHECKED[memo]
+    _CHECKED[memo] = result = _probe(dim, key, max_rows)
+    return result
+
+
+def _probe(dim: DataFrame, key: str, max_rows: int) -> DimensionCheck:
     probe = (dim.select(key).limit(max_rows + 1)
                 .groupBy(key).count()
                 .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),

@@ -30,9 +30,12 @@ def valid_duration(df: DataFrame) -> DataFrame:
 
 def derive(df: DataFrame) -> DataFrame:
     """Time parts, code casts and decodes, duration, speed and tip percentage."""
-    for optional, dtype in (("trip_type", "double"), ("airport_fee", "double")):
-        if optional.lower() not in {c.lower() for c in df.columns}:
-            df = df.withColumn(optional, F.lit(None).cast(dtype))
+    present = {c.lower() for c in df.columns}
+    missing = {name: F.lit(None).cast(dtype)
+               for name, dtype in (("trip_type", "double"), ("airport_fee", "double"))
+               if name not in present}
+    if missing:
+        df = df.withColumns(missing)
     duration = measures.trip_duration_min("pickup_datetime", "dropoff_datetime")
     payment = measures.code_int("payment_type")
     return df.withColumns({
@@ -60,6 +63,10 @@ def derive(df: DataFrame) -> DataFrame:
 def zone_roles(zones: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The zone dimension in its pickup and dropoff roles."""
     z = align(zones, ZONE_SCHEMA)
+    return _roles(z)
+
+
+def _roles(z: DataFrame) -> tuple[DataFrame, DataFrame]:
     pu = z.select(F.col("LocationID").alias("pu_location_id"), F.col("Zone").alias("pu_zone"),
                   F.col("Borough").alias("pu_borough"))
     do = z.select(F.col("LocationID").alias("do_location_id"), F.col("Zone").alias("do_zone"),
@@ -70,9 +77,9 @@ def zone_roles(zones: DataFrame) -> tuple[DataFrame, DataFrame]:
 def join_zones(df: DataFrame, zones: DataFrame,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Left joins to the zone dimension on pickup and dropoff ids (unmatched → NULL names)."""
-    pu, do = zone_roles(zones)
-    pu = dimension_for_join(pu, "pu_location_id", max_broadcast_rows)
-    do = dimension_for_join(do, "do_location_id", max_broadcast_rows)
+    # one bounded check of the dimension serves both roles
+    z = dimension_for_join(align(zones, ZONE_SCHEMA), "LocationID", max_broadcast_rows)
+    pu, do = _roles(z)
     return df.join(pu, "pu_location_id", "left").join(do, "do_location_id", "left")
 
 

@@ -7,8 +7,7 @@ one schema per service.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 SERVICES = ("yellow", "green")
@@ -137,30 +136,32 @@ OBT_SCHEMA = T.StructType([
 OBT_COLUMNS = [f.name for f in OBT_SCHEMA.fields]
 
 
-def _cast(col: Column, dtype: T.DataType) -> Column:
-    """Lossless-or-NULL cast: codes that do not fit become NULL instead of failing the job."""
-    return col.try_cast(dtype)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def align(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
     """Project ``df`` onto ``schema``: match names case-insensitively, cast each column to its
-    declared type, and fill columns the input lacks with a typed NULL.
+    declared type (``try_cast``: values that do not fit become NULL instead of failing the
+    job), and fill columns the input lacks with a typed NULL.
 
     With ``strict`` an input column that is missing raises instead of becoming NULL.
-    Extra input columns are dropped. One ``select``: Catalyst prunes what is not used.
+    Extra input columns are dropped. One projection, written as SQL expressions so that
+    building it costs one call into the JVM; Catalyst prunes what is not used.
     """
-    by_lower = {c.lower(): c for c in df.columns}
-    cols = []
+    current_schema = df.schema  # one round trip; the loop below must not re-analyse the plan
+    by_lower = {f.name.lower(): f for f in current_schema.fields}
+    exprs = []
     for field in schema.fields:
-        source = by_lower.get(field.name.lower())
-        if source is None:
+        found = by_lower.get(field.name.lower())
+        target = field.dataType.simpleString()
+        if found is None:
             if strict:
-                raise ValueError(f"column {field.name!r} missing from input {df.columns}")
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
+                raise ValueError(f"column {field.name!r} missing from input "
+                                 f"{current_schema.fieldNames()}")
+            exprs.append(f"CAST(NULL AS {target}) AS {_q(field.name)}")
+        elif found.dataType == field.dataType:
+            exprs.append(f"{_q(found.name)} AS {_q(field.name)}")
         else:
-            current = df.schema[source].dataType
-            col = F.col(f"`{source}`")
-            if current != field.dataType:
-                col = _cast(col, field.dataType)
-            cols.append(col.alias(field.name))
-    return df.select(cols)
+            exprs.append(f"try_cast({_q(found.name)} AS {target}) AS {_q(field.name)}")
+    return df.selectExpr(*exprs)

@@ -29,14 +29,31 @@ CONSTANT_CHARGES = {"extra": 0.5, "tolls_amount": 0.0, "improvement_surcharge":
 FARE_DIVISOR = 200.0
 
 
+_READS: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One test table. The relation (file listing, footer schema) is built once per session and
+    path and then reused by every query, as a catalog table would be."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(path)
+    return _READS[key]
 
 
 def service_of_line(linestatus: str = "l_linestatus"):
     return F.when(F.col(linestatus) == YELLOW_LINESTATUS, F.lit("yellow")).otherwise(F.lit("green"))
 
 
+def lines_of_service(service: str):
+    """The service predicate written so that it reaches the Parquet scan as a pushed filter."""
+    ls = F.col("l_linestatus")
+    if service == "yellow":
+        return ls == YELLOW_LINESTATUS
+    return (ls != YELLOW_LINESTATUS) | ls.isNull()
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
@@ -53,7 +70,7 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     """Rows of ``service`` in the raw monthly-file shape, plus ``source_year``/``source_month``."""
     pickup, dropoff = SERVICE_TIME_COLUMNS[service]
-    lines = _lines(spark, sf_dir).where(service_of_line() == F.lit(service))
+    lines = _lines(spark, sf_dir).where(lines_of_service(service))
     fare = F.col("l_extendedprice") / FARE_DIVISOR
     vendor = None
     for flag, code in RETURNFLAG_TO_VENDOR.items():
