@@ -144,3 +144,32 @@ def run_summary_by_year(ledger_df: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("partitions"),
                  F.count(F.when(F.col("rows") > 0, 1)).alias("partitions_with_rows"),
                  F.sum("rows").cast("bigint").alias("rows")))
+
+
+@dataclass(frozen=True)
+class PartitionSet:
+    """An explicit set of partitions, e.g. the ones a micro-batch touched."""
+
+    keys: tuple[tuple[str, int, int], ...]
+
+    @classmethod
+    def of(cls, df: DataFrame, max_partitions: int = 100_000) -> "PartitionSet":
+        """The distinct partition keys of ``df`` (bounded: raises above ``max_partitions``)."""
+        rows = df.select(*PARTITION_KEYS).distinct().limit(max_partitions + 1).collect()
+        if len(rows) > max_partitions:
+            raise ValueError("too many partitions in one write")
+        return cls(tuple(sorted((r[0], int(r[1]), int(r[2])) for r in rows)))
+
+    def size(self) -> int:
+        return len(self.keys)
+
+    def predicate(self) -> Column:
+        if not self.keys:
+            return F.lit(False)
+        key = F.struct(*[F.col(k) for k in PARTITION_KEYS])
+        return key.isin([F.struct(F.lit(s).alias("service_type"), F.lit(y).alias("source_year"),
+                                  F.lit(m).alias("source_month")) for s, y, m in self.keys])
+
+    def manifest(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame(list(self.keys),
+                                     "service_type string, source_year int, source_month int")

@@ -454,3 +454,8 @@ SELECT feature, rmse_val, alpha FROM results WHERE feature IS NOT NULL
 QUALIFY row_number() OVER (PARTITION BY feature ORDER BY rmse_val, alpha) = 1""", GRID)
 
 ORACLE["train_val_union"] = qml("SELECT * FROM split_t WHERE split IN ('train', 'val')")
+
+ORACLE["streaming_ingest"] = q("""
+SELECT service_type, source_year, source_month, count(*) AS rows,
+       round(sum(total_amount), 4) AS total_amount
+FROM obt GROUP BY service_type, source_year, source_month""")

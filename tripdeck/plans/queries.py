@@ -27,6 +27,7 @@ from tripdeck.session import scratch_path
 from tripdeck.sinks import tables as sk
 from tripdeck.sources import files, testdata
 from tripdeck.sources.schemas import PARTITION_KEYS, SERVICES
+from tripdeck.streaming import monthly_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -610,3 +611,26 @@ def winner_diagnostics(spark, sf_dir):
     rows = [("summary", k, float(v) if v is not None else None, None) for k, v in s.items()]
     rows += [("bucket", b["bucket"], b["rmse"], int(b["count"])) for b in buckets]
     return spark.createDataFrame(rows, "kind string, name string, value double, count bigint")
+
+
+# ================================================================ streaming
+
+@register("streaming_ingest")
+def streaming_ingest(spark, sf_dir):
+    """Incremental build: monthly files landed for both services are picked up by a file
+    stream (availableNow), ingested, built and partition-replaced micro-batch by micro-batch;
+    the stored OBT is then counted per partition."""
+    root = scratch_path(spark, "landing-stream")
+    for service in SERVICES:
+        files.write_monthly_files(
+            testdata.raw_trips(spark, sf_dir, service).withColumn("service_type", F.lit(service)),
+            root)
+    table = f"{_database(spark, 'stream')}.obt_trips"
+    zones = testdata.zones(spark, sf_dir)
+    for service in SERVICES:
+        q = monthly_ingest.start(spark, root, service, zones, table,
+                                 ingested_at=testbed.INGESTED_AT)
+        q.awaitTermination()
+    return (spark.table(table).groupBy(*PARTITION_KEYS)
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.round(F.sum("total_amount"), 4).alias("total_amount")))

@@ -53,9 +53,12 @@ def read_monthly_files(spark: SparkSession, root: str, service: str,
 
 def write_monthly_files(df: DataFrame, root: str, mode: str = "append") -> None:
     """Lay out rows (with file keys) as monthly files in one distributed write: each
-    ``<service>_tripdata_YYYY-MM.parquet`` becomes a directory of part files."""
-    named = df.withColumn("monthly_file", file_name_column(
-        F.col("service_type"), F.col("source_year"), F.col("source_month")))
+    ``<service>_tripdata_YYYY-MM.parquet`` becomes a directory holding that month's file.
+
+    The rule is one file per service and month, so rows are clustered by the file name first
+    (one shuffle; each month is written by one task, as the monthly file is one object)."""
+    name = file_name_column(F.col("service_type"), F.col("source_year"), F.col("source_month"))
+    named = df.withColumn("monthly_file", name).repartition("monthly_file")
     (named.drop(*PARTITION_KEYS)
      .write.mode(mode).partitionBy("monthly_file").parquet(root))
 
