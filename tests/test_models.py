@@ -91,3 +91,17 @@ def test_moment_grid_matches_numpy(spark):
         xv, yv = data["val"]
         assert r["slope"] == pytest.approx(b)
         assert r["rmse_val"] == pytest.approx(np.sqrt(np.mean((yv - a - b * xv) ** 2)))
+
+
+def test_batched_scores_equal_transform_scores(spark, data):
+    from tripdeck.operators import evaluation as ev
+    df, _, _ = data
+    sigma, n = md.label_moments(df)
+    models = [md.fit(df, s, sigma, n)[0] for s in (md.Setting("linear"),
+                                                   md.Setting("lasso", 0.3, 1.0))]
+    got = md.score_models(models, {"all": df})
+    for m, g in zip(models, got):
+        ref = ev.regression_metrics(m.transform(df)).first()
+        assert g["rmse_all"] == pytest.approx(ref["rmse"])
+        assert g["mae_all"] == pytest.approx(ref["mae"])
+        assert g["r2_all"] == pytest.approx(ref["r2"])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripdeck.operators.selection import percentiles
+from tripdeck.operators.selection import OrderStatistics
 
 # Fare buckets (right-closed) and their labels.
 FARE_BUCKET_EDGES = (0, 10, 20, 30, 40, 60, 100, 200)
@@ -44,12 +44,10 @@ def residuals(pred_df: DataFrame, y: str = "y", pred: str = "prediction") -> Dat
 
 def residual_summary(pred_df: DataFrame, y: str = "y", pred: str = "prediction") -> dict:
     """mean, population std, p5, p95 (linear interpolation), min, max of y − prediction."""
-    r = residuals(pred_df, y, pred)
-    row = r.agg(F.avg("residual").alias("mean"), F.stddev_pop("residual").alias("std"),
-                F.min("residual").alias("min"), F.max("residual").alias("max")).first()
-    pct = percentiles(r, "residual", [0.05, 0.95])
-    return {"mean": row["mean"], "std": row["std"], "p5": pct[0.05], "p95": pct[0.95],
-            "min": row["min"], "max": row["max"]}
+    with OrderStatistics(residuals(pred_df, y, pred), "residual") as st:
+        pct = st.percentiles([0.05, 0.95])
+        return {"mean": st.mean, "std": st.std, "p5": pct[0.05], "p95": pct[0.95],
+                "min": st.lo, "max": st.hi}
 
 
 def residual_histogram(pred_df: DataFrame, y: str = "y", pred: str = "prediction",

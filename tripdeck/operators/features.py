@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripdeck.functions.hashing import HASH_BITS, row_hash
-from tripdeck.operators.selection import kth_smallest
+from tripdeck.operators.selection import OrderStatistics
 
 NUMERIC_FEATURES = ("pickup_hour", "pickup_dow", "month", "year", "trip_distance",
                     "passenger_count")
@@ -87,12 +87,12 @@ def fixed_sample(df: DataFrame, n: int, seed: int = 42,
     """
     keys = list(key_cols or SAMPLE_KEY)
     hashed = df.withColumn("_h", row_hash(df.schema, keys, seed))
-    total = hashed.count()
-    if n >= total:
-        return df
-    t = kth_smallest(hashed, "_h", [n - 1])[n - 1]
+    with OrderStatistics(hashed, "_h") as st:
+        if n >= st.n:
+            return df
+        t = st.values_at([n - 1])[n - 1]
+        m = n - st.count_below(t)
     below = hashed.where(F.col("_h") < F.lit(t))
-    m = n - below.count()
     tied = hashed.where(F.col("_h") == F.lit(t)).orderBy(*df.columns).limit(m)
     return below.unionByName(tied).drop("_h")
 

@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -112,12 +113,8 @@ def predict(model: LinearRegressionModel, df: DataFrame) -> DataFrame:
 
 
 def scores(model: LinearRegressionModel, frames: dict[str, DataFrame], y: str = "y") -> dict:
-    """rmse/mae/r2/n per named frame, one aggregate job per frame."""
-    out = {}
-    for name, df in frames.items():
-        row = predict(model, df).agg(*metric_columns(y, "prediction", f"_{name}")).first()
-        out.update(row.asDict())
-    return out
+    """rmse/mae/r2/n of one model per named frame (one pass over all frames)."""
+    return score_models([model], frames, y)[0]
 
 
 def penalty(model: LinearRegressionModel, s: Setting) -> float:
@@ -136,22 +133,66 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
+def _prediction_sql(model: LinearRegressionModel, arr: str = "_x") -> str:
+    """``b + Σ w_j·x[j]`` as SQL text with exact double constants (one JVM call to build)."""
+    terms = [f"CAST('{float(model.intercept)!r}' AS DOUBLE)"]
+    terms += [f"CAST('{float(w)!r}' AS DOUBLE) * {arr}[{j}]"
+              for j, w in enumerate(model.coefficients.toArray()) if w != 0.0]
+    return " + ".join(terms)
+
+
+def score_models(models: list[LinearRegressionModel], frames: dict[str, DataFrame],
+                 y: str = "y") -> list[dict]:
+    """rmse / mae / r2 / n of every model on every named frame in ONE pass over the data.
+
+    Each row's features are turned into an array once; every model's prediction is a linear
+    expression over it, and squared / absolute errors are summed per frame name with partial
+    aggregation. Result: one dict per model with ``<metric>_<frame>`` keys.
+    """
+    parts = [df.select(F.lit(name).alias("_frame"), F.col(y).alias("_y"),
+                       vector_to_array("features").alias("_x")) for name, df in frames.items()]
+    data = parts[0]
+    for p in parts[1:]:
+        data = data.unionByName(p)
+    aggs = [F.count(F.lit(1)).alias("n"), F.var_pop("_y").alias("var_y")]
+    for k, m in enumerate(models):
+        err = f"(_y - ({_prediction_sql(m)}))"
+        aggs += [F.expr(f"sum({err} * {err})").alias(f"sse_{k}"),
+                 F.expr(f"sum(abs({err}))").alias(f"sae_{k}")]
+    stats = {r["_frame"]: r for r in data.groupBy("_frame").agg(*aggs).collect()}
+    out = []
+    for k in range(len(models)):
+        d = {}
+        for name in frames:
+            r = stats.get(name)
+            n = int(r["n"]) if r else 0
+            sse = r[f"sse_{k}"] if r else None
+            d[f"rmse_{name}"] = (sse / n) ** 0.5 if n else None
+            d[f"mae_{name}"] = r[f"sae_{k}"] / n if n else None
+            d[f"r2_{name}"] = (1.0 - sse / (n * r["var_y"])
+                               if n and r["var_y"] else None)
+            d[f"n_{name}"] = n
+        out.append(d)
+    return out
+
+
 def grid_search(spark: SparkSession, train: DataFrame, val: DataFrame, grid: list[Setting],
                 objective: str = "reference", model_type: str = "spark", y: str = "y"
                 ) -> DataFrame:
     """Fit every setting on ``train`` and score it on ``train`` and ``val``.
 
-    Both frames are persisted for the grid (every fit reads them several times); the result is
+    Both frames are persisted for the grid. Each fit is one pass over ``train`` (the Gram
+    matrix); all settings are then scored together in one pass over train ∪ val. The result is
     one row per setting: metrics, the objective's value (MSE + penalty) and the fit time.
     """
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sigma_y, n = label_moments(train, y)
+        fitted = [fit(train, s, sigma_y, n, objective, y) for s in grid]
+        metrics = score_models([m for m, _ in fitted], {"train": train, "val": val}, y)
         rows = []
-        for s in grid:
-            model, secs = fit(train, s, sigma_y, n, objective, y)
-            m = scores(model, {"train": train, "val": val}, y)
+        for s, (model, secs), m in zip(grid, fitted, metrics):
             pen = penalty(model, s)
             rows.append(Row(
                 model=s.kind, type=model_type, alpha=float(s.alpha),
@@ -159,7 +200,8 @@ def grid_search(spark: SparkSession, train: DataFrame, val: DataFrame, grid: lis
                 rmse_train=m["rmse_train"], rmse_val=m["rmse_val"],
                 mae_train=m["mae_train"], mae_val=m["mae_val"],
                 r2_train=m["r2_train"], r2_val=m["r2_val"],
-                loss_train=m["rmse_train"] ** 2 + pen, loss_val=m["rmse_val"] ** 2 + pen,
+                loss_train=m["rmse_train"] ** 2 + pen,
+                loss_val=None if m["rmse_val"] is None else m["rmse_val"] ** 2 + pen,
                 iterations=int(model.summary.totalIterations), time_sec=secs))
         return spark.createDataFrame(rows, RESULT_SCHEMA)
     finally:

@@ -29,30 +29,76 @@ def _is_integral(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType))
 
 
-def kth_smallest(df: DataFrame, col: str, ranks: list[int], bins: int = DEFAULT_BINS,
-                 final_rows: int = DEFAULT_FINAL_ROWS) -> dict[int, object]:
-    """Values at 0-based ``ranks`` of the non-NULL values of ``col`` (ascending)."""
-    dtype = df.schema[col].dataType
-    integral = _is_integral(dtype)
-    x = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull())
-    if not integral:
-        x = x.where(~F.isnan("x"))
-    x = x.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stats = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
-                      F.max("x").alias("hi")).first()
-        n = int(stats["n"])
+class OrderStatistics:
+    """A numeric column projected and persisted once, with n / min / max / mean / population
+    std from one aggregate; exact order statistics are then answered from the persisted column
+    (the upstream plan is computed once, however many passes the search needs)."""
+
+    def __init__(self, df: DataFrame, col: str, bins: int = DEFAULT_BINS,
+                 final_rows: int = DEFAULT_FINAL_ROWS):
+        self.integral = _is_integral(df.schema[col].dataType)
+        x = df.select(F.col(col).alias("x")).where(F.col("x").isNotNull())
+        if not self.integral:
+            x = x.where(~F.isnan("x"))
+        self.x = x.persist(StorageLevel.MEMORY_AND_DISK)
+        self.bins, self.final_rows = bins, final_rows
+        row = self.x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
+                         F.max("x").alias("hi"), F.avg("x").alias("mean"),
+                         F.stddev_pop("x").alias("std")).first()
+        self.n, self.lo, self.hi = int(row["n"]), row["lo"], row["hi"]
+        self.mean, self.std = row["mean"], row["std"]
+
+    def __enter__(self) -> "OrderStatistics":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+    def close(self) -> None:
+        self.x.unpersist()
+
+    def values_at(self, ranks: list[int]) -> dict[int, object]:
+        """Values at 0-based ``ranks`` (ascending order)."""
         out: dict[int, object] = {}
         for r in sorted(set(ranks)):
-            if not 0 <= r < n:
-                raise ValueError(f"rank {r} outside 0..{n - 1}")
+            if not 0 <= r < self.n:
+                raise ValueError(f"rank {r} outside 0..{self.n - 1}")
             if r in out:
                 continue
-            out.update(_search(x, r, stats["lo"], stats["hi"], 0, n, integral, bins, final_rows,
-                               wanted=[q for q in ranks if q >= r]))
+            out.update(_search(self.x, r, self.lo, self.hi, 0, self.n, self.integral, self.bins,
+                               self.final_rows, wanted=[q for q in ranks if q >= r]))
         return {r: out[r] for r in ranks}
-    finally:
-        x.unpersist()
+
+    def percentiles(self, ps: list[float]) -> dict[float, float | None]:
+        """Exact percentiles, linear interpolation at position p·(n−1)."""
+        if self.n == 0:
+            return {p: None for p in ps}
+        pos = {p: p * (self.n - 1) for p in ps}
+        ranks = sorted({math.floor(v) for v in pos.values()}
+                       | {math.ceil(v) for v in pos.values()})
+        vals = self.values_at(ranks)
+        out = {}
+        for p, v in pos.items():
+            a, b = vals[math.floor(v)], vals[math.ceil(v)]
+            out[p] = a + (b - a) * (v - math.floor(v))
+        return out
+
+    def count_below(self, value) -> int:
+        return self.x.where(F.col("x") < F.lit(value)).count()
+
+
+def kth_smallest(df: DataFrame, col: str, ranks: list[int], bins: int = DEFAULT_BINS,
+                 final_rows: int = DEFAULT_FINAL_ROWS) -> dict[int, object]:
+    """Values at 0-based ``ranks`` of the non-NULL values of ``col`` (ascending)."""
+    with OrderStatistics(df, col, bins, final_rows) as st:
+        return st.values_at(ranks)
+
+
+def percentiles(df: DataFrame, col: str, ps: list[float], **kw) -> dict[float, float | None]:
+    """Exact percentiles with linear interpolation between closest ranks
+    (value at position p·(n−1)), NULL and NaN excluded."""
+    with OrderStatistics(df, col, **kw) as st:
+        return st.percentiles(ps)
 
 
 def _search(x: DataFrame, r: int, lo, hi, below: int, count: int, integral: bool, bins: int,
@@ -84,19 +130,3 @@ def _search(x: DataFrame, r: int, lo, hi, below: int, count: int, integral: bool
                 lo, hi, below, count = h["lo"], h["hi"], acc, int(h["c"])
                 break
             acc += h["c"]
-
-
-def percentiles(df: DataFrame, col: str, ps: list[float], **kw) -> dict[float, float]:
-    """Exact percentiles with linear interpolation between closest ranks
-    (value at position p·(n−1)), NULL and NaN excluded."""
-    n = df.where(F.col(col).isNotNull() & ~F.isnan(col)).count()
-    if n == 0:
-        return {p: None for p in ps}
-    pos = {p: p * (n - 1) for p in ps}
-    ranks = sorted({math.floor(v) for v in pos.values()} | {math.ceil(v) for v in pos.values()})
-    vals = kth_smallest(df, col, ranks, **kw)
-    out = {}
-    for p, v in pos.items():
-        a, b = vals[math.floor(v)], vals[math.ceil(v)]
-        out[p] = a + (b - a) * (v - math.floor(v))
-    return out
