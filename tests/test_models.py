@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripdeck.operators import models as md
@@ -105,3 +106,26 @@ def test_batched_scores_equal_transform_scores(spark, data):
         assert g["rmse_all"] == pytest.approx(ref["rmse"])
         assert g["mae_all"] == pytest.approx(ref["mae"])
         assert g["r2_all"] == pytest.approx(ref["r2"])
+
+
+def test_moment_grid_equals_spark_ml_grid(spark, data):
+    from pyspark.ml.functions import vector_to_array
+    df, X, y = data
+    split = (df.withColumn("_a", vector_to_array("features"))
+             .select("features", "y", *[F.col("_a")[i].alias(f"x{i}") for i in range(5)],
+                     F.when(F.rand(3) < 0.7, "train").otherwise("val").alias("split"))
+             .cache())
+    grid = [md.Setting("linear"), md.Setting("ridge", 0.5), md.Setting("lasso", 0.3, 1.0),
+            md.Setting("elasticnet", 0.4, 0.5)]
+    feats = [f"x{i}" for i in range(5)]
+    ours = md.moment_grid_search(spark, split, feats, grid).collect()
+    ml = md.grid_search(spark, split.where("split = 'train'"), split.where("split = 'val'"),
+                        grid).collect()
+    for a, b in zip(ours, ml):
+        for k in ("rmse_train", "rmse_val", "mae_val", "r2_val", "loss_train"):
+            assert a[k] == pytest.approx(b[k], rel=1e-6), (a["model"], k)
+    lib = md.moment_grid_search(spark, split, feats, [md.Setting("ridge", 50.0)],
+                                objective="library").first()
+    lib_ml = md.grid_search(spark, split.where("split = 'train'"), split.where("split = 'val'"),
+                            [md.Setting("ridge", 50.0)], objective="library").first()
+    assert lib["rmse_val"] == pytest.approx(lib_ml["rmse_val"], rel=1e-6)
