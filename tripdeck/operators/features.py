@@ -35,6 +35,21 @@ POLY_TERMS = {
     "trip_dist_x_pass": ("trip_distance", "passenger_count"),
 }
 
+# The wider set of the exported polynomial model (names as published), whose
+# inputs include fare and tip parts of the target.
+WIDE_NUMERIC = ("fare_amount", "tip_pct", "trip_distance", "trip_duration_min", "avg_speed_mph",
+                "year", "month", "pickup_hour", "pickup_dow")
+WIDE_POLY_TERMS = {
+    "fare_amount^2": ("fare_amount", "fare_amount"),
+    "fare_amount*tip_pct": ("fare_amount", "tip_pct"),
+    "trip_distance^2": ("trip_distance", "trip_distance"),
+    "trip_distance*avg_speed_mph": ("trip_distance", "avg_speed_mph"),
+    "tip_pct^2": ("tip_pct", "tip_pct"),
+    "trip_distance*fare_amount": ("trip_distance", "fare_amount"),
+    "trip_duration_min^2": ("trip_duration_min", "trip_duration_min"),
+    "avg_speed_mph^2": ("avg_speed_mph", "avg_speed_mph"),
+}
+
 
 @dataclass(frozen=True)
 class SplitYears:

@@ -459,3 +459,16 @@ ORACLE["streaming_ingest"] = q("""
 SELECT service_type, source_year, source_month, count(*) AS rows,
        round(sum(total_amount), 4) AS total_amount
 FROM obt GROUP BY service_type, source_year, source_month""")
+
+ORACLE["poly_features_wide"] = q("""
+SELECT fare_amount, tip_pct, trip_distance, trip_duration_min, avg_speed_mph, year, month,
+       pickup_hour, pickup_dow,
+       fare_amount * fare_amount AS "fare_amount^2",
+       fare_amount * tip_pct AS "fare_amount*tip_pct",
+       trip_distance * trip_distance AS "trip_distance^2",
+       trip_distance * avg_speed_mph AS "trip_distance*avg_speed_mph",
+       tip_pct * tip_pct AS "tip_pct^2",
+       trip_distance * fare_amount AS "trip_distance*fare_amount",
+       trip_duration_min * trip_duration_min AS "trip_duration_min^2",
+       avg_speed_mph * avg_speed_mph AS "avg_speed_mph^2"
+FROM obt""")

@@ -402,6 +402,13 @@ def poly_features(spark, sf_dir):
         "trip_distance", "pickup_hour", "passenger_count", *fe.POLY_TERMS)
 
 
+@register("poly_features_wide")
+def poly_features_wide(spark, sf_dir):
+    """The exported model's wider terms (fare, tip %, duration, speed) over the OBT."""
+    obt = testbed.obt(spark, sf_dir)
+    return fe.poly_features(obt.select(*fe.WIDE_NUMERIC), fe.WIDE_POLY_TERMS)
+
+
 def _encoded(spark, sf_dir, poly=False):
     return rg.encoded_split(_clean(spark, sf_dir), SPLIT, poly)
 
@@ -601,6 +608,17 @@ def coefficient_table(spark, sf_dir):
     return md.coefficient_table(spark, model, prep.features)
 
 
+@register("wide_poly_ridge")
+def wide_poly_ridge(spark, sf_dir):
+    """The exported family — ridge α = 1e-5 on the wider polynomial set — as a
+    coefficient table ordered by |coef| (rows-only: a fit)."""
+    prep = rg.prepare(testbed.obt(spark, sf_dir), SPLIT, poly=True, wide=True)
+    train = prep.frame("train")
+    sigma_y, n = md.label_moments(train)
+    model, _ = md.fit(train, md.Setting("ridge", 1e-5), sigma_y, n, "library")
+    return md.coefficient_table(spark, model, prep.features)
+
+
 @register("winner_diagnostics")
 def winner_diagnostics(spark, sf_dir):
     """A8 A10 on the fitted winner: residual summary and error per fare bucket of the test

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tripdeck.operators import evaluation as ev
 from tripdeck.operators import features as fe
 from tripdeck.operators import models as md
-from tripdeck.sources.files import analytic_read
+from tripdeck.sources.files import ANALYTIC_COLUMNS
 
 
 @dataclass
@@ -33,20 +33,28 @@ class Prepared:
         return md.assemble(df, self.features).select("split", "y", "features")
 
 
-def cleaned(obt: DataFrame, years: fe.SplitYears, sample_fraction: float | None = None
-            ) -> DataFrame:
-    """Analytic read over the split's year span (optionally hash-sampled) and range cleaning."""
-    return fe.clean_ranges(analytic_read(obt, *years.span, sample_fraction))
+def cleaned(obt: DataFrame, years: fe.SplitYears, sample_fraction: float | None = None,
+            extra_columns: tuple[str, ...] = ()) -> DataFrame:
+    """Analytic read over the split's year span (optionally hash-sampled) and range cleaning;
+    ``extra_columns`` widens the read (e.g. the exported model's fare and tip inputs)."""
+    df = obt.where(F.col("source_year").between(*years.span))
+    if sample_fraction is not None and sample_fraction < 1.0:
+        df = fe.hash_sample(df, sample_fraction)
+    cols = list(dict.fromkeys(list(ANALYTIC_COLUMNS) + list(extra_columns)))
+    return fe.clean_ranges(df.select(*cols))
 
 
-def encoded_split(clean: DataFrame, years: fe.SplitYears, poly: bool = False
+def encoded_split(clean: DataFrame, years: fe.SplitYears, poly: bool = False,
+                  numeric: tuple[str, ...] = fe.NUMERIC_FEATURES,
+                  terms: dict[str, tuple[str, str]] | None = None
                   ) -> tuple[DataFrame, list[str], dict[str, list[str]]]:
     levels = fe.category_levels(clean)
     df = fe.temporal_split(fe.one_hot(clean, levels), years)
-    feats = list(fe.NUMERIC_FEATURES)
+    feats = list(numeric)
     if poly:
-        df = fe.poly_features(df)
-        feats += list(fe.POLY_TERMS)
+        terms = terms or fe.POLY_TERMS
+        df = fe.poly_features(df, terms)
+        feats += list(terms)
     feats += fe.one_hot_columns(levels)
     df = df.withColumnRenamed(fe.TARGET, "y").select(
         "split", F.col("y").cast("double").alias("y"), *[F.col(f).cast("double") for f in feats])
@@ -54,8 +62,13 @@ def encoded_split(clean: DataFrame, years: fe.SplitYears, poly: bool = False
 
 
 def prepare(obt: DataFrame, years: fe.SplitYears, poly: bool = False,
-            sample_fraction: float | None = None, train_rows: int | None = None) -> Prepared:
-    split_df, feats, levels = encoded_split(cleaned(obt, years, sample_fraction), years, poly)
+            sample_fraction: float | None = None, train_rows: int | None = None,
+            wide: bool = False) -> Prepared:
+    """Features ready for fitting. ``wide`` selects the exported model's inputs and terms."""
+    numeric = fe.WIDE_NUMERIC if wide else fe.NUMERIC_FEATURES
+    terms = fe.WIDE_POLY_TERMS if wide else fe.POLY_TERMS
+    clean = cleaned(obt, years, sample_fraction, extra_columns=tuple(numeric))
+    split_df, feats, levels = encoded_split(clean, years, poly, numeric, terms)
     if train_rows is not None:
         train = fe.fixed_sample(split_df.where(F.col("split") == "train"), train_rows)
         split_df = train.unionByName(split_df.where(F.col("split") != "train"))
