@@ -1,9 +1,9 @@
 """Stable row hashes for reproducible sampling.
 
 ``row_hash`` is the first 15 hex digits (60 bits) of ``md5(seed|k1|k2|...)`` as a bigint. The key
-text uses only exact renderings (integers, strings, timestamps as epoch seconds), so any engine
-that has ``md5`` gives the same number for the same row, and a sample drawn with it can be
-repeated elsewhere. Doubles should not be keys: their text form differs between engines.
+text uses only renderings every engine computes identically (integers, strings, timestamps as
+epoch seconds, doubles as floor(x·10^6)), so any engine that has ``md5`` gives the same number
+for the same row, and a sample drawn with it can be repeated elsewhere.
 """
 
 from __future__ import annotations
@@ -17,9 +17,16 @@ HASH_SPACE = float(2 ** HASH_BITS)
 NULL_TOKEN = "\\N"
 
 
+# Doubles enter the key as floor(x · 10^6): one IEEE multiplication and a floor, identical in
+# every engine (their decimal text forms are not).
+DOUBLE_KEY_SCALE = 1_000_000.0
+
+
 def key_text(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         col = F.unix_timestamp(col)
+    elif isinstance(dtype, (T.DoubleType, T.FloatType)):
+        col = F.floor(col.cast("double") * F.lit(DOUBLE_KEY_SCALE))
     return F.coalesce(col.cast("string"), F.lit(NULL_TOKEN))
 
 

@@ -20,9 +20,10 @@ NUMERIC_FEATURES = ("pickup_hour", "pickup_dow", "month", "year", "trip_distance
                     "passenger_count")
 CATEGORICAL_FEATURES = ("service_type", "pu_borough", "do_borough")
 TARGET = "total_amount"
-# Columns of the analytic read that identify a trip well enough for hashing (no doubles).
-SAMPLE_KEY = ("pickup_hour", "pickup_dow", "month", "year", "passenger_count", "service_type",
-              "pu_borough", "do_borough")
+# All columns of the analytic read: rows tie on the hash only when they are equal in every
+# column (to 1e-6 for doubles), so the tied group at the sample threshold stays small.
+SAMPLE_KEY = ("pickup_hour", "pickup_dow", "month", "year", "trip_distance", "passenger_count",
+              "service_type", "pu_borough", "do_borough", "total_amount")
 OBT_SAMPLE_KEY = ("pickup_datetime", "dropoff_datetime", "pu_location_id", "do_location_id",
                   "vendor_id", "rate_code_id", "payment_type", "passenger_count", "service_type")
 
@@ -181,15 +182,11 @@ def scaler_stats(df: DataFrame, features: list[str]) -> dict[str, tuple[float, f
 
 
 def scaler_stats_frame(df: DataFrame, features: list[str]) -> DataFrame:
-    """The same moments as a long frame ``feature, mean, std`` (for reports)."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("v")) for f in features
-    ])).alias("kv")).select("kv.feature", "kv.v")
-    return (stacked.groupBy("feature")
-            .agg(F.avg("v").alias("mean"), F.stddev_pop("v").alias("std_raw"))
-            .select("feature", "mean",
-                    F.when(F.col("std_raw") == 0, F.lit(1.0)).otherwise(F.col("std_raw"))
-                    .alias("std")))
+    """The same moments as a long frame ``feature, mean, std`` (one aggregate row over the
+    data, reshaped after aggregation — the data itself is never multiplied by d)."""
+    stats = scaler_stats(df, features)
+    return df.sparkSession.createDataFrame(
+        [(f, m, s) for f, (m, s) in stats.items()], "feature string, mean double, std double")
 
 
 def apply_scaler(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFrame:

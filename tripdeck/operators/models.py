@@ -231,20 +231,32 @@ def coefficient_table(spark: SparkSession, model: LinearRegressionModel, feature
 
 def feature_moments(split_df: DataFrame, features: list[str], y: str = "y",
                     splits: tuple[str, ...] = ("train", "val", "test")) -> DataFrame:
-    """Per feature: n, Σx, Σy, Σx², Σxy, Σy² for each split (one grouped aggregate)."""
-    long = split_df.select("split", F.col(y).cast("double").alias("y"), F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("double").alias("x"))
-        for f in features])).alias("kv")).select("split", "y", "kv.feature", "kv.x")
+    """Per feature: n, Σx, Σy, Σx², Σxy, Σy² for each split.
+
+    One aggregate over the data with conditional sums (no row is multiplied by the feature
+    count); the single result row is then reshaped to one row per feature."""
+    yc = F.col(y).cast("double")
     aggs = []
     for s in splits:
         w = F.col("split") == s
         aggs += [F.count(F.when(w, 1)).cast("double").alias(f"n_{s}"),
-                 F.sum(F.when(w, F.col("x"))).alias(f"sx_{s}"),
-                 F.sum(F.when(w, F.col("y"))).alias(f"sy_{s}"),
-                 F.sum(F.when(w, F.col("x") * F.col("x"))).alias(f"sxx_{s}"),
-                 F.sum(F.when(w, F.col("x") * F.col("y"))).alias(f"sxy_{s}"),
-                 F.sum(F.when(w, F.col("y") * F.col("y"))).alias(f"syy_{s}")]
-    return long.groupBy("feature").agg(*aggs)
+                 F.sum(F.when(w, yc)).alias(f"sy_{s}"),
+                 F.sum(F.when(w, yc * yc)).alias(f"syy_{s}")]
+        for k, f in enumerate(features):
+            x = F.col(f).cast("double")
+            aggs += [F.sum(F.when(w, x)).alias(f"sx_{s}_{k}"),
+                     F.sum(F.when(w, x * x)).alias(f"sxx_{s}_{k}"),
+                     F.sum(F.when(w, x * yc)).alias(f"sxy_{s}_{k}")]
+    row = split_df.agg(*aggs)
+    per_feature = []
+    for k, f in enumerate(features):
+        cols = [F.lit(f).alias("feature")]
+        for s in splits:
+            cols += [F.col(f"n_{s}"), F.col(f"sx_{s}_{k}").alias(f"sx_{s}"),
+                     F.col(f"sy_{s}"), F.col(f"sxx_{s}_{k}").alias(f"sxx_{s}"),
+                     F.col(f"sxy_{s}_{k}").alias(f"sxy_{s}"), F.col(f"syy_{s}")]
+        per_feature.append(F.struct(*cols))
+    return row.select(F.explode(F.array(*per_feature)).alias("m")).select("m.*")
 
 
 def moment_ridge_grid(moments: DataFrame, alphas: list[float],

@@ -24,10 +24,12 @@ def threshold(fraction: float) -> int:
     return int(fraction * (2 ** HASH_BITS))
 
 
-def hash_sql(cols: list[str], timestamps: tuple[str, ...] = (), seed: int = 42) -> str:
+def hash_sql(cols: list[str], timestamps: tuple[str, ...] = (), seed: int = 42,
+             doubles: tuple[str, ...] = ()) -> str:
     parts = [f"'{seed}'"]
     for c in cols:
-        v = f"CAST(floor(epoch({c})) AS BIGINT)" if c in timestamps else c
+        v = (f"CAST(floor(epoch({c})) AS BIGINT)" if c in timestamps
+             else f"CAST(floor({c} * 1000000.0::DOUBLE) AS BIGINT)" if c in doubles else c)
         parts.append(f"coalesce(CAST({v} AS VARCHAR), '\\N')")
     return (f"CAST(('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, "
             f"{HASH_BITS // 4})) AS BIGINT)")
@@ -36,8 +38,9 @@ def hash_sql(cols: list[str], timestamps: tuple[str, ...] = (), seed: int = 42)
 OBT_KEY = ["pickup_datetime", "dropoff_datetime", "pu_location_id", "do_location_id",
            "vendor_id", "rate_code_id", "payment_type", "passenger_count", "service_type"]
 OBT_HASH = hash_sql(OBT_KEY, ("pickup_datetime", "dropoff_datetime"))
-SAMPLE_HASH = hash_sql(["pickup_hour", "pickup_dow", "month", "year", "passenger_count",
-                        "service_type", "pu_borough", "do_borough"])
+SAMPLE_HASH = hash_sql(["pickup_hour", "pickup_dow", "month", "year", "trip_distance",
+                        "passenger_count", "service_type", "pu_borough", "do_borough",
+                        "total_amount"], doubles=("trip_distance", "total_amount"))
 
 ML = """,
 ml AS (

@@ -55,10 +55,13 @@ def write_monthly_files(df: DataFrame, root: str, mode: str = "append") -> None:
     """Lay out rows (with file keys) as monthly files in one distributed write: each
     ``<service>_tripdata_YYYY-MM.parquet`` becomes a directory holding that month's file.
 
-    The rule is one file per service and month, so rows are clustered by the file name first
-    (one shuffle; each month is written by one task, as the monthly file is one object)."""
+    Rows are range-partitioned by (file name, pickup time) first: each task writes one slice
+    of one or a few months, so a month is a handful of part files, and a month too large for
+    one task is split by time instead of landing in a single task."""
     name = file_name_column(F.col("service_type"), F.col("source_year"), F.col("source_month"))
-    named = df.withColumn("monthly_file", name).repartition("monthly_file")
+    named = df.withColumn("monthly_file", name)
+    pickup = [c for c in named.columns if c.endswith("pickup_datetime")]
+    named = named.repartitionByRange("monthly_file", *pickup)
     (named.drop(*PARTITION_KEYS)
      .write.mode(mode).partitionBy("monthly_file").parquet(root))
 
