@@ -66,7 +66,8 @@ def residual_histogram(pred_df: DataFrame, y: str = "y", pred: str = "prediction
     width = (hi - lo) if hi > lo else 1.0
     b = F.least(F.floor(F.lit(float(bins)) * (F.col("residual") - F.lit(lo)) / F.lit(width))
                 + 1, F.lit(bins)).cast("int")
-    counts = r.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    # at most ``bins`` rows: a proven bound, so broadcast
+    counts = F.broadcast(r.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     return (all_bins.join(counts, "bin", "left")
             .select("bin",
                     (F.lit(lo) + F.lit(width) * (F.col("bin") - 1) / F.lit(float(bins)))
@@ -96,7 +97,8 @@ def error_by_bucket(pred_df: DataFrame, y: str = "y", pred: str = "prediction")
     labels = pred_df.sparkSession.range(1).select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("bucket_order"), F.lit(lbl).alias("bucket"))
         for i, lbl in enumerate(FARE_BUCKET_LABELS)])).alias("b")).select("b.*")
-    return (labels.join(stats, "bucket", "left")
+    # one row per bucket label at most: broadcast
+    return (labels.join(F.broadcast(stats), "bucket", "left")
             .select("bucket_order", "bucket", "rmse", "mae",
                     F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
 

@@ -124,8 +124,13 @@ def partition_counts(table: DataFrame) -> DataFrame:
     return table.groupBy(*PARTITION_KEYS).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def ledger(manifest: DataFrame, counts: DataFrame) -> DataFrame:
-    """Every partition of the manifest with its row count, 0 when it has none."""
+def ledger(manifest: DataFrame, counts: DataFrame, counts_bounded: bool = True) -> DataFrame:
+    """Every partition of the manifest with its row count, 0 when it has none.
+
+    ``counts`` holds one row per partition of data already filtered by the spec, so it has at
+    most ``spec.size()`` rows: that bound makes it safe to broadcast."""
+    if counts_bounded:
+        counts = F.broadcast(counts)
     return (manifest.join(counts, list(PARTITION_KEYS), "left")
             .select(*PARTITION_KEYS, F.coalesce(F.col("rows"), F.lit(0)).cast("bigint")
                     .alias("rows")))
