@@ -98,13 +98,16 @@ def label_moments(train: DataFrame, y: str = "y") -> tuple[float, int]:
 
 
 def fit(train: DataFrame, s: Setting, sigma_y: float, n: int, objective: str = "reference",
-        y: str = "y", max_iter: int = 500, tol: float = 1e-10) -> tuple[LinearRegressionModel, float]:
-    """Fit one setting on an assembled frame; returns the model and the wall time."""
+        y: str = "y", max_iter: int = 500, tol: float = 1e-10, solver: str = "normal"
+        ) -> tuple[LinearRegressionModel, float]:
+    """Fit one setting on an assembled frame; returns the model and the wall time.
+
+    ``solver="normal"`` (default) makes one pass for the Gram matrix and iterates on it;
+    ``"l-bfgs"`` makes one pass per iteration and records the objective per iteration."""
     reg, enet = spark_params(s, sigma_y, n, objective)
     lr = LinearRegression(featuresCol="features", labelCol=y, predictionCol="prediction",
                           regParam=reg, elasticNetParam=enet, standardization=False,
-                          fitIntercept=True, maxIter=max_iter, tol=tol,
-                          solver="normal")
+                          fitIntercept=True, maxIter=max_iter, tol=tol, solver=solver)
     t0 = time.perf_counter()
     model = lr.fit(train)
     return model, time.perf_counter() - t0

@@ -619,6 +619,27 @@ def wide_poly_ridge(spark, sf_dir):
     return md.coefficient_table(spark, model, prep.features)
 
 
+@register("loss_history")
+def loss_history(spark, sf_dir):
+    """Training objective per optimiser iteration (iterative solver, one pass per
+    iteration) next to the final MSE + penalty on train and validation."""
+    from pyspark import StorageLevel
+    prep = _prepared(spark, sf_dir)
+    train = prep.frame("train").persist(StorageLevel.MEMORY_AND_DISK)   # read per iteration
+    try:
+        sigma_y, n = md.label_moments(train)
+        setting = md.Setting("elasticnet", 1e-3, 0.9)
+        model, _ = md.fit(train, setting, sigma_y, n, max_iter=100, tol=1e-8, solver="l-bfgs")
+        m = md.scores(model, {"train": train, "val": prep.frame("val")})
+    finally:
+        train.unpersist()
+    pen = md.penalty(model, setting)
+    rows = [(i, float(v), None, None) for i, v in enumerate(md.objective_history(model))]
+    rows.append((len(rows), None, m["rmse_train"] ** 2 + pen, m["rmse_val"] ** 2 + pen))
+    return spark.createDataFrame(rows, "iteration int, objective double, loss_train double, "
+                                       "loss_val double")
+
+
 @register("winner_diagnostics")
 def winner_diagnostics(spark, sf_dir):
     """A8 A10 on the fitted winner: residual summary and error per fare bucket of the test

@@ -143,3 +143,11 @@ def round_trip(df: DataFrame, path: str, order_by: str) -> DataFrame:
 def export_csv(df: DataFrame, path: str) -> None:
     """One CSV file with header for a small result table (leaderboards, coefficients)."""
     df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_jdbc(df: DataFrame, mode: str = "append", **jdbc_kwargs) -> None:
+    """Write through JDBC (batched inserts; ``truncate=True`` with ``mode="overwrite"`` keeps
+    the target table and empties it, as a full reload does). Writers = partitions of ``df``:
+    cap them with ``num_partitions`` rather than a coalesce of the data."""
+    from tripdeck.sources.files import jdbc_options
+    df.write.format("jdbc").options(**jdbc_options(**jdbc_kwargs)).mode(mode).save()

@@ -29,14 +29,14 @@ CONSTANT_CHARGES = {"extra": 0.5, "tolls_amount": 0.0, "improvement_surcharge":
 FARE_DIVISOR = 200.0
 
 
-_READS: dict[tuple[int, str], DataFrame] = {}
+_READS: dict[tuple[str, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One test table. The relation (file listing, footer schema) is built once per session and
     path and then reused by every query, as a catalog table would be."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
