@@ -78,8 +78,16 @@ def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
     import __spark_entry__ as entry
-    from tripdeck.session import build_session
-    spark = build_session()
+    if os.environ.get("PLAIN_SESSION"):
+        # a bare session like the correctness driver's: none of tripdeck's settings
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.sql.session.timeZone", os.environ.get("PLAIN_TZ", "UTC"))
+                 .getOrCreate())
+    else:
+        from tripdeck.session import build_session
+        spark = build_session()
     queries, sqls = entry.queries(), entry.oracle_sql()
     con = duck(sf_dir)
     bad = 0
