@@ -84,7 +84,7 @@ ORACLE["obt_build"] = q("SELECT * FROM obt")
 ORACLE["obt_by_service_month"] = q("""
 SELECT service_type, source_year, source_month,
        count(*) AS trips,
-       round(sum(total_amount), 4) AS total_amount,
+       round(sum(total_amount), 8) AS total_amount,
        round(avg(trip_distance), 6) AS avg_distance,
        round(avg(trip_duration_min), 6) AS avg_duration_min,
        round(avg(tip_pct), 6) AS avg_tip_pct
@@ -200,7 +200,7 @@ ORACLE["ingest_monthly_files"] = "WITH " + RAW + """
 SELECT service_type || '_tripdata_' || CAST(source_year AS VARCHAR) || '-'
          || lpad(CAST(source_month AS VARCHAR), 2, '0') || '.parquet' AS source_file,
        service_type, source_year, source_month,
-       count(*) AS rows, round(sum(total_amount), 4) AS total_amount
+       count(*) AS rows, round(sum(total_amount), 8) AS total_amount
 FROM raw WHERE source_year BETWEEN 1995 AND 2001
 GROUP BY service_type, source_year, source_month"""
 
@@ -297,7 +297,7 @@ _stats_cols = ", ".join(
     f"CASE WHEN stddev_pop({qi(f)}) = 0 THEN 1.0 ELSE stddev_pop({qi(f)}) END AS {qi('s_' + f)}"
     for f in FEATURES)
 ORACLE["scaled_features"] = qml(
-    "SELECT e.split, round(e.y, 6) AS y, " + ", ".join(
+    "SELECT e.split, e.y, " + ", ".join(
         f"round((e.{qi(f)} - st.{qi('m_' + f)}) / st.{qi('s_' + f)}, 6) AS {qi(f)}"
         for f in FEATURES)
     + " FROM enc e CROSS JOIN st",
@@ -334,7 +334,7 @@ SELECT round(avg(residual), 6) AS mean, round(stddev_pop(residual), 6) AS std,
 FROM r""", PRED)
 
 ORACLE["residual_points"] = qml(
-    "SELECT round(y_true, 6) AS y_true, round(residual, 6) AS residual FROM r", PRED)
+    "SELECT y_true, round(residual, 6) AS residual FROM r", PRED)
 
 ORACLE["residual_histogram"] = qml("""
 SELECT CAST(bins.bin AS INTEGER) AS bin,
@@ -460,7 +460,7 @@ ORACLE["train_val_union"] = qml("SELECT * FROM split_t WHERE split IN ('train',
 
 ORACLE["streaming_ingest"] = q("""
 SELECT service_type, source_year, source_month, count(*) AS rows,
-       round(sum(total_amount), 4) AS total_amount
+       round(sum(total_amount), 8) AS total_amount
 FROM obt GROUP BY service_type, source_year, source_month""")
 
 ORACLE["poly_features_wide"] = q("""
