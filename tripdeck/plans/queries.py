@@ -545,84 +545,92 @@ def train_val_union(spark, sf_dir):
 
 # ================================================================ Spark ML models (rows-only)
 
-def _prepared(spark, sf_dir, poly=False):
-    return rg.prepare(testbed.obt(spark, sf_dir), SPLIT, poly=poly)
+def _prepared(spark, sf_dir, poly=False, wide=False):
+    """Prepared features with the cleaned input persisted; use as a context manager."""
+    return rg.prepare(testbed.obt(spark, sf_dir), SPLIT, poly=poly, wide=wide, persist=True)
 
 
 @register("linear_fit")
 def linear_fit(spark, sf_dir):
     """E5 M1 M5 M7: plain least squares, scored on train and validation."""
-    return rg.fit_setting(spark, _prepared(spark, sf_dir), md.Setting("linear"))
+    with _prepared(spark, sf_dir) as prep:
+        return rg.fit_setting(spark, prep, md.Setting("linear"))
 
 
 @register("ridge_fit")
 def ridge_fit(spark, sf_dir):
     """M2: ridge α = 0.0005 (reference objective)."""
-    return rg.fit_setting(spark, _prepared(spark, sf_dir), md.Setting("ridge", 5e-4))
+    with _prepared(spark, sf_dir) as prep:
+        return rg.fit_setting(spark, prep, md.Setting("ridge", 5e-4))
 
 
 @register("lasso_fit")
 def lasso_fit(spark, sf_dir):
     """M3: lasso α = 0.0001."""
-    return rg.fit_setting(spark, _prepared(spark, sf_dir), md.Setting("lasso", 1e-4, 1.0))
+    with _prepared(spark, sf_dir) as prep:
+        return rg.fit_setting(spark, prep, md.Setting("lasso", 1e-4, 1.0))
 
 
 @register("elastic_net_fit")
 def elastic_net_fit(spark, sf_dir):
     """M4: elastic net α = 0.001, l1_ratio = 0.9."""
-    return rg.fit_setting(spark, _prepared(spark, sf_dir), md.Setting("elasticnet", 1e-3, 0.9))
+    with _prepared(spark, sf_dir) as prep:
+        return rg.fit_setting(spark, prep, md.Setting("elasticnet", 1e-3, 0.9))
 
 
 @register("grid_search")
 def grid_search(spark, sf_dir):
     """The full reference grid (ridge 6, lasso 5, elastic net 5×3), with training
     and validation loss (MSE + penalty), solved from one pass of Gram moments."""
-    return ev.leaderboard(rg.grid(spark, _prepared(spark, sf_dir)))
+    with _prepared(spark, sf_dir) as prep:
+        return ev.leaderboard(rg.grid(spark, prep))
 
 
 @register("model_comparison")
 def model_comparison(spark, sf_dir):
     """Reference-objective winners and library-objective settings, ranked."""
-    return rg.comparison(spark, _prepared(spark, sf_dir))
+    with _prepared(spark, sf_dir) as prep:
+        return rg.comparison(spark, prep)
 
 
 @register("refit_test")
 def refit_test(spark, sf_dir):
     """Winners refitted on train ∪ validation, scored on test."""
-    return rg.refit_and_test(spark, _prepared(spark, sf_dir))
+    with _prepared(spark, sf_dir) as prep:
+        return rg.refit_and_test(spark, prep)
 
 
 @register("poly_models")
 def poly_models(spark, sf_dir):
     """The four models with polynomial terms, validation and test scores."""
-    prep = _prepared(spark, sf_dir, poly=True)
     settings = (md.Setting("linear"), md.Setting("ridge", 1e-4),
                 md.Setting("lasso", 1e-4, 1.0), md.Setting("elasticnet", 1e-4, 0.5))
-    val = rg.grid_spark_ml(spark, prep, list(settings))
-    test = rg.refit_and_test(spark, prep, settings).select(
-        "model", "alpha", "rmse_test", "mae_test", "r2_test")
-    return val.join(test, ["model", "alpha"], "left")
+    with _prepared(spark, sf_dir, poly=True) as prep:
+        val = rg.grid_spark_ml(spark, prep, list(settings))
+        test = rg.refit_and_test(spark, prep, settings).select(
+            "model", "alpha", "rmse_test", "mae_test", "r2_test")
+        return val.join(test, ["model", "alpha"], "left")
+
+
+def _coefficients(spark, sf_dir, wide: bool, objective: str):
+    with _prepared(spark, sf_dir, poly=True, wide=wide) as prep:
+        train = prep.frame("train")
+        sigma_y, n = md.label_moments(train)
+        model, _ = md.fit(train, md.Setting("ridge", 1e-5), sigma_y, n, objective)
+        return md.coefficient_table(spark, model, prep.features)
 
 
 @register("coefficient_table")
 def coefficient_table(spark, sf_dir):
     """Ridge + polynomial coefficients by descending absolute value."""
-    prep = _prepared(spark, sf_dir, poly=True)
-    train = prep.frame("train")
-    sigma_y, n = md.label_moments(train)
-    model, _ = md.fit(train, md.Setting("ridge", 1e-5), sigma_y, n)
-    return md.coefficient_table(spark, model, prep.features)
+    return _coefficients(spark, sf_dir, wide=False, objective="reference")
 
 
 @register("wide_poly_ridge")
 def wide_poly_ridge(spark, sf_dir):
     """The exported family — ridge α = 1e-5 on the wider polynomial set — as a
     coefficient table ordered by |coef| (rows-only: a fit)."""
-    prep = rg.prepare(testbed.obt(spark, sf_dir), SPLIT, poly=True, wide=True)
-    train = prep.frame("train")
-    sigma_y, n = md.label_moments(train)
-    model, _ = md.fit(train, md.Setting("ridge", 1e-5), sigma_y, n, "library")
-    return md.coefficient_table(spark, model, prep.features)
+    return _coefficients(spark, sf_dir, wide=True, objective="library")
 
 
 @register("loss_history")
@@ -630,15 +638,16 @@ def loss_history(spark, sf_dir):
     """Training objective per optimiser iteration (iterative solver, one pass per
     iteration) next to the final MSE + penalty on train and validation."""
     from pyspark import StorageLevel
-    prep = _prepared(spark, sf_dir)
-    train = prep.frame("train").persist(StorageLevel.MEMORY_AND_DISK)   # read per iteration
-    try:
-        sigma_y, n = md.label_moments(train)
-        setting = md.Setting("elasticnet", 1e-3, 0.9)
-        model, _ = md.fit(train, setting, sigma_y, n, max_iter=100, tol=1e-8, solver="l-bfgs")
-        m = md.scores(model, {"train": train, "val": prep.frame("val")})
-    finally:
-        train.unpersist()
+    setting = md.Setting("elasticnet", 1e-3, 0.9)
+    with _prepared(spark, sf_dir) as prep:
+        train = prep.frame("train").persist(StorageLevel.MEMORY_AND_DISK)  # read per iteration
+        try:
+            sigma_y, n = md.label_moments(train)
+            model, _ = md.fit(train, setting, sigma_y, n, max_iter=100, tol=1e-8,
+                              solver="l-bfgs")
+            m = md.scores(model, {"train": train, "val": prep.frame("val")})
+        finally:
+            train.unpersist()
     pen = md.penalty(model, setting)
     rows = [(i, float(v), None, None) for i, v in enumerate(md.objective_history(model))]
     rows.append((len(rows), None, m["rmse_train"] ** 2 + pen, m["rmse_val"] ** 2 + pen))
@@ -650,9 +659,10 @@ def loss_history(spark, sf_dir):
 def winner_diagnostics(spark, sf_dir):
     """A8 A10 on the fitted winner: residual summary and error per fare bucket of the test
     split (elastic net α = 1e-4, l1_ratio 0.5, library objective)."""
-    preds = rg.winner_predictions(spark, _prepared(spark, sf_dir))
-    s = ev.residual_summary(preds)
-    buckets = ev.error_by_bucket(preds).collect()
+    with _prepared(spark, sf_dir) as prep:
+        preds = rg.winner_predictions(spark, prep)
+        s = ev.residual_summary(preds)
+        buckets = ev.error_by_bucket(preds).collect()
     rows = [("summary", k, float(v) if v is not None else None, None) for k, v in s.items()]
     rows += [("bucket", b["bucket"], b["rmse"], int(b["count"])) for b in buckets]
     return spark.createDataFrame(rows, "kind string, name string, value double, count bigint")

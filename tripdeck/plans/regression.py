@@ -26,6 +26,19 @@ class Prepared:
     features: list[str]
     levels: dict[str, list[str]]
     stats: dict[str, tuple[float, float]] = field(default_factory=dict)
+    cached: list[DataFrame] = field(default_factory=list)
+
+    def close(self) -> None:
+        """Release the persisted cleaned input (results already computed stay valid)."""
+        for df in self.cached:
+            df.unpersist()
+        self.cached.clear()
+
+    def __enter__(self) -> "Prepared":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
     def frame(self, *splits: str) -> DataFrame:
         """Assembled rows (``features`` vector, ``y``) of the given splits."""
@@ -63,18 +76,26 @@ def encoded_split(clean: DataFrame, years: fe.SplitYears, poly: bool = False,
 
 def prepare(obt: DataFrame, years: fe.SplitYears, poly: bool = False,
             sample_fraction: float | None = None, train_rows: int | None = None,
-            wide: bool = False) -> Prepared:
-    """Features ready for fitting. ``wide`` selects the exported model's inputs and terms."""
+            wide: bool = False, persist: bool = False) -> Prepared:
+    """Features ready for fitting. ``wide`` selects the exported model's inputs and terms.
+
+    With ``persist`` the cleaned analytic rows (10–14 narrow columns) are kept
+    (``MEMORY_AND_DISK``) for the passes that follow — category levels, scaler moments, Gram
+    moments, fits, scores — so the OBT is read once; ``close()`` releases them."""
     numeric = fe.WIDE_NUMERIC if wide else fe.NUMERIC_FEATURES
     terms = fe.WIDE_POLY_TERMS if wide else fe.POLY_TERMS
     clean = cleaned(obt, years, sample_fraction, extra_columns=tuple(numeric))
+    cached = []
+    if persist:
+        clean = clean.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(clean)
     split_df, feats, levels = encoded_split(clean, years, poly, numeric, terms)
     if train_rows is not None:
         train = fe.fixed_sample(split_df.where(F.col("split") == "train"), train_rows)
         split_df = train.unionByName(split_df.where(F.col("split") != "train"))
     stats = fe.scaler_stats(split_df.where(F.col("split") == "train"), feats)
     scaled = fe.apply_scaler(split_df, stats)
-    return Prepared(split_df, scaled, feats, levels, stats)
+    return Prepared(split_df, scaled, feats, levels, stats, cached)
 
 
 def fit_setting(spark: SparkSession, prep: Prepared, setting: md.Setting,
