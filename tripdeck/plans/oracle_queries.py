@@ -475,3 +475,9 @@ SELECT fare_amount, tip_pct, trip_distance, trip_duration_min, avg_speed_mph, ye
        trip_duration_min * trip_duration_min AS "trip_duration_min^2",
        avg_speed_mph * avg_speed_mph AS "avg_speed_mph^2"
 FROM obt""")
+
+ORACLE["bucket_coverage"] = qml("""
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE y_true > 0 AND y_true <= 200) AS in_buckets,
+       count(*) FILTER (WHERE NOT (y_true > 0 AND y_true <= 200)) AS outside_buckets
+FROM r""", PRED)

@@ -485,6 +485,14 @@ def error_by_bucket(spark, sf_dir):
     return _round_doubles(ev.error_by_bucket(test))
 
 
+@register("bucket_coverage")
+def bucket_coverage(spark, sf_dir):
+    """A10 (note): test rows inside the fare buckets and outside them (≤ 0 or > 200), so the
+    rows the bucket table leaves out are reported rather than lost."""
+    test = _predictions(spark, sf_dir).where(F.col("split") == "test")
+    return ev.bucket_coverage(test)
+
+
 # ================================================================ leaderboards on a moment grid
 
 def _grid_results(spark, sf_dir):
