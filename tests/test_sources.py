@@ -55,3 +55,17 @@ def test_jdbc_options_need_bounds_for_parallel_reads():
     assert o["numPartitions"] == "8" and o["truncate"] == "true" and o["fetchsize"] == "10000"
     with pytest.raises(ValueError):
         files.jdbc_options("u", "t", partition_column="id")
+
+
+def test_monthly_scan_lists_only_the_specs_files(spark):
+    root = scratch_path(spark, "landing2")
+    rows = testdata.raw_trips(spark, SF_SMALL, "yellow").withColumn("service_type",
+                                                                    F.lit("yellow"))
+    files.write_monthly_files(rows, root)
+    spec = PartitionSpec(1997, 1997, (5,), ("yellow",))
+    scanned = files.read_monthly_files(spark, root, "yellow", spec)
+    assert scanned.inputFiles() and all("yellow_tripdata_1997-05.parquet" in f
+                                        for f in scanned.inputFiles())
+    assert scanned.count() == rows.where(spec.predicate()).count()
+    none = files.read_monthly_files(spark, root, "yellow", PartitionSpec(2030, 2030, (1,)))
+    assert none.count() == 0 and "source_year" in none.columns

@@ -7,6 +7,7 @@ one scan with the declared schema; the keys of each row come from its file path
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +38,23 @@ def read_monthly_files(spark: SparkSession, root: str, service: str,
                        spec: PartitionSpec | None = None, with_source_path: bool = False
                        ) -> DataFrame:
     """All monthly files of ``service`` below ``root`` in one scan, declared schema, with
-    ``service_type, source_year, source_month`` (and ``source_path``) from the file path."""
-    df = (spark.read.schema(raw_file_schema(service))
-          .option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", f"*.parquet")
-          .parquet(root))
+    ``service_type, source_year, source_month`` (and ``source_path``) from the file path.
+
+    With a ``spec`` only the spec's file names are listed (one glob with an alternation of the
+    names), so files outside the run are never opened; a spec with no file gives no rows."""
+    location = root
+    if spec is not None:
+        names = [monthly_file_name(service, y, m) for y in spec.years for m in spec.months]
+        location = f"{root.rstrip('/')}/*{{{','.join(names)}}}*"
+    reader = (spark.read.schema(raw_file_schema(service))
+              .option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet"))
+    try:
+        df = reader.parquet(location)
+    except AnalysisException:                       # nothing of the spec has landed
+        return spark.createDataFrame([], raw_file_schema(service, with_keys=True)).withColumns(
+            {"service_type": F.lit(service),
+             **({"source_path": F.lit(None).cast("string")} if with_source_path else {})})
     path = F.col("_metadata.file_path")
     keys = keys_from_path(path)
     df = df.withColumns({**keys, **({"source_path": path} if with_source_path else {})})
