@@ -481,3 +481,21 @@ SELECT count(*) AS rows,
        count(*) FILTER (WHERE y_true > 0 AND y_true <= 200) AS in_buckets,
        count(*) FILTER (WHERE NOT (y_true > 0 AND y_true <= 200)) AS outside_buckets
 FROM r""", PRED)
+
+ORACLE["ingest_job"] = "WITH " + RAW + """,
+manifest AS (
+  SELECT s.service_type, CAST(y.source_year AS INTEGER) AS source_year,
+         CAST(m.source_month AS INTEGER) AS source_month
+  FROM (VALUES ('yellow'), ('green')) s(service_type)
+  CROSS JOIN range(1995, 2002) y(source_year)
+  CROSS JOIN range(1, 13) m(source_month)
+),
+counts AS (
+  SELECT service_type, source_year, source_month, count(*) AS rows
+  FROM raw GROUP BY service_type, source_year, source_month
+)
+SELECT m.service_type, m.source_year, m.source_month,
+       CAST(coalesce(c.rows, 0) AS BIGINT) AS rows
+FROM manifest m LEFT JOIN counts c
+  ON m.service_type = c.service_type AND m.source_year = c.source_year
+ AND m.source_month = c.source_month"""

@@ -262,6 +262,21 @@ def ingest_monthly_files(spark, sf_dir):
                  F.round(F.sum("total_amount"), MONEY_DIGITS).alias("total_amount")))
 
 
+@register("ingest_job")
+def ingest_job(spark, sf_dir):
+    """The batch ingest — monthly files of the spec into partitioned raw
+    tables by partition replace — and its ledger (rows per partition, 0 where nothing landed)."""
+    from tripdeck.plans import ingest_job as job
+    root = scratch_path(spark, "landing-batch")
+    for service in SERVICES:
+        files.write_monthly_files(
+            testdata.raw_trips(spark, sf_dir, service).withColumn("service_type", F.lit(service)),
+            root)
+    db = _database(spark, "rawjob")
+    raw = {s: f"{db}.{s}_taxi_trip" for s in SERVICES}
+    return job.run(spark, root, raw, FULL_SPEC, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
+
+
 @register("lookup_csv")
 def lookup_csv(spark, sf_dir):
     """Zone lookup written as CSV, read back with a declared schema, overwritten into
