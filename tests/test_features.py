@@ -69,3 +69,19 @@ def test_scaled_train_has_mean_zero_pop_std_one(spark, clean):
         col = scaled[f].to_numpy()
         assert abs(col.mean()) < 1e-9
         assert np.isclose(col.std(), 1.0) or np.isclose(col.std(), 0.0)
+
+
+def test_fixed_sample_with_a_third_of_rows_identical(spark):
+    hot = [(1, 1, 1, 2000, 5.0, 1, "y", "a", "b", 10.0)] * 1000
+    rest = [(h % 24, h % 7 + 1, h % 12 + 1, 2000, 1.0 + h, 1 + h % 5, "g", "c", "d", 5.0 + h)
+            for h in range(2000)]
+    df = spark.createDataFrame(hot + rest, "pickup_hour int, pickup_dow int, month int, "
+                               "year int, trip_distance double, passenger_count int, "
+                               "service_type string, pu_borough string, do_borough string, "
+                               "total_amount double").repartition(7)
+    for n in (10, 999, 1500):
+        got = fe.fixed_sample(df, n)
+        hashed = df.withColumn("_h", row_hash(df.schema, list(fe.SAMPLE_KEY)))
+        brute = hashed.orderBy("_h", *df.columns).limit(n).drop("_h")
+        assert got.count() == n
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, brute.collect()))
