@@ -6,12 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import plan_text, raw_rows, zones_df
-from tripdeck.operators.obt import build_obt, union_services
+from tripdeck.operators.obt import obt_from_raw, union_services
 from tripdeck.sources.schemas import OBT_COLUMNS, OBT_SCHEMA
 
 
 def _build(spark, service, rows, zones=None, run_id="obt-t"):
-    return build_obt(raw_rows(spark, service, rows), zones or zones_df(spark), run_id)
+    return obt_from_raw(raw_rows(spark, service, rows), zones or zones_df(spark), run_id)
 
 
 def test_schema_is_the_39_declared_columns(spark):
@@ -62,7 +62,7 @@ def test_duplicate_zone_key_raises(spark):
 def test_missing_service_columns_are_typed_nulls(spark):
     y = raw_rows(spark, "yellow", [{"airport_fee": 1.25}])
     g = raw_rows(spark, "green", [{"trip_type": 2.0}])
-    out = build_obt(union_services(y, g), zones_df(spark), "r").orderBy("service_type").collect()
+    out = obt_from_raw(union_services(y, g), zones_df(spark), "r").orderBy("service_type").collect()
     green, yellow = out
     assert green["airport_fee"] is None and green["trip_type"] == 2
     assert yellow["trip_type"] is None and yellow["airport_fee"] == 1.25
@@ -71,7 +71,7 @@ def test_missing_service_columns_are_typed_nulls(spark):
 def test_case_blind_airport_fee_is_aligned_not_lost(spark):
     y = raw_rows(spark, "yellow", [{"airport_fee": 1.75}]).withColumnRenamed(
         "airport_fee", "Airport_fee")
-    assert build_obt(y, zones_df(spark), "r").first()["airport_fee"] == 1.75
+    assert obt_from_raw(y, zones_df(spark), "r").first()["airport_fee"] == 1.75
 
 
 def test_month_year_from_file_keys_not_timestamp(spark):
@@ -82,7 +82,7 @@ def test_month_year_from_file_keys_not_timestamp(spark):
 
 def test_left_join_keeps_row_count_and_plan_is_narrow(spark):
     raw = raw_rows(spark, "yellow", [{"PULocationID": i % 5} for i in range(50)])
-    obt = build_obt(raw, zones_df(spark), "r")
+    obt = obt_from_raw(raw, zones_df(spark), "r")
     assert obt.count() == 50
     plan = plan_text(obt)
     assert "BroadcastHashJoin" in plan

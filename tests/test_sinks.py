@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from helpers import raw_rows, zones_df
-from tripdeck.operators.obt import build_obt
+from tripdeck.operators.obt import obt_from_raw
 from tripdeck.operators.partitions import PartitionSpec
 from tripdeck.plans import obt_job, testbed
 from tripdeck.session import scratch_path
@@ -43,9 +43,9 @@ def test_replace_twice_equals_once(spark):
 def test_empty_source_clears_its_partition(spark):
     table = _table(spark)
     z = zones_df(spark)
-    a = build_obt(raw_rows(spark, "yellow", [{"source_month": 1}, {"source_month": 2}]), z, "A")
+    a = obt_from_raw(raw_rows(spark, "yellow", [{"source_month": 1}, {"source_month": 2}]), z, "A")
     tables.replace_partitions(a, table, PartitionSpec(2020, 2020, (1, 2), ("yellow",)), "A")
-    empty = build_obt(raw_rows(spark, "yellow", [{"source_month": 1}]), z, "B").where("false")
+    empty = obt_from_raw(raw_rows(spark, "yellow", [{"source_month": 1}]), z, "B").where("false")
     tables.replace_partitions(empty, table, PartitionSpec(2020, 2020, (2,), ("yellow",)), "B")
     assert _content(spark, table) == [("yellow", 2020, 1, "A", 1)]
 
@@ -53,10 +53,10 @@ def test_empty_source_clears_its_partition(spark):
 def test_truncate_reload_replaces_whole_table(spark):
     table = _table(spark)
     z = zones_df(spark)
-    tables.replace_partitions(build_obt(raw_rows(spark, "yellow", [{"source_month": 1}]), z, "A"),
+    tables.replace_partitions(obt_from_raw(raw_rows(spark, "yellow", [{"source_month": 1}]), z, "A"),
                               table, PartitionSpec(2020, 2020, (1,), ("yellow",)), "A")
     spec = PartitionSpec.resolve(mode="full", defaults=(2020, 2020))
-    tables.write_obt(build_obt(raw_rows(spark, "green", [{"source_month": 5}]), z, "B"),
+    tables.write_obt(obt_from_raw(raw_rows(spark, "green", [{"source_month": 5}]), z, "B"),
                      table, spec, "B")
     assert _content(spark, table) == [("green", 2020, 5, "B", 1)]
 

@@ -83,7 +83,7 @@ def join_zones(df: DataFrame, zones: DataFrame,
     return df.join(pu, "pu_location_id", "left").join(do, "do_location_id", "left")
 
 
-def build_obt(raw: DataFrame, zones: DataFrame, run_id: str | None = None,
+def obt_from_raw(raw: DataFrame, zones: DataFrame, run_id: str | None = None,
               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Raw rows (pickup/dropoff already renamed, lineage present) → the 39 OBT columns."""
     df = derive(valid_duration(raw))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from tripdeck.operators.ingest import default_run_id
-from tripdeck.operators.obt import build_obt, union_services
+from tripdeck.operators.obt import obt_from_raw, union_services
 from tripdeck.operators.partitions import PartitionSpec, run_totals
 from tripdeck.sinks import tables
 
@@ -36,7 +36,7 @@ def run(spark: SparkSession, raw: DataFrame, zones: DataFrame, obt_table: str,
         spec: PartitionSpec, run_id: str | None = None) -> RunResult:
     """Build and store the OBT for ``spec``; returns the run's ledger and totals."""
     run_id = run_id or default_run_id("obt")
-    obt = build_obt(raw.where(spec.predicate()), zones, run_id)
+    obt = obt_from_raw(raw.where(spec.predicate()), zones, run_id)
     obs = tables.write_obt(obt, obt_table, spec, run_id)
     rows = None
     if obs is not None:

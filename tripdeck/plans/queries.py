@@ -20,7 +20,7 @@ from tripdeck.operators import features as fe
 from tripdeck.operators import models as md
 from tripdeck.operators import partitions as pt
 from tripdeck.operators.ingest import ingest, with_run_id
-from tripdeck.operators.obt import build_obt, union_services
+from tripdeck.operators.obt import obt_from_raw, union_services
 from tripdeck.plans import regression as rg
 from tripdeck.plans import testbed
 from tripdeck.session import scratch_path
@@ -99,7 +99,7 @@ def obt_month_partition(spark, sf_dir):
     svc, year, month = PARTITION_PROBE
     spec = pt.PartitionSpec(year, year, (month,), (svc,))
     raw = spark.table(f"{db}.{svc}_taxi_trip").where(spec.predicate())
-    return build_obt(raw, testdata.zones(spark, sf_dir), testbed.OBT_RUN_ID)
+    return obt_from_raw(raw, testdata.zones(spark, sf_dir), testbed.OBT_RUN_ID)
 
 
 # ================================================================ scalar operators
@@ -312,7 +312,7 @@ def replace_empty_partition(spark, sf_dir):
     table = f"{_database(spark, 'obt')}.obt_trips"
     sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-A"), table, FULL_SPEC, "obt-A")
     spec = pt.PartitionSpec(1997, 1997)
-    yellow_only = build_obt(testbed.raw_tables(spark, sf_dir, ("yellow",)),
+    yellow_only = obt_from_raw(testbed.raw_tables(spark, sf_dir, ("yellow",)),
                             testdata.zones(spark, sf_dir), "obt-B")
     sk.replace_partitions(yellow_only, table, spec, "obt-B")
     return _stored(spark, table)

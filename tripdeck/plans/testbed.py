@@ -10,7 +10,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tripdeck.operators.ingest import ingest
-from tripdeck.operators.obt import build_obt, union_services
+from tripdeck.operators.obt import obt_from_raw, union_services
 from tripdeck.sources import testdata
 from tripdeck.sources.schemas import SERVICES
 
@@ -30,4 +30,4 @@ def raw_tables(spark: SparkSession, sf_dir: str, services=SERVICES) -> DataFrame
 
 
 def obt(spark: SparkSession, sf_dir: str, run_id: str = OBT_RUN_ID) -> DataFrame:
-    return build_obt(raw_tables(spark, sf_dir), testdata.zones(spark, sf_dir), run_id)
+    return obt_from_raw(raw_tables(spark, sf_dir), testdata.zones(spark, sf_dir), run_id)

@@ -19,6 +19,7 @@ SERVICE_TIME_COLUMNS = {
     "green": ("lpep_pickup_datetime", "lpep_dropoff_datetime"),
 }
 
+# Column names of the monthly trip files (types are our declaration).
 _COMMON_RAW = [
     ("VendorID", T.LongType()),
     ("store_and_fwd_flag", T.StringType()),
@@ -85,6 +86,7 @@ ZONE_SCHEMA = T.StructType([
     T.StructField("service_zone", T.StringType()),
 ])
 
+# The 39 OBT columns, names and order as the analytic table defines them.
 OBT_SCHEMA = T.StructType([
     # time
     T.StructField("pickup_datetime", T.TimestampNTZType()),

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tripdeck.operators.ingest import ingest
-from tripdeck.operators.obt import build_obt
+from tripdeck.operators.obt import obt_from_raw
 from tripdeck.operators.partitions import PartitionSet
 from tripdeck.session import scratch_path
 from tripdeck.sinks import tables
@@ -53,7 +53,7 @@ def start(spark: SparkSession, landing_root: str, service: str, zones: DataFrame
         try:
             touched = PartitionSet.of(raw)
             if touched.size():
-                tables.replace_partitions(build_obt(raw, zones, run_id), obt_table, touched,
+                tables.replace_partitions(obt_from_raw(raw, zones, run_id), obt_table, touched,
                                           run_id)
         finally:
             raw.unpersist()
