@@ -32,7 +32,6 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripdeck.operators.evaluation import metric_columns
 
 KINDS = ("linear", "ridge", "lasso", "elasticnet")
 
