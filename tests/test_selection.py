@@ -35,3 +35,17 @@ def test_percentiles_match_numpy_linear(spark):
     got = percentiles(df, "r", [0.05, 0.5, 0.95], bins=32, final_rows=50)
     for p in (0.05, 0.5, 0.95):
         assert got[p] == pytest.approx(np.percentile(vals, p * 100), rel=1e-12)
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.integers(-50, 50), min_size=1, max_size=300), st.data())
+def test_kth_smallest_property(spark, values, data):
+    """Any rank of any small integer multiset (heavy duplicates included) equals the sort."""
+    ranks = data.draw(st.lists(st.integers(0, len(values) - 1), min_size=1, max_size=4))
+    df = spark.createDataFrame([(v,) for v in values], "x int")
+    got = kth_smallest(df, "x", ranks, bins=4, final_rows=3)
+    srt = sorted(values)
+    assert [got[r] for r in ranks] == [srt[r] for r in ranks]
