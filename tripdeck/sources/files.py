@@ -68,13 +68,16 @@ def write_monthly_files(df: DataFrame, root: str, mode: str = "append") -> None:
     """Lay out rows (with file keys) as monthly files in one distributed write: each
     ``<service>_tripdata_YYYY-MM.parquet`` becomes a directory holding that month's file.
 
-    Rows are range-partitioned by (file name, pickup time) first: each task writes one slice
-    of one or a few months, so a month is a handful of part files, and a month too large for
-    one task is split by time instead of landing in a single task."""
+    Rows are range-partitioned by (file name, pickup time, row hash) first: each task writes
+    one slice of one or a few months, so a month is a handful of part files, and a month too
+    large for one task is split instead of landing in a single task."""
     name = file_name_column(F.col("service_type"), F.col("source_year"), F.col("source_month"))
     named = df.withColumn("monthly_file", name)
-    pickup = [c for c in named.columns if c.endswith("pickup_datetime")]
-    named = named.repartitionByRange("monthly_file", *pickup)
+    pickup = [F.col(c) for c in named.columns if c.endswith("pickup_datetime")]
+    # a deterministic row hash as the last key splits even a hot (month, pickup time) group,
+    # and keeps the layout identical when a task is retried
+    spread = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_spread")
+    named = named.repartitionByRange(F.col("monthly_file"), *pickup, spread)
     (named.drop(*PARTITION_KEYS)
      .write.mode(mode).partitionBy("monthly_file").parquet(root))
 
