@@ -85,3 +85,15 @@ def test_round_trip_and_csv_export(spark):
     got = spark.read.option("header", True).csv(path)
     assert sorted(r["status"] for r in got.collect()) == ["a", "b"]
     assert len(got.inputFiles()) == 1
+
+
+def test_empty_source_clears_even_under_the_same_run_id(spark):
+    table = _table(spark)
+    z = zones_df(spark)
+    spec = PartitionSpec(2020, 2020, (1, 2), ("yellow",))
+    rows = raw_rows(spark, "yellow", [{"source_month": 1}, {"source_month": 2}])
+    tables.replace_partitions(obt_from_raw(rows, z, "R"), table, spec, "R")
+    only_jan = raw_rows(spark, "yellow", [{"source_month": 1}])
+    obs = tables.replace_partitions(obt_from_raw(only_jan, z, "R"), table, spec, "R")
+    assert _content(spark, table) == [("yellow", 2020, 1, "R", 1)]
+    assert obs.get["rows"] == 1 and len(obs.get["partitions"]) == 1

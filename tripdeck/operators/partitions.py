@@ -102,6 +102,10 @@ class PartitionSpec:
     def size(self) -> int:
         return len(self.services) * len(self.years) * len(self.months)
 
+    def contains(self, key: tuple[str, int, int]) -> bool:
+        s, y, m = key
+        return s in self.services and self.year_start <= y <= self.year_end and m in self.months
+
     def predicate(self) -> Column:
         """Partition predicate; on a table partitioned by the keys this prunes directories."""
         return (F.col("service_type").isin(list(self.services))
@@ -168,6 +172,9 @@ class PartitionSet:
     def size(self) -> int:
         return len(self.keys)
 
+    def contains(self, key: tuple[str, int, int]) -> bool:
+        return tuple(key) in set(self.keys)
+
     def predicate(self) -> Column:
         if not self.keys:
             return F.lit(False)

@@ -11,6 +11,7 @@ empty source clears its partition as the delete in the original workflow did.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -86,26 +87,40 @@ def drop_partitions(spark: SparkSession, table: str, rows) -> int:
     return len(rows)
 
 
-def replace_partitions(df: DataFrame, table: str, spec: PartitionSpec, run_id: str
-                       ) -> Observation:
-    """Idempotent replace of the spec's partitions with ``df`` (rows carry ``run_id``).
+def catalog_partitions(spark: SparkSession, table: str) -> list[tuple[str, int, int]]:
+    """Partition keys the catalog holds for ``table`` (metadata only, no data read)."""
+    out = []
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        kv = dict(part.split("=", 1) for part in row[0].split("/"))
+        out.append((unquote(kv["service_type"]), int(kv["source_year"]),
+                    int(kv["source_month"])))
+    return out
 
-    1. dynamic partition overwrite: partitions present in ``df`` are replaced atomically;
-    2. partitions of the spec still holding rows of another run received no new rows: they are
-       dropped (the stale check reads only the ``run_id`` column of the spec's partitions, and
-       returns at most ``spec.size()`` keys).
-    Returns an ``Observation`` with the number of rows written, counted during the write.
+
+def replace_partitions(df: DataFrame, table: str, spec, run_id: str) -> Observation:
+    """Idempotent replace of the spec's partitions with ``df``.
+
+    1. dynamic partition overwrite: partitions present in ``df`` are replaced atomically; the
+       write itself observes the row count and the set of partition keys it wrote (at most
+       ``spec.size()`` keys, merged as task metrics — no second pass over the data);
+    2. partitions of the spec that the catalog holds but the write did not touch received no
+       new rows: they are dropped, so an empty source clears its partition.
+    ``run_id`` is the lineage value the rows carry. Returns the ``Observation``
+    (``rows``, ``partitions``).
     """
     spark = df.sparkSession
-    obs = Observation(f"replace_{table.replace('.', '_')}")
-    observed = df.where(spec.predicate()).observe(obs, F.count(F.lit(1)).alias("rows"))
+    obs = Observation(f"replace_{table.replace('.', '_')}_{run_id}")
+    keys = F.struct(*[F.col(k) for k in PARTITION_KEYS])
+    observed = df.where(spec.predicate()).observe(
+        obs, F.count(F.lit(1)).alias("rows"), F.collect_set(keys).alias("partitions"))
     if not spark.catalog.tableExists(table):
         _writer(observed).partitionBy(*PARTITION_KEYS).saveAsTable(table)
         return obs
     with session_conf(spark, OVERWRITE_MODE, "dynamic"):
         _table_order(spark, table, observed).write.insertInto(table, overwrite=True)
-    stale = (spark.table(table).where(spec.predicate() & (F.col("run_id") != F.lit(run_id)))
-             .select(*PARTITION_KEYS).distinct().collect())
+    written = {(r[0], int(r[1]), int(r[2])) for r in obs.get["partitions"]}
+    stale = [dict(zip(PARTITION_KEYS, k)) for k in catalog_partitions(spark, table)
+             if spec.contains(k) and k not in written]
     drop_partitions(spark, table, stale)
     return obs
 
