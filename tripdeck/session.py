@@ -7,7 +7,6 @@ a local default is set only when the setting is missing, as in tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,17 +62,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder (never reused, never cleared)."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/tripdeck/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for code that needs an OS path (tests only)."""
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def makedirs_if_local(path: str) -> None:
-    if is_local_fs(path):
-        os.makedirs(local_path(path), exist_ok=True)

@@ -88,13 +88,6 @@ def read_zone_csv(spark: SparkSession, path: str) -> DataFrame:
                  .schema(ZONE_SCHEMA).csv(path), ZONE_SCHEMA)
 
 
-def read_partition(spark: SparkSession, path: str, spec: PartitionSpec) -> DataFrame:
-    """Predicate scan of a partitioned table: pruned by the spec, valid durations only."""
-    return (spark.read.parquet(path)
-            .where(spec.predicate())
-            .where(F.col("dropoff_datetime") >= F.col("pickup_datetime")))
-
-
 ANALYTIC_COLUMNS = ("pickup_hour", "pickup_dow", "month", "year", "trip_distance",
                     "passenger_count", "service_type", "pu_borough", "do_borough", "total_amount")
 
