@@ -77,3 +77,19 @@ def test_cli_flags_env_and_defaults():
     spec, run_id = spec_from_args(["--full-rebuild", "--overwrite", "false"], env={})
     assert spec.mode == "full" and spec.overwrite and spec.size() == 264
     assert run_id.startswith("obt-")
+
+
+from hypothesis import given, strategies as st  # noqa: E402
+
+
+@given(st.lists(st.integers(1, 12), max_size=30), st.sampled_from([",", " ,", ", "]))
+def test_month_tokens_property(months, sep):
+    """Comma-joined or separate tokens give the same sorted, de-duplicated months."""
+    joined = sep.join(str(m) for m in months)
+    assert parse_months([joined]) == sorted(set(months)) == parse_months([str(m) for m in months])
+
+
+@given(st.integers(13, 10_000) | st.integers(-10_000, 0))
+def test_out_of_range_month_raises(m):
+    with pytest.raises(ValueError):
+        parse_months([str(m)])
