@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripdeck.llm.jaccard import near_duplicate_classes
+from tripdeck.llm.packing import pack_documents
+from tripdeck.llm.substrings import remove_repeats
 
 REGISTRY = {}
 ORACLE = {}
@@ -19,6 +23,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op3_best_fit_packing(spark, sf_dir):
+    """All documents, tokenised and packed into sequences of at most 4096 tokens."""
+    return pack_documents(_table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("word_bpe_49k.json"), max_tokens=4096, end_id=1)
+
+
 @register
 def op4_jaccard_join(spark, sf_dir):
     """Near-duplicate classes of all documents: 4-word shingles, Jaccard of 0.85 or more."""
@@ -36,7 +47,7 @@ g AS (
   SELECT doc_id, CASE WHEN len(words) = 0 THEN []::VARCHAR[]
                       WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
                       ELSE list_distinct(list_transform(range(1, len(words) - 2),
-                             i -> array_to_string(words[i:i + 3], ' '))) END AS grams
+                             lambda i: array_to_string(words[i:i + 3], ' '))) END AS grams
   FROM w),
 s AS (SELECT doc_id, len(grams) AS n FROM g),
 x AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM g),
@@ -52,3 +63,31 @@ reach(u, v) AS (
 SELECT s.doc_id, CAST(s.n AS BIGINT) AS n_shingles, min(r.v) AS component_id
 FROM s JOIN reach r ON r.u = s.doc_id GROUP BY s.doc_id, s.n
 """
+
+
+@register
+def op8_substring_dedup(spark, sf_dir):
+    """All documents without the words of repeated 35-word windows, as counts and a digest."""
+    return (remove_repeats(_table(spark, sf_dir, "documents"), window=35)
+            .select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")))
+
+
+ORACLE["op8_substring_dedup"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM w WHERE len(words) >= 35),
+x AS (SELECT doc_id, i, array_to_string(words[i:i + 34], ' ') AS win FROM p),
+hit AS (SELECT doc_id, i FROM x WHERE win IN (SELECT win FROM x GROUP BY win HAVING count(*) > 1)),
+gone AS (SELECT doc_id, list(i) AS starts FROM hit GROUP BY doc_id),
+cover AS (
+  SELECT w.doc_id, words,
+         list_distinct(flatten(list_transform(coalesce(starts, []::BIGINT[]),
+                                              lambda s: range(s, s + 35)))) AS dead
+  FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(dead) AS BIGINT) AS n_removed,
+       sha256(array_to_string(list_transform(
+         list_filter(range(1, len(words) + 1), lambda i: NOT list_contains(dead, i)),
+         lambda i: words[i]), ' ')) AS kept_sha256
+FROM cover
+"""
