@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripdeck.llm import language, quality
 from tripdeck.llm.jaccard import near_duplicate_classes
 from tripdeck.llm.packing import pack_documents
 from tripdeck.llm.substrings import remove_repeats
@@ -65,6 +66,21 @@ FROM s JOIN reach r ON r.u = s.doc_id GROUP BY s.doc_id, s.n
 """
 
 
+def held_out(parts: int, remainder: int):
+    """Whether crc32 of the doc_id as text has this remainder modulo ``parts``."""
+    return F.crc32(F.col("doc_id").cast("string")) % parts == remainder
+
+
+@register
+def op5_quality_classifier(spark, sf_dir):
+    """Quality score of all documents, learnt from labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.fit(docs, _table(spark, sf_dir, "labels").where(~held_out(5, 0)))
+    return (quality.quality_scores(docs, model)
+            .select("doc_id", held_out(5, 0).alias("held_out"), "score",
+                    (F.col("score") >= 0.3).cast("int").alias("predicted")))
+
+
 @register
 def op8_substring_dedup(spark, sf_dir):
     """All documents without the words of repeated 35-word windows, as counts and a digest."""
@@ -91,3 +107,13 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(dead) AS BIGINT)
          lambda i: words[i]), ' ')) AS kept_sha256
 FROM cover
 """
+
+
+@register
+def op9_language_id(spark, sf_dir):
+    """Language of all documents, learnt from the labelled ones outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents").where("doc_id is not null")
+    model = language.fit(docs.where(~held_out(4, 2)).select("lang", "text"))
+    return (language.languages(docs.select("doc_id", "text"), model)
+            .select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score",
+                    F.array_join("lang_set", ",").alias("lang_set")))
