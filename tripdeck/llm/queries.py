@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripdeck.llm import language, quality
+from tripdeck.llm import language, pii, quality
+from tripdeck.llm.decontam import find_overlaps
 from tripdeck.llm.jaccard import near_duplicate_classes
 from tripdeck.llm.packing import pack_documents
 from tripdeck.llm.substrings import remove_repeats
@@ -81,6 +82,17 @@ def op5_quality_classifier(spark, sf_dir):
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))
 
 
+@register
+def op7_pii(spark, sf_dir):
+    """Personal data in all documents: counts per base kind, a digest of base spans, all spans."""
+    found = pii.personal_data(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] != pii.TERM)
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{k}')) as long) as n_{k}")
+              for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                        pii.listed(F.col("spans")).alias("spans"))
+
+
 @register
 def op8_substring_dedup(spark, sf_dir):
     """All documents without the words of repeated 35-word windows, as counts and a digest."""
@@ -117,3 +129,12 @@ def op9_language_id(spark, sf_dir):
     return (language.languages(docs.select("doc_id", "text"), model)
             .select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score",
                     F.array_join("lang_set", ",").alias("lang_set")))
+
+
+@register
+def op10_decontamination(spark, sf_dir):
+    """Every verified overlap of a document with a benchmark item, best region per pair."""
+    found = find_overlaps(_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.inline("leaks")).withColumnsRenamed(
+        {"start": "start_word", "length": "n_words"})
