@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tripdeck.llm import language, pii, quality
 from tripdeck.llm.decontam import find_overlaps
 from tripdeck.llm.jaccard import near_duplicate_classes
+from tripdeck.llm.knn import integer_vectors, nearest_neighbours
 from tripdeck.llm.packing import pack_documents
 from tripdeck.llm.substrings import remove_repeats
 
@@ -25,6 +26,28 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op2_voronoi_knn(spark, sf_dir):
+    """The 5 highest integer inner products of every 50th vector with all others."""
+    vectors = integer_vectors(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 256)
+    return nearest_neighbours(vectors, vectors.where("id % 50 = 0"), k=5)
+
+
+ORACLE["op2_voronoi_knn"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, x.vec_id,
+         CAST(list_inner_product(q.v, x.v) AS BIGINT) AS score
+  FROM v q JOIN v x ON q.vec_id % 50 = 0 AND q.vec_id <> x.vec_id AND len(q.v) = len(x.v)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 @register
 def op3_best_fit_packing(spark, sf_dir):
     """All documents, tokenised and packed into sequences of at most 4096 tokens."""
