@@ -10,6 +10,7 @@ from tripdeck.llm import language, pii, quality
 from tripdeck.llm.decontam import find_overlaps
 from tripdeck.llm.jaccard import near_duplicate_classes
 from tripdeck.llm.knn import integer_vectors, nearest_neighbours
+from tripdeck.llm.lm_scoring import stupid_backoff
 from tripdeck.llm.packing import pack_documents
 from tripdeck.llm.substrings import remove_repeats
 
@@ -26,6 +27,38 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@register
+def op1_lm_scoring(spark, sf_dir):
+    """Stupid-backoff scores of all documents by the bigram model of all documents."""
+    return (stupid_backoff(_table(spark, sf_dir, "documents"), order=2, alpha=0.4, min_count=2)
+            .withColumn("log_score", F.round("log_score", 3)))
+
+
+ORACLE["op1_lm_scoring"] = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+p AS (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+x AS (SELECT doc_id, words[i] AS v, CASE WHEN i > 1 THEN words[i - 1] END AS u FROM p),
+c1 AS (SELECT v, count(*) AS c FROM x GROUP BY v),
+c2 AS (SELECT u, v, count(*) AS c FROM x WHERE u IS NOT NULL GROUP BY u, v),
+n AS (SELECT count(*) AS n FROM x),
+s AS (
+  SELECT x.doc_id,
+         CASE WHEN x.u IS NULL THEN ln(a.c / n.n) WHEN c2.c >= 2 THEN ln(c2.c / b.c)
+              ELSE ln(0.4::DOUBLE) + ln(a.c / n.n) END AS score,
+         CASE WHEN x.u IS NOT NULL AND c2.c < 2 THEN 1 ELSE 0 END AS fell
+  FROM x JOIN c1 a ON x.v = a.v LEFT JOIN c1 b ON x.u = b.v
+  LEFT JOIN c2 ON x.u = c2.u AND x.v = c2.v CROSS JOIN n)
+SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words,
+       coalesce(round(sum(s.score), 3), 0.0) AS log_score,
+       CAST(coalesce(sum(s.fell), 0) AS BIGINT) AS n_backoff
+FROM w LEFT JOIN s ON w.doc_id = s.doc_id GROUP BY w.doc_id, w.words
+"""
+
+
 @register
 def op2_voronoi_knn(spark, sf_dir):
     """The 5 highest integer inner products of every 50th vector with all others."""
