@@ -10,6 +10,7 @@ from tripdeck.llm import language, pii, quality
 from tripdeck.llm.decontam import find_overlaps
 from tripdeck.llm.jaccard import near_duplicate_classes
 from tripdeck.llm.knn import integer_vectors, nearest_neighbours
+from tripdeck.llm.licenses import scan_licenses, template_table
 from tripdeck.llm.lm_scoring import stupid_backoff
 from tripdeck.llm.packing import pack_documents
 from tripdeck.llm.substrings import remove_repeats
@@ -138,6 +139,12 @@ def op5_quality_classifier(spark, sf_dir):
                     (F.col("score") >= 0.3).cast("int").alias("predicted")))
 
 
+@register
+def op6_license_scan(spark, sf_dir):
+    """License notices found in all documents."""
+    return scan_licenses(_table(spark, sf_dir, "documents"), template_table(spark))
+
+
 @register
 def op7_pii(spark, sf_dir):
     """Personal data in all documents: counts per base kind, a digest of base spans, all spans."""
