@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripdeck.llm.text import Words, alnum_words, buffers, column, lowered, slices
 
@@ -191,6 +192,8 @@ def languages(docs: DataFrame, model: LanguageModel, rounds: int = 8, least_shar
                 [*(column(batch, c) for c in names), pa.array(pred, pa.string()),
                  pa.array(np.clip(score, 0, 1)), pa.array(sets, pa.list_(pa.string())),
                  pa.array(shares, pa.list_(pa.float64()))], [*names, *added])
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.mapInArrow(run, schema + ", lang_pred string, score double, "
-                                         "lang_set array<string>, lang_shares array<double>")
+    schema = T.StructType([*kept.schema.fields, T.StructField("lang_pred", T.StringType()),
+                           T.StructField("score", T.DoubleType()),
+                           T.StructField("lang_set", T.ArrayType(T.StringType())),
+                           T.StructField("lang_shares", T.ArrayType(T.DoubleType()))])
+    return kept.mapInArrow(run, schema)

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tripdeck.llm.stages import written
@@ -304,8 +305,9 @@ def pack(items: DataFrame, max_tokens: int = 4096) -> DataFrame:
               .join(sizes.drop("n"), ["length", "bucket"])
               .withColumn("rank", F.col("before") + F.col("at") - 1)
               .select(*names, "rank"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema.fields)
-    return ranked.mapInArrow(place, schema + ", sequence_id long, offset long")
+    schema = T.StructType([*items.schema.fields, T.StructField("sequence_id", T.LongType()),
+                           T.StructField("offset", T.LongType())])
+    return ranked.mapInArrow(place, schema)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int = 1,

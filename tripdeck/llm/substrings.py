@@ -119,7 +119,7 @@ def common_depth(key: np.ndarray, rows: np.ndarray):
                        kind="stable")
     k, r = key[order], rows[order]
     same = (r[1:] == r[:-1]) & (r[1:] != 0)
-    depth = np.where(same.all(axis=1), width, np.argmin(same, axis=1))
+    depth = np.logical_and.accumulate(same, axis=1).sum(axis=1)
     depth[k[1:] != k[:-1]] = -1
     return order, np.concatenate(([-1], depth))
 
