@@ -110,21 +110,27 @@ def disclosing_terms(docs: DataFrame, spanned: DataFrame, threshold: float, min_
     entities = near.groupBy("entity").agg(F.countDistinct("context").alias("contexts"),
                                           F.countDistinct("doc_id").alias("n_e"))
     entities = entities.where(F.col("contexts") >= min_contexts)
-    pairs = (near.join(entities, "entity")
-             .withColumn("term", F.explode(F.array_distinct(
-                 F.concat(_words(F.col("before")), _words(F.col("after"))))))
-             .groupBy("entity", "term", "n_e")
+    total = docs.select(F.count(F.lit(1)).alias("n")).first()["n"]
+    info = F.log2(F.lit(float(total)) / F.col("n_e"))
+
+    def discloses(n_t):
+        shared = F.log2(F.lit(float(total)) * F.col("n_te") / (n_t * F.col("n_e")))
+        return (info > 0) & (shared >= threshold * info)
+    said = near.withColumn("term", F.explode(F.array_distinct(
+        F.concat(_words(F.col("before")), _words(F.col("after"))))))
+    pairs = (said.join(entities, "entity").groupBy("entity", "term", "n_e")
              .agg(F.countDistinct("context").alias("c"), F.countDistinct("doc_id").alias("n_te"))
              .where(F.col("c") >= min_contexts))
-    pairs = written(pairs, "pii-pairs")
+    # the documents with the term near some entity are a lower bound of n(t)
+    there = said.groupBy("term").agg(F.countDistinct("doc_id").alias("n_near"))
+    pairs = written(pairs.join(there, "term").where(discloses(F.col("n_near"))), "pii-pairs")
     terms = written(pairs.select("term").distinct(), "pii-candidates")
-    total = docs.select(F.count(F.lit(1)).alias("n")).first()["n"]
+    if terms.isEmpty():
+        return terms
     small = F.broadcast(terms) if terms.count() <= broadcast_rows else terms
     counts = (docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
               .join(small, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
-    info = F.log2(F.lit(float(total)) / F.col("n_e"))
-    shared = F.log2(F.lit(float(total)) * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    return written(pairs.join(counts, "term").where((info > 0) & (shared >= threshold * info))
+    return written(pairs.join(counts, "term").where(discloses(F.col("n_t")))
                    .select("term").distinct(), "pii-terms")
 
 
