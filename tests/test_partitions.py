@@ -16,6 +16,7 @@ def test_months_and_services_are_validated_deduplicated_sorted():
         parse_months(["x"])
     with pytest.raises(ValueError):
         parse_services(["blue"])
+    assert parse_months(None) == parse_services([None, " ,"]) == []
 
 
 def test_resolve_full_mode_forces_everything_and_overwrite():
@@ -64,21 +65,6 @@ def test_partition_set_predicate(spark):
     assert df.where(ps.predicate()).count() == 2
 
 
-def test_cli_flags_env_and_defaults():
-    from tripdeck.plans.obt_job import spec_from_args
-    spec, run_id = spec_from_args(["--year-start", "2019", "--year-end", "2020", "--months",
-                                   "3,1", "--services", "green", "--run-id", "r1"], env={})
-    assert (spec.years, spec.months, spec.services, run_id) == ([2019, 2020], (1, 3),
-                                                               ("green",), "r1")
-    assert not spec.overwrite
-    spec, _ = spec_from_args([], env={"OBT_MONTHS": "2", "OBT_OVERWRITE": "yes",
-                                      "OBT_YEAR_START": "2016", "OBT_YEAR_END": "2017"})
-    assert spec.months == (2,) and spec.overwrite and spec.years == [2016, 2017]
-    spec, run_id = spec_from_args(["--full-rebuild", "--overwrite", "false"], env={})
-    assert spec.mode == "full" and spec.overwrite and spec.size() == 264
-    assert run_id.startswith("obt-")
-
-
 from hypothesis import given, strategies as st  # noqa: E402
 
 

@@ -4,7 +4,7 @@ A dimension is broadcast only after a bounded check proves it small: the check r
 ``max_rows + 1`` rows, so it costs the same whatever the dimension's real size. If the
 dimension is larger, the join is left to the planner (sort-merge, or AQE's runtime broadcast).
 The same pass asserts that the join key is unique, because a duplicate key would multiply
-fact rows silently.
+fact rows silently; the plan of the join asserts it once more.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 DEFAULT_MAX_BROADCAST_ROWS = 100_000
 
@@ -24,21 +25,9 @@ class DimensionCheck:
     max_per_key: int
 
 
-_CHECKED: dict[tuple[int, str, int], DimensionCheck] = {}
-
-
 def check_dimension(dim: DataFrame, key: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS
                     ) -> DimensionCheck:
-    """Bounded size and key-uniqueness check; remembered per (plan, key, bound) so that one
-    dimension is probed once per session however many joins use it."""
-    memo = (dim.semanticHash(), key, max_rows)
-    if memo in _CHECKED:
-        return _CHECKED[memo]
-    _CHECKED[memo] = result = _probe(dim, key, max_rows)
-    return result
-
-
-def _probe(dim: DataFrame, key: str, max_rows: int) -> DimensionCheck:
+    """Bounded size and key-uniqueness check of the table as it is now (never remembered)."""
     probe = (dim.select(key).limit(max_rows + 1)
                 .groupBy(key).count()
                 .agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows"),
@@ -48,17 +37,21 @@ def _probe(dim: DataFrame, key: str, max_rows: int) -> DimensionCheck:
     return DimensionCheck(rows=rows, small=rows <= max_rows, max_per_key=int(probe["max_per_key"]))
 
 
+def asserted_unique(dim: DataFrame, key: str) -> DataFrame:
+    """``dim`` that fails the running query if a key occurs twice when it is read."""
+    per_key = F.count(F.lit(1)).over(Window.partitionBy(key))
+    once = F.assert_true(F.col("_per_key") == 1, f"dimension key {key!r} is not unique")
+    return dim.withColumn("_per_key", per_key).where(once.isNull()).drop("_per_key")
+
+
 def dimension_for_join(dim: DataFrame, key: str, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
                        require_unique: bool = True) -> DataFrame:
-    """``dim`` with a broadcast hint when proven small; raises on duplicate keys."""
+    """``dim`` with a broadcast hint when proven small; raises on duplicate keys, now if the
+    bounded check sees one, and in the join's own plan if the table changes before it runs."""
     check = check_dimension(dim, key, max_rows)
-    if check.small:
-        if require_unique and check.max_per_key > 1:
-            raise ValueError(f"dimension key {key!r} is not unique "
-                             f"(a key occurs {check.max_per_key} times)")
-        return F.broadcast(dim)
+    if require_unique and check.max_per_key > 1:
+        raise ValueError(f"dimension key {key!r} is not unique "
+                         f"(a key occurs {check.max_per_key} times)")
     if require_unique:
-        dup = dim.groupBy(key).count().where(F.col("count") > 1).limit(1).count()
-        if dup:
-            raise ValueError(f"dimension key {key!r} is not unique")
-    return dim
+        dim = asserted_unique(dim, key)
+    return F.broadcast(dim) if check.small else dim

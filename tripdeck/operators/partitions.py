@@ -8,7 +8,7 @@ without rows are reported with 0.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,38 +20,27 @@ ALL_MONTHS = tuple(range(1, 13))
 DEFAULT_YEARS = (2015, 2025)
 
 
-def _tokens(values: Iterable | None) -> list[str]:
-    out: list[str] = []
-    for v in values or []:
-        if v is None:
-            continue
-        out += [t.strip() for t in str(v).split(",") if t.strip()]
-    return out
+MONTH_BY_TEXT = {text: m for m in ALL_MONTHS for text in (str(m), f"{m:02d}")}
+
+
+def _choose(values: Iterable | None, known: dict[str, object], what: str) -> set:
+    """The values of ``known`` that comma-separated ``values`` name; raises on any other name."""
+    names = ",".join(str(v) for v in values or () if v is not None).lower()
+    chosen = {name.strip() for name in names.split(",")} - {""}
+    if strangers := chosen.difference(known):
+        raise ValueError(f"not a {what}: {sorted(strangers)}; known: {', '.join(known)}")
+    return {known[name] for name in chosen}
 
 
 def parse_months(values: Iterable | None) -> list[int]:
-    months: list[int] = []
-    for tok in _tokens(values):
-        try:
-            m = int(tok)
-        except ValueError as exc:
-            raise ValueError(f"invalid month {tok!r}") from exc
-        if not 1 <= m <= 12:
-            raise ValueError(f"month {m} out of range 1-12")
-        if m not in months:
-            months.append(m)
-    return sorted(months)
+    """Months 1 to 12 by number, each once, ascending."""
+    return sorted(_choose(values, MONTH_BY_TEXT, "month"))
 
 
 def parse_services(values: Iterable | None) -> list[str]:
-    services: list[str] = []
-    for tok in _tokens(values):
-        s = tok.lower()
-        if s not in SERVICES:
-            raise ValueError(f"invalid service {tok!r}; allowed: {', '.join(SERVICES)}")
-        if s not in services:
-            services.append(s)
-    return services
+    """Known services by name in any case, each once, in the library's order."""
+    chosen = _choose(values, {s: s for s in SERVICES}, "service")
+    return [s for s in SERVICES if s in chosen]
 
 
 @dataclass(frozen=True)
@@ -64,7 +53,6 @@ class PartitionSpec:
     services: tuple[str, ...] = SERVICES
     overwrite: bool = False
     mode: str = "by-partition"
-    notes: tuple[str, ...] = field(default=(), compare=False)
 
     def __post_init__(self):
         if self.mode not in ("full", "by-partition"):
@@ -85,15 +73,13 @@ class PartitionSpec:
                 ) -> "PartitionSpec":
         """Explicit values win over defaults; ``full`` mode forces all years, months and
         services of the defaults and always overwrites."""
-        mode = (mode or "by-partition").lower()
-        ys = year_start if year_start is not None else defaults[0]
-        ye = year_end if year_end is not None else defaults[1]
-        ms = parse_months(months) if _tokens(months) else list(ALL_MONTHS)
-        ss = parse_services(services) if _tokens(services) else list(SERVICES)
-        ow = bool(overwrite) if overwrite is not None else False
-        if mode == "full":
-            ys, ye, ms, ss, ow = defaults[0], defaults[1], list(ALL_MONTHS), list(SERVICES), True
-        return cls(ys, ye, tuple(ms), tuple(ss), ow, mode)
+        if mode and mode.lower() == "full":
+            return cls(*defaults, overwrite=True, mode="full")
+        first, last = (given if given is not None else default for given, default in
+                       zip((year_start, year_end), defaults, strict=True))
+        return cls(first, last, tuple(parse_months(months)) or ALL_MONTHS,
+                   tuple(parse_services(services)) or SERVICES, bool(overwrite),
+                   (mode or "by-partition").lower())
 
     @property
     def years(self) -> list[int]:

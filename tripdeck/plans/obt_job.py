@@ -43,73 +43,3 @@ def run(spark: SparkSession, raw: DataFrame, zones: DataFrame, obt_table: str,
         rows = int(obs.get.get("rows", 0))
     ledger = tables.post_write_ledger(spark, obt_table, spec)
     return RunResult(run_id, rows, ledger, run_totals(ledger))
-
-
-# Environment variables consulted when a flag is not given.
-ENV_NAMES = {"mode": "OBT_MODE", "year_start": "OBT_YEAR_START", "year_end": "OBT_YEAR_END",
-             "months": "OBT_MONTHS", "services": "OBT_SERVICES", "run_id": "OBT_RUN_ID",
-             "overwrite": "OBT_OVERWRITE"}
-TRUE_WORDS = {"1", "true", "t", "yes", "y"}
-FALSE_WORDS = {"0", "false", "f", "no", "n"}
-
-
-def _bool(text: str | None) -> bool | None:
-    if text is None or text == "":
-        return None
-    t = str(text).strip().lower()
-    if t in TRUE_WORDS:
-        return True
-    if t in FALSE_WORDS:
-        return False
-    raise ValueError(f"invalid boolean {text!r}")
-
-
-def spec_from_args(argv: list[str] | None = None, env: dict | None = None
-                   ) -> tuple[PartitionSpec, str]:
-    """Flags win over environment variables, which win over defaults; ``--full-rebuild``
-    means full mode (all partitions, overwrite). Returns the spec and the run id."""
-    import argparse
-    import os
-    env = os.environ if env is None else env
-    p = argparse.ArgumentParser(description="Build the one-big-table of trips")
-    p.add_argument("--mode", choices=["full", "by-partition"])
-    p.add_argument("--year-start", type=int)
-    p.add_argument("--year-end", type=int)
-    p.add_argument("--months", nargs="+")
-    p.add_argument("--services", nargs="+")
-    p.add_argument("--run-id")
-    p.add_argument("--overwrite", nargs="?", const="true")
-    p.add_argument("--full-rebuild", action="store_true")
-    a = p.parse_args(argv)
-    mode = "full" if a.full_rebuild else (a.mode or env.get(ENV_NAMES["mode"]) or "by-partition")
-    defaults = (int(env.get(ENV_NAMES["year_start"], 2015)), int(env.get(ENV_NAMES["year_end"],
-                                                                          2025)))
-    overwrite = _bool(a.overwrite) if a.overwrite is not None else _bool(
-        env.get(ENV_NAMES["overwrite"]))
-    spec = PartitionSpec.resolve(
-        mode=mode, year_start=a.year_start, year_end=a.year_end,
-        months=a.months or ([env[ENV_NAMES["months"]]] if env.get(ENV_NAMES["months"]) else None),
-        services=a.services or ([env[ENV_NAMES["services"]]] if env.get(ENV_NAMES["services"])
-                                else None),
-        overwrite=overwrite, defaults=defaults)
-    run_id = a.run_id or env.get(ENV_NAMES["run_id"]) or default_run_id("obt")
-    return spec, run_id
-
-
-def main(argv: list[str] | None = None, raw_db: str = "raw", analytics_db: str = "analytics"
-         ) -> None:
-    """``spark-submit -m``-style entry: build the OBT for the resolved spec from the catalog
-    tables ``raw.<service>_taxi_trip`` and ``raw.taxi_zone_lookup`` into
-    ``analytics.obt_trips``, then print the ledger totals."""
-    spec, run_id = spec_from_args(argv)
-    spark = SparkSession.builder.getOrCreate()
-    raw = read_raw(spark, {s: f"{raw_db}.{s}_taxi_trip" for s in spec.services}, spec)
-    res = run(spark, raw, spark.table(f"{raw_db}.taxi_zone_lookup"),
-              f"{analytics_db}.obt_trips", spec, run_id)
-    tot = res.totals.first()
-    print(f"run {res.run_id}: {tot['partitions']} partitions, "
-          f"{tot['partitions_with_rows']} with rows, {tot['rows']} rows")
-
-
-if __name__ == "__main__":
-    main()

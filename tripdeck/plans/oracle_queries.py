@@ -495,7 +495,41 @@ counts AS (
   FROM raw GROUP BY service_type, source_year, source_month
 )
 SELECT m.service_type, m.source_year, m.source_month,
-       CAST(coalesce(c.rows, 0) AS BIGINT) AS rows
+       CAST(coalesce(c.rows, 0) AS BIGINT) AS rows,
+       CASE WHEN c.rows IS NULL THEN 'absent' ELSE 'landed' END AS state
 FROM manifest m LEFT JOIN counts c
   ON m.service_type = c.service_type AND m.source_year = c.source_year
  AND m.source_month = c.source_month"""
+
+ORACLE["ingest_job_partial_landing"] = "WITH " + RAW + """,
+manifest AS (
+  SELECT s.service_type, CAST(y.source_year AS INTEGER) AS source_year,
+         CAST(m.source_month AS INTEGER) AS source_month
+  FROM (VALUES ('yellow'), ('green')) s(service_type)
+  CROSS JOIN range(1995, 2002) y(source_year)
+  CROSS JOIN range(1, 13) m(source_month)
+),
+counts AS (
+  SELECT service_type, source_year, source_month, count(*) AS rows,
+         count(*) FILTER (WHERE source_year = 1998 AND PULocationID % 2 = 1) AS later
+  FROM raw GROUP BY service_type, source_year, source_month
+)
+SELECT m.service_type, m.source_year, m.source_month,
+       CAST(CASE WHEN c.later > 0 THEN c.later ELSE coalesce(c.rows, 0) END AS BIGINT) AS rows,
+       CASE WHEN c.later > 0 THEN 'landed' ELSE 'absent' END AS state
+FROM manifest m LEFT JOIN counts c
+  ON m.service_type = c.service_type AND m.source_year = c.source_year
+ AND m.source_month = c.source_month"""
+
+ORACLE["ingest_drifted_types"] = "WITH " + RAW + """
+SELECT service_type, source_year, source_month, count(*) AS rows,
+       CAST(sum(VendorID) AS DOUBLE) AS "sum_VendorID",
+       CAST(sum(RatecodeID) AS DOUBLE) AS "sum_RatecodeID",
+       CAST(sum(PULocationID) AS DOUBLE) AS "sum_PULocationID",
+       CAST(sum(DOLocationID) AS DOUBLE) AS "sum_DOLocationID",
+       CAST(sum(passenger_count) AS DOUBLE) AS sum_passenger_count,
+       CAST(sum(payment_type) AS DOUBLE) AS sum_payment_type,
+       CAST(sum(airport_fee) AS DOUBLE) AS sum_airport_fee
+FROM raw GROUP BY service_type, source_year, source_month"""
+
+ORACLE["streaming_late_file"] = ORACLE["streaming_ingest"]

@@ -277,6 +277,52 @@ def ingest_job(spark, sf_dir):
     return job.run(spark, root, raw, FULL_SPEC, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
 
 
+def _land(spark, sf_dir, root, choose=None, mode="append"):
+    """Both services' rows (those that ``choose`` keeps) as monthly files below ``root``."""
+    for service in SERVICES:
+        rows = testdata.raw_trips(spark, sf_dir, service).withColumn("service_type", F.lit(service))
+        files.write_monthly_files(rows if choose is None else rows.where(choose), root, mode)
+
+
+@register("ingest_job_partial_landing")
+def ingest_job_partial_landing(spark, sf_dir):
+    """All months are ingested, then a folder that holds some rows of 1998 only: its
+    months are replaced, months without a file keep their rows and are reported absent."""
+    from tripdeck.plans import ingest_job as job
+    whole, part = scratch_path(spark, "landing-whole"), scratch_path(spark, "landing-part")
+    _land(spark, sf_dir, whole)
+    _land(spark, sf_dir, part, "source_year = 1998 and PULocationID % 2 = 1")
+    db = _database(spark, "rawpart")
+    raw = {s: f"{db}.{s}_taxi_trip" for s in SERVICES}
+    job.run(spark, whole, raw, FULL_SPEC, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
+    return job.run(spark, part, raw, FULL_SPEC, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
+
+
+@register("ingest_drifted_types")
+def ingest_drifted_types(spark, sf_dir):
+    """Monthly files whose code columns are stored as INT32, INT64 or DOUBLE by year, one
+    of them with a differently spelt name, read into the declared types."""
+    root = scratch_path(spark, "landing-drift")
+    drifts = ({"PULocationID": "long", "DOLocationID": "long", "passenger_count": "long",
+               "RatecodeID": "long"},
+              {"VendorID": "int", "payment_type": "double", "passenger_count": "int"}, {})
+    for service in SERVICES:
+        rows = testdata.raw_trips(spark, sf_dir, service).withColumn("service_type", F.lit(service))
+        for k, drift in enumerate(drifts):
+            some = rows.where(F.col("source_year") % len(drifts) == k).withColumns(
+                {c: F.col(c).cast(t) for c, t in drift.items()})
+            if k == 1:
+                some = some.withColumnRenamed("airport_fee", "Airport_fee")
+            files.write_monthly_files(some, root)
+    parts = [ingest(files.read_monthly_files(spark, root, service, FULL_SPEC), service,
+                    testbed.RAW_RUN_ID, testbed.INGESTED_AT) for service in SERVICES]
+    codes = ("VendorID", "RatecodeID", "PULocationID", "DOLocationID", "passenger_count",
+             "payment_type", "airport_fee")
+    return (union_services(*parts).groupBy(*PARTITION_KEYS)
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 *[F.sum(c).cast("double").alias(f"sum_{c}") for c in codes]))
+
+
 @register("lookup_csv")
 def lookup_csv(spark, sf_dir):
     """Zone lookup written as CSV, read back with a declared schema, overwritten into
@@ -712,3 +758,22 @@ def streaming_ingest(spark, sf_dir):
     return (spark.table(table).groupBy(*PARTITION_KEYS)
             .agg(F.count(F.lit(1)).alias("rows"),
                  F.round(F.sum("total_amount"), MONEY_DIGITS).alias("total_amount")))
+
+
+@register("streaming_late_file")
+def streaming_late_file(spark, sf_dir):
+    """Incremental build: each month's rows land in two files at different times, taken up some
+    files per micro-batch from one checkpoint; the stored OBT holds the rows of both."""
+    root = scratch_path(spark, "landing-late")
+    table = f"{_database(spark, 'late')}.obt_trips"
+    zones = testdata.zones(spark, sf_dir)
+    marks = {s: scratch_path(spark, f"late-{s}") for s in SERVICES}
+    for step in (1, 0):
+        _land(spark, sf_dir, root, f"PULocationID % 2 = {step}")
+        for service in SERVICES:
+            monthly_ingest.start(spark, root, service, zones, table, checkpoint=marks[service],
+                                 ingested_at=testbed.INGESTED_AT,
+                                 max_files_per_trigger=200).awaitTermination()
+    return (spark.table(table).groupBy(*PARTITION_KEYS)
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.round(F.sum("total_amount"), MONEY_DIGITS).alias("total_amount")))

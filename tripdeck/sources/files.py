@@ -1,17 +1,16 @@
 """Readers: monthly trip files, the zone CSV, partitioned tables, the analytic read, JDBC.
 
-Monthly files follow ``<service>_tripdata_YYYY-MM.parquet``. All files of a run are read in
-one scan with the declared schema; the keys of each row come from its file path
-(``_metadata.file_path``), so no driver loop over months and no per-file job.
+Monthly files follow ``<service>_tripdata_YYYY-MM.parquet``. All files of a run that state the
+same types are read in one scan; the keys of each row come from its file path
+(``_metadata.file_path``), so there is no Spark job per month or file.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tripdeck.operators.partitions import PartitionSpec
 from tripdeck.sources.schemas import PARTITION_KEYS, ZONE_SCHEMA, align, raw_file_schema
 
 # The monthly file name rule and the pattern that reads it back.
@@ -34,34 +33,68 @@ def keys_from_path(path: Column) -> dict[str, Column]:
             "source_month": F.regexp_extract(path, FILE_PATTERN, 3).cast("int")}
 
 
-def read_monthly_files(spark: SparkSession, root: str, service: str,
-                       spec: PartitionSpec | None = None, with_source_path: bool = False
-                       ) -> DataFrame:
-    """All monthly files of ``service`` below ``root`` in one scan, declared schema, with
-    ``service_type, source_year, source_month`` (and ``source_path``) from the file path.
+def landed_files(spark: SparkSession, root: str, service: str, spec=None
+                 ) -> dict[tuple[str, int, int], list[str]]:
+    """The monthly files of ``service`` below ``root``, at any depth: paths per partition key.
 
-    With a ``spec`` only the spec's file names are listed (one glob with an alternation of the
-    names), so files outside the run are never opened; a spec with no file gives no rows."""
-    location = root
+    Only names are listed (one listing, no file is opened). A month may be one file or a folder of
+    part files, and several of either. A ``root`` that does not exist raises; a month without a
+    file has no entry, which is not the same as a file without rows.
+    """
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+              .option("pathGlobFilter", "*.parquet").load(root).select("path"))
+    keyed = listed.withColumns(keys_from_path(F.col("path"))).where(F.col("service_type") == service)
     if spec is not None:
-        names = [monthly_file_name(service, y, m) for y in spec.years for m in spec.months]
-        location = f"{root.rstrip('/')}/*{{{','.join(names)}}}*"
-    reader = (spark.read.schema(raw_file_schema(service))
-              .option("recursiveFileLookup", "true")
-              .option("pathGlobFilter", "*.parquet"))
+        keyed = keyed.where(spec.predicate())
+    found: dict[tuple[str, int, int], list[str]] = {}
+    for r in keyed.orderBy("path").collect():
+        key = (r["service_type"], r["source_year"], r["source_month"])
+        found.setdefault(key, []).append(r["path"])
+    return found
+
+
+def footer_schema(spark: SparkSession, path: str) -> str:
+    """The Parquet schema that a file's footer states (a metadata read, no Spark job)."""
+    jvm = spark._jvm.org.apache
+    source = jvm.parquet.hadoop.util.HadoopInputFile.fromPath(
+        jvm.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration())
+    reader = jvm.parquet.hadoop.ParquetFileReader.open(source)
     try:
-        df = reader.parquet(location)
-    except AnalysisException:                       # nothing of the spec has landed
+        return reader.getFooter().getFileMetaData().getSchema().toString()
+    finally:
+        reader.close()
+
+
+def read_monthly_files(spark: SparkSession, root: str, service: str, spec=None,
+                       with_source_path: bool = False, landed=None) -> DataFrame:
+    """All monthly files of ``service`` below ``root`` (of ``spec``, if given) in the declared
+    schema, with ``service_type, source_year, source_month`` (and ``source_path``) from the path.
+
+    Column types drift between months. Files are grouped by the schema in their footers, each of
+    the few groups is one scan with its own types, aligned to the declared ones. A root that
+    doesn't exist raises; a spec without any file gives no rows. ``landed`` may pass a listing
+    that ``landed_files`` gave.
+    """
+    landed = landed_files(spark, root, service, spec) if landed is None else landed
+    groups: dict[str, list[str]] = {}
+    for paths in landed.values():
+        for path in paths:
+            groups.setdefault(footer_schema(spark, path), []).append(path)
+    out = None
+    for paths in groups.values():
+        df = spark.read.parquet(*paths)
+        path = F.col("_metadata.file_path")
+        keys = {**keys_from_path(path), **({"source_path": path} if with_source_path else {})}
+        df = df.withColumns(keys)
+        target = T.StructType([*raw_file_schema(service).fields,
+                               *[f for f in df.schema.fields if f.name in keys]])
+        df = align(df, target)
+        out = df if out is None else out.unionByName(df)
+    if out is None:
         return spark.createDataFrame([], raw_file_schema(service, with_keys=True)).withColumns(
             {"service_type": F.lit(service),
              **({"source_path": F.lit(None).cast("string")} if with_source_path else {})})
-    path = F.col("_metadata.file_path")
-    keys = keys_from_path(path)
-    df = df.withColumns({**keys, **({"source_path": path} if with_source_path else {})})
-    df = df.where(F.col("service_type") == service)
-    if spec is not None:
-        df = df.where(spec.predicate())
-    return df
+    return out
 
 
 def write_monthly_files(df: DataFrame, root: str, mode: str = "append") -> None:

@@ -1,18 +1,18 @@
 """Incremental OBT build from a landing folder of monthly trip files (Structured Streaming).
 
-New ``<service>_tripdata_YYYY-MM.parquet`` files are picked up by the file source; each
-micro-batch is ingested (rename, lineage), built into OBT rows and written with the same
-idempotent partition replace as the batch builder, for exactly the partitions the batch
-touched. Progress (which files are done) lives in the checkpoint below the shared
-``spark.checkpoint.dir``, so a restarted query — or one whose executors were lost — resumes
-without re-ingesting or skipping files. ``availableNow`` processes the backlog and stops.
+The file source tells which ``<service>_tripdata_YYYY-MM.parquet`` files are new. For each
+partition that a micro-batch touches, all landed files of that month are read again, ingested
+(rename, lineage), built into OBT rows and written with the idempotent partition replace of the
+batch builder. A month that arrives in several files, over any number of batches, so ends with
+the rows of all of them, and a batch that is run again after a failure rewrites the same
+partitions. Progress lives in the checkpoint below the shared ``spark.checkpoint.dir``.
+``availableNow`` processes the backlog and stops.
 """
 
 from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -22,43 +22,41 @@ from tripdeck.operators.obt import obt_from_raw
 from tripdeck.operators.partitions import PartitionSet
 from tripdeck.session import scratch_path
 from tripdeck.sinks import tables
-from tripdeck.sources.files import keys_from_path
+from tripdeck.sources.files import keys_from_path, read_monthly_files
 from tripdeck.sources.schemas import raw_file_schema
 
 
 def monthly_file_stream(spark: SparkSession, landing_root: str, service: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of the service's monthly files with keys from each file's name."""
+    """Streaming (path, partition keys) of the rows of the service's newly landed files."""
     reader = (spark.readStream.schema(raw_file_schema(service))
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", "*.parquet"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.parquet(landing_root)
-    keyed = df.withColumns(keys_from_path(F.col("_metadata.file_path")))
+    # only paths are used: no column is read, so types that drift don't matter
+    paths = reader.parquet(landing_root).select(F.col("_metadata.file_path").alias("path"))
+    keyed = paths.withColumns(keys_from_path(F.col("path")))
     return keyed.where(F.col("service_type") == service)
 
 
 def start(spark: SparkSession, landing_root: str, service: str, zones: DataFrame,
           obt_table: str, checkpoint: str | None = None, run_prefix: str = "obt-stream",
-          available_now: bool = True, ingested_at: datetime | None = None) -> StreamingQuery:
+          available_now: bool = True, ingested_at: datetime | None = None,
+          max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the incremental build of one service; returns the running query."""
     checkpoint = checkpoint or scratch_path(spark, f"stream-{service}")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{run_prefix}-{batch_id}"
         at = ingested_at or datetime.now(timezone.utc)
-        # the batch is read twice (touched keys, then the write): keep it for both
-        raw = ingest(batch, service, run_id, at).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            touched = PartitionSet.of(raw)
-            if touched.size():
-                tables.replace_partitions(obt_from_raw(raw, zones, run_id), obt_table, touched,
-                                          run_id)
-        finally:
-            raw.unpersist()
+        touched = PartitionSet.of(batch)
+        if touched.size():
+            rows = read_monthly_files(spark, landing_root, service, touched)
+            raw = ingest(rows, service, run_id, at)
+            tables.replace_partitions(obt_from_raw(raw, zones, run_id), obt_table, touched, run_id)
 
-    writer = (monthly_file_stream(spark, landing_root, service).writeStream
+    writer = (monthly_file_stream(spark, landing_root, service, max_files_per_trigger).writeStream
               .foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint)
               .queryName(f"obt_{service}_{abs(hash(checkpoint)) % 10**8}"))
