@@ -533,3 +533,104 @@ SELECT service_type, source_year, source_month, count(*) AS rows,
 FROM raw GROUP BY service_type, source_year, source_month"""
 
 ORACLE["streaming_late_file"] = ORACLE["streaming_ingest"]
+
+
+# ---------------------------------------------------------------- fits with a closed form
+
+# One feature z (scaled by the train moments): the minimiser of mean(err²) + a (rho |w| +
+# (1 - rho) w²) has w = S(cov(z, y), a rho / 2) / (var(z) + a (1 - rho)), S the soft threshold.
+# Settings: (type, model, alpha, l1_ratio, a, rho); a of the library's ridge is alpha / n.
+_REF_CLOSED = [("linear", 0.0, None, "0.0", 0.0), ("ridge", 0.25, None, "0.25", 0.0),
+               ("lasso", 4.0, 1.0, "4.0", 1.0), ("elasticnet", 1.0, 0.5, "1.0", 0.5)]
+_LIB_CLOSED = [("ridge", 1000.0, None, "1000.0 / n", 0.0), ("lasso", 2.0, 1.0, "4.0", 1.0),
+               ("elasticnet", 0.5, 0.5, "0.75", 2.0 / 3.0)]
+_GRID_CLOSED = ([("ridge" if a else "linear", a, None, repr(a), 0.0)
+                 for a in (0.0, 1e-5, 5e-5, 1e-4, 5e-4, 1e-3)]
+                + [("lasso", a, 1.0, repr(a), 1.0) for a in (1e-5, 5e-5, 1e-4, 5e-4, 1e-3)]
+                + [("elasticnet", a, r, repr(a), r) for a in (1e-5, 5e-5, 1e-4, 5e-4, 1e-3)
+                   for r in (0.1, 0.5, 0.9)])
+
+
+def _one_feature(types: dict[str, list], fitted_on: str) -> str:
+    rows = " UNION ALL ".join(
+        f"SELECT '{t}' AS type, '{m}' AS model, {alpha!r}::DOUBLE AS alpha, "
+        f"{'NULL' if l1 is None else l1}::DOUBLE AS l1_ratio, ({a})::DOUBLE AS a, "
+        f"{rho!r}::DOUBLE AS rho FROM mom"
+        for t, settings in types.items() for m, alpha, l1, a, rho in settings)
+    return f""",
+zs AS (
+  SELECT split, total_amount::DOUBLE AS y, (trip_distance - m) / sd AS z
+  FROM split_t CROSS JOIN (SELECT avg(trip_distance) AS m, stddev_pop(trip_distance) AS sd
+                           FROM split_t WHERE split = 'train')),
+mom AS (
+  SELECT CAST(count(*) AS DOUBLE) AS n, avg(z) AS mz, avg(y) AS my, var_pop(z) AS v,
+         covar_pop(z, y) AS c FROM zs WHERE split IN ({fitted_on})),
+settings AS ({rows}),
+fit AS (
+  SELECT s.*, mz, my, sign(c) * greatest(abs(c) - a * rho / 2, 0) / (v + a * (1 - rho)) AS w
+  FROM settings s CROSS JOIN mom),
+e AS (
+  SELECT type, model, alpha, l1_ratio, a, rho, w, split, y, y - (my + w * (z - mz)) AS err
+  FROM zs CROSS JOIN fit),
+m AS (
+  SELECT type, model, alpha, l1_ratio, a * (rho * abs(w) + (1 - rho) * w * w) AS pen, split,
+         count(*) AS n, avg(err * err) AS mse, avg(abs(err)) AS mae, var_pop(y) AS vy
+  FROM e GROUP BY ALL)"""
+
+
+def _wide(splits: tuple[str, ...], more: str = "") -> str:
+    cols = ", ".join(
+        f"round(sqrt(max(mse) FILTER (WHERE split = '{s}')), 4) AS rmse_{s}, "
+        f"round(max(mae) FILTER (WHERE split = '{s}'), 4) AS mae_{s}, "
+        f"round(max(1 - mse / vy) FILTER (WHERE split = '{s}'), 4) AS r2_{s}" for s in splits)
+    return (f"SELECT model, type, alpha, l1_ratio, {cols}{more} "
+            "FROM m GROUP BY model, type, alpha, l1_ratio")
+
+
+_LOSSES = "".join(f", round(max(mse + pen) FILTER (WHERE split = '{s}'), 4) AS loss_{s}"
+                  for s in ("train", "val"))
+ORACLE["one_feature_models"] = qml(_wide(("train", "val"), _LOSSES), _one_feature(
+    {"spark-ml": _REF_CLOSED}, "'train'"))
+ORACLE["one_feature_grid"] = qml(_wide(("train", "val"), _LOSSES), _one_feature(
+    {"moments": _GRID_CLOSED + _REF_CLOSED[1:]}, "'train'"))
+ORACLE["one_feature_comparison"] = qml(_wide(("train", "val")), _one_feature(
+    {f"{name}/{o}": v for name in ("spark-ml", "moments")
+     for o, v in (("reference", _REF_CLOSED), ("library", _LIB_CLOSED))}, "'train'"))
+ORACLE["one_feature_refit"] = qml(
+    _wide(("test",), ", max(n) FILTER (WHERE split = 'test') AS n_test"),
+    _one_feature({"reference": _REF_CLOSED, "library": _LIB_CLOSED}, "'train', 'val'"))
+
+# Two features: the 2 x 2 normal equations, with the ridge's a on the diagonal.
+_TWO = """,
+x2 AS (SELECT split, total_amount::DOUBLE AS y, trip_distance AS p,
+              trip_distance * trip_distance AS q FROM split_t),
+zs AS (
+  SELECT split, y, (p - mp) / sp AS z1, (q - mq) / sq AS z2
+  FROM x2 CROSS JOIN (SELECT avg(p) AS mp, stddev_pop(p) AS sp, avg(q) AS mq,
+                             stddev_pop(q) AS sq FROM x2 WHERE split = 'train')),
+mom AS (
+  SELECT CAST(count(*) AS DOUBLE) AS n, avg(z1) AS m1, avg(z2) AS m2, avg(y) AS my,
+         var_pop(z1) AS v1, var_pop(z2) AS v2, covar_pop(z1, z2) AS c12,
+         covar_pop(z1, y) AS c1, covar_pop(z2, y) AS c2 FROM zs WHERE split = 'train'),
+settings AS (
+  SELECT 'reference' AS type, 'linear' AS model, 0.0::DOUBLE AS alpha, 0.0::DOUBLE AS a FROM mom
+  UNION ALL SELECT 'library', 'linear', 0.0, 0.0 FROM mom
+  UNION ALL SELECT 'reference', 'ridge', 0.25, 0.25 FROM mom
+  UNION ALL SELECT 'library', 'ridge', 0.25, 0.25 / n FROM mom),
+fit AS (
+  SELECT s.*, my, m1, m2,
+         ((v2 + a) * c1 - c12 * c2) / ((v1 + a) * (v2 + a) - c12 * c12) AS w1,
+         ((v1 + a) * c2 - c12 * c1) / ((v1 + a) * (v2 + a) - c12 * c12) AS w2
+  FROM settings s CROSS JOIN mom)"""
+ORACLE["two_feature_poly"] = qml("""
+SELECT model, type, alpha, CAST(NULL AS DOUBLE) AS l1_ratio, round(sqrt(avg(err * err)), 4) AS rmse_test,
+       round(avg(abs(err)), 4) AS mae_test, round(1 - avg(err * err) / var_pop(y), 4) AS r2_test
+FROM (SELECT model, type, alpha, y, y - (my + w1 * (z1 - m1) + w2 * (z2 - m2)) AS err
+      FROM zs CROSS JOIN fit WHERE split = 'test')
+GROUP BY model, type, alpha""", _TWO)
+ORACLE["two_feature_coefficients"] = qml("""
+SELECT 'trip_distance' AS feature, round(w1, 4) AS coef, round(abs(w1), 4) AS abs_coef
+FROM fit WHERE type = 'reference' AND model = 'ridge'
+UNION ALL
+SELECT 'trip_distance_sq', round(w2, 4), round(abs(w2), 4)
+FROM fit WHERE type = 'reference' AND model = 'ridge'""", _TWO)

@@ -7,6 +7,7 @@ different order differ in the last bits between engines.
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -664,21 +665,100 @@ def model_comparison(spark, sf_dir):
 
 @register("refit_test")
 def refit_test(spark, sf_dir):
-    """Winners refitted on train ∪ validation, scored on test."""
+    """Winners of both objectives refitted on train ∪ validation, scored on test."""
     with _prepared(spark, sf_dir) as prep:
-        return rg.refit_and_test(spark, prep)
+        return rg.fit_and_test(spark, prep)
 
 
 @register("poly_models")
 def poly_models(spark, sf_dir):
-    """The four models with polynomial terms, validation and test scores."""
-    settings = (md.Setting("linear"), md.Setting("ridge", 1e-4),
-                md.Setting("lasso", 1e-4, 1.0), md.Setting("elasticnet", 1e-4, 0.5))
+    """Eight models with polynomial terms, four of each objective, fitted on train
+    and ranked by their test scores."""
     with _prepared(spark, sf_dir, poly=True) as prep:
-        val = rg.grid_spark_ml(spark, prep, list(settings))
-        test = rg.refit_and_test(spark, prep, settings).select(
-            "model", "alpha", "rmse_test", "mae_test", "r2_test")
-        return val.join(test, ["model", "alpha"], "left")
+        return rg.fit_and_test(spark, prep, rg.POLY_MODELS, ("train",))
+
+
+# Fits with a closed form: one or two scaled features of the whole cleaned table, through the
+# same assembly, fit, scoring and table code as the full models.
+ONE_FEATURE = ("trip_distance",)
+TWO_FEATURES = ("trip_distance", "trip_distance_sq")
+CLOSED_FORM = (md.Setting("linear"), md.Setting("ridge", 0.25), md.Setting("lasso", 4.0, 1.0),
+               md.Setting("elasticnet", 1.0, 0.5))
+LIBRARY_FORM = (md.Setting("ridge", 1000.0), md.Setting("lasso", 2.0, 1.0),
+                md.Setting("elasticnet", 0.5, 0.5))
+FIT_DIGITS = 4
+_METRICS = [f"{m}_{s}" for m in ("rmse", "mae", "r2") for s in ("train", "val")]
+
+
+def _few(prep, features):
+    return dataclasses.replace(prep, features=list(features))
+
+
+def _scored(df, *columns):
+    return df.select("model", "type", "alpha", "l1_ratio",
+                     *[_r(c, FIT_DIGITS).alias(c) for c in columns])
+
+
+@register("one_feature_models")
+def one_feature_models(spark, sf_dir):
+    """The four models on one scaled feature, with their losses."""
+    with _prepared(spark, sf_dir) as prep:
+        out = rg.grid_spark_ml(spark, _few(prep, ONE_FEATURE), list(CLOSED_FORM), "reference")
+        return _scored(out, *_METRICS, "loss_train", "loss_val")
+
+
+@register("one_feature_grid")
+def one_feature_grid(spark, sf_dir):
+    """The whole grid on one scaled feature, from one pass of Gram moments."""
+    with _prepared(spark, sf_dir) as prep:
+        out = rg.grid(spark, _few(prep, ONE_FEATURE), md.reference_grid() + list(CLOSED_FORM[1:]))
+        return _scored(out, *_METRICS, "loss_train", "loss_val")
+
+
+@register("one_feature_comparison")
+def one_feature_comparison(spark, sf_dir):
+    """Both objectives and both implementations on one scaled feature."""
+    with _prepared(spark, sf_dir) as prep:
+        few = _few(prep, ONE_FEATURE)
+        parts = [build(spark, few, list(settings), objective, f"{name}/{objective}")
+                 for name, build in (("spark-ml", rg.grid_spark_ml), ("moments", rg.grid))
+                 for objective, settings in (("reference", CLOSED_FORM), ("library", LIBRARY_FORM))]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return _scored(out, *_METRICS)
+
+
+@register("one_feature_refit")
+def one_feature_refit(spark, sf_dir):
+    """Both objectives refitted on train ∪ validation, scored on test."""
+    models = [(s, "reference") for s in CLOSED_FORM] + [(s, "library") for s in LIBRARY_FORM]
+    with _prepared(spark, sf_dir) as prep:
+        out = rg.fit_and_test(spark, _few(prep, ONE_FEATURE), models)
+        return _scored(out, "rmse_test", "mae_test", "r2_test").join(
+            out.select("model", "type", "n_test"), ["model", "type"])
+
+
+@register("two_feature_poly")
+def two_feature_poly(spark, sf_dir):
+    """A feature and its square, least squares and ridge of both objectives, fitted on
+    train, scored on test."""
+    models = [(s, o) for s in (md.Setting("linear"), md.Setting("ridge", 0.25))
+              for o in ("reference", "library")]
+    with _prepared(spark, sf_dir, poly=True) as prep:
+        out = rg.fit_and_test(spark, _few(prep, TWO_FEATURES), models, ("train",))
+        return _scored(out, "rmse_test", "mae_test", "r2_test")
+
+
+@register("two_feature_coefficients")
+def two_feature_coefficients(spark, sf_dir):
+    """Coefficients of the ridge on a feature and its square by absolute value."""
+    with _prepared(spark, sf_dir, poly=True) as prep:
+        few = _few(prep, TWO_FEATURES)
+        train = few.frame("train")
+        model, _ = md.fit(train, md.Setting("ridge", 0.25), *md.label_moments(train))
+        out = md.coefficient_table(spark, model, few.features)
+        return out.select("feature", *[_r(c, FIT_DIGITS).alias(c) for c in ("coef", "abs_coef")])
 
 
 def _coefficients(spark, sf_dir, wide: bool, objective: str):
@@ -732,9 +812,10 @@ def winner_diagnostics(spark, sf_dir):
         preds = rg.winner_predictions(spark, prep)
         s = ev.residual_summary(preds)
         buckets = ev.error_by_bucket(preds).collect()
-    rows = [("summary", k, float(v) if v is not None else None, None) for k, v in s.items()]
-    rows += [("bucket", b["bucket"], b["rmse"], int(b["count"])) for b in buckets]
-    return spark.createDataFrame(rows, "kind string, name string, value double, count bigint")
+    rows = [("summary", k, float(v) if v is not None else None, None, None) for k, v in s.items()]
+    rows += [("bucket", b["bucket"], b["rmse"], b["mae"], int(b["count"])) for b in buckets]
+    return spark.createDataFrame(rows, "kind string, name string, value double, mae double, "
+                                       "count bigint")
 
 
 # ================================================================ streaming
