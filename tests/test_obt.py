@@ -100,3 +100,28 @@ def test_obt_over_test_tables_has_expected_counts(spark):
                   F.count(F.when(F.col("rate_code_desc") == "Other", 1)).alias("other")).first()
     # FIXTURES.md: 3,185 valid-duration trips at sf0.001, 2 of zero duration
     assert agg["n"] == 3185 and agg["zero"] == 2
+
+
+def test_zone_table_that_gains_a_duplicate_is_noticed(spark):
+    import uuid
+
+    from tripdeck.operators.joins import dimension_for_join
+    from tripdeck.session import scratch_path
+    path = scratch_path(spark, f"zones-{uuid.uuid4().hex[:6]}")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(path)
+    facts = spark.createDataFrame([(1,), (2,)], "k int")
+    planned = facts.join(dimension_for_join(spark.read.parquet(path), "k"), "k", "left")
+    assert planned.count() == 2
+    spark.createDataFrame([(2, "c")], "k int, v string").write.mode("append").parquet(path)
+    with pytest.raises(ValueError):
+        dimension_for_join(spark.read.parquet(path), "k")
+
+
+def test_only_a_local_master_gets_a_local_folder():
+    from types import SimpleNamespace
+
+    from tripdeck.session import ensure_checkpoint_dir, is_local
+    assert is_local("local") and is_local("local[8]") and not is_local("local-cluster[2,1,512]")
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
+    with pytest.raises(ValueError):
+        ensure_checkpoint_dir(cluster)

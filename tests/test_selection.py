@@ -49,3 +49,14 @@ def test_kth_smallest_property(spark, values, data):
     got = kth_smallest(df, "x", ranks, bins=4, final_rows=3)
     srt = sorted(values)
     assert [got[r] for r in ranks] == [srt[r] for r in ranks]
+
+
+def test_infinite_values_and_the_widest_range_end(spark):
+    rows = [float(k) for k in range(98)] + [float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in rows], "x double")
+    got = kth_smallest(df, "x", [0, 1, 50, 98, 99], bins=8, final_rows=5)
+    assert got == {0: float("-inf"), 1: 0.0, 50: 49.0, 98: 97.0, 99: float("inf")}
+    wide = [-1.7e308, 1.7e308, *map(float, range(50))]
+    df = spark.createDataFrame([(v,) for v in wide], "x double")
+    assert kth_smallest(df, "x", [0, 25, 51], bins=8, final_rows=5) == {
+        0: -1.7e308, 25: 24.0, 51: 1.7e308}

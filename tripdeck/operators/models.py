@@ -33,6 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+MAX_GRAM_FEATURES = 128  # 8,256 sums in one aggregate
+
 KINDS = ("linear", "ridge", "lasso", "elasticnet")
 
 # The grids searched by the reference notebook.
@@ -109,7 +111,10 @@ def fit(train: DataFrame, s: Setting, sigma_y: float, n: int, objective: str = "
                           fitIntercept=True, maxIter=max_iter, tol=tol, solver=solver)
     t0 = time.perf_counter()
     model = lr.fit(train)
-    return model, time.perf_counter() - t0
+    secs = time.perf_counter() - t0
+    if solver == "normal" and model.summary.totalIterations >= max_iter:
+        raise RuntimeError(f"{s} not converged after {max_iter} iterations")
+    return model, secs
 
 
 def predict(model: LinearRegressionModel, df: DataFrame) -> DataFrame:
@@ -304,6 +309,9 @@ def gram_by_split(df: DataFrame, features: list[str], y: str = "y", split_col: s
     """One grouped aggregate over the data: the (d+1)² moments per split. The result is
     O(d²) numbers per split, whatever the row count."""
     d = len(features)
+    if d > MAX_GRAM_FEATURES:
+        raise ValueError(f"{d} features: one aggregate holds the Gram matrix of at most "
+                         f"{MAX_GRAM_FEATURES}; use the Spark ML fits")
     x = [F.col(f).cast("double") for f in features]
     yc = F.col(y).cast("double")
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(yc).alias("sy"), F.sum(yc * yc).alias("syy")]
@@ -369,6 +377,8 @@ def solve_from_moments(m: Moments, alpha: float, rho: float, max_iter: int = 1_0
         w, t = new, t_next
         if delta < tol * max(1.0, np.abs(w).max()):
             break
+    else:
+        raise RuntimeError(f"not converged after {max_iter} iterations")
     return w, float(my - mx @ w), it
 
 
@@ -389,6 +399,9 @@ def moment_grid_search(spark: SparkSession, split_df: DataFrame, features: list[
     3. one more pass sums absolute errors of all settings at once (MAE has no moment form).
     """
     frame = split_df.where(F.col("split").isin("train", "val"))
+    # features come scaled; the label is centred too, or large means would cancel in the sums
+    mean = frame.where("split = 'train'").agg(F.avg(y).alias("m")).first()["m"] or 0.0
+    frame = frame.withColumn(y, F.col(y) - F.lit(mean))
     mom = gram_by_split(frame, features, y)
     tr, va = mom["train"], mom.get("val")
     solved = []
@@ -412,9 +425,9 @@ def moment_grid_search(spark: SparkSession, split_df: DataFrame, features: list[
             if m is None:
                 met[name] = (None, None, None)
                 continue
-            sse = sse_from_moments(m, w, b)
+            sse = max(sse_from_moments(m, w, b), 0.0)
             sst = m.syy - m.sy * m.sy / m.n
-            met[name] = ((max(sse, 0.0) / m.n) ** 0.5, sae[name][f"sae_{k}"] / m.n,
+            met[name] = ((sse / m.n) ** 0.5, sae[name][f"sae_{k}"] / m.n,
                          1.0 - sse / sst if sst else None)
         rows.append(Row(model=s.kind, type=model_type, alpha=float(s.alpha),
                         l1_ratio=None if s.l1_ratio is None else float(s.l1_ratio),

@@ -42,11 +42,19 @@ class OrderStatistics:
             x = x.where(~F.isnan("x"))
         self.x = x.persist(StorageLevel.MEMORY_AND_DISK)
         self.bins, self.final_rows = bins, final_rows
+        # infinite values sort before and after all others and take no part in the narrowing
+        low, high = (F.lit(False), F.lit(False)) if self.integral else (
+            F.col("x") == float("-inf"), F.col("x") == float("inf"))
+        finite = F.when(~(low | high), F.col("x"))
         row = self.x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"),
                          F.max("x").alias("hi"), F.avg("x").alias("mean"),
-                         F.stddev_pop("x").alias("std")).first()
+                         F.stddev_pop("x").alias("std"), F.count_if(low).alias("low"),
+                         F.count_if(high).alias("high"), F.min(finite).alias("least"),
+                         F.max(finite).alias("most")).first()
         self.n, self.lo, self.hi = int(row["n"]), row["lo"], row["hi"]
         self.mean, self.std = row["mean"], row["std"]
+        self.low, self.high = int(row["low"]), int(row["high"])
+        self.least, self.most = row["least"], row["most"]
 
     def __enter__(self) -> "OrderStatistics":
         return self
@@ -65,7 +73,11 @@ class OrderStatistics:
                 raise ValueError(f"rank {r} outside 0..{self.n - 1}")
             if r in out:
                 continue
-            out.update(_search(self.x, r, self.lo, self.hi, 0, self.n, self.integral, self.bins,
+            if r < self.low or r >= self.n - self.high:
+                out[r] = float("-inf") if r < self.low else float("inf")
+                continue
+            out.update(_search(self.x, r, self.least, self.most, self.low,
+                               self.n - self.low - self.high, self.integral, self.bins,
                                self.final_rows, wanted=[q for q in ranks if q >= r]))
         return {r: out[r] for r in ranks}
 
@@ -80,7 +92,7 @@ class OrderStatistics:
         out = {}
         for p, v in pos.items():
             a, b = vals[math.floor(v)], vals[math.ceil(v)]
-            out[p] = a + (b - a) * (v - math.floor(v))
+            out[p] = a if a == b else a + (b - a) * (v - math.floor(v))
         return out
 
     def count_below(self, value) -> int:
@@ -120,13 +132,18 @@ def _search(x: DataFrame, r: int, lo, hi, below: int, count: int, integral: bool
             step = max(1, math.ceil((int(hi) - int(lo) + 1) / bins))
             bucket = F.expr(f"(x - ({int(lo)})) div {step}")
         else:
-            bucket = F.width_bucket(F.col("x"), F.lit(float(lo)), F.lit(float(hi)), F.lit(bins))
+            # a range near the largest double is scaled down, or its width would overflow
+            part = 1.0 if float(hi) - float(lo) < 1e300 else 4.0 * bins
+            bucket = F.width_bucket(F.col("x") / part, F.lit(float(lo) / part),
+                                    F.lit(float(hi) / part), F.lit(bins))
         hist = (rng.groupBy(bucket.alias("b"))
                 .agg(F.count(F.lit(1)).alias("c"), F.min("x").alias("lo"), F.max("x").alias("hi"))
                 .orderBy("b").collect())
-        acc = below
+        acc, before = below, (lo, hi)
         for h in hist:
             if acc + h["c"] > r:
                 lo, hi, below, count = h["lo"], h["hi"], acc, int(h["c"])
                 break
             acc += h["c"]
+        if (lo, hi) == before:
+            raise RuntimeError(f"no progress on the range {lo}..{hi} with {count} rows")

@@ -7,6 +7,7 @@ a local default is set only when the setting is missing, as in tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,10 +48,18 @@ def build_session(master: str = "local[8]", app: str = "tripdeck",
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is a cluster)."""
+    return re.fullmatch(r"local(\[.*\])?", master) is not None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a local one only if the session has none."""
+    """Return the shared checkpoint folder. Where the session names none, a local folder is set
+    on a local master; on a cluster, whose nodes would each write to their own disk, it raises."""
     current = spark.conf.get(CHECKPOINT_CONF, None)
     if not current:
+        if not is_local(spark.sparkContext.master):
+            raise ValueError(f"{CHECKPOINT_CONF} must name a folder that all nodes share")
         current = tempfile.mkdtemp(prefix="tripdeck-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if spark.sparkContext.getCheckpointDir() is None:

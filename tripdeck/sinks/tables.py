@@ -155,9 +155,12 @@ def round_trip(df: DataFrame, path: str, order_by: str) -> DataFrame:
     return df.sparkSession.read.parquet(path).orderBy(order_by)
 
 
-def export_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with header for a small result table (leaderboards, coefficients)."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def export_csv(df: DataFrame, path: str, max_rows: int = 100_000) -> None:
+    """A result table (leaderboards, coefficients) as CSV with header: one file if it has at most
+    ``max_rows`` rows, otherwise one per partition."""
+    if df.limit(max_rows + 1).count() <= max_rows:
+        df = df.coalesce(1)
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_jdbc(df: DataFrame, mode: str = "append", **jdbc_kwargs) -> None:
