@@ -9,10 +9,18 @@ on (class, fragment, segment). Partial overlaps of a candidate pair are then cou
 vertical partition and summed per pair, which decides the link exactly.
 
 A group of near copies is never expanded into all its pairs. Documents that share a segment are
-first compared with the smallest document there (their leader). As 1 - Jaccard is a metric, two
-documents with distances x and y to one leader can only link if |x - y| <= 1 - threshold; of
-these, only pairs not yet connected are compared afterwards. No link between different classes
-is lost, so the components are exact. Equal sets are joined first, by a 128-bit digest.
+first compared with the smallest document there (their leader). Their differences from it, less
+those that most of them share, are their differences from a consensus set c. If x lacks r(x) of
+its elements and has p(x) others, w(x) = 100 r(x) + percent p(x), and x and y share s elements of
+their differences, then x and y link exactly if
+
+    (100 + percent) s >= w(x) + w(y) - (100 - percent) |c|.
+
+Where the right side is not positive, both link with the group's member of least w, which gives
+one link per document. All other links need shared differences, and as w(y) >= percent s, at
+least (w(x) - (100 - percent) |c|) / 100 of them: a short prefix of the differences must meet.
+Such pairs, if not connected yet, are compared. No link between different classes is lost, so the
+components are exact. Equal sets are joined first, by a 128-bit digest.
 """
 
 from __future__ import annotations
@@ -23,11 +31,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tripdeck.llm.stages import components, written
+from tripdeck.llm.stages import components, small, written
 from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, lowered, mix, ngrams,
                                slices, spaced_words, unpack)
 
 GROWTH = 1.5  # ratio of neighbouring size classes
+SAMPLE = 1024   # members of a group whose differences are counted to order them
+# weights of members, as multiples of the consensus set's size, where a new band begins
+WEIGHT_BANDS = (*range(0, 64, 4), 64, 96)
 PARTS = 8     # vertical partitions in which a pair's overlaps are counted
 
 
@@ -63,16 +74,17 @@ def segment_keys(u: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the segments under which a set can meet each set it may link with.
 
     A set takes part in its own size class and, if a larger partner can be there, in the next.
-    Segments of at least two elements are given; smaller ones only where counting shows that a
-    linking partner might share nothing larger.
+    Of its segments only the first D + 1 are given, in a global order that puts large segments
+    first and empty ones last: two sequences of equally many segments that differ in at most D
+    share one among the first D + 1 of each.
     """
     n = len(u)
-    lows = size_classes(n * 100 // percent + 1)
-    own = int(np.searchsorted(lows, n, "right")) - 1
     largest = n * 100 // percent
+    lows = size_classes(largest + 1)
+    own = int(np.searchsorted(lows, n, "right")) - 1
     keys = []
     for c in (own, own + 1):
-        if lows[c] > max(n, largest):
+        if lows[c] > largest and c > own:
             break
         top = lows[c + 1] - 1
         fragments = 2 * top * (100 - percent) // (100 + percent) + top // 50 + 3
@@ -81,16 +93,14 @@ def segment_keys(u: np.ndarray, percent: int) -> np.ndarray:
         frag = ((u >> np.uint64(32)) * np.uint64(fragments)) >> np.uint64(32)
         first = np.flatnonzero(np.concatenate(([True], frag[1:] != frag[:-1])))
         sizes = np.diff(np.append(first, n))
-        sums = np.add.reduceat(mix(u), first)
-        tag = np.uint64(c << 40) + frag[first]
-        key = mix(sums + mix(tag) + sizes.astype(np.uint64))
-        empty, single = fragments - len(first), int((sizes == 1).sum())
-        if fragments - spoilt - empty - single >= 1:
-            key = key[sizes > 1]
-        elif fragments - spoilt - empty < 1:
+        tag = mix(np.uint64(c << 40) + frag[first])
+        key = mix(np.add.reduceat(mix(u), first) + tag + sizes.astype(np.uint64))
+        order = np.lexsort((key, -sizes))[:spoilt + 1]
+        keys.append(key[order])
+        if len(key) <= spoilt:
             none = np.setdiff1d(np.arange(fragments, dtype=np.uint64), frag[first])
-            key = np.concatenate((key, mix(mix(np.uint64(c << 40) + none) ^ np.uint64(7))))
-        keys.append(key)
+            none = mix(mix(np.uint64(c << 40) + none) ^ np.uint64(7))
+            keys.append(np.sort(none)[:spoilt + 1 - len(key)])
     return np.concatenate(keys)
 
 
@@ -136,10 +146,12 @@ def segments(docs: DataFrame, n: int, percent: int) -> DataFrame:
     return doc_texts(docs).mapInArrow(run, "key long, doc_id long")
 
 
-def overlaps(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
-    """Sizes and exact overlap of pairs (a, b) of doc_ids: (a, b, na, nb, both).
+def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
+             differences: bool = False) -> DataFrame:
+    """Sizes and exact overlap of pairs (a, b) of doc_ids: (a, b, na, nb, both[, lack, extra]).
 
-    Partial overlaps are counted per vertical partition of the hash order, then summed.
+    Partial overlaps are counted per vertical partition of the hash order, then summed. ``lack``
+    and ``extra`` are the elements of a that b lacks and those that only b has.
     """
     def run(batches):
         last_a, last = None, None
@@ -148,36 +160,76 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int) -> DataFrame:
                 continue
             a, b = (column(batch, c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
             za, zb = column(batch, "za"), column(batch, "zb")
-            lefts, rows, start = {}, [], 0
+            lefts = {}
             new = np.flatnonzero(np.concatenate(([a[0] != last_a], a[1:] != a[:-1])))
             if len(new):
                 data, off = unpack(za.take(pa.array(new)))
                 lefts = dict(zip(new.tolist(), shingle_sets(data, off, n), strict=True))
             for start in range(0, len(a), 256):
+                rows, parts, lack, extra = [], [], [], []
                 data, off = unpack(zb.slice(start, 256))
                 for k, v in enumerate(shingle_sets(data, off, n), start):
                     if k in lefts:
                         last_a, last = a[k], lefts.pop(k)
                     at = np.minimum(np.searchsorted(last, v), max(len(last) - 1, 0))
                     common = v[last[at] == v] if len(last) and len(v) else v[:0]
-                    part = (common >> np.uint64(61)).astype(np.int64)
-                    for p, c in enumerate(np.bincount(part, minlength=PARTS).tolist()):
-                        if c or p == 0:
-                            rows.append((a[k], b[k], p, len(last), len(v), c))
-            cols = list(zip(*rows, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
-                                             ["a", "b", "part", "na", "nb", "both"])
+                    rows.append((a[k], b[k], len(last), len(v)))
+                    parts.append(np.bincount((common >> np.uint64(61)).astype(np.int64),
+                                             minlength=PARTS))
+                    for out, own in ((lack, last), (extra, v)):
+                        out.append(np.setdiff1d(own, common, assume_unique=True).view(np.int64)
+                                   if differences else None)
+                cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*cols, *(pa.array(x, pa.list_(pa.int64())) for x in (parts, lack, extra))],
+                    ["a", "b", "na", "nb", "parts", "lack", "extra"])
     left = texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb"))
-    partial = (pairs.join(right, "b").join(left, "a").select("a", "za", "b", "zb")
-               .mapInArrow(run, "a long, b long, part long, na long, nb long, both long"))
-    return (partial.groupBy("a", "b")
-            .agg(F.max("na").alias("na"), F.max("nb").alias("nb"), F.sum("both").alias("both")))
+    found = (right.join(small(pairs), "b").join(left, "a").select("a", "za", "b", "zb")
+             .mapInArrow(run, "a long, b long, na long, nb long, parts array<long>, "
+                              "lack array<long>, extra array<long>"))
+    return found.select("a", "b", "na", "nb", F.aggregate("parts", F.lit(0).cast("long"),
+                                                          lambda x, y: x + y).alias("both"),
+                        *(["lack", "extra"] if differences else []))
+
+
+def around_consensus(near: DataFrame, percent: int) -> DataFrame:
+    """Differences of each group's members from the group's consensus, for groups of two or more
+    members around a leader: (l, x, c, w, lack, extra, common).
+
+    c is the consensus set's size; ``common`` lists differences that many members share. Both
+    come from about ``SAMPLE`` members a group, which decide only how short prefixes are: any
+    consensus and any order of the differences give the same links.
+    """
+    size = written(near.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "groups")
+    near = near.join(small(size), "a").withColumn("close", F.expr("2 * both >= na + nb - both"))
+    some = near.where(F.pmod(F.xxhash64("b"), F.col("m")) < SAMPLE)
+    voters = some.groupBy("a").agg(F.count_if("close").alias("voters"))
+    votes = (some.select("a", "close", F.explode("lack").alias("e"), F.lit(True).alias("held"))
+             .union(some.select("a", "close", F.explode("extra"), F.lit(False)))
+             .groupBy("a", "e", "held")
+             .agg(F.count(F.lit(1)).alias("v"), F.count_if("close").alias("near"))
+             .join(voters, "a").withColumn("flip", F.expr("2 * near > voters")))
+    lists = votes.groupBy("a").agg(
+        F.expr("collect_list(e) filter (where flip and held)").alias("off"),
+        F.expr("collect_list(e) filter (where flip and not held)").alias("on"),
+        F.expr("sort_array(collect_list(struct(v, e)) filter (where v > 2 and not flip)).e")
+        .alias("common"))
+    none = F.expr("cast(array() as array<long>)")
+    off, on = (F.coalesce(F.col(c), none) for c in ("off", "on"))
+    return (near.join(lists, "a", "left")
+            .select(F.col("a").alias("l"), F.col("b").alias("x"),
+                    (F.col("na") - F.size(off) + F.size(on)).alias("c"),
+                    F.concat(F.array_except("lack", off), F.array_except(on, "extra"))
+                    .alias("lack"),
+                    F.concat(F.array_except("extra", on), F.array_except(off, "lack"))
+                    .alias("extra"), F.coalesce("common", none).alias("common"))
+            .withColumn("w", 100 * F.size("lack") + percent * F.size("extra")))
 
 
 def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80):
-    """Returns (sets, links): per document (doc_id, n_shingles, rep) and the verified links
-    (a, b, na, nb, both) between representatives that connect each class.
+    """Returns (sets, links): per document (doc_id, n_shingles, rep) and exact links (a, b)
+    between representatives, enough of them to connect each class.
 
     ``n`` words make a shingle; two sets link when 100 * overlap >= percent * union. Words are
     runs of non-white-space with A-Z lower-cased; with fewer than ``n`` words the whole sequence
@@ -202,30 +254,52 @@ def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80):
                           "leader")
                     .where("a <> b").select("a", "b").distinct(), "stars")
     nodes = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
-    texts = written(compact(docs).join(nodes, "doc_id", "left_semi"), "candidate-texts")
+    texts = written(compact(docs).join(small(written(nodes, "candidates")), "doc_id",
+                                       "left_semi"), "candidate-texts")
     linked = F.expr(f"100 * both >= {percent} * (na + nb - both)")
-    near = written(overlaps(stars, texts, n), "star-overlaps")
-    first = near.where(linked)
-    comp = written(components(first.select("a", "b").union(same)), "components")
-
-    # pairs that share a leader, are not connected yet, and may link by the triangle inequality
-    width = (100 - percent) / 100
-    dist = near.withColumn("d", 1 - F.col("both") / (F.col("na") + F.col("nb") - F.col("both")))
-    at = dist.select(F.col("a").alias("l"), F.col("b").alias("x"), "d", F.col("nb").alias("n"))
-    def placed(df, node, out):
-        return (df.join(comp.select(F.col("node").alias(node), F.col("component").alias(out)),
-                        node, "left").withColumn(out, F.coalesce(out, node)))
-    at = written(placed(placed(at, "x", "cx"), "l", "cl")
-                 .withColumn("bin", F.floor(F.col("d") / width).cast("int")), "leader-distances")
-    stray = (at.where("cx <> cl").withColumn("bin", F.explode(F.expr("array(bin - 1, bin, bin + 1)"))))
-    other = at.select("l", "bin", F.col("x").alias("y"), F.col("cx").alias("cy"),
-                      F.col("d").alias("e"), F.col("n").alias("m"))
-    more = (stray.join(other, ["l", "bin"])
-            .where((F.col("cx") != F.col("cy")) & (F.abs(F.col("d") - F.col("e")) <= width + 1e-9)
-                   & F.expr(f"100 * least(n, m) >= {percent} * greatest(n, m)"))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
-    second = written(overlaps(more, texts, n).where(linked), "more-links")
-    return sets, first.union(second)
+    near = written(overlaps(stars, texts, n, differences=True), "star-overlaps")
+    links = near.where(linked).select("a", "b")
+    at = written(around_consensus(near, percent), "consensus-differences")
+    central = at.groupBy("l").agg(F.min_by("x", "w").alias("a"), F.min("w").alias("least_w"))
+    sure = (at.join(central, "l").where(f"x <> a and w + least_w <= {100 - percent} * c")
+            .select("a", F.col("x").alias("b")))
+    links = written(links.union(sure).distinct(), "first-links")
+    comp = written(components(links.union(same)), "components")
+
+    # pairs that are not connected yet and share enough differences from the consensus
+    mine = comp.select(F.col("node").alias("x"), F.col("component").alias("cx"))
+    at = written(at.join(small(mine), "x", "left").withColumn("cx", F.coalesce("cx", "x")), "placed")
+    split = at.groupBy("l").agg(F.min("cx").alias("least"), F.max("cx").alias("most"))
+    split = small(written(split.where("least <> most").select("l"), "split-groups"))
+    every = F.concat("lack", "extra")
+    rare_first = F.concat(F.sort_array(F.array_except(every, "common")),
+                          F.array_intersect("common", every))
+    # a prefix for partners of each weight band that can share enough differences
+    low = F.lit([float(x) for x in WEIGHT_BANDS])
+    other_band = F.expr(f"explode(sequence(1, {len(WEIGHT_BANDS)}))")
+    at = (at.join(split, "l").withColumn("d", rare_first)
+          .withColumn("band", F.size(F.filter(low, lambda t: t * F.col("c") <= F.col("w"))))
+          .withColumn("partner", other_band)
+          .withColumn("from", F.get(low, F.col("partner") - 1) * F.col("c"))
+          .withColumn("to", F.coalesce(F.get(low, F.col("partner")), F.lit(1e9)) * F.col("c"))
+          .withColumn("need", F.greatest(
+              F.lit(1), F.ceil((F.col("w") - (100 - percent) * F.col("c")) / 100),
+              F.ceil((F.col("w") + F.col("from") - (100 - percent) * F.col("c"))
+                     / (100 + percent))))
+          .where((F.col("need") <= F.size("d")) & (percent * F.col("need") <= F.col("to")))
+          .withColumn("e", F.explode(F.slice("d", F.lit(1),
+                                             (F.size("d") - F.col("need") + 1).cast("int"))))
+          .select("l", "e", "band", "partner", "x", "cx", "w", "c", F.size("lack").alias("r"),
+                  F.size("extra").alias("p")))
+    at = written(at, "difference-prefixes")
+    other = at.select("l", "e", F.col("band").alias("partner"), F.col("partner").alias("band"),
+                      *[F.col(c).alias(f"{c}2") for c in ("x", "cx", "w", "r", "p")])
+    more = (at.join(other, ["l", "e", "band", "partner"]).where("x < x2 and cx <> cx2")
+            .where(f"{100 + percent} * (least(r, r2) + least(p, p2)) >= "
+                   f"w + w2 - {100 - percent} * c")
+            .select(F.col("x").alias("a"), F.col("x2").alias("b")).distinct())
+    more = written(overlaps(written(more, "more-pairs"), texts, n).where(linked), "more-links")
+    return sets, links.union(more.select("a", "b"))
 
 
 def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -237,7 +311,7 @@ def near_duplicate_classes(docs: DataFrame, n: int = 5, percent: int = 80) -> Da
     """
     sets, links = jaccard_links(docs, n, percent)
     same = sets.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    comp = components(links.select("a", "b").union(same))
+    comp = components(links.union(same))
     ends = links.select(F.col("a").alias("rep")).union(links.select("b"))
     count = ends.groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
     return (sets.join(comp.withColumnRenamed("node", "doc_id"), "doc_id", "left")

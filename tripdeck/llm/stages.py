@@ -20,6 +20,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df`` (of narrow rows, cheap to read) to be broadcast if it has at most ``rows`` rows;
+    otherwise as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of the undirected ``edges`` (a long, b long): (node, component),
     one row per node of any edge, component being its smallest node.
