@@ -1,13 +1,13 @@
 """License scan: MinHash bands over overlapping text windows, then exact containment.
 
-All of it is DataFrame expressions. Texts and license templates become sequences of word-pair
-hashes. A window class of width w serves the templates with at most w / 2 pairs; windows begin
-every w / 2 pairs, so such a template lies whole in some window, with a Jaccard similarity of at
+All of it is DataFrame expressions. Texts and license templates become sequences of hashes of
+three neighbouring words. A window class of width w serves the templates with at most w / 2 such
+shingles; windows begin every w / 2 shingles, so such a template lies whole in some window, with a Jaccard similarity of at
 least a quarter (of a half and more for most). Each of ``bands`` MinHash values of a window is
 looked up among the templates' values of that class: a template that is whole in a window
-is missed with a probability of at most 0.75 ** bands. A value can only be equal if the pair that
-gives it is one of the template's least, so windows without any such pair are passed over.
-Retrieved templates are verified by the exact share of their pairs that the window holds.
+is missed with a probability of at most 0.75 ** bands. A value can only be equal if the shingle
+that gives it is one of the template's least, so windows without any of those are passed over.
+Retrieved templates are verified by the exact share of their shingles that the window holds.
 """
 
 from __future__ import annotations
@@ -38,41 +38,45 @@ TEMPLATES = (
                 "v. 2.0"),
 )
 NARROWEST = 4
-LITERAL_PAIRS = 50_000  # least pairs that one pass carries as a constant
+LITERAL_SHINGLES = 50_000  # least shingles that one pass carries as a constant
 
 
 def template_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(TEMPLATES), "license string, text string")
 
 
-def _pairs(text: Column) -> Column:
-    """Hashes of neighbouring words (letters and digits, lower case), in text order."""
+def _shingles(text: Column) -> Column:
+    """Hashes of three neighbouring words (letters and digits, lower case), in text order."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    return F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-                      lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
 
+    def behind(n):
+        return F.slice(words, n + 1, F.greatest(F.size(words) - n, F.lit(0)))
+    two = F.zip_with(words, behind(1), lambda a, b: F.when(b.isNotNull(), F.xxhash64(a, b)))
+    return F.array_compact(F.zip_with(two, behind(2), lambda h, c: F.when(
+        c.isNotNull(), F.xxhash64(h, c))))
 
-def _least(pairs: Column, bands: int) -> Column:
-    """For each band the pair of least hash there, as (band, pair)."""
+
+def _least(shingles: Column, bands: int) -> Column:
+    """For each band the shingle of least hash there, as (band, shingle)."""
     return F.transform(F.sequence(F.lit(1), F.lit(bands)), lambda k: F.struct(
-        k.alias("band"), F.array_min(F.transform(pairs, lambda h: F.struct(
-            F.xxhash64(h, k).alias("rank"), h.alias("pair"))))["pair"].alias("pair")))
+        k.alias("band"), F.array_min(F.transform(shingles, lambda h: F.struct(
+            F.xxhash64(h, k).alias("rank"), h.alias("shingle"))))["shingle"].alias("shingle")))
 
 
 def scan_licenses(docs: DataFrame, templates: DataFrame, bands: int = 32,
                   containment: float = 0.8) -> DataFrame:
-    """(doc_id, license, containment, first_pair, windows): templates found in each document.
+    """(doc_id, license, containment, first_word, windows): templates found in each document.
 
-    A template is found if some window holds the share ``containment`` of its distinct word
-    pairs; the best share, the word index at which the first such window begins, and the number
-    of such windows are given. Null texts, and texts or templates of fewer than two words, have
+    A template is found if some window holds the share ``containment`` of its distinct
+    shingles; the best share, the word index at which the first such window begins, and the number
+    of such windows are given. Null texts, and texts or templates of fewer than three words, have
     no matches. Rows with a null doc_id or license are left out; rows that share a doc_id are one
     document, templates of one name are one license. Extra columns are ignored. Templates are
-    taken in as many passes as their least pairs need to fit a constant.
+    taken in as many passes as their least shingles need to fit a constant.
     """
     library = (templates.where("license is not null and text is not null")
                .select(F.col("license").cast("string").alias("license"),
-                       F.array_distinct(F.array_compact(_pairs(F.col("text")))).alias("held"))
+                       F.array_distinct(_shingles(F.col("text"))).alias("held"))
                .where("size(held) > 0")
                .withColumn("template", F.xxhash64("license", "held"))
                .dropDuplicates(["template"])
@@ -81,24 +85,24 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, bands: int = 32,
                .withColumn("least", _least(F.col("held"), bands)))
     library = written(library, "license-templates")
     count = library.count()
-    passes = max(1, -(-count * bands // LITERAL_PAIRS))
+    passes = max(1, -(-count * bands // LITERAL_SHINGLES))
     texts = (docs.where("doc_id is not null")
              .select(F.col("doc_id").cast("long").alias("doc_id"),
-                     F.array_compact(_pairs(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-                     .alias("pairs")))
+                     _shingles(F.coalesce(F.col("text").cast("string"), F.lit("")))
+                     .alias("shingles")))
     found = None
     for k in range(passes if count else 0):
         part = library.where(F.pmod("template", F.lit(passes)) == k)
-        # bounded by LITERAL_PAIRS, up to the evenness of the hash
-        least = [r["pair"] for r in part.select(F.explode("least.pair").alias("pair"))
+        # bounded by LITERAL_SHINGLES, up to the evenness of the hash
+        least = [r["shingle"] for r in part.select(F.explode("least.shingle").alias("shingle"))
                  .distinct().collect()]
         widths = sorted(r["width"] for r in part.select("width").distinct().collect())
         if not least:
             continue
         known = F.lit(least)
-        near = (texts.where(F.arrays_overlap("pairs", known))
+        near = (texts.where(F.arrays_overlap("shingles", known))
                 .withColumn("hits", F.filter(F.transform(
-                    "pairs", lambda h, i: F.when(F.array_contains(known, h), i)),
+                    "shingles", lambda h, i: F.when(F.array_contains(known, h), i)),
                     lambda i: i.isNotNull())))
 
         def windows(width):
@@ -108,12 +112,12 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, bands: int = 32,
                 lambda s: s >= 0))))
             return F.transform(starts, lambda s: F.struct(
                 F.lit(width).alias("width"), s.cast("int").alias("start"),
-                F.array_distinct(F.slice("pairs", s.cast("int") + 1, width)).alias("window")))
+                F.array_distinct(F.slice("shingles", s.cast("int") + 1, width)).alias("window")))
         rows = near.select("doc_id", F.inline(F.flatten(F.array(*map(windows, widths)))))
         keys = part.select("license", "template", "held", "width", F.inline("least"))
         hit = (rows.withColumn("of", F.explode(_least(F.col("window"), bands)))
                .select("doc_id", "width", "start", "window", "of.*")
-               .join(F.broadcast(keys), ["width", "band", "pair"])
+               .join(F.broadcast(keys), ["width", "band", "shingle"])
                .withColumn("share", F.size(F.array_intersect("held", "window"))
                            / F.size("held"))
                .where(F.col("share") >= containment)
@@ -121,7 +125,7 @@ def scan_licenses(docs: DataFrame, templates: DataFrame, bands: int = 32,
         found = hit if found is None else found.union(hit)
     if found is None:
         return docs.sparkSession.createDataFrame(
-            [], "doc_id long, license string, containment double, first_pair int, windows long")
+            [], "doc_id long, license string, containment double, first_word int, windows long")
     return found.groupBy("doc_id", "license").agg(
-        F.round(F.max("share"), 6).alias("containment"), F.min("start").alias("first_pair"),
+        F.round(F.max("share"), 6).alias("containment"), F.min("start").alias("first_word"),
         F.countDistinct("width", "start").alias("windows"))
