@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripdeck.llm.stages import written
+from tripdeck.llm.stages import small, written
 from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, ngrams, slices,
                                spaced_words, unpack)
 
@@ -168,11 +168,13 @@ def subtree_marks(suffixes: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def window_rows(placed: DataFrame, window: int, gram: int) -> DataFrame:
-    """(w1, w2, doc_id, pos): 128-bit hashes of the windows around suffixes of crowded groups."""
+    """(w1, w2, docs, starts): 128-bit hashes of the windows around suffixes of crowded groups,
+    each with its places in a batch, so that a window that many documents share is a few rows."""
     def run(batches):
         for batch in batches:
             ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
             spots = column(batch, "pos")
+            found = [[], [], [], []]
             for k, h in _documents(batch):
                 size = len(h) - window + 1
                 if size <= 0:
@@ -182,11 +184,23 @@ def window_rows(placed: DataFrame, window: int, gram: int) -> DataFrame:
                 np.add.at(near, np.maximum(at - (window - gram), 0), 1)
                 np.add.at(near, np.minimum(at + 1, len(h)), -1)
                 start = np.flatnonzero(np.cumsum(near)[:size] > 0)
-                w1, w2 = (ngrams(h, window, seed)[start].view(np.int64) for seed in (11, 12))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(w1), pa.array(w2), pa.array(np.full(len(start), ids[k])),
-                     pa.array(start.astype(np.int32))], ["w1", "w2", "doc_id", "pos"])
-    return placed.mapInArrow(run, "w1 long, w2 long, doc_id long, pos int")
+                for out, x in zip(found, (*(ngrams(h, window, seed)[start] for seed in (11, 12)),
+                                          np.full(len(start), ids[k]), start), strict=True):
+                    out.append(x)
+            if not found[0]:
+                continue
+            w1, w2, docs, starts = map(np.concatenate, found)
+            order = np.lexsort((w2, w1))
+            w1, w2, docs, starts = (x[order] for x in (w1, w2, docs, starts))
+            new = np.flatnonzero(np.concatenate(
+                ([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))[:len(w1)])
+            ends = pa.array(np.append(new, len(w1)).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(w1[new].view(np.int64)), pa.array(w2[new].view(np.int64)),
+                 pa.ListArray.from_arrays(ends, pa.array(docs.astype(np.int64))),
+                 pa.ListArray.from_arrays(ends, pa.array(starts.astype(np.int32)))],
+                ["w1", "w2", "docs", "starts"])
+    return placed.mapInArrow(run, "w1 long, w2 long, docs array<long>, starts array<int>")
 
 
 def remove_marked(marked: DataFrame, window: int) -> DataFrame:
@@ -252,11 +266,13 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
     found = written(anchors(docs, window, gram), "anchors")
     again = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     twice = written(found.join(again, "key"), "repeated-anchors")
-    z = compact(docs)
+    docs = doc_texts(docs)
 
     def placed(own):
-        lists = own.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "key")).alias("at"))
-        return (z.join(lists, "doc_id")
+        lists = written(own.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "key"))
+                                                  .alias("at")), "anchor-lists")
+        some = docs.join(small(lists.select("doc_id")), "doc_id", "left_semi")
+        return (compact(some).join(lists, "doc_id")
                 .select("doc_id", "z", F.col("at.pos").alias("pos"), F.col("at.key").alias("keys")))
 
     # an average suffix has 2 * window - gram words of context
@@ -268,9 +284,12 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
     marks = subtree_marks(suffixes.repartition(parts, "key"), window, gram)
     crowded = written(window_rows(placed(twice.where(F.col("n") > group_rows)), window, gram),
                       "crowded-windows")
-    repeats = (crowded.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"))
+    repeats = (crowded.groupBy("w1", "w2").agg(F.sum(F.size("docs")).alias("n"))
                .where("n > 1").drop("n"))
-    marks = marks.union(crowded.join(repeats, ["w1", "w2"])
-                        .select("doc_id", "pos", F.lit(1).cast("long").alias("mask")))
+    # dealt out evenly again before the places of shared windows become rows
+    places = crowded.join(repeats, ["w1", "w2"]).select("docs", "starts").repartition(parts)
+    marks = marks.union(places.select(F.explode(F.arrays_zip("docs", "starts")).alias("at"))
+                        .select(F.col("at.docs").alias("doc_id"), F.col("at.starts").alias("pos"),
+                                F.lit(1).cast("long").alias("mask")))
     per_doc = marks.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "mask")).alias("marks"))
-    return remove_marked(z.join(per_doc, "doc_id", "left"), window)
+    return remove_marked(compact(docs).join(per_doc, "doc_id", "left"), window)
