@@ -38,7 +38,7 @@ from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, lower
 GROWTH = 1.5  # ratio of neighbouring size classes
 SAMPLE = 1024   # members of a group whose differences are counted to order them
 # weights of members, as multiples of the consensus set's size, where a new band begins
-WEIGHT_BANDS = (*range(0, 64, 4), 64, 96)
+WEIGHT_BANDS = (*range(0, 64, 4), *range(64, 128, 8), 128, 144)
 PARTS = 8     # vertical partitions in which a pair's overlaps are counted
 
 
@@ -287,16 +287,17 @@ def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80):
               F.ceil((F.col("w") + F.col("from") - (100 - percent) * F.col("c"))
                      / (100 + percent))))
           .where((F.col("need") <= F.size("d")) & (percent * F.col("need") <= F.col("to")))
-          .withColumn("e", F.explode(F.slice("d", F.lit(1),
-                                             (F.size("d") - F.col("need") + 1).cast("int"))))
-          .select("l", "e", "band", "partner", "x", "cx", "w", "c", F.size("lack").alias("r"),
-                  F.size("extra").alias("p")))
+          .select("l", "band", "partner", "x", "cx", "w", "c", F.size("lack").alias("r"),
+                  F.size("extra").alias("p"), F.posexplode(F.slice(
+                      "d", F.lit(1), (F.size("d") - F.col("need") + 1).cast("int")))
+                  .alias("at", "e")))
     at = written(at, "difference-prefixes")
     other = at.select("l", "e", F.col("band").alias("partner"), F.col("partner").alias("band"),
-                      *[F.col(c).alias(f"{c}2") for c in ("x", "cx", "w", "r", "p")])
+                      *[F.col(c).alias(f"{c}2") for c in ("x", "cx", "w", "r", "p", "at")])
+    # the first element that two members share leaves only those behind it in both to share
     more = (at.join(other, ["l", "e", "band", "partner"]).where("x < x2 and cx <> cx2")
-            .where(f"{100 + percent} * (least(r, r2) + least(p, p2)) >= "
-                   f"w + w2 - {100 - percent} * c")
+            .where(f"{100 + percent} * least(r + p - at, r2 + p2 - at2, least(r, r2) + least(p, p2))"
+                   f" >= w + w2 - {100 - percent} * c")
             .select(F.col("x").alias("a"), F.col("x2").alias("b")).distinct())
     more = written(overlaps(written(more, "more-pairs"), texts, n).where(linked), "more-links")
     return sets, links.union(more.select("a", "b"))
