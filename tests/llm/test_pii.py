@@ -81,3 +81,24 @@ def test_term_spans_do_not_depend_on_the_join(spark, rows):
         (9 + k, f"nothing here {k}") for k in range(30)]
     out = sanitise(spark, docs, broadcast_rows=rows)
     assert all("[TERM]" in out[d][0] for d in docs[:5])
+
+
+def test_entities_of_one_document_are_estimated_too(spark):
+    far = "which they say in all the plain text that has no secret in it at all"
+    rows = [(0, f"Qwertz {far}, and writes zed@example.org, {far} Plimsoll. {far} {far} Yonder. Bye"),
+            (1, f"the Vbnm\n+1 555 123 4567\n{far}"), (2, f"{far} a@b.co c@d.org Hjkl")]
+    rows += [(10 + k, f"{far}, and the number {k} writes") for k in range(60)]
+    out = sanitise(spark, rows)
+    assert out[rows[0]][0] == rows[0][1].replace("Qwertz", "[TERM]").replace(
+        "Plimsoll", "[TERM]").replace("zed@example.org", "[EMAIL]")
+    assert out[rows[1]][0] == rows[1][1].replace("Vbnm", "[TERM]").replace(
+        "+1 555 123 4567", "[PHONE]")
+    assert out[rows[2]][0] == f"{far} [EMAIL] [EMAIL] [TERM]"
+    assert all(out[r] == (r[1], []) for r in rows[3:])
+
+
+def test_chance_is_no_evidence(spark):
+    fill = "this is said by all"
+    rows = [(k, f"{fill} info@example.org own{k}word") for k in range(10)]
+    rows += [(10 + k, fill) for k in range(20)]
+    assert all("[TERM]" not in clean for clean, _ in sanitise(spark, rows).values())

@@ -3,15 +3,19 @@
 All of it is DataFrame expressions. Spans of a kind are found by marking each match of its
 pattern and cutting the marked text there, which leaves positions as running lengths of the
 pieces. The information-theoretic step then takes each distinct entity (a matched string) as
-something to protect. A term near an entity in ``min_contexts`` different contexts discloses it
-if their pointwise mutual information over the corpus reaches the share ``threshold`` of the
-entity's information content; log2(N n(t,e) / (n(t) n(e))) >= threshold * log2(N / n(e)), with
-numbers of documents. Such terms get spans of the kind ``term`` wherever they occur, and are
+something to protect, however rare it is. A term in the sentence of an entity discloses it if their
+pointwise mutual information over the corpus reaches the share ``threshold`` of the entity's
+information content; log2(N n(t,e) / (n(t) n(e))) >= threshold * log2(N / n(e)), with numbers of
+documents; and if chance would bring them together as often with a probability of at most
+``significance``, by Hoeffding's bound on the hypergeometric tail. For a word and an entity that
+both stand in one document only that probability is 1 / N. Such terms get spans of the kind ``term`` wherever they occur, and are
 removed with the base spans when a text is sanitised.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +33,8 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
+# Ends of sentences; what a phone number could go on with doesn't follow.
+BOUNDARY = r"[.!?](?:\s++(?![().0-9-]))|[\u3002\uff01\uff1f]|\n\s*+\n"
 TERM = "term"
 SPAN = "struct<start:int,rank:int,end:int,kind:string>"
 EMPTY = f"cast(array() as array<{SPAN}>)"
@@ -94,47 +100,90 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) >= 3)
 
 
-def disclosing_terms(docs: DataFrame, spanned: DataFrame, threshold: float, min_contexts: int,
+def _contexts(text: Column, spans: Column, reach: int) -> Column:
+    """(own, around) of each sentence with a span: its text, and with ``reach`` characters more
+    on either side, less a word cut there. No base pattern matches across an end of a sentence."""
+    clean = F.translate(text, MARK, OTHER)
+    pieces = F.split(F.regexp_replace(clean, BOUNDARY, f"$0{MARK}"), MARK, -1)
+    state = F.struct(F.lit(0).alias("at"),
+                     F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("all"))
+
+    def step(acc, piece):
+        end = acc["at"] + F.length(piece)
+        return F.struct(end.alias("at"), F.concat(acc["all"], F.array(F.struct(
+            acc["at"].alias("start"), end.alias("end")))).alias("all"))
+    # bound to a lambda's variable: the optimiser would compute the spans anew for each sentence
+    ranges = F.flatten(F.transform(F.array(spans), lambda held: F.filter(
+        F.aggregate(pieces, state, step, lambda acc: acc["all"]), lambda r: F.exists(
+            held, lambda s: (s["start"] >= r["start"]) & (s["start"] < r["end"])))))
+
+    def cut(r):
+        # one character more on either side tells whether a word is cut
+        lo = F.greatest(r["start"] - (reach + 1), F.lit(0))
+        hi = r["end"] + (reach + 1)
+        wide = F.substring(text, lo + 1, hi - lo)
+        wide = F.when(lo > 0, F.regexp_replace(wide, r"^[\p{L}\p{N}]+", "")).otherwise(wide)
+        wide = F.when(hi < F.length(text),
+                      F.regexp_replace(wide, r"(?<![\p{L}\p{N}])[\p{L}\p{N}]++$", "")).otherwise(wide)
+        return F.struct(F.substring(text, r["start"] + 1, r["end"] - r["start"]).alias("own"),
+                        wide.alias("around"))
+    return F.transform(ranges, cut)
+
+
+def _evidence(k: Column, draws: Column, share: Column) -> Column:
+    """-ln of Hoeffding's bound on the chance of ``k`` hits or more in ``draws`` documents drawn
+    without replacement from a corpus with this ``share`` of hits."""
+    rest = draws - k
+    return k * F.log(k / (draws * share)) + F.when(
+        rest > 0, rest * F.log(rest / (draws * F.greatest(1 - share, F.lit(1e-12))))).otherwise(0.0)
+
+
+def disclosing_terms(docs: DataFrame, spanned: DataFrame, threshold: float, significance: float,
                      reach: int, broadcast_rows: int = 200_000) -> DataFrame:
     """(term): words that disclose some entity; ``spanned`` has doc_id, text and spans.
 
-    A context is the text within ``reach`` characters on either side of an entity.
+    A context is the whole sentence of an entity and at least ``reach`` characters on either side
+    of it, without base spans. Documents are distinct pairs of doc_id and text.
     """
-    near = (spanned.where("size(spans) > 0").select("doc_id", "text", F.explode("spans").alias("s"))
-            .select("doc_id",
-                    F.lower(F.expr("substring(text, s.start + 1, s.end - s.start)")).alias("entity"),
-                    F.expr(f"substring(text, greatest(s.start - {reach}, 0) + 1, "
-                           f"least(s.start, {reach}))").alias("before"),
-                    F.expr(f"substring(text, s.end + 1, {reach})").alias("after")))
-    near = written(near.withColumn("context", F.xxhash64("before", "after")), "pii-contexts")
-    entities = near.groupBy("entity").agg(F.countDistinct("context").alias("contexts"),
-                                          F.countDistinct("doc_id").alias("n_e"))
-    entities = entities.where(F.col("contexts") >= min_contexts)
-    total = docs.select(F.count(F.lit(1)).alias("n")).first()["n"]
-    info = F.log2(F.lit(float(total)) / F.col("n_e"))
+    key = F.xxhash64("doc_id", "text").alias("doc")
+    near = (spanned.where("size(spans) > 0")
+            .select(key, F.explode(_contexts(F.col("text"), F.col("spans"), reach)).alias("c"))
+            .select("doc", "c.own", "c.around")
+            .withColumns({"found": base_spans(F.col("own")), "other": base_spans(F.col("around"))})
+            .select("doc", F.array_distinct(F.transform("found", lambda s: F.lower(F.substring(
+                        F.col("own"), s["start"] + 1, s["end"] - s["start"])))).alias("entities"),
+                    F.array_distinct(_words(_replaced(F.col("around"), F.col("other"),
+                                                      lambda s: F.lit(" ")))).alias("terms")))
+    near = written(near, "pii-contexts")
+    said = near.select("doc", "terms", F.explode("entities").alias("entity"))
+    entities = said.groupBy("entity").agg(F.countDistinct("doc").alias("n_e"))
+    total = float(docs.select(key).agg(F.countDistinct("doc").alias("n")).first()["n"])
+    info = F.log2(F.lit(total) / F.col("n_e"))
 
     def discloses(n_t):
-        shared = F.log2(F.lit(float(total)) * F.col("n_te") / (n_t * F.col("n_e")))
-        return (info > 0) & (shared >= threshold * info)
-    said = near.withColumn("term", F.explode(F.array_distinct(
-        F.concat(_words(F.col("before")), _words(F.col("after"))))))
-    pairs = (said.join(entities, "entity").groupBy("entity", "term", "n_e")
-             .agg(F.countDistinct("context").alias("c"), F.countDistinct("doc_id").alias("n_te"))
-             .where(F.col("c") >= min_contexts))
+        shared = F.log2(F.lit(total) * F.col("n_te") / (n_t * F.col("n_e")))
+        sure = F.greatest(_evidence(F.col("n_te"), F.col("n_e"), n_t / total),
+                          _evidence(F.col("n_te"), n_t, F.col("n_e") / total))
+        return (info > 0) & (shared >= threshold * info) & (sure >= -math.log(significance))
+    pairs = (said.select("doc", "entity", F.explode("terms").alias("term"))
+             .groupBy("entity", "term").agg(F.countDistinct("doc").alias("n_te"))
+             .join(entities, "entity"))
     # the documents with the term near some entity are a lower bound of n(t)
-    there = said.groupBy("term").agg(F.countDistinct("doc_id").alias("n_near"))
+    there = (near.select("doc", F.explode("terms").alias("term"))
+             .groupBy("term").agg(F.countDistinct("doc").alias("n_near")))
     pairs = written(pairs.join(there, "term").where(discloses(F.col("n_near"))), "pii-pairs")
     terms = written(pairs.select("term").distinct(), "pii-candidates")
     if terms.isEmpty():
         return terms
-    small = F.broadcast(terms) if terms.count() <= broadcast_rows else terms
-    counts = (docs.select(F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
-              .join(small, "term").groupBy("term").agg(F.count(F.lit(1)).alias("n_t")))
+    said_at = docs.select(key, F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+    if terms.count() <= broadcast_rows:
+        said_at = said_at.join(F.broadcast(terms), "term", "left_semi")
+    counts = said_at.groupBy("term").agg(F.countDistinct("doc").alias("n_t"))
     return written(pairs.join(counts, "term").where(discloses(F.col("n_t")))
                    .select("term").distinct(), "pii-terms")
 
 
-def personal_data(docs: DataFrame, threshold: float = 0.9, min_contexts: int = 3,
+def personal_data(docs: DataFrame, threshold: float = 0.9, significance: float = 0.05,
                   reach: int = 40, broadcast_rows: int = 200_000) -> DataFrame:
     """Adds ``spans`` to ``docs`` (doc_id, text and any other columns): base and term spans as
     an array of (start, rank, end, kind), ascending, in code points with exclusive ends.
@@ -146,7 +195,7 @@ def personal_data(docs: DataFrame, threshold: float = 0.9, min_contexts: int = 3
     found = docs.withColumn("spans", base_spans(F.coalesce(F.col("text").cast("string"),
                                                            F.lit(""))))
     terms = disclosing_terms(docs, found.select("doc_id", "text", "spans"), threshold,
-                             min_contexts, reach, broadcast_rows)
+                             significance, reach, broadcast_rows)
     if terms.isEmpty():
         return found
     # the disclosing terms of each document that has some, then their places in its text
@@ -168,9 +217,8 @@ def personal_data(docs: DataFrame, threshold: float = 0.9, min_contexts: int = 3
                     .otherwise(F.col("spans")).alias("spans")))
 
 
-def sanitised(text: Column, spans: Column) -> Column:
-    """The text with each group of overlapping spans replaced by the kind of its first, in
-    brackets; text outside spans stays as it is."""
+def _replaced(text: Column, spans: Column, by) -> Column:
+    """The text with each group of overlapping spans replaced by ``by`` of its first."""
     state = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<string>)").alias("out"))
 
     def step(acc, s):
@@ -178,8 +226,14 @@ def sanitised(text: Column, spans: Column) -> Column:
             s["end"].alias("at"),
             F.concat(acc["out"], F.array(
                 F.substring(text, acc["at"] + 1, s["start"] - acc["at"]),
-                F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))).alias("out"))) \
+                by(s))).alias("out"))) \
             .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
                                 acc["out"].alias("out")))
     return F.aggregate(spans, state, step, lambda acc: F.concat(
         F.array_join(acc["out"], ""), F.substring(text, acc["at"] + 1, F.length(text))))
+
+
+def sanitised(text: Column, spans: Column) -> Column:
+    """The text with each group of overlapping spans replaced by the kind of its first, in
+    brackets; text outside spans stays as it is."""
+    return _replaced(text, spans, lambda s: F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
