@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from fixtures import frame
 
@@ -83,3 +84,31 @@ def test_clean_repeated_and_empty_tables(spark):
     assert dc.find_overlaps(frame(spark, []), items).collect() == []
     out = dc.find_overlaps(frame(spark, data), items.where("false")).collect()
     assert [r.leaks for r in out] == [[]] * 4
+
+
+def test_a_region_that_passes_is_found_in_any_diagonal():
+    rng = random.Random(5)
+    lost = 0
+    for _ in range(400):
+        n, p = rng.randint(1, 59), rng.choice([0.1, 0.2, 0.25, 0.4])
+        equal = np.array([rng.random() > p for _ in range(n)])
+        most = max(int(equal[a:b].sum()) for a in range(n) for b in range(a, n + 1)
+                   if equal[a:b].sum() >= 0.8 * (b - a) - 1e-9)
+        a, b = dc.widest_region(equal, 0.8)
+        assert equal[a:b].sum() == most and most >= 0.8 * (b - a) - 1e-9
+        a, b = dc.best_region(equal)
+        lost += most >= 12 and equal[a:b].sum() < 0.8 * (b - a)
+    assert lost > 5
+
+
+@pytest.mark.parametrize("runs", [(13, 6, 13, 6, 13), (20, 9, 20, 9, 20), (10, 3, 2)])
+def test_regions_beside_the_best_scoring_one(spark, runs):
+    own = make(sum(runs))
+    copy = [w if k % 2 == 0 else "changed" for w, k in zip(
+        own, [k for k, n in enumerate(runs) for _ in range(n)], strict=True)]
+    items = spark.createDataFrame([(1, " ".join(own))], "item_id long, text string")
+    out = dc.find_overlaps(frame(spark, [(1, " ".join(copy)), (2, " ".join(make(90)))]), items)
+    found = {r.doc_id: r.leaks for r in out.collect()}
+    assert found[2] == [] and len(found[1]) == 1
+    x = found[1][0]
+    assert x.matches >= 12 and x.matches >= 0.8 * x.length

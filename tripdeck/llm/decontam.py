@@ -3,7 +3,7 @@
 A seed is the hash of the words at the fixed positions of a mask, so a substituted word at an
 ignored position doesn't change it. The seeds of all benchmark items are joined with those of
 every document position; around each hit the two texts are compared word by word along the
-diagonal, and the best-scoring region decides. Words are runs of letters and digits (any
+diagonal, and a pair is reported if any region passes. Words are runs of letters and digits (any
 non-ASCII byte counts as a letter) with A-Z lower-cased, so punctuation and case don't matter.
 """
 
@@ -88,6 +88,18 @@ def best_region(equal: np.ndarray) -> tuple[int, int]:
     return int(np.argmin(total[:end + 1])), end
 
 
+def widest_region(equal: np.ndarray, identity: float) -> tuple[int, int]:
+    """First and end of the region with the most matches among all in which the share
+    ``identity`` of the words match; it starts and ends with a match unless it is empty."""
+    matches = np.concatenate(([0], np.cumsum(equal)))
+    over = matches - identity * np.arange(len(matches))
+    # for each end the first start from which the share is reached
+    start = np.searchsorted(-np.minimum.accumulate(over), -over - 1e-9, "left")
+    end = int(np.argmax(matches - matches[start]))
+    first = int(start[end])
+    return first + int(np.argmax(equal[first:end])) if end > first else end, end
+
+
 def overlaps_of(seeds: Seeds, words: Words, h: np.ndarray, min_words: int, identity: float):
     """Verified overlaps of a slice: {document row: [(item_id, start, length, matches)]}."""
     diagonals = set()
@@ -107,8 +119,11 @@ def overlaps_of(seeds: Seeds, words: Words, h: np.ndarray, min_words: int, ident
             continue
         equal = h[lo:hi] == own[lo - diagonal:hi - diagonal]
         a, b = best_region(equal)
-        matches = int(equal[a:b].sum())
-        if matches >= min(min_words, len(own)) and matches >= identity * (b - a):
+        matches, least = int(equal[a:b].sum()), min(min_words, len(own))
+        if matches < least or matches < identity * (b - a):
+            a, b = widest_region(equal, identity)  # a part of it or a wider one may pass
+            matches = int(equal[a:b].sum())
+        if matches >= least:
             new = (-matches, int(lo + a - first), b - a)
             key = (doc, item_id)
             best[key] = min(best.get(key, new), new)
@@ -122,9 +137,11 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12,
                   identity: float = 0.8, shortest: int = 5) -> DataFrame:
     """Adds ``leaks`` to ``docs``: array of (item_id, start, length, matches), by item.
 
-    An overlap is the best gapless region of a document and an item in which at least
-    ``min_words`` words (all, for shorter items) and the share ``identity`` of the region match;
-    start and length count words. Whole texts and all items of at least ``shortest`` words are
+    An overlap is a gapless region of a document and an item in which at least ``min_words``
+    words (all, for shorter items) and the share ``identity`` of the region match. Of a diagonal
+    the region with the best score is taken if it passes, else the one with the most
+    matches of those that pass; of several diagonals the one with the most matches; start and
+    length count words. Whole texts and all items of at least ``shortest`` words are
     searched; a null text or a document without words has no leaks. Benchmark rows with a null id
     or text are left out. Rows of ``docs`` are kept as they are, repeated ones too; a column
     named ``leaks`` is replaced. A benchmark larger than ``BENCHMARK_BYTES`` is searched in
