@@ -7,8 +7,10 @@ personal_data: spans with personal data, and terms that disclose it, are replace
 pack: the remaining texts are tokenised and packed into training sequences.
 
 Every stage reads whole texts and all of its input. Rows that share a doc_id are one document:
-they stay or go together. Null texts are without a letter, so they go in the first stage; no stage
-needs any of the other columns, which may be null, missing or have any name.
+they stay or go together. Null texts are without a letter, so they go in the first stage. The
+language stage learns from the rows with a ``lang``; if there are none, or no such column, every
+document with an id and a letter stays. No stage needs any of the other columns, which may be
+null, missing or have any name.
 """
 
 from __future__ import annotations
@@ -44,7 +46,9 @@ def _unwrapped(df: DataFrame, docs: DataFrame, text=None) -> DataFrame:
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = language.fit(docs)
+    model = language.fit(docs) if "lang" in docs.columns else None
+    if model is None or not model.names:  # nothing to learn from: every text with a letter stays
+        return docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     found = language.languages(_wrapped(docs), model)
     kept = found.where(F.col("doc_id").isNotNull() & (F.col("lang_pred") != language.UNKNOWN)
                        & (F.col("score") >= LEAST_SCORE))

@@ -79,3 +79,13 @@ def test_run_and_empty_table(spark, table, tmp_path):
         f"{tmp_path}/documents.parquet")
     os.symlink(f"{SF_SMALL}/benchmark.parquet", f"{tmp_path}/benchmark.parquet")
     assert cp.run(spark, str(tmp_path)).collect() == []
+
+
+def test_language_stage_without_labels(spark):
+    docs = spark.createDataFrame([(1, "some words", None), (2, "12 34", None), (None, "abc", None),
+                                  (3, None, None), (4, "日本", None)],
+                                 "doc_id long, text string, lang string")
+    for table in (docs, docs.drop("lang")):
+        out = cp.identify_language(spark, table, "")
+        assert out.schema == table.schema
+        assert sorted(r.doc_id for r in out.collect()) == [1, 4]
