@@ -14,6 +14,7 @@ from tripdeck.llm.licenses import scan_licenses, template_table
 from tripdeck.llm.lm_scoring import stupid_backoff
 from tripdeck.llm.packing import pack_documents
 from tripdeck.llm.substrings import remove_repeats
+from tripdeck.llm.whitening import integer_grid, whitening
 
 REGISTRY = {}
 ORACLE = {}
@@ -201,3 +202,18 @@ def op10_decontamination(spark, sf_dir):
                           _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", F.inline("leaks")).withColumnsRenamed(
         {"start": "start_word", "length": "n_words"})
+
+
+@register
+def op11_embedding_whitening(spark, sf_dir):
+    """Whitened coordinates of every vector along the first 32 components, a row per pair."""
+    fitted = whitening(integer_grid(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding",
+                                    scale=64, shift=1_000_000), components=32)
+    explained = F.array(*[F.lit(x) for x in fitted.explained]).cast("array<double>")
+    return (fitted.rows()
+            .select(F.col("id").alias("vec_id"), "n",
+                    F.col("deviation").cast("long").alias("deviation"),
+                    F.posexplode("whitened").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+                    F.get(explained, F.col("at")).alias("explained"),
+                    F.lit(fitted.identity_error()).cast("double").alias("identity_error")))
