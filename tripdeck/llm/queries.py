@@ -12,7 +12,9 @@ from tripdeck.llm.jaccard import near_duplicate_classes
 from tripdeck.llm.knn import integer_vectors, nearest_neighbours
 from tripdeck.llm.licenses import scan_licenses, template_table
 from tripdeck.llm.lm_scoring import stupid_backoff
+from tripdeck.llm.metric_join import cosine_classes
 from tripdeck.llm.packing import pack_documents
+from tripdeck.llm.prefix_trie import conversation_turns, forked, prefix_trie
 from tripdeck.llm.substrings import remove_repeats
 from tripdeck.llm.whitening import integer_grid, whitening
 
@@ -217,3 +219,94 @@ def op11_embedding_whitening(spark, sf_dir):
             .select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
                     F.get(explained, F.col("at")).alias("explained"),
                     F.lit(fitted.identity_error()).cast("double").alias("identity_error")))
+
+
+@register
+def op12_prefix_trie(spark, sf_dir):
+    """The prefix trie of all conversations, each rebuilt with the head of every fifth one."""
+    talks = _table(spark, sf_dir, "conversations")
+    head = F.crc32(F.col("conv_id").cast("string")) % 9
+    forks = (talks.where("conv_id is not null").select("conv_id").distinct()
+             .withColumn("base", F.col("conv_id") - F.col("conv_id") % 5)
+             .withColumn("head", head))
+    return (prefix_trie(*forked(conversation_turns(talks), forks, longest=8))
+            .withColumnRenamed("saved_bytes", "saved_tokens"))
+
+
+ORACLE["op12_prefix_trie"] = """
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(4294967295, list_reduce(
+           list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+           lambda a, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)),
+           4294967295)) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM t)),
+m AS (SELECT c.conv_id, base, h, least(h, count(t.i)) AS taken
+      FROM c LEFT JOIN t ON t.conv_id = c.base GROUP BY c.conv_id, base, h),
+r AS (
+  SELECT m.conv_id, t.i AS d, role, text FROM m JOIN t ON t.conv_id = m.base AND t.i <= h
+  UNION ALL
+  SELECT m.conv_id, t.i - h + taken, role, text FROM m JOIN t ON t.conv_id = m.conv_id AND t.i > h),
+x AS (
+  SELECT conv_id, d, strlen(text) AS bytes,
+         array_to_string(list(md5(role || chr(0) || text)) OVER (
+           PARTITION BY conv_id ORDER BY d ROWS UNBOUNDED PRECEDING), ',') AS k,
+         d = count(*) OVER (PARTITION BY conv_id) AS last
+  FROM r),
+p AS (
+  SELECT conv_id, d, md5(k) AS k, bytes, last FROM x
+  UNION ALL
+  SELECT conv_id, 0, 'root', 0, conv_id NOT IN (SELECT conv_id FROM x) FROM c),
+n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n, max(bytes) AS bytes,
+         list_sort(list(conv_id) FILTER (WHERE last)) AS ends
+  FROM p GROUP BY k, d),
+u AS (SELECT a.k, b.conv_id AS up FROM n a JOIN p q ON q.conv_id = a.conv_id AND q.d = a.d - 1
+      JOIN n b ON b.k = q.k AND b.d = q.d),
+kids AS (SELECT q.k, q.d, count(*) AS n FROM n a JOIN p q ON q.conv_id = a.conv_id AND q.d = a.d - 1
+         GROUP BY q.k, q.d),
+s AS (
+  SELECT q.k, q.d, sum((a.n - 1) * a.bytes) AS saved, count(*) FILTER (WHERE kids.n IS NULL) AS leaves
+  FROM n a LEFT JOIN kids ON kids.k = a.k AND kids.d = a.d
+  JOIN p q ON q.conv_id = a.conv_id AND q.d <= a.d GROUP BY q.k, q.d)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, u.up AS parent_conv_id, n.n AS n_convs,
+       coalesce(kids.n, 0) AS n_children, s.leaves AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens,
+       sha256(coalesce(array_to_string(n.ends, ','), '')) AS ends_sha256
+FROM n JOIN s ON s.k = n.k AND s.d = n.d LEFT JOIN u ON u.k = n.k
+LEFT JOIN kids ON kids.k = n.k AND kids.d = n.d
+"""
+
+
+@register
+def op13_metric_range_join(spark, sf_dir):
+    """Near-duplicate classes of all vectors: equal labels and a cosine of 0.98 or more."""
+    return (cosine_classes(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label",
+                           least=0.98).withColumnRenamed("id", "vec_id"))
+
+
+ORACLE["op13_metric_range_join"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CASE
+    WHEN label IS NOT NULL AND embedding IS NOT NULL
+     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+     AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    THEN list_transform(embedding, lambda x: CAST(x AS DOUBLE)) END AS v
+  FROM embeddings WHERE vec_id IS NOT NULL),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM v
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT v.vec_id, (SELECT count(*) FROM links l WHERE l.a = v.vec_id) AS n_links, c.component_id,
+       c.component_id = v.vec_id AS kept
+FROM v JOIN c ON c.vec_id = v.vec_id
+"""
