@@ -60,10 +60,14 @@ def squared(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 
 class Cells:
-    """Centres for 1, 2, 4, ... cells a label, and which of those numbers suits a label's size."""
+    """Centres for 1, 2, 4, ... cells a label, and which of those numbers suits a label's size.
+
+    A quarter of the sample, which the centres are not fitted to, shows the replication."""
 
     def __init__(self, sample: np.ndarray, eps: float, most: int, block: int):
         self.eps, self.sets = eps, []
+        probe = sample[:len(sample) // 4 + 1]
+        sample = sample[len(probe):] if len(sample) > len(probe) else sample
         k = 1
         while k <= most and k <= max(1, len(sample) // 4):
             centres = sample[:k].copy()
@@ -75,7 +79,6 @@ class Cells:
                 centres[count > 0] = (total / np.maximum(count, 1)[:, None])[count > 0]
             self.sets.append(centres)
             k *= 2
-        probe = sample[:2048]
         copies = [self.near(probe, c)[1].sum() / max(len(probe), 1) for c in self.sets]
 
         def cost(n, level):
