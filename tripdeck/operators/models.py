@@ -10,11 +10,12 @@ Matching terms gives
     λ = α·((1−ρ)·σ_y + ρ/2),   e = (ρ/2) / ((1−ρ)·σ_y + ρ/2).
 Library-style objectives (sum-of-squares ridge, ½-mean lasso / elastic net) map to
     ridge λ = α·σ_y/n, e = 0;  lasso λ = α, e = 1;  elastic net λ = α(ρ + (1−ρ)σ_y), e = αρ/λ.
-Solver: Spark's normal-equation path for every setting. One distributed pass aggregates the
-(d+1)×(d+1) Gram matrix and moments (d = feature count, not rows); without L1 it is solved by
-Cholesky, with L1 (or a singular matrix) by quasi-Newton iterations on that small matrix — no
-further passes over the data, however many iterations. Only coefficients and metric rows reach
-the driver.
+Solver: plain and ridge fits use Spark's normal-equation path; where its Cholesky step meets a
+singular matrix (whole one-hot blocks) and its iterations run out, and for every fit with L1, the
+same moments are solved by ``operators.solvers``, which ends with a proven duality gap. Either way
+one distributed pass aggregates the (d+1)×(d+1) moments (d = feature count, not rows); no further
+pass over the data is made, however many iterations. Only coefficients and metric rows reach the
+driver.
 """
 
 from __future__ import annotations
@@ -27,13 +28,15 @@ import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-
-MAX_GRAM_FEATURES = 128  # 8,256 sums in one aggregate
+from tripdeck.operators.gram import (Moments, absolute_errors, feature_array, moments_by_key,
+                                     rows_of)
+from tripdeck.operators.solvers import Quadratic, coordinate_descent, solve_all
 
 KINDS = ("linear", "ridge", "lasso", "elasticnet")
 
@@ -98,35 +101,68 @@ def label_moments(train: DataFrame, y: str = "y") -> tuple[float, int]:
     return float(row["s"] or 0.0), int(row["n"])
 
 
+@dataclass(frozen=True)
+class GramModel:
+    """A linear model solved from moments, with what ``LinearRegressionModel`` offers here.
+    ``gap`` is the proven distance of its objective (reference form) from the minimum."""
+
+    coefficients: DenseVector
+    intercept: float
+    iterations: int
+    gap: float
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        x = df.withColumn("_x", vector_to_array("features"))
+        return x.withColumn("prediction", F.expr(_prediction_sql(self))).drop("_x")
+
+
+Model = LinearRegressionModel | GramModel
+
+
+def fit_moments(train: DataFrame, s: Setting, objective: str = "reference", y: str = "y"
+                ) -> GramModel:
+    """One setting solved from one pass over an assembled frame, with a proven gap."""
+    m = moments_by_key(rows_of(train, vector_to_array("features"), y, F.lit("all")))["all"]
+    alpha, rho = reference_form(s, m.n, objective)
+    w, b, steps, gap = solve_from_moments(m, alpha, rho)
+    return GramModel(DenseVector(w), b, steps, gap)
+
+
 def fit(train: DataFrame, s: Setting, sigma_y: float, n: int, objective: str = "reference",
-        y: str = "y", max_iter: int = 500, tol: float = 1e-10, solver: str = "normal"
-        ) -> tuple[LinearRegressionModel, float]:
+        y: str = "y", max_iter: int = 500, tol: float = 1e-10) -> tuple[Model, float]:
     """Fit one setting on an assembled frame; returns the model and the wall time.
 
-    ``solver="normal"`` (default) makes one pass for the Gram matrix and iterates on it;
-    ``"l-bfgs"`` makes one pass per iteration and records the objective per iteration."""
+    With L1 the model is solved from the moments of one pass (``fit_moments``). Otherwise Spark
+    ML fits from the same kind of pass; where it has to iterate and does not end, the moments
+    decide as well."""
+    t0 = time.perf_counter()
+    if s.alpha > 0.0 and s.rho > 0.0:
+        return fit_moments(train, s, objective, y), time.perf_counter() - t0
     reg, enet = spark_params(s, sigma_y, n, objective)
     lr = LinearRegression(featuresCol="features", labelCol=y, predictionCol="prediction",
                           regParam=reg, elasticNetParam=enet, standardization=False,
-                          fitIntercept=True, maxIter=max_iter, tol=tol, solver=solver)
-    t0 = time.perf_counter()
+                          fitIntercept=True, maxIter=max_iter, tol=tol, solver="normal")
     model = lr.fit(train)
-    secs = time.perf_counter() - t0
-    if solver == "normal" and model.summary.totalIterations >= max_iter:
-        raise RuntimeError(f"{s} not converged after {max_iter} iterations")
-    return model, secs
+    if iterations(model) >= max_iter:
+        model = fit_moments(train, s, objective, y)
+    return model, time.perf_counter() - t0
+
 
+def iterations(model: Model) -> int:
+    return int(model.iterations if isinstance(model, GramModel)
+               else model.summary.totalIterations)
 
-def predict(model: LinearRegressionModel, df: DataFrame) -> DataFrame:
+
+def predict(model: Model, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
-def scores(model: LinearRegressionModel, frames: dict[str, DataFrame], y: str = "y") -> dict:
+def scores(model: Model, frames: dict[str, DataFrame], y: str = "y") -> dict:
     """rmse/mae/r2/n of one model per named frame (one pass over all frames)."""
     return score_models([model], frames, y)[0]
 
 
-def penalty(model: LinearRegressionModel, s: Setting) -> float:
+def penalty(model: Model, s: Setting) -> float:
     w = model.coefficients.toArray()
     return s.alpha * (s.rho * float(abs(w).sum()) + (1.0 - s.rho) * float((w * w).sum()))
 
@@ -142,7 +178,7 @@ RESULT_SCHEMA = T.StructType([
 ])
 
 
-def _prediction_sql(model: LinearRegressionModel, arr: str = "_x") -> str:
+def _prediction_sql(model: Model, arr: str = "_x") -> str:
     """``b + Σ w_j·x[j]`` as SQL text with exact double constants (one JVM call to build)."""
     terms = [f"CAST('{float(model.intercept)!r}' AS DOUBLE)"]
     terms += [f"CAST('{float(w)!r}' AS DOUBLE) * {arr}[{j}]"
@@ -150,7 +186,7 @@ def _prediction_sql(model: LinearRegressionModel, arr: str = "_x") -> str:
     return " + ".join(terms)
 
 
-def score_models(models: list[LinearRegressionModel], frames: dict[str, DataFrame],
+def score_models(models: list[Model], frames: dict[str, DataFrame],
                  y: str = "y") -> list[dict]:
     """rmse / mae / r2 / n of every model on every named frame in ONE pass over the data.
 
@@ -211,19 +247,43 @@ def grid_search(spark: SparkSession, train: DataFrame, val: DataFrame, grid: lis
                 r2_train=m["r2_train"], r2_val=m["r2_val"],
                 loss_train=m["rmse_train"] ** 2 + pen,
                 loss_val=None if m["rmse_val"] is None else m["rmse_val"] ** 2 + pen,
-                iterations=int(model.summary.totalIterations), time_sec=secs))
+                iterations=iterations(model), time_sec=secs))
         return spark.createDataFrame(rows, RESULT_SCHEMA)
     finally:
         train.unpersist()
         val.unpersist()
 
 
-def objective_history(model: LinearRegressionModel) -> list[float]:
-    """Objective value per optimiser iteration (a single value for the normal solver)."""
-    return list(model.summary.objectiveHistory)
+HISTORY_SCHEMA = ("model string, alpha double, l1_ratio double, iteration int, loss_train double, "
+                  "loss_val double, gap double")
+
 
+def loss_history(spark: SparkSession, rows: DataFrame, settings: list[Setting],
+                 objective: str = "reference") -> DataFrame:
+    """Loss (MSE + penalty) on train and validation, and the proven gap on train, of every
+    iterate of coordinate descent from the zero model, for each setting.
 
-def coefficient_table(spark: SparkSession, model: LinearRegressionModel, features: list[str]
+    ``rows`` (key, y, x) has the keys train and val. One pass gives the moments of both splits;
+    an iterate is scored on them, so no iteration touches the data."""
+    moments = moments_by_key(rows)
+    tr, va = moments["train"], moments.get("val")
+    q = Quadratic.of(tr)
+    out = []
+    for s in settings:
+        alpha, rho = reference_form(s, tr.n, objective)
+        l1, l2 = alpha * rho, alpha * (1.0 - rho)
+        trace: list = []
+        coordinate_descent(q, l1, l2, trace=trace, polish=False)
+        for k, w in trace:
+            b = q.intercept(w)
+            pen = l1 * float(np.abs(w).sum()) + l2 * float(w @ w)
+            losses = [None if m is None else max(sse_from_moments(m, w, b), 0.0) / m.n + pen
+                      for m in (tr, va)]
+            out.append((s.kind, float(s.alpha), s.l1_ratio, k, *losses, q.gap(w, l1, l2)))
+    return spark.createDataFrame(out, HISTORY_SCHEMA)
+
+
+def coefficient_table(spark: SparkSession, model: Model, features: list[str]
                       ) -> DataFrame:
     """feature, coef, abs_coef ordered by |coef| descending, intercept excluded."""
     w = model.coefficients.toArray().tolist()
@@ -292,42 +352,11 @@ def moment_ridge_grid(moments: DataFrame, alphas: list[float],
 
 # ---------------------------------------------------------------- whole grid from one Gram pass
 
-@dataclass
-class Moments:
-    """Sufficient statistics of (x, y) for one split: n, Σx, Σy, Σxxᵀ, Σxy, Σy²."""
-
-    n: float
-    sx: "np.ndarray"
-    sy: float
-    sxx: "np.ndarray"
-    sxy: "np.ndarray"
-    syy: float
-
-
 def gram_by_split(df: DataFrame, features: list[str], y: str = "y", split_col: str = "split"
                   ) -> dict[str, Moments]:
-    """One grouped aggregate over the data: the (d+1)² moments per split. The result is
-    O(d²) numbers per split, whatever the row count."""
-    d = len(features)
-    if d > MAX_GRAM_FEATURES:
-        raise ValueError(f"{d} features: one aggregate holds the Gram matrix of at most "
-                         f"{MAX_GRAM_FEATURES}; use the Spark ML fits")
-    x = [F.col(f).cast("double") for f in features]
-    yc = F.col(y).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(yc).alias("sy"), F.sum(yc * yc).alias("syy")]
-    aggs += [F.sum(x[i]).alias(f"sx_{i}") for i in range(d)]
-    aggs += [F.sum(x[i] * yc).alias(f"sxy_{i}") for i in range(d)]
-    aggs += [F.sum(x[i] * x[j]).alias(f"sxx_{i}_{j}") for i in range(d) for j in range(i, d)]
-    out = {}
-    for r in df.groupBy(split_col).agg(*aggs).collect():
-        sxx = np.zeros((d, d))
-        for i in range(d):
-            for j in range(i, d):
-                sxx[i, j] = sxx[j, i] = r[f"sxx_{i}_{j}"]
-        out[r[split_col]] = Moments(float(r["n"]), np.array([r[f"sx_{i}"] for i in range(d)]),
-                                    float(r["sy"]), sxx,
-                                    np.array([r[f"sxy_{i}"] for i in range(d)]), float(r["syy"]))
-    return out
+    """The (d+1)² moments per split from one pass; O(d²) numbers per split reach the driver,
+    whatever the row count."""
+    return moments_by_key(rows_of(df, feature_array(features), y, F.col(split_col)))
 
 
 def reference_form(s: Setting, n: float, objective: str) -> tuple[float, float]:
@@ -344,42 +373,13 @@ def reference_form(s: Setting, n: float, objective: str) -> tuple[float, float]:
     return s.alpha * (1.0 + rho), 2.0 * rho / (1.0 + rho)
 
 
-def solve_from_moments(m: Moments, alpha: float, rho: float, max_iter: int = 1_000_000,
-                       tol: float = 1e-13) -> tuple["np.ndarray", float, int]:
-    """Minimise mean(err²) + α[ρ‖w‖₁ + (1−ρ)‖w‖²] (intercept free) on the moments.
-
-    Without L1: one linear solve (minimum-norm when the one-hot blocks make it singular).
-    With L1: accelerated proximal gradient (FISTA) with adaptive restart on the d×d problem —
-    robust to the exactly collinear one-hot columns. Returns (w, b, iterations).
-    """
-    mx, my = m.sx / m.n, m.sy / m.n
-    A = m.sxx / m.n - np.outer(mx, mx)           # population covariance of x
-    c = m.sxy / m.n - mx * my                    # covariance of x and y
-    d = len(c)
-    if rho == 0.0:
-        w = np.linalg.lstsq(A + alpha * np.eye(d), c, rcond=None)[0]
-        return w, float(my - mx @ w), 0
-    l2 = alpha * (1.0 - rho)
-    step = 1.0 / (2.0 * (np.linalg.eigvalsh(A).max() + l2))
-    shrink = alpha * rho * step
-    w = np.zeros(d)
-    y, t = w.copy(), 1.0
-    it = 0
-    for it in range(1, max_iter + 1):
-        z = y - step * (2.0 * (A @ y - c) + 2.0 * l2 * y)
-        new = np.sign(z) * np.maximum(np.abs(z) - shrink, 0.0)
-        if (y - new) @ (new - w) > 0.0:          # momentum points uphill: restart
-            t_next, y = 1.0, new.copy()
-        else:
-            t_next = (1.0 + np.sqrt(1.0 + 4.0 * t * t)) / 2.0
-            y = new + ((t - 1.0) / t_next) * (new - w)
-        delta = np.abs(new - w).max()
-        w, t = new, t_next
-        if delta < tol * max(1.0, np.abs(w).max()):
-            break
-    else:
-        raise RuntimeError(f"not converged after {max_iter} iterations")
-    return w, float(my - mx @ w), it
+def solve_from_moments(m: Moments, alpha: float, rho: float
+                       ) -> tuple[np.ndarray, float, int, float]:
+    """(w, b, sweeps, gap) minimising mean(err²) + α[ρ‖w‖₁ + (1−ρ)‖w‖²] (intercept free) on the
+    moments, with its proven duality gap; see ``operators.solvers``."""
+    q = Quadratic.of(m)
+    w, sweeps, gap = solve_all(q, [(alpha * rho, alpha * (1.0 - rho))])[0]
+    return w, q.intercept(w), sweeps, gap
 
 
 def sse_from_moments(m: Moments, w: "np.ndarray", b: float) -> float:
@@ -393,30 +393,28 @@ def moment_grid_search(spark: SparkSession, split_df: DataFrame, features: list[
                        model_type: str = "moments", y: str = "y") -> DataFrame:
     """The whole grid from two passes over the data, however many settings:
 
-    1. one grouped aggregate gives the Gram moments of train and validation;
-    2. every setting is solved on the d×d train moments (d = feature count) and scored for
-       RMSE / R² / loss from the moments of each split;
+    1. one pass gives the moments of train and validation;
+    2. every setting is solved on the d×d train moments (d = feature count): one homotopy path
+       for all settings that share an L2 weight, each solution with a proven gap; RMSE / R² /
+       loss follow from the moments of each split;
     3. one more pass sums absolute errors of all settings at once (MAE has no moment form).
     """
     frame = split_df.where(F.col("split").isin("train", "val"))
     # features come scaled; the label is centred too, or large means would cancel in the sums
     mean = frame.where("split = 'train'").agg(F.avg(y).alias("m")).first()["m"] or 0.0
-    frame = frame.withColumn(y, F.col(y) - F.lit(mean))
-    mom = gram_by_split(frame, features, y)
+    data = rows_of(frame.withColumn(y, F.col(y) - F.lit(mean)), feature_array(features), y,
+                   F.col("split"))
+    mom = moments_by_key(data)
     tr, va = mom["train"], mom.get("val")
-    solved = []
-    for s in grid:
-        a, r = reference_form(s, tr.n, objective)
-        t0 = time.perf_counter()
-        w, b, sweeps = solve_from_moments(tr, a, r)
-        solved.append((s, w, b, sweeps, time.perf_counter() - t0, a, r))
-    aggs = []
-    for k, (_, w, b, *_rest) in enumerate(solved):
-        pred = " + ".join([f"CAST('{b!r}' AS DOUBLE)"] + [
-            f"CAST('{float(wj)!r}' AS DOUBLE) * CAST(`{f}` AS DOUBLE)"
-            for wj, f in zip(w, features) if wj != 0.0])
-        aggs.append(F.expr(f"sum(abs(`{y}` - ({pred})))").alias(f"sae_{k}"))
-    sae = {r["split"]: r for r in frame.groupBy("split").agg(*aggs).collect()}
+    q = Quadratic.of(tr)
+    forms = [reference_form(s, tr.n, objective) for s in grid]
+    t0 = time.perf_counter()
+    found = solve_all(q, [(a * r, a * (1.0 - r)) for a, r in forms])
+    secs = (time.perf_counter() - t0) / max(len(grid), 1)     # a setting's share of the run
+    solved = [(s, w, q.intercept(w), sweeps, secs, a, r)
+              for s, (w, sweeps, _), (a, r) in zip(grid, found, forms, strict=True)]
+    sae = absolute_errors(data, np.column_stack([w for _, w, *_ in solved]),
+                          np.array([b for _, _, b, *_ in solved]))
     rows = []
     for k, (s, w, b, sweeps, secs, a, r) in enumerate(solved):
         pen = a * (r * float(np.abs(w).sum()) + (1 - r) * float(w @ w))
@@ -427,7 +425,7 @@ def moment_grid_search(spark: SparkSession, split_df: DataFrame, features: list[
                 continue
             sse = max(sse_from_moments(m, w, b), 0.0)
             sst = m.syy - m.sy * m.sy / m.n
-            met[name] = ((sse / m.n) ** 0.5, sae[name][f"sae_{k}"] / m.n,
+            met[name] = ((sse / m.n) ** 0.5, float(sae[name][k]) / m.n,
                          1.0 - sse / sst if sst else None)
         rows.append(Row(model=s.kind, type=model_type, alpha=float(s.alpha),
                         l1_ratio=None if s.l1_ratio is None else float(s.l1_ratio),

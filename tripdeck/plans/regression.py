@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tripdeck.operators import evaluation as ev
 from tripdeck.operators import features as fe
+from tripdeck.operators import gram
 from tripdeck.operators import models as md
 from tripdeck.sources.files import ANALYTIC_COLUMNS
 
@@ -147,25 +148,39 @@ POLY_MODELS = tuple((s, o) for o in ("reference", "library") for s in POLY_SETTI
 
 
 def fit_and_test(spark: SparkSession, prep: Prepared, models=REFITTED,
-                 splits: tuple[str, ...] = ("train", "val")) -> DataFrame:
-    """Fit each (setting, objective) on the given splits and score it on test: one pass for each
-    fit's Gram matrix, one pass for the scores of all; best ``rmse_test`` first."""
+                 splits: tuple[str, ...] = ("train", "val"), scored: tuple[str, ...] = ("test",)
+                 ) -> DataFrame:
+    """Fit each (setting, objective) on the given splits and score it on the splits ``scored``:
+    one pass for each fit's Gram matrix, one pass for the scores of all; best rmse on the last
+    scored split first. Columns rmse_/mae_/r2_/n_<split> for each scored split."""
     fitted_on = prep.frame(*splits).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sigma_y, n = md.label_moments(fitted_on)
         fits = [md.fit(fitted_on, s, sigma_y, n, objective) for s, objective in models]
-        scores = md.score_models([m for m, _ in fits], {"test": prep.frame("test")})
-        rows = [(s.kind, objective, float(s.alpha), s.l1_ratio, m["rmse_test"], m["mae_test"],
-                 m["r2_test"], int(m["n_test"]), secs)
+        scores = md.score_models([m for m, _ in fits], {s: prep.frame(s) for s in scored})
+        rows = [(s.kind, objective, float(s.alpha), s.l1_ratio,
+                 *[v for p in scored for v in (m[f"rmse_{p}"], m[f"mae_{p}"], m[f"r2_{p}"],
+                                               int(m[f"n_{p}"]))], secs)
                 for (s, objective), m, (_, secs) in zip(models, scores, fits, strict=True)]
+        columns = ", ".join(f"rmse_{p} double, mae_{p} double, r2_{p} double, n_{p} bigint"
+                            for p in scored)
         return spark.createDataFrame(
-            rows, "model string, type string, alpha double, l1_ratio double, rmse_test double, "
-                  "mae_test double, r2_test double, n_test bigint, time_sec double"
-        ).orderBy("rmse_test", "type", "model")
+            rows, f"model string, type string, alpha double, l1_ratio double, {columns}, "
+                  "time_sec double"
+        ).orderBy(f"rmse_{scored[-1]}", "type", "model")
     finally:
         fitted_on.unpersist()
 
 
+def histories(spark: SparkSession, prep: Prepared, settings: list[md.Setting],
+              objective: str = "reference") -> DataFrame:
+    """Train and validation loss of every iterate of the given fits."""
+    rows = gram.rows_of(prep.scaled.where(F.col("split").isin("train", "val")),
+                        gram.feature_array(prep.features), "y", F.col("split"))
+    return md.loss_history(spark, rows, settings, objective).orderBy(
+        "model", "alpha", "l1_ratio", "iteration")
+
+
 def winner_predictions(spark: SparkSession, prep: Prepared,
                        setting: md.Setting = md.Setting("elasticnet", 1e-4, 0.5),
                        objective: str = "library") -> DataFrame:
