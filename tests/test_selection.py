@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from tripdeck.operators.selection import kth_smallest, percentiles
+from tripdeck.operators.selection import OrderStatistics, kth_smallest, percentiles
 
 
 @pytest.mark.parametrize("final_rows", [5, 20_000])
@@ -60,3 +60,43 @@ def test_infinite_values_and_the_widest_range_end(spark):
     df = spark.createDataFrame([(v,) for v in wide], "x double")
     assert kth_smallest(df, "x", [0, 25, 51], bins=8, final_rows=5) == {
         0: -1.7e308, 25: 24.0, 51: 1.7e308}
+
+
+def test_large_columns_are_bracketed_by_the_sketch(spark):
+    """More values than are ever collected: brackets are narrow, ranks exact, ties included."""
+    rng = np.random.default_rng(5)
+    vals = np.concatenate([rng.normal(size=40_000), np.full(20_000, 0.125),
+                           [np.inf, -np.inf, -np.inf]])
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(vals)], "x double")
+    srt = np.sort(vals)
+    ranks = [0, 1, 2, 300, 20_000, 30_000, 45_000, 60_000, 60_002]
+    with OrderStatistics(df, "x", final_rows=200) as st:
+        inner = st.brackets([300, 30_000])
+        assert len(inner) == 2 and sum(((vals >= a) & (vals <= b)).sum() for a, b in inner) < 30_000
+        assert st.values_at(ranks) == {r: srt[r] for r in ranks}
+    longs = rng.integers(-2 ** 62, 2 ** 62, size=30_000)
+    df = spark.createDataFrame([(int(v),) for v in longs], "x long")
+    got = kth_smallest(df, "x", [0, 9_999, 29_999], final_rows=100)
+    assert got == {r: int(np.sort(longs)[r]) for r in (0, 9_999, 29_999)}
+
+
+def test_a_bracket_that_misses_its_rank_is_made_good(spark, monkeypatch):
+    vals = list(range(5000))
+    df = spark.createDataFrame([(v,) for v in vals], "x long")
+    with OrderStatistics(df, "x", bins=16, final_rows=50) as st:
+        monkeypatch.setattr(st, "brackets", lambda ranks: [(100, 120), (4000, 4003)])
+        assert st.values_at([5, 110, 130, 4001, 4999]) == {5: 5, 110: 110, 130: 130, 4001: 4001,
+                                                           4999: 4999}
+
+
+def test_the_column_is_scanned_at_most_twice(spark):
+    """Counted by an accumulator in the column's own plan, for any number of ranks."""
+    scans = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        scans.add(1)
+        yield from batches
+    df = spark.range(0, 50_000, 1, 3).mapInArrow(count, "id long")
+    with OrderStatistics(df, "id", final_rows=100, keep=False) as st:
+        assert st.values_at([7, 25_000, 49_999]) == {7: 7, 25_000: 25_000, 49_999: 49_999}
+    assert scans.value == 2 * 3

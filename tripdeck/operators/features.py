@@ -10,11 +10,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripdeck.functions.hashing import HASH_BITS, row_hash
 from tripdeck.operators.selection import OrderStatistics
+from tripdeck.session import scratch_path
 
 NUMERIC_FEATURES = ("pickup_hour", "pickup_dow", "month", "year", "trip_distance",
                     "passenger_count")
@@ -94,22 +98,61 @@ def hash_sample(df: DataFrame, fraction: float, seed: int = 42,
     return df.where(row_hash(df.schema, keys, seed) < F.lit(hash_threshold(fraction)))
 
 
+def smallest_per_task(df: DataFrame, column: str, n: int) -> DataFrame:
+    """Of each task's rows the ``n`` smallest by (``column``, all other columns in order): a
+    bounded selection while the batches pass, so a task holds some multiple of ``n`` rows."""
+    names = [c for c in df.columns if c != column]
+
+    def smallest(batches):
+        table = pa.Table.from_batches(batches)
+        h = table[column].to_numpy()
+        if len(h) <= n:
+            return batches
+        bound = np.partition(h, n - 1)[n - 1]
+        below, tied = np.flatnonzero(h < bound), np.flatnonzero(h == bound)
+        if len(below) + len(tied) > n:     # sorted only where equal hashes reach over the bound
+            ties = table.take(tied)
+            order = pc.sort_indices(ties, sort_keys=[(c, "ascending") for c in names],
+                                    null_placement="at_start").to_numpy()
+            tied = tied[order[:n - len(below)]]
+        return table.take(np.concatenate((below, tied))).combine_chunks().to_batches()
+
+    def run(batches):
+        held, rows = [], 0
+        for batch in batches:
+            held.append(batch)
+            rows += batch.num_rows
+            if rows > 3 * n + 10_000:
+                held = smallest(held)
+                rows = sum(b.num_rows for b in held)
+        if held:
+            yield from smallest(held)
+    return df.mapInArrow(run, df.schema)
+
+
 def fixed_sample(df: DataFrame, n: int, seed: int = 42,
                  key_cols: list[str] | tuple[str, ...] | None = None) -> DataFrame:
     """Exactly ``min(n, rows)`` rows without replacement: the n smallest by (hash, all columns).
 
-    The n-th smallest hash is found by distributed selection, rows under it pass a filter, and
-    only rows tied at the threshold go through a bounded ordered take.
+    ``df`` is read once: every task passes on its n smallest rows, which are written to scratch
+    space (their number is bounded by n for each task and, once tasks hold more than n rows, far
+    below the table's). The n-th smallest hash of all is found among them by distributed
+    selection; rows under it pass a filter, and only rows tied at it go through an ordered take.
     """
+    if n <= 0:
+        return df.limit(0)
     keys = list(key_cols or SAMPLE_KEY)
     hashed = df.withColumn("_h", row_hash(df.schema, keys, seed))
-    with OrderStatistics(hashed, "_h") as st:
+    path = scratch_path(df.sparkSession, "sample-candidates")
+    smallest_per_task(hashed, "_h", n).write.parquet(path)
+    some = df.sparkSession.read.schema(hashed.schema).parquet(path)
+    with OrderStatistics(some, "_h", keep=False) as st:
         if n >= st.n:
-            return df
+            return some.drop("_h")
         t = st.values_at([n - 1])[n - 1]
         m = n - st.count_below(t)
-    below = hashed.where(F.col("_h") < F.lit(t))
-    tied = hashed.where(F.col("_h") == F.lit(t)).orderBy(*df.columns).limit(m)
+    below = some.where(F.col("_h") < F.lit(t))
+    tied = some.where(F.col("_h") == F.lit(t)).orderBy(*df.columns).limit(m)
     return below.unionByName(tied).drop("_h")
 
 
