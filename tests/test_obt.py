@@ -110,11 +110,59 @@ def test_zone_table_that_gains_a_duplicate_is_noticed(spark):
     path = scratch_path(spark, f"zones-{uuid.uuid4().hex[:6]}")
     spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(path)
     facts = spark.createDataFrame([(1,), (2,)], "k int")
-    planned = facts.join(dimension_for_join(spark.read.parquet(path), "k"), "k", "left")
-    assert planned.count() == 2
+    dim, small = dimension_for_join(spark.read.parquet(path), "k")
+    planned = facts.join(dim, "k", "left")
+    assert small and planned.count() == 2
     spark.createDataFrame([(2, "c")], "k int, v string").write.mode("append").parquet(path)
+    # the rows that were checked are the rows that are joined
+    assert sorted(map(tuple, planned.collect())) == [(1, "a"), (2, "b")]
     with pytest.raises(ValueError):
         dimension_for_join(spark.read.parquet(path), "k")
+    # a dimension above the bound is asserted in the join's own plan
+    large, small = dimension_for_join(spark.read.parquet(path), "k", max_rows=2)
+    assert not small
+    with pytest.raises(Exception, match="not unique"):
+        facts.join(large, "k", "left").collect()
+
+
+def test_one_pass_gives_the_union_of_both_raw_tables(spark):
+    from conftest import SF_SMALL
+    from tripdeck.operators.obt import union_services
+    from tripdeck.plans import testbed
+    from tripdeck.sources.schemas import SERVICES
+    one = testbed.raw_tables(spark, SF_SMALL)
+    two = union_services(*[testbed.raw_table(spark, SF_SMALL, s) for s in SERVICES])
+    assert [(f.name, f.dataType) for f in one.schema] == [(f.name, f.dataType) for f in two.schema]
+    assert one.exceptAll(two).count() == 0 == two.exceptAll(one).count()
+
+
+def test_a_large_zone_table_with_a_hot_key_joins_like_a_small_one(spark):
+    from conftest import SF_SMALL
+    from tripdeck.operators.joins import hot_keys, skew_join
+    from tripdeck.operators.obt import join_zones
+    from tripdeck.sources import testdata
+    base = (testdata.raw_trips(spark, SF_SMALL, "green")
+            .selectExpr("PULocationID", "DOLocationID", "trip_distance"))
+    facts = base.selectExpr(
+        "case when trip_distance < 18 then 3 when trip_distance > 48 then null "
+        "else cast(PULocationID as int) end as pu_location_id",
+        "cast(DOLocationID as int) + if(trip_distance = 20, 900, 0) as do_location_id",
+        "trip_distance")
+    zones = testdata.zones(spark, SF_SMALL)
+    assert hot_keys(facts, "pu_location_id", share=0.2) == [3]
+    small, large = join_zones(facts, zones), join_zones(facts, zones, max_broadcast_rows=5)
+    order = sorted(small.columns)
+    assert order == sorted(large.columns)
+    rows = [sorted(map(str, f.select(*order).collect())) for f in (small, large)]
+    assert rows[0] == rows[1]
+    # the hot key's rows meet the dimension in many parts, none far above the others
+    skewed = skew_join(facts.withColumn("n", F.monotonically_increasing_id()),
+                       zones.select(F.col("LocationID").alias("k"), "Zone"),
+                       "pu_location_id", "k", salts=16)
+    assert skewed.count() == facts.count()
+    spread = facts.withColumn("n", F.monotonically_increasing_id()).where("pu_location_id = 3")
+    parts = spread.groupBy(F.pmod(F.xxhash64(*spread.columns), F.lit(16))).count().collect()
+    assert len(parts) == 16 and max(r["count"] for r in parts) < 3 * spread.count() / 16
 
 
 def test_only_a_local_master_gets_a_local_folder():

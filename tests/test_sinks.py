@@ -3,6 +3,8 @@ and partition pruning on the stored table."""
 
 import uuid
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -97,3 +99,52 @@ def test_empty_source_clears_even_under_the_same_run_id(spark):
     obs = tables.replace_partitions(obt_from_raw(only_jan, z, "R"), table, spec, "R")
     assert _content(spark, table) == [("yellow", 2020, 1, "R", 1)]
     assert obs.get["rows"] == 1 and len(obs.get["partitions"]) == 1
+
+
+def test_rows_outside_the_spec_are_counted_or_fail_the_write(spark):
+    table = _table(spark)
+    z = zones_df(spark)
+    spec = PartitionSpec(2020, 2020, (1,), ("yellow",))
+    rows = obt_from_raw(raw_rows(spark, "yellow", [
+        {"source_month": 1}, {"source_month": 2}, {"source_year": 2002}, {"source_year": None}]),
+        z, "R")
+    obs = tables.replace_partitions(rows, table, spec, "R")
+    assert (obs.get["rows"], obs.get["outside"]) == (1, 3)
+    with pytest.raises(Exception, match="outside the run"):
+        tables.replace_partitions(rows, table, spec, "S", fail_outside=True)
+    assert _content(spark, table) == [("yellow", 2020, 1, "R", 1)]
+
+
+def test_a_month_with_a_third_of_the_rows_is_written_by_several_tasks(spark):
+    """REBALANCE splits what is large and joins what is small, whatever the input's tasks are."""
+    rows = spark.range(0, 60_000, 1, 24).selectExpr(
+        "id", "sha2(string(id), 256) as x", "'yellow' as service_type", "2020 as source_year",
+        "cast(if(id % 3 = 0, 1, 2 + id % 11) as int) as source_month")
+    table = _table(spark)
+    with tables.session_conf(spark, "spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k"):
+        tables.append(rows, table)
+    files = {}
+    for f in spark.table(table).inputFiles():
+        month = f.split("source_month=")[1].split("/")[0]
+        files[month] = files.get(month, 0) + 1
+    assert files["1"] >= 4
+    assert len(files) == 12 and sum(files.values()) < 144   # 288 by 24 tasks otherwise
+    assert spark.table(table).count() == 60_000
+
+
+def test_report_has_all_levels_in_one_aggregate(spark):
+    from tripdeck.operators.partitions import run_report, run_summary_by_year, run_totals
+    spec = PartitionSpec(2019, 2020)
+    counts = spark.createDataFrame([("yellow", 2020, 1, 5), ("green", 2019, 2, 7)],
+                                   "service_type string, source_year int, source_month int, "
+                                   "rows long")
+    from tripdeck.operators.partitions import ledger
+    led = ledger(spec.manifest(spark), counts)
+    rep = run_report(led)
+    plan = rep._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Expand") == 1
+    total = rep.where("level = 3").drop("service_type", "source_year", "level").collect()
+    assert total == run_totals(led).collect()
+    years = rep.where("level = 0").drop("level")
+    assert sorted(map(tuple, years.collect())) == sorted(map(tuple, run_summary_by_year(led).collect()))
+    assert sorted(r["rows"] for r in rep.where("level = 1").collect()) == [5, 7]

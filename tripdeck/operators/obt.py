@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripdeck.functions import codes, measures
-from tripdeck.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, dimension_for_join
+from tripdeck.operators.joins import DEFAULT_MAX_BROADCAST_ROWS, dimension_for_join, skew_join
 from tripdeck.sources.schemas import OBT_SCHEMA, ZONE_SCHEMA, align
 
 
@@ -76,11 +76,18 @@ def _roles(z: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def join_zones(df: DataFrame, zones: DataFrame,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Left joins to the zone dimension on pickup and dropoff ids (unmatched → NULL names)."""
-    # one bounded check of the dimension serves both roles
-    z = dimension_for_join(align(zones, ZONE_SCHEMA), "LocationID", max_broadcast_rows)
+    """Left joins to the zone dimension on pickup and dropoff ids (unmatched → NULL names).
+
+    One bounded read of the dimension serves both roles; a dimension above the bound is joined by
+    key, its hot keys spread."""
+    z, small = dimension_for_join(align(zones, ZONE_SCHEMA), "LocationID", max_broadcast_rows)
     pu, do = _roles(z)
-    return df.join(pu, "pu_location_id", "left").join(do, "do_location_id", "left")
+    if small:
+        return df.join(pu, "pu_location_id", "left").join(do, "do_location_id", "left")
+    pu, do = (r.withColumnRenamed(k, f"_{k}") for r, k in ((pu, "pu_location_id"),
+                                                           (do, "do_location_id")))
+    return skew_join(skew_join(df, pu, "pu_location_id", "_pu_location_id"),
+                     do, "do_location_id", "_do_location_id")
 
 
 def obt_from_raw(raw: DataFrame, zones: DataFrame, run_id: str | None = None,

@@ -141,6 +141,16 @@ def run_summary_by_year(ledger_df: DataFrame) -> DataFrame:
                  F.sum("rows").cast("bigint").alias("rows")))
 
 
+def run_report(ledger_df: DataFrame) -> DataFrame:
+    """Run totals and per-year summaries in one aggregate: a row per (service, year), per service
+    and for the whole run, told apart by ``level`` (``grouping_id``: 0, 1 and 3)."""
+    return (ledger_df.rollup("service_type", "source_year")
+            .agg(F.grouping_id().cast("int").alias("level"),
+                 F.count(F.lit(1)).alias("partitions"),
+                 F.count(F.when(F.col("rows") > 0, 1)).alias("partitions_with_rows"),
+                 F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows")))
+
+
 @dataclass(frozen=True)
 class PartitionSet:
     """An explicit set of partitions, e.g. the ones a micro-batch touched."""

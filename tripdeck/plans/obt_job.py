@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tripdeck.operators.ingest import default_run_id
 from tripdeck.operators.obt import obt_from_raw, union_services
-from tripdeck.operators.partitions import PartitionSpec, run_totals
+from tripdeck.operators.partitions import PartitionSpec, run_report, run_totals
 from tripdeck.sinks import tables
 
 
@@ -24,6 +24,7 @@ class RunResult:
     rows_written: int | None
     ledger: DataFrame
     totals: DataFrame
+    report: DataFrame
 
 
 def read_raw(spark: SparkSession, raw_tables: dict[str, str], spec: PartitionSpec) -> DataFrame:
@@ -42,4 +43,4 @@ def run(spark: SparkSession, raw: DataFrame, zones: DataFrame, obt_table: str,
     if obs is not None:
         rows = int(obs.get.get("rows", 0))
     ledger = tables.post_write_ledger(spark, obt_table, spec)
-    return RunResult(run_id, rows, ledger, run_totals(ledger))
+    return RunResult(run_id, rows, ledger, run_totals(ledger), run_report(ledger))

@@ -162,13 +162,13 @@ manifest AS (
   SELECT s.service_type, CAST(y.source_year AS INTEGER) AS source_year,
          CAST(m.source_month AS INTEGER) AS source_month
   FROM (VALUES ('yellow'), ('green')) s(service_type)
-  CROSS JOIN range(1995, 2002) y(source_year)
+  CROSS JOIN (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1))
+              FROM orders) y(source_year)
   CROSS JOIN range(1, 13) m(source_month)
 ),
 counts AS (
   SELECT service_type, source_year, source_month, count(*) AS rows
-  FROM obt WHERE source_year BETWEEN 1995 AND 2001
-  GROUP BY service_type, source_year, source_month
+  FROM obt GROUP BY service_type, source_year, source_month
 ),
 ledger AS (
   SELECT m.service_type, m.source_year, m.source_month,
@@ -191,6 +191,12 @@ SELECT service_type, source_year, count(*) AS partitions,
        CAST(sum(rows) AS BIGINT) AS rows
 FROM ledger GROUP BY service_type, source_year""", LEDGER)
 
+ORACLE["run_report"] = q("""
+SELECT service_type, source_year, CAST(grouping(service_type, source_year) AS INTEGER) AS level,
+       count(*) AS partitions, count(*) FILTER (WHERE rows > 0) AS partitions_with_rows,
+       CAST(coalesce(sum(rows), 0) AS BIGINT) AS rows
+FROM ledger GROUP BY ROLLUP (service_type, source_year)""", LEDGER)
+
 # ---------------------------------------------------------------- ingest and sources
 
 ORACLE["ingest_lineage"] = ("WITH " + RAW
@@ -201,8 +207,7 @@ SELECT service_type || '_tripdata_' || CAST(source_year AS VARCHAR) || '-'
          || lpad(CAST(source_month AS VARCHAR), 2, '0') || '.parquet' AS source_file,
        service_type, source_year, source_month,
        count(*) AS rows, round(sum(total_amount), 8) AS total_amount
-FROM raw WHERE source_year BETWEEN 1995 AND 2001
-GROUP BY service_type, source_year, source_month"""
+FROM raw GROUP BY service_type, source_year, source_month"""
 
 ORACLE["lookup_csv"] = """
 SELECT CAST(n.n_nationkey AS INTEGER) AS LocationID, r.r_name AS Borough, n.n_name AS Zone,
@@ -487,7 +492,8 @@ manifest AS (
   SELECT s.service_type, CAST(y.source_year AS INTEGER) AS source_year,
          CAST(m.source_month AS INTEGER) AS source_month
   FROM (VALUES ('yellow'), ('green')) s(service_type)
-  CROSS JOIN range(1995, 2002) y(source_year)
+  CROSS JOIN (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1))
+              FROM orders) y(source_year)
   CROSS JOIN range(1, 13) m(source_month)
 ),
 counts AS (
@@ -506,7 +512,8 @@ manifest AS (
   SELECT s.service_type, CAST(y.source_year AS INTEGER) AS source_year,
          CAST(m.source_month AS INTEGER) AS source_month
   FROM (VALUES ('yellow'), ('green')) s(service_type)
-  CROSS JOIN range(1995, 2002) y(source_year)
+  CROSS JOIN (SELECT unnest(range(min(year(o_orderdate)), max(year(o_orderdate)) + 1))
+              FROM orders) y(source_year)
   CROSS JOIN range(1, 13) m(source_month)
 ),
 counts AS (
@@ -600,6 +607,16 @@ ORACLE["one_feature_refit"] = qml(
     _wide(("test",), ", max(n) FILTER (WHERE split = 'test') AS n_test"),
     _one_feature({"reference": _REF_CLOSED, "library": _LIB_CLOSED}, "'train', 'val'"))
 
+# The fit starts at w = 0 and ends with its first step.
+ORACLE["one_feature_loss_history"] = qml("""
+SELECT model, alpha, l1_ratio, CAST(i AS INTEGER) AS iteration,
+       round(avg(CASE WHEN split = 'train' THEN err * err + pen END), 4) AS loss_train,
+       round(avg(CASE WHEN split = 'val' THEN err * err + pen END), 4) AS loss_val
+FROM (SELECT model, alpha, l1_ratio, i, split, y - (my + i * w * (z - mz)) AS err,
+             i * a * (rho * abs(w) + (1 - rho) * w * w) AS pen
+      FROM zs CROSS JOIN fit CROSS JOIN (VALUES (0), (1)) t(i))
+GROUP BY model, alpha, l1_ratio, i""", _one_feature({"spark-ml": _REF_CLOSED[1:]}, "'train'"))
+
 # Two features: the 2 x 2 normal equations, with the ridge's a on the diagonal.
 _TWO = """,
 x2 AS (SELECT split, total_amount::DOUBLE AS y, trip_distance AS p,
@@ -634,3 +651,38 @@ FROM fit WHERE type = 'reference' AND model = 'ridge'
 UNION ALL
 SELECT 'trip_distance_sq', round(w2, 4), round(abs(w2), 4)
 FROM fit WHERE type = 'reference' AND model = 'ridge'""", _TWO)
+
+# With L1 the minimiser is the best of the candidates for each pair of signs (0: the feature is
+# out) that come out with these signs.
+_TWO_SETTINGS = " UNION ALL ".join(
+    f"SELECT '{t}' AS type, '{m}' AS model, {alpha!r}::DOUBLE AS alpha, "
+    f"{'NULL' if l1 is None else l1}::DOUBLE AS l1_ratio, ({a}) * {rho!r}::DOUBLE AS l1, "
+    f"({a}) * (1 - {rho!r}::DOUBLE) AS l2 FROM mom"
+    for t, settings in (("reference", _REF_CLOSED), ("library", _LIB_CLOSED))
+    for m, alpha, l1, a, rho in settings)
+ORACLE["two_feature_poly_models"] = qml(_wide(("val", "test")), _TWO + f""",
+penalised AS ({_TWO_SETTINGS}),
+candidates AS (
+  SELECT s.*, s1, s2, v1, v2, c1, c2, c12, v1 + l2 AS d1, v2 + l2 AS d2,
+         c1 - l1 / 2 * s1 AS r1, c2 - l1 / 2 * s2 AS r2
+  FROM penalised s CROSS JOIN mom CROSS JOIN (VALUES (-1), (0), (1)) a(s1)
+  CROSS JOIN (VALUES (-1), (0), (1)) b(s2)),
+solved AS (
+  SELECT *, CASE WHEN s1 = 0 THEN 0 WHEN s2 = 0 THEN r1 / d1
+                 ELSE (d2 * r1 - c12 * r2) / (d1 * d2 - c12 * c12) END AS w1,
+         CASE WHEN s2 = 0 THEN 0 WHEN s1 = 0 THEN r2 / d2
+              ELSE (d1 * r2 - c12 * r1) / (d1 * d2 - c12 * c12) END AS w2
+  FROM candidates),
+best AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY type, model ORDER BY v1 * w1 * w1 + v2 * w2 * w2 + 2 * c12 * w1 * w2
+      - 2 * (c1 * w1 + c2 * w2) + l1 * (abs(w1) + abs(w2)) + l2 * (w1 * w1 + w2 * w2)) AS r
+  FROM solved WHERE l1 = 0 AND s1 <> 0 AND s2 <> 0 OR sign(w1) = s1 AND sign(w2) = s2),
+e AS (
+  SELECT type, model, alpha, l1_ratio, split, y,
+         y - (my + w1 * (z1 - m1) + w2 * (z2 - m2)) AS err
+  FROM zs CROSS JOIN best CROSS JOIN (SELECT my, m1, m2 FROM mom) WHERE r = 1),
+m AS (
+  SELECT type, model, alpha, l1_ratio, split, avg(err * err) AS mse, avg(abs(err)) AS mae,
+         var_pop(y) AS vy
+  FROM e GROUP BY ALL)""")

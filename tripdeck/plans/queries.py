@@ -34,7 +34,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 SPLIT = fe.TESTDATA_SPLIT
-FULL_SPEC = pt.PartitionSpec(1995, 2001)
 DIGITS = 6
 # Money in the fixture has at most 7 decimals, so sums are exact on an 8-decimal grid: rounding
 # there removes summation-order noise without ever meeting a rounding tie.
@@ -59,6 +58,12 @@ def _r(col, digits: int = DIGITS):
     return F.round(col if not isinstance(col, str) else F.col(col), digits)
 
 
+def full_spec(spark: SparkSession, sf_dir: str) -> pt.PartitionSpec:
+    """All months of the years that the raw trips have (at least one year)."""
+    first, last = testdata.trip_years(spark, sf_dir)
+    return pt.PartitionSpec(first, last)
+
+
 def _round_doubles(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     return df.select(*[_r(c.name, digits).alias(c.name) if c.dataType.typeName() == "double"
                        else F.col(c.name) for c in df.schema.fields])
@@ -210,8 +215,9 @@ def valid_duration_filter(spark, sf_dir):
 # ================================================================ partitions and ledgers
 
 def _ledger(spark, sf_dir):
-    counts = pt.partition_counts(testbed.obt(spark, sf_dir).where(FULL_SPEC.predicate()))
-    return pt.ledger(FULL_SPEC.manifest(spark), counts)
+    spec = full_spec(spark, sf_dir)
+    counts = pt.partition_counts(testbed.obt(spark, sf_dir).where(spec.predicate()))
+    return pt.ledger(spec.manifest(spark), counts)
 
 
 @register("partition_manifest")
@@ -232,6 +238,12 @@ def run_summary_by_year(spark, sf_dir):
     return pt.run_summary_by_year(_ledger(spark, sf_dir))
 
 
+@register("run_report")
+def run_report(spark, sf_dir):
+    """A2 A3: totals, services and years of the run from one aggregate (``rollup``)."""
+    return pt.run_report(_ledger(spark, sf_dir))
+
+
 # ================================================================ ingest and sources
 
 @register("ingest_lineage")
@@ -249,10 +261,9 @@ def ingest_monthly_files(spark, sf_dir):
         rows = testdata.raw_trips(spark, sf_dir, service).withColumn("service_type",
                                                                      F.lit(service))
         files.write_monthly_files(rows, root)
-    parts = []
+    parts, spec = [], full_spec(spark, sf_dir)
     for service in SERVICES:
-        scanned = files.read_monthly_files(spark, root, service, FULL_SPEC,
-                                           with_source_path=True)
+        scanned = files.read_monthly_files(spark, root, service, spec, with_source_path=True)
         ingested = ingest(scanned, service, testbed.RAW_RUN_ID, testbed.INGESTED_AT,
                           keep=("source_path",))
         parts.append(ingested.withColumn(
@@ -275,7 +286,8 @@ def ingest_job(spark, sf_dir):
             root)
     db = _database(spark, "rawjob")
     raw = {s: f"{db}.{s}_taxi_trip" for s in SERVICES}
-    return job.run(spark, root, raw, FULL_SPEC, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
+    return job.run(spark, root, raw, full_spec(spark, sf_dir), testbed.RAW_RUN_ID,
+                   testbed.INGESTED_AT)
 
 
 def _land(spark, sf_dir, root, choose=None, mode="append"):
@@ -295,8 +307,9 @@ def ingest_job_partial_landing(spark, sf_dir):
     _land(spark, sf_dir, part, "source_year = 1998 and PULocationID % 2 = 1")
     db = _database(spark, "rawpart")
     raw = {s: f"{db}.{s}_taxi_trip" for s in SERVICES}
-    job.run(spark, whole, raw, FULL_SPEC, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
-    return job.run(spark, part, raw, FULL_SPEC, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
+    spec = full_spec(spark, sf_dir)
+    job.run(spark, whole, raw, spec, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
+    return job.run(spark, part, raw, spec, testbed.RAW_RUN_ID, testbed.INGESTED_AT)
 
 
 @register("ingest_drifted_types")
@@ -315,7 +328,8 @@ def ingest_drifted_types(spark, sf_dir):
             if k == 1:
                 some = some.withColumnRenamed("airport_fee", "Airport_fee")
             files.write_monthly_files(some, root)
-    parts = [ingest(files.read_monthly_files(spark, root, service, FULL_SPEC), service,
+    spec = full_spec(spark, sf_dir)
+    parts = [ingest(files.read_monthly_files(spark, root, service, spec), service,
                     testbed.RAW_RUN_ID, testbed.INGESTED_AT) for service in SERVICES]
     codes = ("VendorID", "RatecodeID", "PULocationID", "DOLocationID", "passenger_count",
              "payment_type", "airport_fee")
@@ -347,7 +361,8 @@ def _stored(spark, table):
 def replace_partitions(spark, sf_dir):
     """K3 K6: full build under run A, then yellow 1998-01..06 rebuilt under run B."""
     table = f"{_database(spark, 'obt')}.obt_trips"
-    sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-A"), table, FULL_SPEC, "obt-A")
+    sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-A"), table, full_spec(spark, sf_dir),
+                          "obt-A")
     spec = pt.PartitionSpec(1998, 1998, (1, 2, 3, 4, 5, 6), ("yellow",))
     sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-B"), table, spec, "obt-B")
     return _stored(spark, table)
@@ -357,7 +372,8 @@ def replace_partitions(spark, sf_dir):
 def replace_empty_partition(spark, sf_dir):
     """K3: a rerun of 1997 whose green source has no rows clears the green 1997 partitions."""
     table = f"{_database(spark, 'obt')}.obt_trips"
-    sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-A"), table, FULL_SPEC, "obt-A")
+    sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-A"), table, full_spec(spark, sf_dir),
+                          "obt-A")
     spec = pt.PartitionSpec(1997, 1997)
     yellow_only = obt_from_raw(testbed.raw_tables(spark, sf_dir, ("yellow",)),
                             testdata.zones(spark, sf_dir), "obt-B")
@@ -369,7 +385,8 @@ def replace_empty_partition(spark, sf_dir):
 def truncate_reload(spark, sf_dir):
     """K4: an overwrite run replaces the whole table with its spec's rows."""
     table = f"{_database(spark, 'obt')}.obt_trips"
-    sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-A"), table, FULL_SPEC, "obt-A")
+    sk.replace_partitions(testbed.obt(spark, sf_dir, "obt-A"), table, full_spec(spark, sf_dir),
+                          "obt-A")
     spec = pt.PartitionSpec.resolve(year_start=1998, year_end=1998, services=["yellow"],
                                     overwrite=True)
     sk.write_obt(testbed.obt(spark, sf_dir, "obt-B"), table, spec, "obt-B")
@@ -380,8 +397,10 @@ def truncate_reload(spark, sf_dir):
 def post_write_ledger(spark, sf_dir):
     """K6: per-partition counts of the stored table for the spec, empty partitions as 0."""
     table = f"{_database(spark, 'obt')}.obt_trips"
-    sk.replace_partitions(testbed.obt(spark, sf_dir), table, FULL_SPEC, testbed.OBT_RUN_ID)
-    return sk.post_write_ledger(spark, table, FULL_SPEC)
+    spec = full_spec(spark, sf_dir)
+    sk.replace_partitions(testbed.obt(spark, sf_dir), table, spec, testbed.OBT_RUN_ID,
+                          fail_outside=True)
+    return sk.post_write_ledger(spark, table, spec)
 
 
 @register("round_trip")
@@ -672,10 +691,18 @@ def refit_test(spark, sf_dir):
 
 @register("poly_models")
 def poly_models(spark, sf_dir):
-    """Eight models with polynomial terms, four of each objective, fitted on train
-    and ranked by their test scores."""
+    """Eight models with polynomial terms, four of each objective, fitted on train,
+    with their validation and test scores; best on test first."""
     with _prepared(spark, sf_dir, poly=True) as prep:
-        return rg.fit_and_test(spark, prep, rg.POLY_MODELS, ("train",))
+        return rg.fit_and_test(spark, prep, rg.POLY_MODELS, ("train",), ("val", "test"))
+
+
+@register("poly_validation")
+def poly_validation(spark, sf_dir):
+    """The validation table of the same eight models, best first."""
+    with _prepared(spark, sf_dir, poly=True) as prep:
+        return (rg.fit_and_test(spark, prep, rg.POLY_MODELS, ("train",), ("val",))
+                .select("model", "type", "alpha", "l1_ratio", "rmse_val", "r2_val", "time_sec"))
 
 
 # Fits with a closed form: one or two scaled features of the whole cleaned table, through the
@@ -750,6 +777,17 @@ def two_feature_poly(spark, sf_dir):
         return _scored(out, "rmse_test", "mae_test", "r2_test")
 
 
+@register("two_feature_poly_models")
+def two_feature_poly_models(spark, sf_dir):
+    """A feature and its square, all four models of both objectives, fitted on train,
+    scored on validation and test."""
+    models = [(s, "reference") for s in CLOSED_FORM] + [(s, "library") for s in LIBRARY_FORM]
+    with _prepared(spark, sf_dir, poly=True) as prep:
+        out = rg.fit_and_test(spark, _few(prep, TWO_FEATURES), models, ("train",),
+                              ("val", "test"))
+        return _scored(out, *[f"{m}_{s}" for s in ("val", "test") for m in ("rmse", "mae", "r2")])
+
+
 @register("two_feature_coefficients")
 def two_feature_coefficients(spark, sf_dir):
     """Coefficients of the ridge on a feature and its square by absolute value."""
@@ -782,26 +820,25 @@ def wide_poly_ridge(spark, sf_dir):
     return _coefficients(spark, sf_dir, wide=True, objective="library")
 
 
+# The settings whose training is followed: the winners that have a penalty.
+FOLLOWED = tuple(s for s in rg.BEST_REFERENCE if s.alpha > 0)
+
+
 @register("loss_history")
 def loss_history(spark, sf_dir):
-    """Training objective per optimiser iteration (iterative solver, one pass per
-    iteration) next to the final MSE + penalty on train and validation."""
-    from pyspark import StorageLevel
-    setting = md.Setting("elasticnet", 1e-3, 0.9)
+    """Loss on train and on validation, and the proven gap, after every iteration of the
+    penalised winners' fits, scored on the moments of both splits."""
+    with _prepared(spark, sf_dir) as prep:
+        return rg.histories(spark, prep, list(FOLLOWED))
+
+
+@register("one_feature_loss_history")
+def one_feature_loss_history(spark, sf_dir):
+    """The same on one scaled feature, where the first iteration ends the fit."""
     with _prepared(spark, sf_dir) as prep:
-        train = prep.frame("train").persist(StorageLevel.MEMORY_AND_DISK)  # read per iteration
-        try:
-            sigma_y, n = md.label_moments(train)
-            model, _ = md.fit(train, setting, sigma_y, n, max_iter=100, tol=1e-8,
-                              solver="l-bfgs")
-            m = md.scores(model, {"train": train, "val": prep.frame("val")})
-        finally:
-            train.unpersist()
-    pen = md.penalty(model, setting)
-    rows = [(i, float(v), None, None) for i, v in enumerate(md.objective_history(model))]
-    rows.append((len(rows), None, m["rmse_train"] ** 2 + pen, m["rmse_val"] ** 2 + pen))
-    return spark.createDataFrame(rows, "iteration int, objective double, loss_train double, "
-                                       "loss_val double")
+        out = rg.histories(spark, _few(prep, ONE_FEATURE), list(CLOSED_FORM[1:]))
+        return out.select("model", "alpha", "l1_ratio", "iteration",
+                          *[_r(c, FIT_DIGITS).alias(c) for c in ("loss_train", "loss_val")])
 
 
 @register("winner_diagnostics")

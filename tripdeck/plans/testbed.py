@@ -8,11 +8,12 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripdeck.operators.ingest import ingest
 from tripdeck.operators.obt import obt_from_raw, union_services
 from tripdeck.sources import testdata
-from tripdeck.sources.schemas import SERVICES
+from tripdeck.sources.schemas import SERVICES, align, raw_table_schema
 
 # Fixed lineage values of the test runs.
 RAW_RUN_ID = "ingest-20240101T000000Z"
@@ -37,9 +38,21 @@ def _plan(spark: SparkSession, key: tuple, build) -> DataFrame:
     return _PLANS[full]
 
 
+def _both_raw_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both raw tables in one frame, from one pass over the order lines: what the union of the
+    two tables holds (``tests/test_obt.py`` compares them)."""
+    empty = [spark.createDataFrame([], raw_table_schema(s)) for s in SERVICES]
+    rows = testdata.trips_of_all_services(spark, sf_dir).withColumns(
+        {"run_id": F.lit(RAW_RUN_ID), "ingested_at_utc": F.lit(INGESTED_AT).cast("timestamp_ntz")})
+    return align(rows, union_services(*empty).schema)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str, services=SERVICES) -> DataFrame:
-    return _plan(spark, ("raw", sf_dir, tuple(services)),
-                 lambda: union_services(*[raw_table(spark, sf_dir, s) for s in services]))
+    def build():
+        if tuple(services) == tuple(SERVICES):
+            return _both_raw_tables(spark, sf_dir)
+        return union_services(*[raw_table(spark, sf_dir, s) for s in services])
+    return _plan(spark, ("raw", sf_dir, tuple(services)), build)
 
 
 def obt(spark: SparkSession, sf_dir: str, run_id: str = OBT_RUN_ID) -> DataFrame:

@@ -54,9 +54,18 @@ def _table_order(spark: SparkSession, table: str, df: DataFrame) -> DataFrame:
     return df.select(*spark.table(table).columns)
 
 
+def balanced(df: DataFrame, partition_keys=PARTITION_KEYS) -> DataFrame:
+    """Rows brought together by table partition for the writers: a partition above the advisory
+    size goes to several tasks, small ones share one (``REBALANCE``, decided at run time), so the
+    number of files follows the data and not the tasks of the input."""
+    return df.hint("rebalance", *[F.col(k) for k in partition_keys])
+
+
 def append(df: DataFrame, table: str, partition_keys=PARTITION_KEYS) -> None:
-    """Append rows; creates the table (partitioned) on first use."""
+    """Append rows; creates the table (partitioned) on first use. The input may have any
+    partitioning: writers are balanced by table partition."""
     spark = df.sparkSession
+    df = balanced(df, partition_keys)
     if spark.catalog.tableExists(table):
         _table_order(spark, table, df).write.insertInto(table, overwrite=False)
     else:
@@ -97,7 +106,8 @@ def catalog_partitions(spark: SparkSession, table: str) -> list[tuple[str, int,
     return out
 
 
-def replace_partitions(df: DataFrame, table: str, spec, run_id: str) -> Observation:
+def replace_partitions(df: DataFrame, table: str, spec, run_id: str,
+                       fail_outside: bool = False) -> Observation:
     """Idempotent replace of the spec's partitions with ``df``.
 
     1. dynamic partition overwrite: partitions present in ``df`` are replaced atomically; the
@@ -105,14 +115,19 @@ def replace_partitions(df: DataFrame, table: str, spec, run_id: str) -> Observat
        ``spec.size()`` keys, merged as task metrics — no second pass over the data);
     2. partitions of the spec that the catalog holds but the write did not touch received no
        new rows: they are dropped, so an empty source clears its partition.
-    ``run_id`` is the lineage value the rows carry. Returns the ``Observation``
-    (``rows``, ``partitions``).
+    ``run_id`` is the lineage value the rows carry. Rows of ``df`` outside the spec are not
+    written; they are counted, or with ``fail_outside`` fail the write before it commits. Returns
+    the ``Observation`` (``rows``, ``outside``, ``partitions``).
     """
     spark = df.sparkSession
     obs = Observation(f"replace_{table.replace('.', '_')}_{run_id}")
     keys = F.struct(*[F.col(k) for k in PARTITION_KEYS])
-    observed = df.where(spec.predicate()).observe(
-        obs, F.count(F.lit(1)).alias("rows"), F.collect_set(keys).alias("partitions"))
+    inside = F.coalesce(spec.predicate(), F.lit(False))
+    if fail_outside:
+        df = df.where(F.assert_true(inside, "a row lies outside the run's partitions").isNull())
+    observed = df.observe(
+        obs, F.count_if(inside).alias("rows"), F.count_if(~inside).alias("outside"),
+        F.collect_set(F.when(inside, keys)).alias("partitions")).where(inside)
     if not spark.catalog.tableExists(table):
         _writer(observed).partitionBy(*PARTITION_KEYS).saveAsTable(table)
         return obs

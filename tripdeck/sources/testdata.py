@@ -14,7 +14,7 @@ show them small and shuffles otherwise (AQE splits skewed order keys).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripdeck.sources.schemas import SERVICE_TIME_COLUMNS, align, raw_file_schema
@@ -67,18 +67,16 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
               .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
 
 
-def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
-    """Rows of ``service`` in the raw monthly-file shape, plus ``source_year``/``source_month``."""
-    pickup, dropoff = SERVICE_TIME_COLUMNS[service]
-    lines = _lines(spark, sf_dir).where(lines_of_service(service))
+def _trip_columns(service: Column) -> dict[str, Column]:
+    """The trip columns of joined order lines, for the given service of each line."""
     fare = F.col("l_extendedprice") / FARE_DIVISOR
     vendor = None
     for flag, code in RETURNFLAG_TO_VENDOR.items():
         vendor = (F.when(F.col("l_returnflag") == flag, F.lit(code)) if vendor is None
                   else vendor.when(F.col("l_returnflag") == flag, F.lit(code)))
-    cols = {
-        pickup: F.col("o_orderdate"),
-        dropoff: F.col("l_shipdate"),
+    return {
+        "pickup_datetime": F.col("o_orderdate"),
+        "dropoff_datetime": F.col("l_shipdate"),
         "VendorID": vendor,
         "store_and_fwd_flag": F.lit("N"),
         "RatecodeID": F.col("l_linenumber"),
@@ -96,17 +94,39 @@ def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
         "total_amount": fare * (1 + F.col("l_discount") + F.col("l_tax")),
         "payment_type": F.substring("o_orderpriority", 1, 1).cast("int"),
         "congestion_surcharge": F.lit(CONSTANT_CHARGES["congestion_surcharge"]),
+        "airport_fee": F.when(service == "yellow", F.lit(CONSTANT_CHARGES["airport_fee"])),
+        "trip_type": F.when(service != "yellow", F.col("l_linenumber") % 2 + 1),
+        "source_year": F.year("o_orderdate"),
+        "source_month": F.month("o_orderdate"),
     }
-    if service == "yellow":
-        cols["airport_fee"] = F.lit(CONSTANT_CHARGES["airport_fee"])
-    else:
-        cols["trip_type"] = F.col("l_linenumber") % 2 + 1
-    keys = [F.year("o_orderdate").alias("source_year"),
-            F.month("o_orderdate").alias("source_month")]
-    shaped = lines.select(*[c.alias(n) for n, c in cols.items()], *keys)
+
+
+def raw_trips(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
+    """Rows of ``service`` in the raw monthly-file shape, plus ``source_year``/``source_month``."""
+    pickup, dropoff = SERVICE_TIME_COLUMNS[service]
+    lines = _lines(spark, sf_dir).where(lines_of_service(service))
+    shaped = lines.select(*[c.alias(n) for n, c in _trip_columns(F.lit(service)).items()])
+    shaped = shaped.withColumnsRenamed({"pickup_datetime": pickup, "dropoff_datetime": dropoff})
     return align(shaped, raw_file_schema(service, with_keys=True))
 
 
+def trips_of_all_services(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of both services with their ``service_type`` and renamed times, from one pass over
+    the order lines."""
+    service = F.col("service_type")
+    lines = _lines(spark, sf_dir).withColumn("service_type", service_of_line())
+    return lines.select(*[c.alias(n) for n, c in _trip_columns(service).items()], "service_type")
+
+
+def trip_years(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """First and last pickup year (one aggregate over one column)."""
+    year = F.year("o_orderdate")
+    row = table(spark, sf_dir, "orders").agg(F.min(year).alias("a"), F.max(year).alias("b")).first()
+    if row["a"] is None:
+        raise ValueError(f"no trips in {sf_dir}")
+    return int(row["a"]), int(row["b"])
+
+
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Zone lookup: ``LocationID`` = nation key, ``Zone`` = nation name, ``Borough`` = region."""
     nation = table(spark, sf_dir, "nation")
