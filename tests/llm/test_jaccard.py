@@ -31,7 +31,7 @@ def classes(rows, n, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize("n,percent,seed", [(4, 85, 0), (5, 80, 1), (2, 60, 2)])
+@pytest.mark.parametrize("n,percent,seed", [(4, 85, 0), (5, 80, 1), (2, 60, 2), (1, 40, 3)])
 def test_classes_match_brute_force(spark, n, percent, seed):
     rows = corpus(seed, 90)
     out = jc.near_duplicate_classes(frame(spark, rows), n, percent).collect()
@@ -47,13 +47,13 @@ def test_null_ids_repeated_rows_and_empty_table(spark):
     assert jc.near_duplicate_classes(frame(spark, []), 4, 85).collect() == []
 
 
-@pytest.mark.parametrize("percent", [60, 80, 85])
+@pytest.mark.parametrize("percent", [30, 50, 60, 80, 85])
 def test_linked_sets_share_a_segment_key(percent):
     rng = np.random.default_rng(5)
     for _ in range(300):
         size = int(rng.integers(1, 400))
         u = np.unique(rng.integers(0, 2**63, size).astype(np.uint64) * np.uint64(2))
-        keep = u[rng.random(len(u)) > rng.random() * 0.25]
+        keep = u[rng.random(len(u)) > rng.random() * (1 - percent / 100) * 1.2]
         v = np.union1d(keep, rng.integers(0, 2**63, rng.integers(0, 30)).astype(np.uint64))
         both = len(np.intersect1d(u, v))
         if len(v) and 100 * both >= percent * (len(u) + len(v) - both):

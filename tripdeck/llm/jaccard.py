@@ -18,8 +18,9 @@ their differences, then x and y link exactly if
 
 Where the right side is not positive, both link with the group's member of least w, which gives
 one link per document. All other links need shared differences, and as w(y) >= percent s, at
-least (w(x) - (100 - percent) |c|) / 100 of them: a short prefix of the differences must meet.
-Such pairs, if not connected yet, are compared. No link between different classes is lost, so the
+least (w(x) - (100 - percent) |c|) / 100 of them. Differences that no two members of different
+classes have can't be shared; of the others, the rarest first, a short prefix must meet. Such
+pairs, if not connected yet, are compared. No link between different classes is lost, so the
 components are exact. Equal sets are joined first, by a 128-bit digest.
 """
 
@@ -36,7 +37,7 @@ from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, lower
                                slices, spaced_words, unpack)
 
 GROWTH = 1.5  # ratio of neighbouring size classes
-SAMPLE = 1024   # members of a group whose differences are counted to order them
+SAMPLE = 1024   # members of a group that vote on its consensus set
 # weights of members, as multiples of the consensus set's size, where a new band begins
 WEIGHT_BANDS = (*range(0, 64, 4), *range(64, 128, 8), 128, 144)
 PARTS = 8     # vertical partitions in which a pair's overlaps are counted
@@ -73,7 +74,7 @@ def size_classes(limit: int) -> list[int]:
 def segment_keys(u: np.ndarray, percent: int) -> np.ndarray:
     """Keys of the segments under which a set can meet each set it may link with.
 
-    A set takes part in its own size class and, if a larger partner can be there, in the next.
+    A set takes part in its own size class and in each above that a larger partner can be in.
     Of its segments only the first D + 1 are given, in a global order that puts large segments
     first and empty ones last: two sequences of equally many segments that differ in at most D
     share one among the first D + 1 of each.
@@ -81,11 +82,9 @@ def segment_keys(u: np.ndarray, percent: int) -> np.ndarray:
     n = len(u)
     largest = n * 100 // percent
     lows = size_classes(largest + 1)
-    own = int(np.searchsorted(lows, n, "right")) - 1
+    own, last = (int(k) - 1 for k in np.searchsorted(lows, (n, largest), "right"))
     keys = []
-    for c in (own, own + 1):
-        if lows[c] > largest and c > own:
-            break
+    for c in range(own, last + 1):
         top = lows[c + 1] - 1
         fragments = 2 * top * (100 - percent) // (100 + percent) + top // 50 + 3
         partner = max(n, min(largest, top))
@@ -195,11 +194,10 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
 
 def around_consensus(near: DataFrame, percent: int) -> DataFrame:
     """Differences of each group's members from the group's consensus, for groups of two or more
-    members around a leader: (l, x, c, w, lack, extra, common).
+    members around a leader: (l, x, c, w, lack, extra).
 
-    c is the consensus set's size; ``common`` lists differences that many members share. Both
-    come from about ``SAMPLE`` members a group, which decide only how short prefixes are: any
-    consensus and any order of the differences give the same links.
+    c is the consensus set's size. It comes from about ``SAMPLE`` members a group, which decide
+    only how short prefixes are: any consensus gives the same links.
     """
     size = written(near.groupBy("a").agg(F.count(F.lit(1)).alias("m")).where("m > 1"), "groups")
     near = near.join(small(size), "a").withColumn("close", F.expr("2 * both >= na + nb - both"))
@@ -208,13 +206,11 @@ def around_consensus(near: DataFrame, percent: int) -> DataFrame:
     votes = (some.select("a", "close", F.explode("lack").alias("e"), F.lit(True).alias("held"))
              .union(some.select("a", "close", F.explode("extra"), F.lit(False)))
              .groupBy("a", "e", "held")
-             .agg(F.count(F.lit(1)).alias("v"), F.count_if("close").alias("near"))
+             .agg(F.count_if("close").alias("near"))
              .join(voters, "a").withColumn("flip", F.expr("2 * near > voters")))
     lists = votes.groupBy("a").agg(
         F.expr("collect_list(e) filter (where flip and held)").alias("off"),
-        F.expr("collect_list(e) filter (where flip and not held)").alias("on"),
-        F.expr("sort_array(collect_list(struct(v, e)) filter (where v > 2 and not flip)).e")
-        .alias("common"))
+        F.expr("collect_list(e) filter (where flip and not held)").alias("on"))
     none = F.expr("cast(array() as array<long>)")
     off, on = (F.coalesce(F.col(c), none) for c in ("off", "on"))
     return (near.join(lists, "a", "left")
@@ -223,7 +219,7 @@ def around_consensus(near: DataFrame, percent: int) -> DataFrame:
                     F.concat(F.array_except("lack", off), F.array_except(on, "extra"))
                     .alias("lack"),
                     F.concat(F.array_except("extra", on), F.array_except(off, "lack"))
-                    .alias("extra"), F.coalesce("common", none).alias("common"))
+                    .alias("extra"))
             .withColumn("w", 100 * F.size("lack") + percent * F.size("extra")))
 
 
@@ -271,32 +267,41 @@ def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80):
     at = written(at.join(small(mine), "x", "left").withColumn("cx", F.coalesce("cx", "x")), "placed")
     split = at.groupBy("l").agg(F.min("cx").alias("least"), F.max("cx").alias("most"))
     split = small(written(split.where("least <> most").select("l"), "split-groups"))
-    every = F.concat("lack", "extra")
-    rare_first = F.concat(F.sort_array(F.array_except(every, "common")),
-                          F.array_intersect("common", every))
-    # a prefix for partners of each weight band that can share enough differences
+    at = at.join(split, "l")
+    # only differences that members of two components have can connect them
+    each = at.select("l", "x", "cx", F.explode(F.concat("lack", "extra")).alias("e"))
+    met = written(each.groupBy("l", "e")
+                  .agg(F.count(F.lit(1)).alias("v"), F.min("cx").alias("least"),
+                       F.max("cx").alias("most"))
+                  .where("least <> most").select("l", "e", "v"), "shared-differences")
+    rare_first = F.sort_array(F.collect_list(F.struct("v", "e")))["e"].alias("d")
+    shared = each.drop("cx").join(small(met), ["l", "e"]).groupBy("l", "x").agg(rare_first)
     low = F.lit([float(x) for x in WEIGHT_BANDS])
-    other_band = F.expr(f"explode(sequence(1, {len(WEIGHT_BANDS)}))")
-    at = (at.join(split, "l").withColumn("d", rare_first)
-          .withColumn("band", F.size(F.filter(low, lambda t: t * F.col("c") <= F.col("w"))))
-          .withColumn("partner", other_band)
+    spare = 100 - percent
+    at = (at.select("l", "x", "cx", "w", "c", F.size("lack").alias("r"), F.size("extra").alias("p"))
+          .join(shared, ["l", "x"])
+          .where(f"100 * size(d) >= w - {spare} * c")
+          .withColumn("band", F.size(F.filter(low, lambda t: t * F.col("c") <= F.col("w")))))
+    at = written(at, "shared-lists")
+    # a prefix for partners of each weight band there is that can share enough differences
+    bands = at.groupBy("l").agg(F.collect_set("band").alias("partners"))
+    at = (at.join(small(bands), "l").withColumn("partner", F.explode("partners"))
           .withColumn("from", F.get(low, F.col("partner") - 1) * F.col("c"))
           .withColumn("to", F.coalesce(F.get(low, F.col("partner")), F.lit(1e9)) * F.col("c"))
           .withColumn("need", F.greatest(
-              F.lit(1), F.ceil((F.col("w") - (100 - percent) * F.col("c")) / 100),
-              F.ceil((F.col("w") + F.col("from") - (100 - percent) * F.col("c"))
-                     / (100 + percent))))
+              F.lit(1), F.ceil((F.col("w") - spare * F.col("c")) / 100),
+              F.ceil((F.col("w") + F.col("from") - spare * F.col("c")) / (100 + percent))))
           .where((F.col("need") <= F.size("d")) & (percent * F.col("need") <= F.col("to")))
-          .select("l", "band", "partner", "x", "cx", "w", "c", F.size("lack").alias("r"),
-                  F.size("extra").alias("p"), F.posexplode(F.slice(
+          .select("l", "band", "partner", "x", "cx", "w", "c", "r", "p", F.size("d").alias("n"),
+                  F.posexplode(F.slice(
                       "d", F.lit(1), (F.size("d") - F.col("need") + 1).cast("int")))
                   .alias("at", "e")))
     at = written(at, "difference-prefixes")
     other = at.select("l", "e", F.col("band").alias("partner"), F.col("partner").alias("band"),
-                      *[F.col(c).alias(f"{c}2") for c in ("x", "cx", "w", "r", "p", "at")])
+                      *[F.col(c).alias(f"{c}2") for c in ("x", "cx", "w", "r", "p", "n", "at")])
     # the first element that two members share leaves only those behind it in both to share
     more = (at.join(other, ["l", "e", "band", "partner"]).where("x < x2 and cx <> cx2")
-            .where(f"{100 + percent} * least(r + p - at, r2 + p2 - at2, least(r, r2) + least(p, p2))"
+            .where(f"{100 + percent} * least(n - at, n2 - at2, least(r, r2) + least(p, p2))"
                    f" >= w + w2 - {100 - percent} * c")
             .select(F.col("x").alias("a"), F.col("x2").alias("b")).distinct())
     more = written(overlaps(written(more, "more-pairs"), texts, n).where(linked), "more-links")
