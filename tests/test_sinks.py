@@ -87,6 +87,10 @@ def test_round_trip_and_csv_export(spark):
     got = spark.read.option("header", True).csv(path)
     assert sorted(r["status"] for r in got.collect()) == ["a", "b"]
     assert len(got.inputFiles()) == 1
+    with pytest.raises(ValueError, match="number of files"):
+        tables.export_csv(rows.select("id"), path + "-many", max_rows=1)
+    tables.export_csv(rows.select("id"), path + "-many", files=2, max_rows=1)
+    assert len(spark.read.option("header", True).csv(path + "-many").inputFiles()) == 2
 
 
 def test_empty_source_clears_even_under_the_same_run_id(spark):

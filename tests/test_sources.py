@@ -69,3 +69,24 @@ def test_monthly_scan_lists_only_the_specs_files(spark):
     assert scanned.count() == rows.where(spec.predicate()).count()
     none = files.read_monthly_files(spark, root, "yellow", PartitionSpec(2030, 2030, (1,)))
     assert none.count() == 0 and "source_year" in none.columns
+
+
+def test_files_are_grouped_by_the_types_in_their_footers(spark):
+    """Months whose types change back and forth: few groups, every file in one, none opened by
+    the driver; many small files are one listing and some jobs."""
+    root = scratch_path(spark, "landing-types")
+    base = spark.range(0, 600, 1, 1).selectExpr(
+        "timestamp_ntz'2020-01-01 00:00:00' as lpep_pickup_datetime", "id as PULocationID",
+        "cast(id % 40 as int) as n")
+    for k, kind in enumerate(("int", "bigint", "double", "int")):
+        name = "format_string('green_tripdata_%04d-%02d.parquet', 2000 + n div 12, 1 + n % 12)"
+        (base.withColumn("PULocationID", F.col("PULocationID").cast(kind))
+         .where(f"n div 10 = {k}").withColumn("f", F.expr(name)).drop("n")
+         .write.mode("append").option("maxRecordsPerFile", 1).partitionBy("f").parquet(root))
+    landed = files.landed_files(spark, root, "green")
+    paths = [p for key in sorted(landed) for p in landed[key]]
+    assert len(paths) == 600 and len(landed) == 40
+    groups = files.schema_groups(spark, paths)
+    assert sorted(map(len, groups)) == [150, 150, 300]
+    out = files.read_monthly_files(spark, root, "green", landed=landed)
+    assert out.count() == 600 and out.agg(F.sum("PULocationID")).first()[0] == sum(range(600))

@@ -493,8 +493,16 @@ def poly_features_wide(spark, sf_dir):
     return fe.poly_features(obt.select(*fe.WIDE_NUMERIC), fe.WIDE_POLY_TERMS)
 
 
+def _kept(df, name):
+    """``df`` written to scratch space and read back: what several passes read, the joins run
+    once. Nothing is held in memory, and lost executors cost no recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _encoded(spark, sf_dir, poly=False):
-    return rg.encoded_split(_clean(spark, sf_dir), SPLIT, poly)
+    return rg.encoded_split(_kept(_clean(spark, sf_dir), "clean"), SPLIT, poly)
 
 
 @register("scaler_stats")
@@ -519,7 +527,8 @@ def scaled_features(spark, sf_dir):
 
 def _predictions(spark, sf_dir, feature="trip_distance"):
     """One-feature least squares fitted on train (regr_slope / regr_intercept)."""
-    df = _split(spark, sf_dir).withColumnRenamed("total_amount", "y")
+    df = _kept(_split(spark, sf_dir).withColumnRenamed("total_amount", "y")
+               .select("split", "y", feature), "predicted")
     coef = (df.where(F.col("split") == "train")
             .agg(F.regr_slope("y", feature).alias("b"), F.regr_intercept("y", feature).alias("a"))
             .first())

@@ -170,11 +170,14 @@ def round_trip(df: DataFrame, path: str, order_by: str) -> DataFrame:
     return df.sparkSession.read.parquet(path).orderBy(order_by)
 
 
-def export_csv(df: DataFrame, path: str, max_rows: int = 100_000) -> None:
-    """A result table (leaderboards, coefficients) as CSV with header: one file if it has at most
-    ``max_rows`` rows, otherwise one per partition."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        df = df.coalesce(1)
+def export_csv(df: DataFrame, path: str, files: int | None = 1, max_rows: int = 100_000) -> None:
+    """A result table (leaderboards, coefficients) as CSV with header, in ``files`` files (None:
+    one per partition of ``df``). The form never depends on the size: a table of more than
+    ``max_rows`` rows in one file raises, as one task would have to write it."""
+    if files == 1 and df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"more than {max_rows} rows in one file: state a number of files")
+    if files is not None:
+        df = df.coalesce(1) if files == 1 else df.repartition(files)
     df.write.mode("overwrite").option("header", True).csv(path)
 
 

@@ -7,6 +7,8 @@ same types are read in one scan; the keys of each row come from its file path
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,16 +55,34 @@ def landed_files(spark: SparkSession, root: str, service: str, spec=None
     return found
 
 
-def footer_schema(spark: SparkSession, path: str) -> str:
-    """The Parquet schema that a file's footer states (a metadata read, no Spark job)."""
-    jvm = spark._jvm.org.apache
-    source = jvm.parquet.hadoop.util.HadoopInputFile.fromPath(
-        jvm.hadoop.fs.Path(path), spark._jsc.hadoopConfiguration())
-    reader = jvm.parquet.hadoop.ParquetFileReader.open(source)
+def stated_schema(spark: SparkSession, paths: list[str]) -> T.StructType | None:
+    """The schema that the footers of all ``paths`` state, or None where they differ in a type.
+    Footers are read by tasks of one Spark job, none by the driver."""
     try:
-        return reader.getFooter().getFileMetaData().getSchema().toString()
-    finally:
-        reader.close()
+        return spark.read.option("mergeSchema", "true").parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as e:
+        if "CANNOT_MERGE_SCHEMAS" not in str(e):
+            raise
+        return None
+
+
+def schema_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
+    """``paths`` in groups whose footers state the same types, by halving what does not agree.
+
+    Types drift between releases, so in the order of time files with the same types stand
+    together: with k changes among n files about k log n jobs read all footers, in parallel."""
+    groups: dict[str, list[str]] = {}
+
+    def divide(part: list[str]) -> None:
+        schema = stated_schema(spark, part)
+        if schema is None:
+            divide(part[:len(part) // 2])
+            divide(part[len(part) // 2:])
+        else:
+            groups.setdefault(schema.json(), []).extend(part)
+    if paths:
+        divide(paths)
+    return list(groups.values())
 
 
 def read_monthly_files(spark: SparkSession, root: str, service: str, spec=None,
@@ -70,19 +90,16 @@ def read_monthly_files(spark: SparkSession, root: str, service: str, spec=None,
     """All monthly files of ``service`` below ``root`` (of ``spec``, if given) in the declared
     schema, with ``service_type, source_year, source_month`` (and ``source_path``) from the path.
 
-    Column types drift between months. Files are grouped by the schema in their footers, each of
-    the few groups is one scan with its own types, aligned to the declared ones. A root that
+    Column types drift between months. Files are grouped by the types in their footers
+    (``schema_groups``), each of the few groups is one scan with its own types, aligned to the
+    declared ones. A root that
     doesn't exist raises; a spec without any file gives no rows. ``landed`` may pass a listing
     that ``landed_files`` gave.
     """
     landed = landed_files(spark, root, service, spec) if landed is None else landed
-    groups: dict[str, list[str]] = {}
-    for paths in landed.values():
-        for path in paths:
-            groups.setdefault(footer_schema(spark, path), []).append(path)
     out = None
-    for paths in groups.values():
-        df = spark.read.parquet(*paths)
+    for paths in schema_groups(spark, [p for key in sorted(landed) for p in landed[key]]):
+        df = spark.read.option("mergeSchema", "true").parquet(*paths)
         path = F.col("_metadata.file_path")
         keys = {**keys_from_path(path), **({"source_path": path} if with_source_path else {})}
         df = df.withColumns(keys)
