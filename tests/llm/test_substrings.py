@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 import pytest
@@ -36,3 +37,18 @@ def test_repeated_rows_null_ids_and_empty_table(spark):
     assert remove_repeats(frame(spark, []), 35).collect() == []
     with pytest.raises(ValueError):
         remove_repeats(frame(spark, []), 5, 6)
+
+
+@pytest.mark.parametrize("group_rows", [4096, 2])
+def test_rows_of_one_id_with_other_texts_are_documents_of_their_own(spark, group_rows):
+    rng = random.Random(9)
+    for _ in range(3):
+        make = lambda n: [rng.choice("abcdefgh") + str(rng.randrange(40)) for _ in range(n)]
+        short, long = make(20), make(45)
+        rows = [(1, " ".join(make(20) + short + make(20))),
+                (1, " ".join(make(25) + short + make(15))),
+                (2, " ".join(make(9) + long + make(30))), (2, " ".join(make(31) + long)),
+                (3, " ".join(long)), (3, " ".join(long)), (3, None)]
+        out = remove_repeats(frame(spark, rows), 35, 8, group_rows).collect()
+        assert sorted((r.doc_id, r.n_words, r.n_removed, r.text) for r in out) \
+            == removed(rows, 35)

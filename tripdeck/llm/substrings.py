@@ -24,7 +24,7 @@ from tripdeck.llm.stages import small, written
 from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, ngrams, slices,
                                spaced_words, unpack)
 
-PARTITION_BYTES = 48 << 20  # context bytes of suffixes that a task holds
+PARTITION_BYTES = 48 << 20  # context bytes of suffixes that a task reads, a group at a time
 
 
 def sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -55,10 +55,10 @@ def anchors_of(words: Words, window: int, gram: int):
 
 
 def anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
-    """(key, doc_id, pos): the anchors of all documents with at least one window."""
+    """(key, doc, pos): the anchors of all documents (doc, text) with at least one window."""
     def run(batches):
         for batch in batches:
-            ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
+            ids = column(batch, "doc").to_numpy(zero_copy_only=False)
             data, off = buffers(column(batch, "text"))
             for i, j in slices(off):
                 words = Words(data[off[i]:off[j]], off[i:j + 1] - off[i], spaced_words())
@@ -68,8 +68,8 @@ def anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(key.view(np.int64)), pa.array(ids[i + doc]),
                          pa.array((at - words.off[doc]).astype(np.int32))],
-                        ["key", "doc_id", "pos"])
-    return doc_texts(docs).mapInArrow(run, "key long, doc_id long, pos int")
+                        ["key", "doc", "pos"])
+    return docs.select("doc", "text").mapInArrow(run, "key long, doc long, pos int")
 
 
 def _documents(batch):
@@ -85,13 +85,13 @@ def _documents(batch):
 
 
 def contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
-    """(key, doc_id, pos, context): the words before (nearest first) and after each suffix, as
+    """(key, doc, pos, context): the words before (nearest first) and after each suffix, as
     64-bit hashes; zero where the document has none."""
     before, after = window - gram, window
 
     def run(batches):
         for batch in batches:
-            ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
+            ids = column(batch, "doc").to_numpy(zero_copy_only=False)
             spots, keys = column(batch, "pos"), column(batch, "keys")
             for k, h in _documents(batch):
                 at = np.array(spots[k].as_py(), np.int64)
@@ -106,8 +106,8 @@ def contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
                     [pa.array(at_key), pa.array(np.full(len(at), ids[k])),
                      pa.array(at.astype(np.int32)),
                      pa.array([r.tobytes() for r in rows], pa.binary())],
-                    ["key", "doc_id", "pos", "context"])
-    return placed.mapInArrow(run, "key long, doc_id long, pos int, context binary")
+                    ["key", "doc", "pos", "context"])
+    return placed.mapInArrow(run, "key long, doc long, pos int, context binary")
 
 
 def common_depth(key: np.ndarray, rows: np.ndarray):
@@ -149,22 +149,34 @@ def repeated_offsets(key: np.ndarray, context: np.ndarray, window: int, gram: in
 
 
 def subtree_marks(suffixes: DataFrame, window: int, gram: int) -> DataFrame:
-    """(doc_id, pos, mask) of the suffixes that repeated windows hold, from whole prefix groups."""
+    """(doc, pos, mask) of the suffixes that repeated windows hold. Suffixes come ordered by key;
+    whole prefix groups are worked through as they arrive, a batch or a group at a time."""
     width = 2 * window - gram
 
+    def solve(parts):
+        key = np.concatenate([column(b, "key").to_numpy() for b in parts]).view(np.uint64)
+        context = np.concatenate([buffers(column(b, "context"))[0] for b in parts])
+        mask = repeated_offsets(key, context.view(np.uint64).reshape(-1, width), window, gram)
+        hit = np.flatnonzero(mask)
+        doc, pos = (np.concatenate([column(b, c).to_numpy() for b in parts])[hit]
+                    for c in ("doc", "pos"))
+        return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(pos), pa.array(mask[hit])],
+                                          ["doc", "pos", "mask"])
+
     def run(batches):
-        kept = [b for b in batches if b.num_rows]
-        if not kept:
-            return
-        table = pa.Table.from_batches(kept)
-        key = table["key"].to_numpy().view(np.uint64)
-        context = np.frombuffer(b"".join(table["context"].to_pylist()), np.uint64)
-        mask = repeated_offsets(key, context.reshape(-1, width), window, gram)
-        hit = pa.array(mask != 0)
-        out = pa.table({"doc_id": table["doc_id"], "pos": table["pos"],
-                        "mask": pa.array(mask)}).filter(hit)
-        yield from out.to_batches()
-    return suffixes.mapInArrow(run, "doc_id long, pos int, mask long")
+        held = []                      # rows of the last key seen
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = column(batch, "key").to_numpy()
+            cut = int(np.searchsorted(key, key[-1]))      # where the last group begins
+            if cut or (held and column(held[0], "key")[0].as_py() != key[0]):
+                yield solve([*held, batch.slice(0, cut)] if cut else held)
+                held = []
+            held.append(batch.slice(cut))
+        if held:
+            yield solve(held)
+    return suffixes.mapInArrow(run, "doc long, pos int, mask long")
 
 
 def window_rows(placed: DataFrame, window: int, gram: int) -> DataFrame:
@@ -172,7 +184,7 @@ def window_rows(placed: DataFrame, window: int, gram: int) -> DataFrame:
     each with its places in a batch, so that a window that many documents share is a few rows."""
     def run(batches):
         for batch in batches:
-            ids = column(batch, "doc_id").to_numpy(zero_copy_only=False)
+            ids = column(batch, "doc").to_numpy(zero_copy_only=False)
             spots = column(batch, "pos")
             found = [[], [], [], []]
             for k, h in _documents(batch):
@@ -204,7 +216,7 @@ def window_rows(placed: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def remove_marked(marked: DataFrame, window: int) -> DataFrame:
-    """(doc_id, n_words, n_removed, text): texts without the words that marked windows cover;
+    """(doc_id, n_words, n_removed, text): texts of (doc_id, z, marks) without the words that marked windows cover;
     kept words are joined by one space."""
     def run(batches):
         for batch in batches:
@@ -258,22 +270,24 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
 
     Words are runs of non-white-space, unchanged; windows are judged on the input. Null text has
     no words; documents shorter than a window stay whole. Rows with a null doc_id are left out.
-    Repeated rows are documents of their own and so repeat each other; rows that share a doc_id
-    share its marks. Extra columns are ignored; an empty table gives an empty result.
+    Every row is a document of its own: repeated rows repeat each other, rows that share a doc_id
+    but not the text are told apart by a 64-bit hash of both. Extra columns are ignored; an empty
+    table gives an empty result.
     """
     if not 0 < gram <= window < gram + 62:
         raise ValueError("the gram must be shorter than the window, by 61 words at most")
+    docs = doc_texts(docs).withColumn("doc", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
     found = written(anchors(docs, window, gram), "anchors")
     again = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     twice = written(found.join(again, "key"), "repeated-anchors")
-    docs = doc_texts(docs)
 
     def placed(own):
-        lists = written(own.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "key"))
-                                                  .alias("at")), "anchor-lists")
-        some = docs.join(small(lists.select("doc_id")), "doc_id", "left_semi")
-        return (compact(some).join(lists, "doc_id")
-                .select("doc_id", "z", F.col("at.pos").alias("pos"), F.col("at.key").alias("keys")))
+        """Anchors per document, at most one for each of its words however often a row repeats."""
+        lists = written(own.groupBy("doc").agg(F.collect_set(F.struct("pos", "key"))
+                                               .alias("at")), "anchor-lists")
+        some = docs.join(small(lists.select("doc")), "doc", "left_semi")
+        return (compact(some, ["doc"]).join(lists, "doc")
+                .select("doc", "z", F.col("at.pos").alias("pos"), F.col("at.key").alias("keys")))
 
     # an average suffix has 2 * window - gram words of context
     rows = twice.where(F.col("n") <= group_rows).count()
@@ -281,7 +295,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                 -(-rows * 8 * (2 * window - gram) // PARTITION_BYTES))
     suffixes = contexts(placed(twice.where(F.col("n") <= group_rows)), window, gram)
-    marks = subtree_marks(suffixes.repartition(parts, "key"), window, gram)
+    marks = subtree_marks(suffixes.repartition(parts, "key").sortWithinPartitions("key"), window,
+                          gram)
     crowded = written(window_rows(placed(twice.where(F.col("n") > group_rows)), window, gram),
                       "crowded-windows")
     repeats = (crowded.groupBy("w1", "w2").agg(F.sum(F.size("docs")).alias("n"))
@@ -289,7 +304,7 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
     # dealt out evenly again before the places of shared windows become rows
     places = crowded.join(repeats, ["w1", "w2"]).select("docs", "starts").repartition(parts)
     marks = marks.union(places.select(F.explode(F.arrays_zip("docs", "starts")).alias("at"))
-                        .select(F.col("at.docs").alias("doc_id"), F.col("at.starts").alias("pos"),
+                        .select(F.col("at.docs").alias("doc"), F.col("at.starts").alias("pos"),
                                 F.lit(1).cast("long").alias("mask")))
-    per_doc = marks.groupBy("doc_id").agg(F.collect_list(F.struct("pos", "mask")).alias("marks"))
-    return remove_marked(compact(docs).join(per_doc, "doc_id", "left"), window)
+    per_doc = marks.groupBy("doc").agg(F.collect_set(F.struct("pos", "mask")).alias("marks"))
+    return remove_marked(compact(docs, ["doc_id", "doc"]).join(per_doc, "doc", "left"), window)

@@ -156,16 +156,20 @@ def doc_texts(docs):
                        F.col("text").cast("string").alias("text")).where("doc_id is not null")
 
 
-def compact(docs):
-    """(doc_id, z): each whole text zstd-compressed, the form in which texts are shuffled."""
+def compact(docs, keys=("doc_id",)):
+    """(doc_id, z): each whole text zstd-compressed, the form in which texts are shuffled.
+    With other ``keys``, long columns of ``docs``, these instead of doc_id."""
+    keys = list(keys)
+
     def pack(batches):
         codec = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             data, off = buffers(column(batch, "text"))
             z = [codec.compress(data[a:b]) for a, b in zip(off[:-1], off[1:], strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [column(batch, "doc_id"), pa.array(z, pa.binary())], ["doc_id", "z"])
-    return doc_texts(docs).mapInArrow(pack, "doc_id long, z binary")
+                [*(column(batch, c) for c in keys), pa.array(z, pa.binary())], [*keys, "z"])
+    docs = doc_texts(docs) if keys == ["doc_id"] else docs.select(*keys, "text")
+    return docs.mapInArrow(pack, ", ".join(f"{c} long" for c in [*keys]) + ", z binary")
 
 
 def unpack(column) -> tuple[np.ndarray, np.ndarray]:
