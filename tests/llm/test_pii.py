@@ -1,7 +1,11 @@
+import itertools
+import math
 import random
 import re
+from collections import Counter
 
 import pytest
+import regex
 from fixtures import frame
 from pyspark.sql import functions as F
 
@@ -102,3 +106,71 @@ def test_chance_is_no_evidence(spark):
     rows = [(k, f"{fill} info@example.org own{k}word") for k in range(10)]
     rows += [(10 + k, fill) for k in range(20)]
     assert all("[TERM]" not in clean for clean, _ in sanitise(spark, rows).values())
+
+
+def estimated(rows, threshold=0.9, significance=0.05, reach=40):
+    """Disclosing terms by counts in dictionaries, in plain Python."""
+    docs = {(i, t) for i, t in rows}
+    word, letter = regex.compile(r"[^\p{L}\p{N}]+"), r"[\p{L}\p{N}]"
+    split = lambda t: {w for w in word.split(t.lower()) if len(w) >= 3}
+    n_e, n_te, n_t = Counter(), Counter(), Counter()
+    for _, text in docs:
+        text = text or ""
+        n_t.update(split(text))
+        spans, pairs, ends = base(text), set(), [m.end() for m in regex.finditer(pii.BOUNDARY, text)]
+        for lo, hi in itertools.pairwise([0, *ends, len(text)]):
+            if not any(lo <= s[0] < hi for s in spans):
+                continue
+            a, b = max(lo - reach - 1, 0), hi + reach + 1
+            wide = text[a:b]
+            wide = regex.sub(f"^{letter}+", "", wide) if a > 0 else wide
+            wide = regex.sub(f"(?<!{letter}){letter}+$", "", wide) if b < len(text) else wide
+            for s in reversed(base(wide)):
+                wide = wide[:s[0]] + " " * (s[2] - s[0]) + wide[s[2]:]
+            pairs |= {(text[lo:hi][s[0]:s[2]].lower(), w) for s in base(text[lo:hi])
+                      for w in split(wide) | {None}}
+        n_e.update({e for e, _ in pairs})
+        n_te.update(p for p in pairs if p[1])
+    total, found = len(docs), set()
+
+    def evidence(k, draws, share):
+        rest = draws - k
+        return k * math.log(k / (draws * share)) + (
+            rest * math.log(rest / (draws * max(1 - share, 1e-12))) if rest else 0.0)
+    for (e, t), k in n_te.items():
+        info = math.log2(total / n_e[e])
+        if info > 0 and math.log2(total * k / (n_t[t] * n_e[e])) >= threshold * info and max(
+                evidence(k, n_e[e], n_t[t] / total),
+                evidence(k, n_t[t], n_e[e] / total)) >= -math.log(significance):
+            found.add(t)
+    return found
+
+
+@pytest.mark.parametrize("seed", [0, 1])
+def test_terms_equal_counts_in_dictionaries(spark, seed):
+    rng = random.Random(seed)
+    common = ["the", "and", "says", "with", "über", "number", "plain"]
+    rare = [f"name{k}" for k in range(12)]
+    people = [f"p{k}@site{k}.org" for k in range(5)] + ["10.0.0.7", "+49 30 123 456 78"]
+    rows = []
+    for k in range(120):
+        words = rng.choices(common, k=rng.randint(3, 40))
+        if rng.random() < 0.4:
+            p = rng.randrange(len(people))
+            at = rng.randrange(len(words))
+            words[at:at] = [people[p], rare[p] if rng.random() < 0.8 else rng.choice(rare)]
+        if rng.random() < 0.1:
+            words.append(rng.choice(rare))
+        rows.append((k // 2 * 2 if rng.random() < 0.1 else k,
+                     rng.choice([" ", " ", ". ", "! "]).join(words)))
+    rows += [rows[3], rows[3], rows[8], (500, None), (501, "")]
+    want = estimated(rows)
+    assert want
+    found = sanitise(spark, rows)
+    marked = {t[s[0]:s[2]].lower() for (_, t), (_, spans) in found.items() for s in spans
+              if s[3] == pii.TERM}
+    assert marked == want
+    for (_, t), (_, spans) in found.items():
+        own = [s[0] for s in spans if s[3] == pii.TERM]
+        assert own == [m.start() for m in regex.finditer(r"[\p{L}\p{N}]+", t or "")
+                       if m[0].lower() in want]

@@ -19,9 +19,10 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripdeck.llm.stages import written
+from tripdeck.llm.stages import small, written
 
 MARK, OTHER = "\u0001", "\u0002"
+BROADCAST_BYTES = 64 << 20  # disclosing terms per document that every executor gets at most
 
 # Kinds in the order in which spans of one start are listed. The patterns are those
 # of the contract, with possessive quantifiers, and starts inside a run that can't match are
@@ -143,9 +144,13 @@ def disclosing_terms(docs: DataFrame, spanned: DataFrame, threshold: float, sign
     """(term): words that disclose some entity; ``spanned`` has doc_id, text and spans.
 
     A context is the whole sentence of an entity and at least ``reach`` characters on either side
-    of it, without base spans. Documents are distinct pairs of doc_id and text.
+    of it, without base spans. Documents are distinct pairs of doc_id and text: each of m repeated
+    rows counts 1 / m, so that counts over all documents are sums which tasks take beforehand.
     """
     key = F.xxhash64("doc_id", "text").alias("doc")
+    keys = docs.select(key).groupBy("doc").agg(F.count(F.lit(1)).alias("m"))
+    total = float(keys.count())
+    again = small(written(keys.where("m > 1").withColumnRenamed("doc", "again"), "pii-repeated"))
     near = (spanned.where("size(spans) > 0")
             .select(key, F.explode(_contexts(F.col("text"), F.col("spans"), reach)).alias("c"))
             .select("doc", "c.own", "c.around")
@@ -157,7 +162,6 @@ def disclosing_terms(docs: DataFrame, spanned: DataFrame, threshold: float, sign
     near = written(near, "pii-contexts")
     said = near.select("doc", "terms", F.explode("entities").alias("entity"))
     entities = said.groupBy("entity").agg(F.countDistinct("doc").alias("n_e"))
-    total = float(docs.select(key).agg(F.countDistinct("doc").alias("n")).first()["n"])
     info = F.log2(F.lit(total) / F.col("n_e"))
 
     def discloses(n_t):
@@ -175,10 +179,13 @@ def disclosing_terms(docs: DataFrame, spanned: DataFrame, threshold: float, sign
     terms = written(pairs.select("term").distinct(), "pii-candidates")
     if terms.isEmpty():
         return terms
-    said_at = docs.select(key, F.explode(F.array_distinct(_words(F.col("text")))).alias("term"))
+    part = F.lit(1.0) / F.coalesce("m", F.lit(1))
+    said_at = (docs.join(again, F.xxhash64("doc_id", "text") == F.col("again"), "left")
+               .select(part.alias("part"),
+                       F.explode(F.array_distinct(_words(F.col("text")))).alias("term")))
     if terms.count() <= broadcast_rows:
         said_at = said_at.join(F.broadcast(terms), "term", "left_semi")
-    counts = said_at.groupBy("term").agg(F.countDistinct("doc").alias("n_t"))
+    counts = said_at.groupBy("term").agg(F.round(F.sum("part")).alias("n_t"))
     return written(pairs.join(counts, "term").where(discloses(F.col("n_t")))
                    .select("term").distinct(), "pii-terms")
 
@@ -206,6 +213,11 @@ def personal_data(docs: DataFrame, threshold: float = 0.9, significance: float =
             .groupBy("doc_id", "version").agg(F.collect_set("term").alias("terms")))
     held = written(held.withColumnsRenamed({"doc_id": "held_doc", "version": "held_version"}),
                    "pii-held-terms")
+    size = held.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(F.array_join("terms", "")))
+                    .alias("bytes"), F.sum(F.size("terms")).alias("terms")).first()
+    # 48 bytes a row and 24 a term, beside the terms' own; without it the texts would be shuffled
+    if size["n"] and 48 * size["n"] + 24 * size["terms"] + size["bytes"] <= BROADCAST_BYTES:
+        held = F.broadcast(held)
     quoted = F.array_join(F.transform("terms", lambda t: F.concat(F.lit("\\Q"), t, F.lit("\\E"))), "|")
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), quoted, F.lit(r")(?![\p{L}\p{N}])"))
     more = _marked_spans(F.col("text"), pattern, TERM, len(KINDS), lambda m: F.lit(True))
