@@ -152,3 +152,25 @@ def test_report_has_all_levels_in_one_aggregate(spark):
     years = rep.where("level = 0").drop("level")
     assert sorted(map(tuple, years.collect())) == sorted(map(tuple, run_summary_by_year(led).collect()))
     assert sorted(r["rows"] for r in rep.where("level = 1").collect()) == [5, 7]
+
+
+def test_the_ledger_counts_rows_from_metadata_alone(spark, monkeypatch):
+    table = _table(spark)
+    z = zones_df(spark)
+    spec = PartitionSpec(2020, 2020, (1, 2, 3))
+    rows = [{"source_month": m} for m in (1, 1, 1, 2)]
+    tables.append(obt_from_raw(raw_rows(spark, "yellow", rows), z, "A"), table)
+    tables.append(obt_from_raw(raw_rows(spark, "yellow", rows[:2]), z, "A"), table)
+    plans, count = [], tables.partition_counts
+
+    def watched(df):
+        out = count(df)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+    monkeypatch.setattr(tables, "partition_counts", watched)
+    got = {(r[0], r[2]): r["rows"] for r in tables.post_write_ledger(spark, table, spec).collect()}
+    assert got == {("yellow", 1): 5, ("yellow", 2): 1, ("yellow", 3): 0,
+                   ("green", 1): 0, ("green", 2): 0, ("green", 3): 0}
+    assert "PushedAggregation: [COUNT(*)]" in plans[0] and "PushedGroupBy" in plans[0]
+    empty = PartitionSpec(2021, 2021, (1,))
+    assert {r["rows"] for r in tables.post_write_ledger(spark, table, empty).collect()} == {0}
