@@ -24,6 +24,7 @@ from tripdeck.llm.stages import small, written
 from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, ngrams, slices,
                                spaced_words, unpack)
 
+WINDOWS = 1 << 18           # windows that a task holds at a time to group equal ones
 PARTITION_BYTES = 48 << 20  # context bytes of suffixes that a task reads, a group at a time
 
 
@@ -181,37 +182,42 @@ def subtree_marks(suffixes: DataFrame, window: int, gram: int) -> DataFrame:
 
 def window_rows(placed: DataFrame, window: int, gram: int) -> DataFrame:
     """(w1, w2, docs, starts): 128-bit hashes of the windows around suffixes of crowded groups,
-    each with its places in a batch, so that a window that many documents share is a few rows."""
+    each with its places among ``WINDOWS``, so that a window many documents share is a few rows."""
+    def grouped(found):
+        w1, w2, docs, starts = map(np.concatenate, found)
+        order = np.lexsort((w2, w1))
+        w1, w2, docs, starts = (x[order] for x in (w1, w2, docs, starts))
+        new = np.flatnonzero(np.concatenate(
+            ([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))[:len(w1)])
+        ends = pa.array(np.append(new, len(w1)).astype(np.int32))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(w1[new].view(np.int64)), pa.array(w2[new].view(np.int64)),
+             pa.ListArray.from_arrays(ends, pa.array(docs.astype(np.int64))),
+             pa.ListArray.from_arrays(ends, pa.array(starts.astype(np.int32)))],
+            ["w1", "w2", "docs", "starts"])
+
     def run(batches):
+        found, size = [[], [], [], []], 0
         for batch in batches:
             ids = column(batch, "doc").to_numpy(zero_copy_only=False)
             spots = column(batch, "pos")
-            found = [[], [], [], []]
             for k, h in _documents(batch):
-                size = len(h) - window + 1
-                if size <= 0:
+                if len(h) < window:
                     continue
                 at = np.array(spots[k].as_py(), np.int64)
                 near = np.zeros(len(h) + 1, np.int64)
                 np.add.at(near, np.maximum(at - (window - gram), 0), 1)
                 np.add.at(near, np.minimum(at + 1, len(h)), -1)
-                start = np.flatnonzero(np.cumsum(near)[:size] > 0)
+                start = np.flatnonzero(np.cumsum(near)[:len(h) - window + 1] > 0)
                 for out, x in zip(found, (*(ngrams(h, window, seed)[start] for seed in (11, 12)),
                                           np.full(len(start), ids[k]), start), strict=True):
                     out.append(x)
-            if not found[0]:
-                continue
-            w1, w2, docs, starts = map(np.concatenate, found)
-            order = np.lexsort((w2, w1))
-            w1, w2, docs, starts = (x[order] for x in (w1, w2, docs, starts))
-            new = np.flatnonzero(np.concatenate(
-                ([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))[:len(w1)])
-            ends = pa.array(np.append(new, len(w1)).astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(w1[new].view(np.int64)), pa.array(w2[new].view(np.int64)),
-                 pa.ListArray.from_arrays(ends, pa.array(docs.astype(np.int64))),
-                 pa.ListArray.from_arrays(ends, pa.array(starts.astype(np.int32)))],
-                ["w1", "w2", "docs", "starts"])
+                size += len(start)
+                if size >= WINDOWS:
+                    yield grouped(found)
+                    found, size = [[], [], [], []], 0
+        if size:
+            yield grouped(found)
     return placed.mapInArrow(run, "w1 long, w2 long, docs array<long>, starts array<int>")
 
 
