@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -46,6 +47,25 @@ def brute(rows, items, least, identity, shortest):
     return out
 
 
+def any_region(rows, items, least, identity, shortest):
+    """Pairs of which some region of some diagonal passes, all regions tried."""
+    out = set()
+    for i, t in rows:
+        doc = normal(t)
+        for item_id, text in items:
+            own = normal(text)
+            for d in range(-len(own) + 1, len(doc)) if len(own) >= shortest else ():
+                lo, hi = max(0, d), min(len(doc), d + len(own))
+                upto = np.cumsum([0] + [doc[k] == own[k - d] for k in range(lo, hi)])
+                if upto[-1] < min(least, len(own)):
+                    continue
+                matches = upto[None, :] - upto[:, None]
+                length = np.arange(len(upto))[None, :] - np.arange(len(upto))[:, None]
+                if ((matches >= min(least, len(own))) & (matches >= identity * length)).any():
+                    out.add((i, item_id))
+    return out
+
+
 def rows():
     out = [(1, None), (2, ""), (3, " ".join(make(3000)))]
     for k in range(30):
@@ -68,7 +88,8 @@ def test_finds_substituted_passages(spark, monkeypatch, size):
     out = dc.find_overlaps(frame(spark, data), items).collect()
     got = {(r.doc_id, x.item_id): x.matches for r in out for x in r.leaks}
     exp = brute(data, ITEMS, 12, 0.8, 5)
-    assert got == exp and len(exp) >= 15
+    assert {k: v for k, v in got.items() if k in exp} == exp and len(exp) >= 15
+    assert set(got) == any_region(data, ITEMS, 12, 0.8, 5)
     assert len(out) == len(data) and all(r.source == "s" for r in out)
     for r in out:
         doc = normal(r.text)
@@ -112,3 +133,22 @@ def test_regions_beside_the_best_scoring_one(spark, runs):
     assert found[2] == [] and len(found[1]) == 1
     x = found[1][0]
     assert x.matches >= 12 and x.matches >= 0.8 * x.length
+
+
+def test_every_pattern_of_substitutions_meets_a_mask():
+    """All ways to substitute words that leave 12 matches and 80 %, in regions of 12 to 20 words
+    and, by chance, in longer ones."""
+    def met(length, patterns):
+        hit = np.zeros(len(patterns), bool)
+        for mask in dc.MASKS:
+            ones = sum(1 << k for k, c in enumerate(mask) if c == "1")
+            for at in range(length - len(mask) + 1):
+                hit |= patterns & (ones << at) == ones << at
+        return hit.all()
+    rng = random.Random(3)
+    for length in range(12, 60):
+        most = max(k for k in range(length) if length - k >= 12 and length - k >= 0.8 * length)
+        ways = itertools.combinations(range(length), most) if length <= 20 else (
+            rng.sample(range(length), most) for _ in range(20_000))
+        full = (1 << length) - 1
+        assert met(length, np.array([full - sum(1 << k for k in c) for c in ways], np.int64))

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from tripdeck.llm.text import (Words, alnum_words, buffers, column, lowered, mix, slices)
 
-MASKS = ("110100111", "111001011", "1100110011")
+# Together these have a hit in every region of 12 or more matches of which at least 80 % match,
+# wherever the substitutions lie (tests/llm/test_decontam.py tries all up to 20 words).
+MASKS = ("110100111", "111001011", "1100110011", "111111", "100000011111")
 MISMATCH = -2        # score of a substituted word; a match scores 1
 FILTER_BITS = 20
 BENCHMARK_BYTES = 16 << 20  # benchmark text that one pass sends to the tasks
@@ -141,8 +143,9 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12,
     words (all, for shorter items) and the share ``identity`` of the region match. Of a diagonal
     the region with the best score is taken if it passes, else the one with the most
     matches of those that pass; of several diagonals the one with the most matches; start and
-    length count words. Whole texts and all items of at least ``shortest`` words are
-    searched; a null text or a document without words has no leaks. Benchmark rows with a null id
+    length count words. With the default ``min_words`` and ``identity`` no overlap is missed: some
+    mask meets every one. Whole texts and all items of at least ``shortest`` words are searched
+    (a few words in common are no leak); a null text or a document without words has no leaks. Benchmark rows with a null id
     or text are left out. Rows of ``docs`` are kept as they are, repeated ones too; a column
     named ``leaks`` is replaced. A benchmark larger than ``BENCHMARK_BYTES`` is searched in
     several passes, each with a part of its items that is proven to fit.
