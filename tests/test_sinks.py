@@ -174,3 +174,57 @@ def test_the_ledger_counts_rows_from_metadata_alone(spark, monkeypatch):
     assert "PushedAggregation: [COUNT(*)]" in plans[0] and "PushedGroupBy" in plans[0]
     empty = PartitionSpec(2021, 2021, (1,))
     assert {r["rows"] for r in tables.post_write_ledger(spark, table, empty).collect()} == {0}
+
+
+def test_a_killed_replace_leaves_the_old_state_or_is_finished_to_the_new_one(spark, monkeypatch):
+    z = zones_df(spark)
+    spec = PartitionSpec(2020, 2020, (1, 2, 3, 4), ("yellow",))
+
+    def build(months, run):
+        return obt_from_raw(raw_rows(spark, "yellow", [{"source_month": m} for m in months]), z, run)
+    old = [("yellow", 2020, m, "A", 1) for m in (1, 2, 3)]
+    new = [("yellow", 2020, 1, "B", 2), ("yellow", 2020, 4, "B", 1)]
+
+    class Killed(Exception):
+        pass
+
+    def killed(*args, **kwargs):
+        raise Killed
+    # before the plan stands: the old state; while it is carried out: the rest is made up for
+    for step in ("finish_replace", "_partition_folder", "drop_partitions"):
+        table = _table(spark)
+        tables.replace_partitions(build((1, 2, 3), "A"), table, spec, "A")
+        assert _content(spark, table) == old
+        with monkeypatch.context() as m:
+            if step == "finish_replace":
+                m.setattr(tables, "json", type("J", (), {"dumps": killed}))
+            elif step == "_partition_folder":     # the second of two partitions is not moved
+                names, folder = [], tables._partition_folder
+
+                def once(key, names=names, folder=folder):
+                    names.append(key)
+                    return killed() if len(names) > 2 else folder(key)
+                m.setattr(tables, step, once)
+            else:
+                m.setattr(tables, step, killed)
+            with pytest.raises(Killed):
+                tables.replace_partitions(build((1, 1, 4), "B"), table, spec, "B")
+        spark.catalog.refreshTable(table)
+        if step == "finish_replace":
+            assert _content(spark, table) == old and not tables.finish_replace(spark, table)
+            tables.replace_partitions(build((1, 1, 4), "B"), table, spec, "B")
+        else:
+            assert tables.finish_replace(spark, table)
+        assert _content(spark, table) == new and not tables.finish_replace(spark, table)
+        counts = {r[2]: r["rows"] for r in tables.post_write_ledger(spark, table, spec).collect()}
+        assert counts == {1: 2, 2: 0, 3: 0, 4: 1}
+    # the next replace of a table finishes what a killed one left
+    table = _table(spark)
+    tables.replace_partitions(build((1, 2, 3), "A"), table, spec, "A")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "drop_partitions", killed)
+        with pytest.raises(Killed):
+            tables.replace_partitions(build((1, 1, 4), "B"), table, spec, "B")
+    only = PartitionSpec(2020, 2020, (4,), ("yellow",))
+    tables.replace_partitions(build((4, 4), "C"), table, only, "C")
+    assert _content(spark, table) == [new[0], ("yellow", 2020, 4, "C", 2)]

@@ -2,14 +2,17 @@
 post-write counts, round trip, and CSV export of small result tables.
 
 Partitioned tables are catalog tables partitioned by ``(service_type, source_year,
-source_month)``. Replacing partitions uses Spark's dynamic partition overwrite: each partition
-present in the new data is swapped in one commit per job (no delete-then-append window), and
-partitions of the run's spec that the new data does not contain are dropped afterwards, so an
-empty source clears its partition as the delete in the original workflow did.
+source_month)``. Replacing partitions writes the new ones beside the table and moves them in by a
+plan that a later run can finish, and partitions of the run's spec that the new data does not
+contain are dropped by the same plan, so an empty source clears its partition as the delete in the
+original workflow did. Tables are readable throughout; a reader may meet some partitions before and
+some after their move.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from contextlib import contextmanager
 from urllib.parse import unquote
 
@@ -38,6 +41,7 @@ def session_conf(spark: SparkSession, key: str, value: str):
 
 
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+PLAN = "plan.json"
 V1_SOURCES = "spark.sql.sources.useV1SourceList"
 COUNT_PUSHDOWN = "spark.sql.parquet.aggregatePushdown"
 
@@ -108,18 +112,64 @@ def catalog_partitions(spark: SparkSession, table: str) -> list[tuple[str, int,
     return out
 
 
+def _plan_path(spark: SparkSession, table: str):
+    """The table's file system, and where a replace keeps its plan (a name that scans skip)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{table_location(spark, table)}/_replace")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _partition_folder(key) -> str:
+    return "/".join(f"{k}={v}" for k, v in zip(PARTITION_KEYS, key, strict=True))
+
+
+def finish_replace(spark: SparkSession, table: str) -> bool:
+    """Carry out the plan of a replace, this run's or one that a killed run left; False if there
+    is none. Every step may be repeated: a staged partition is moved while it is there, partitions
+    are added if missing and dropped if present, and the plan goes last."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs, home = _plan_path(spark, table)
+    plan_file = path(home, PLAN)
+    if not fs.exists(plan_file):
+        return False
+    lines = spark.read.text(plan_file.toString()).collect()
+    plan = json.loads("".join(r["value"] for r in lines))
+    stage, root = path(home, plan["stage"]), home.getParent()
+    for key in plan["set"]:
+        staged, target = (path(p, _partition_folder(key)) for p in (stage, root))
+        if fs.exists(staged):
+            fs.delete(target, True)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(staged, target):
+                raise OSError(f"could not move {staged.toString()}")
+    known = set(catalog_partitions(spark, table))
+    rows = [dict(zip(PARTITION_KEYS, k, strict=True)) for k in plan["set"] if tuple(k) not in known]
+    if rows:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS "
+                  + " ".join(_partition_clause(r) for r in rows))
+    drop_partitions(spark, table, [dict(zip(PARTITION_KEYS, k, strict=True)) for k in plan["drop"]])
+    fs.delete(stage, True)
+    fs.delete(plan_file, False)
+    spark.catalog.refreshTable(table)
+    return True
+
+
 def replace_partitions(df: DataFrame, table: str, spec, run_id: str,
                        fail_outside: bool = False) -> Observation:
-    """Idempotent replace of the spec's partitions with ``df``.
+    """Idempotent replace of the spec's partitions with ``df``: all of them or, until the plan is
+    written, none.
+
+    1. The rows are written beside the table; the write itself observes their number and the set
+       of partition keys (at most ``spec.size()``, merged as task metrics, no second pass).
+    2. A plan is put in place by one rename: which staged partitions to move in, and which of the
+       spec that the catalog holds received no rows and are dropped, so that an empty source
+       clears its partition. A job killed before this leaves the table as it was.
+    3. The plan is carried out (``finish_replace``). If the job is killed on the way, the next
+       replace of the table, or a call of ``finish_replace``, completes it first.
 
-    1. dynamic partition overwrite: partitions present in ``df`` are replaced atomically; the
-       write itself observes the row count and the set of partition keys it wrote (at most
-       ``spec.size()`` keys, merged as task metrics — no second pass over the data);
-    2. partitions of the spec that the catalog holds but the write did not touch received no
-       new rows: they are dropped, so an empty source clears its partition.
     ``run_id`` is the lineage value the rows carry. Rows of ``df`` outside the spec are not
-    written; they are counted, or with ``fail_outside`` fail the write before it commits. Returns
-    the ``Observation`` (``rows``, ``outside``, ``partitions``).
+    written; they are counted, or with ``fail_outside`` fail the write. Runs that replace
+    partitions of one table must not overlap. Returns the ``Observation`` (``rows``, ``outside``,
+    ``partitions``).
     """
     spark = df.sparkSession
     obs = Observation(f"replace_{table.replace('.', '_')}_{run_id}")
@@ -133,12 +183,25 @@ def replace_partitions(df: DataFrame, table: str, spec, run_id: str,
     if not spark.catalog.tableExists(table):
         _writer(observed).partitionBy(*PARTITION_KEYS).saveAsTable(table)
         return obs
-    with session_conf(spark, OVERWRITE_MODE, "dynamic"):
-        _table_order(spark, table, observed).write.insertInto(table, overwrite=True)
-    written = {(r[0], int(r[1]), int(r[2])) for r in obs.get["partitions"]}
-    stale = [dict(zip(PARTITION_KEYS, k)) for k in catalog_partitions(spark, table)
-             if spec.contains(k) and k not in written]
-    drop_partitions(spark, table, stale)
+    finish_replace(spark, table)
+    fs, home = _plan_path(spark, table)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    stage = uuid.uuid4().hex
+    typed = observed.select(*[F.col(f.name).cast(f.dataType) for f in spark.table(table).schema])
+    _writer(typed).partitionBy(*PARTITION_KEYS).save(path(home, stage).toString())
+    written = sorted((r[0], int(r[1]), int(r[2])) for r in obs.get["partitions"])
+    stale = [k for k in catalog_partitions(spark, table)
+             if spec.contains(k) and k not in set(written)]
+    plan = json.dumps({"stage": stage, "run_id": run_id, "set": written, "drop": stale})
+    draft = path(home, f"draft-{stage}")
+    out = fs.create(draft, True)
+    try:
+        out.write(bytearray(plan.encode()))
+    finally:
+        out.close()
+    if not fs.rename(draft, path(home, PLAN)):
+        raise OSError(f"another replace of {table} is under way")
+    finish_replace(spark, table)
     return obs
 
 
