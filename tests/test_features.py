@@ -85,3 +85,21 @@ def test_fixed_sample_with_a_third_of_rows_identical(spark):
         brute = hashed.orderBy("_h", *df.columns).limit(n).drop("_h")
         assert got.count() == n
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, brute.collect()))
+
+
+def test_fixed_sample_reads_its_input_once(spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        reads.add(1)
+        yield from batches
+    rows = spark.range(0, 30_000, 1, 3).selectExpr("id", "cast(id % 7 as double) as x")
+    df = rows.mapInArrow(count, rows.schema)
+    got = fe.fixed_sample(df, 500, key_cols=["id"])
+    assert got.count() == 500 and reads.value == 3
+    want = rows.withColumn("h", fe.row_hash(rows.schema, ["id"], 42)).orderBy("h").limit(500)
+    assert {r.id for r in got.collect()} == {r.id for r in want.collect()}
+    # rows tied at the bound in one task: the smallest by all columns, however they arrive
+    tied = spark.range(0, 900, 1, 1).selectExpr("1 as k", "cast(899 - id as int) as v")
+    assert sorted(r.v for r in fe.fixed_sample(tied, 20, key_cols=["k"]).collect()) == list(range(20))
+    assert fe.fixed_sample(tied, 0, key_cols=["k"]).count() == 0
