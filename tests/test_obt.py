@@ -173,3 +173,20 @@ def test_only_a_local_master_gets_a_local_folder():
     cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(master="yarn"))
     with pytest.raises(ValueError):
         ensure_checkpoint_dir(cluster)
+
+
+def test_a_rewritten_test_table_is_read_anew(spark):
+    import shutil
+    import tempfile
+
+    import pyarrow.parquet as pq
+
+    from conftest import SF_SMALL
+    from tripdeck.plans import testbed
+    root = tempfile.mkdtemp(prefix="tripdeck-tables-")
+    for name in testbed.testdata.TRIP_TABLES:
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", f"{root}/{name}.parquet")
+    before = testbed.obt(spark, root).count()
+    lines = pq.read_table(f"{SF_SMALL}/lineitem.parquet")
+    pq.write_table(lines.slice(0, lines.num_rows // 2), f"{root}/lineitem.parquet")
+    assert 0 < testbed.obt(spark, root).count() < before

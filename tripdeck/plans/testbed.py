@@ -26,13 +26,13 @@ def raw_table(spark: SparkSession, sf_dir: str, service: str) -> DataFrame:
     return ingest(testdata.raw_trips(spark, sf_dir, service), service, RAW_RUN_ID, INGESTED_AT)
 
 
-# Lazy plans (not data) built once per session: a DataFrame is an immutable description,
-# so every query can start from the same analysed plan instead of re-analysing it.
+# Lazy plans (not data) built once per session and state of the tables: a DataFrame is an immutable
+# description, so every query can start from the same analysed plan instead of re-analysing it.
 _PLANS: dict[tuple, DataFrame] = {}
 
 
-def _plan(spark: SparkSession, key: tuple, build) -> DataFrame:
-    full = (spark.sparkContext.applicationId,) + key
+def _plan(spark: SparkSession, sf_dir: str, key: tuple, build) -> DataFrame:
+    full = (spark.sparkContext.applicationId, sf_dir, testdata.version(spark, sf_dir), *key)
     if full not in _PLANS:
         _PLANS[full] = build()
     return _PLANS[full]
@@ -52,10 +52,10 @@ def raw_tables(spark: SparkSession, sf_dir: str, services=SERVICES) -> DataFrame
         if tuple(services) == tuple(SERVICES):
             return _both_raw_tables(spark, sf_dir)
         return union_services(*[raw_table(spark, sf_dir, s) for s in services])
-    return _plan(spark, ("raw", sf_dir, tuple(services)), build)
+    return _plan(spark, sf_dir, ("raw", tuple(services)), build)
 
 
 def obt(spark: SparkSession, sf_dir: str, run_id: str = OBT_RUN_ID) -> DataFrame:
-    return _plan(spark, ("obt", sf_dir, run_id),
+    return _plan(spark, sf_dir, ("obt", run_id),
                  lambda: obt_from_raw(raw_tables(spark, sf_dir), testdata.zones(spark, sf_dir),
                                       run_id))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tripdeck.sources.schemas import SERVICE_TIME_COLUMNS, align, raw_file_schema
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TRIP_TABLES = ("region", "nation", "customer", "supplier", "orders", "lineitem")
 
 # Fixed values of the fixture mapping.
 RETURNFLAG_TO_VENDOR = {"A": 1, "R": 2, "N": 3}
@@ -29,14 +30,28 @@ CONSTANT_CHARGES = {"extra": 0.5, "tolls_amount": 0.0, "improvement_surcharge":
 FARE_DIVISOR = 200.0
 
 
-_READS: dict[tuple[str, str], DataFrame] = {}
+_READS: dict[tuple, DataFrame] = {}
+
+
+def stamp(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Modification time and length of a file or folder as its file system states them."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    status = fs.getFileStatus(hadoop)
+    return status.getModificationTime(), status.getLen()
+
+
+def version(spark: SparkSession, sf_dir: str) -> tuple:
+    """The stamps of the tables that trips are made of."""
+    return tuple(stamp(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in TRIP_TABLES)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table. The relation (file listing, footer schema) is built once per session and
-    path and then reused by every query, as a catalog table would be."""
+    """One test table. The relation (file listing, footer schema) is built once per session, path
+    and state of the path, and then reused by every query, as a catalog table would be; a table
+    that was rewritten is read anew."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.sparkContext.applicationId, path, stamp(spark, path))
     if key not in _READS:
         _READS[key] = spark.read.parquet(path)
     return _READS[key]
