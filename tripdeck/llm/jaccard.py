@@ -57,6 +57,13 @@ def shingle_sets(data, off, n: int):
             yield np.zeros(0, np.uint64)
 
 
+def packed_sets(z, n: int):
+    """Yields the shingle sets of a ``z`` column's texts, a slice of texts in memory at a time."""
+    data, off = unpack(z)
+    for i, j in slices(off):
+        yield from shingle_sets(data[off[i]:off[j]], off[i:j + 1] - off[i], n)
+
+
 def digest(u: np.ndarray) -> tuple[int, int]:
     """128 bits that stand for a set, as two signed 64-bit sums."""
     return tuple(int(mix(x).sum(dtype=np.uint64).view(np.int64))
@@ -155,23 +162,18 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
     def run(batches):
         last_a, last = None, None
         for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            a, b = (column(batch, c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
-            za, zb = column(batch, "za"), column(batch, "zb")
-            lefts = {}
-            new = np.flatnonzero(np.concatenate(([a[0] != last_a], a[1:] != a[:-1])))
-            if len(new):
-                data, off = unpack(za.take(pa.array(new)))
-                lefts = dict(zip(new.tolist(), shingle_sets(data, off, n), strict=True))
-            for start in range(0, len(a), 256):
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                a, b = (column(part, c).to_numpy(zero_copy_only=False) for c in ("a", "b"))
+                new = np.flatnonzero(np.concatenate(([a[0] != last_a], a[1:] != a[:-1])))
+                lefts = packed_sets(column(part, "za").take(pa.array(new)), n)
+                fresh = set(new.tolist())
                 rows, parts, lack, extra = [], [], [], []
-                data, off = unpack(zb.slice(start, 256))
-                for k, v in enumerate(shingle_sets(data, off, n), start):
-                    if k in lefts:
-                        last_a, last = a[k], lefts.pop(k)
-                    at = np.minimum(np.searchsorted(last, v), max(len(last) - 1, 0))
-                    common = v[last[at] == v] if len(last) and len(v) else v[:0]
+                for k, v in enumerate(packed_sets(column(part, "zb"), n)):
+                    if k in fresh:
+                        last_a, last = a[k], next(lefts)
+                    spot = np.minimum(np.searchsorted(last, v), max(len(last) - 1, 0))
+                    common = v[last[spot] == v] if len(last) and len(v) else v[:0]
                     rows.append((a[k], b[k], len(last), len(v)))
                     parts.append(np.bincount((common >> np.uint64(61)).astype(np.int64),
                                              minlength=PARTS))
