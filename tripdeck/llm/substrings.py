@@ -4,8 +4,9 @@ Every window of ``window`` words holds an anchor: the position of its smallest h
 ``gram`` words. Equal windows have their anchors at the same place, so only suffixes that start
 at anchors are kept, about one in fifteen, and of these only the ones whose gram, the suffix's
 first prefix, occurs again. The prefix decides the partition of a suffix. Where more than
-``group_rows`` suffixes share a prefix, it is lengthened to the whole window and such windows
-are counted by a distributed aggregation, so no group outgrows a task. In all other groups the
+``group_rows`` suffixes share a prefix, it is lengthened to the whole windows around the anchor:
+suffixes with the same ones are one, and the windows of the distinct ones are counted by a
+distributed aggregation, so no group outgrows a task. In all other groups the
 subtree is built in memory: suffixes sorted by the words that follow, with the lengths of common
 prefixes of neighbours, and likewise by the words before. A window that starts o words before an
 anchor is repeated exactly if another suffix shares the node of depth ``window - o`` on the right
@@ -21,10 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripdeck.llm.stages import small, written
-from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, ngrams, slices,
+from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, mix, ngrams, slices,
                                spaced_words, unpack)
 
-WINDOWS = 1 << 18           # windows that a task holds at a time to group equal ones
+CONTEXTS = 1 << 14          # suffixes that a task holds at a time to group equal contexts
 PARTITION_BYTES = 48 << 20  # context bytes of suffixes that a task reads, a group at a time
 
 
@@ -180,45 +181,85 @@ def subtree_marks(suffixes: DataFrame, window: int, gram: int) -> DataFrame:
     return suffixes.mapInArrow(run, "doc long, pos int, mask long")
 
 
-def window_rows(placed: DataFrame, window: int, gram: int) -> DataFrame:
-    """(w1, w2, docs, starts): 128-bit hashes of the windows around suffixes of crowded groups,
-    each with its places among ``WINDOWS``, so that a window many documents share is a few rows."""
+def crowded_contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
+    """(c1, c2, windows, docs, spots): of suffixes of crowded groups each distinct context, that is
+    the windows which hold the anchor, by 128-bit hashes (zero where the document has none), and
+    its places among ``CONTEXTS`` suffixes; a context that many documents share is a few rows."""
+    width = window - gram + 1
+    salts = mix(np.arange(1, 4 * width + 1, dtype=np.uint64)).reshape(2, 2 * width)
+
     def grouped(found):
-        w1, w2, docs, starts = map(np.concatenate, found)
-        order = np.lexsort((w2, w1))
-        w1, w2, docs, starts = (x[order] for x in (w1, w2, docs, starts))
+        rows, docs, spots = map(np.concatenate, found)
+        c1, c2 = (mix(rows ^ salt).sum(1, dtype=np.uint64) for salt in salts)
+        order = np.lexsort((c2, c1))
+        rows, docs, spots, c1, c2 = (x[order] for x in (rows, docs, spots, c1, c2))
         new = np.flatnonzero(np.concatenate(
-            ([True], (w1[1:] != w1[:-1]) | (w2[1:] != w2[:-1])))[:len(w1)])
-        ends = pa.array(np.append(new, len(w1)).astype(np.int32))
+            ([True], (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])))[:len(c1)])
+        ends = pa.array(np.append(new, len(c1)).astype(np.int32))
         return pa.RecordBatch.from_arrays(
-            [pa.array(w1[new].view(np.int64)), pa.array(w2[new].view(np.int64)),
-             pa.ListArray.from_arrays(ends, pa.array(docs.astype(np.int64))),
-             pa.ListArray.from_arrays(ends, pa.array(starts.astype(np.int32)))],
-            ["w1", "w2", "docs", "starts"])
+            [pa.array(c1[new].view(np.int64)), pa.array(c2[new].view(np.int64)),
+             pa.array([r.tobytes() for r in rows[new]], pa.binary()),
+             pa.ListArray.from_arrays(ends, pa.array(docs)),
+             pa.ListArray.from_arrays(ends, pa.array(spots))],
+            ["c1", "c2", "windows", "docs", "spots"])
 
     def run(batches):
-        found, size = [[], [], [], []], 0
+        found, size = [[], [], []], 0
         for batch in batches:
             ids = column(batch, "doc").to_numpy(zero_copy_only=False)
-            spots = column(batch, "pos")
+            places = column(batch, "pos")
             for k, h in _documents(batch):
-                if len(h) < window:
+                count = len(h) - window + 1
+                if count <= 0:
                     continue
-                at = np.array(spots[k].as_py(), np.int64)
-                near = np.zeros(len(h) + 1, np.int64)
-                np.add.at(near, np.maximum(at - (window - gram), 0), 1)
-                np.add.at(near, np.minimum(at + 1, len(h)), -1)
-                start = np.flatnonzero(np.cumsum(near)[:len(h) - window + 1] > 0)
-                for out, x in zip(found, (*(ngrams(h, window, seed)[start] for seed in (11, 12)),
-                                          np.full(len(start), ids[k]), start), strict=True):
+                at = np.unique(np.array(places[k].as_py(), np.int64))
+                start = at[:, None] - np.arange(width)[None, :]
+                whole = (start >= 0) & (start < count)
+                start = np.clip(start, 0, count - 1)
+                rows = np.concatenate([np.where(whole, ngrams(h, window, seed)[start]
+                                                | np.uint64(1), np.uint64(0))
+                                       for seed in (11, 12)], axis=1)
+                some = whole.any(1)
+                for out, x in zip(found, (rows[some], np.full(some.sum(), ids[k], np.int64),
+                                          at[some].astype(np.int32)), strict=True):
                     out.append(x)
-                size += len(start)
-                if size >= WINDOWS:
+                size += int(some.sum())
+                if size >= CONTEXTS:
                     yield grouped(found)
-                    found, size = [[], [], [], []], 0
+                    found, size = [[], [], []], 0
         if size:
             yield grouped(found)
-    return placed.mapInArrow(run, "w1 long, w2 long, docs array<long>, starts array<int>")
+    return placed.mapInArrow(run, "c1 long, c2 long, windows binary, docs array<long>, "
+                                  "spots array<int>")
+
+
+def crowded_marks(contexts: DataFrame, window: int, gram: int) -> DataFrame:
+    """(doc, pos, mask) of the suffixes that repeated windows hold, from distinct contexts: the
+    windows of each count as often as it occurs, and are matched by their place at the anchor."""
+    width = window - gram + 1
+
+    def each(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = np.frombuffer(b"".join(column(batch, "windows").to_pylist()), np.int64)
+            rows = rows.reshape(batch.num_rows, 2, width)
+            k, o = np.nonzero(rows[:, 0])
+            take = pa.array(k)
+            yield pa.RecordBatch.from_arrays(
+                [*(column(batch, c).take(take) for c in ("c1", "c2", "n")),
+                 pa.array(o.astype(np.int32)), pa.array(rows[k, 0, o]), pa.array(rows[k, 1, o])],
+                ["c1", "c2", "n", "o", "w1", "w2"])
+    distinct = contexts.groupBy("c1", "c2").agg(F.sum(F.size("docs")).alias("n"),
+                                                F.first("windows").alias("windows"))
+    windows = written(distinct.mapInArrow(
+        each, "c1 long, c2 long, n long, o int, w1 long, w2 long"), "crowded-windows")
+    again = windows.groupBy("o", "w1", "w2").agg(F.sum("n").alias("times")).where("times > 1")
+    masks = (windows.join(again, ["o", "w1", "w2"]).groupBy("c1", "c2")
+             .agg(F.expr("bit_or(shiftleft(1L, o))").alias("mask")))
+    return (contexts.select("c1", "c2", "docs", "spots").join(masks, ["c1", "c2"])
+            .select(F.explode(F.arrays_zip("docs", "spots")).alias("at"), "mask")
+            .select(F.col("at.docs").alias("doc"), F.col("at.spots").alias("pos"), "mask"))
 
 
 def remove_marked(marked: DataFrame, window: int) -> DataFrame:
@@ -303,14 +344,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
     suffixes = contexts(placed(twice.where(F.col("n") <= group_rows)), window, gram)
     marks = subtree_marks(suffixes.repartition(parts, "key").sortWithinPartitions("key"), window,
                           gram)
-    crowded = written(window_rows(placed(twice.where(F.col("n") > group_rows)), window, gram),
-                      "crowded-windows")
-    repeats = (crowded.groupBy("w1", "w2").agg(F.sum(F.size("docs")).alias("n"))
-               .where("n > 1").drop("n"))
-    # dealt out evenly again before the places of shared windows become rows
-    places = crowded.join(repeats, ["w1", "w2"]).select("docs", "starts").repartition(parts)
-    marks = marks.union(places.select(F.explode(F.arrays_zip("docs", "starts")).alias("at"))
-                        .select(F.col("at.docs").alias("doc"), F.col("at.starts").alias("pos"),
-                                F.lit(1).cast("long").alias("mask")))
+    crowded = written(crowded_contexts(placed(twice.where(F.col("n") > group_rows)), window, gram),
+                      "crowded-contexts")
+    marks = marks.union(crowded_marks(crowded, window, gram))
     per_doc = marks.groupBy("doc").agg(F.collect_set(F.struct("pos", "mask")).alias("marks"))
     return remove_marked(compact(docs, ["doc_id", "doc"]).join(per_doc, "doc", "left"), window)
