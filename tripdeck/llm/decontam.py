@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripdeck.llm.text import (Words, alnum_words, buffers, column, lowered, mix, slices)
+from tripdeck.llm.text import (Words, alnum_words, buffers, column, frugal, lowered, mix, slices)
 
 # Together these have a hit in every region of 12 or more matches of which at least 80 % match,
 # wherever the substitutions lie (tests/llm/test_decontam.py tries all up to 20 words).
@@ -181,5 +181,5 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12,
                 yield pa.RecordBatch.from_arrays(
                     [*(column(batch, c) for c in names), pa.array(leaks, kind)],
                     [*names, "leaks"])
-        out = out.mapInArrow(run, schema)
+        out = out.mapInArrow(frugal(run), schema)
     return out

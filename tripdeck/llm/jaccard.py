@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tripdeck.llm.stages import components, small, written
-from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, lowered, mix, ngrams,
-                               slices, spaced_words, unpack)
+from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, frugal, lowered, mix,
+                               ngrams, slices, spaced_words, unpack)
 
 GROWTH = 1.5  # ratio of neighbouring size classes
 SAMPLE = 1024   # members of a group that vote on its consensus set
@@ -125,7 +125,7 @@ def set_digests(docs: DataFrame, n: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [column(batch, "doc_id"), pa.array(size, pa.int64()), pa.array(d1, pa.int64()),
                  pa.array(d2, pa.int64())], ["doc_id", "n_shingles", "d1", "d2"])
-    return doc_texts(docs).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return doc_texts(docs).mapInArrow(frugal(run), "doc_id long, n_shingles long, d1 long, d2 long")
 
 
 def segments(docs: DataFrame, n: int, percent: int) -> DataFrame:
@@ -149,7 +149,7 @@ def segments(docs: DataFrame, n: int, percent: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(keys).view(np.int64)),
                          pa.array(np.concatenate(owner))], ["key", "doc_id"])
-    return doc_texts(docs).mapInArrow(run, "key long, doc_id long")
+    return doc_texts(docs).mapInArrow(frugal(run), "key long, doc_id long")
 
 
 def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
@@ -187,7 +187,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
     left = texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za"))
     right = texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb"))
     found = (right.join(small(pairs), "b").join(left, "a").select("a", "za", "b", "zb")
-             .mapInArrow(run, "a long, b long, na long, nb long, parts array<long>, "
+             .mapInArrow(frugal(run), "a long, b long, na long, nb long, parts array<long>, "
                               "lack array<long>, extra array<long>"))
     return found.select("a", "b", "na", "nb", F.aggregate("parts", F.lit(0).cast("long"),
                                                           lambda x, y: x + y).alias("both"),

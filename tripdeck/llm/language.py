@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripdeck.llm.text import Words, alnum_words, buffers, column, lowered, slices
+from tripdeck.llm.text import Words, alnum_words, buffers, column, frugal, lowered, slices
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -88,7 +88,7 @@ def fit(labelled: DataFrame, max_languages: int = 64) -> LanguageModel:
     rows = labelled.select(F.col("lang").cast("string").alias("lang"),
                            F.col("text").cast("string").alias("text"))
     counts = (rows.where("lang is not null and text is not null")
-              .mapInArrow(count, "lang string, bucket int, n long")
+              .mapInArrow(frugal(count), "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     # one row per language, of at most BUCKETS entries
     tables = (counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("t"))
@@ -196,4 +196,4 @@ def languages(docs: DataFrame, model: LanguageModel, rounds: int = 8, least_shar
                            T.StructField("score", T.DoubleType()),
                            T.StructField("lang_set", T.ArrayType(T.StringType())),
                            T.StructField("lang_shares", T.ArrayType(T.DoubleType()))])
-    return kept.mapInArrow(run, schema)
+    return kept.mapInArrow(frugal(run), schema)

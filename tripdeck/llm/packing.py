@@ -24,7 +24,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tripdeck.llm.stages import written
-from tripdeck.llm.text import Words, buffers, column, doc_texts, lowered, slices, spaced_words
+from tripdeck.llm.text import (Words, buffers, column, doc_texts, frugal, lowered, slices,
+                               spaced_words)
 
 SLICE = 4 << 20          # bytes of text tokenised together
 CACHED_WORDS = 4_000_000  # words a Python worker remembers the ids of
@@ -184,7 +185,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int
                         names.append("ids")
                     yield pa.RecordBatch.from_arrays(arrays, names)
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    return doc_texts(docs).mapInArrow(run, schema + (", ids array<int>" if with_ids else ""))
+    return doc_texts(docs).mapInArrow(frugal(run), schema + (", ids array<int>" if with_ids else ""))
 
 
 class Capacities:

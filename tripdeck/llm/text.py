@@ -10,6 +10,8 @@ does not depend on the batch or table size.
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -144,6 +146,23 @@ def ngrams(hashes: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
     return mix(acc)
 
 
+def give_back() -> None:
+    """Hand memory that is free but kept by the allocators back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # GNU C library only
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run):
+    """An Arrow function that gives memory back at its end: Python workers outlive their tasks,
+    and what one operator's arrays took would else be held beside the next one's."""
+    def each(batches):
+        yield from run(batches)
+        give_back()
+    return each
+
+
 def column(batch, name: str):
     return batch.column(batch.schema.get_field_index(name))
 
@@ -169,7 +188,7 @@ def compact(docs, keys=("doc_id",)):
             yield pa.RecordBatch.from_arrays(
                 [*(column(batch, c) for c in keys), pa.array(z, pa.binary())], [*keys, "z"])
     docs = doc_texts(docs) if keys == ["doc_id"] else docs.select(*keys, "text")
-    return docs.mapInArrow(pack, ", ".join(f"{c} long" for c in [*keys]) + ", z binary")
+    return docs.mapInArrow(frugal(pack), ", ".join(f"{c} long" for c in [*keys]) + ", z binary")
 
 
 def unpack(column) -> tuple[np.ndarray, np.ndarray]:
