@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripdeck.llm.stages import small, written
-from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, mix, ngrams, slices,
-                               spaced_words, unpack)
+from tripdeck.llm.text import (Words, buffers, column, compact, doc_texts, frugal, mix, ngrams,
+                               slices, spaced_words, unpack)
 
 CONTEXTS = 1 << 14          # suffixes that a task holds at a time to group equal contexts
 PARTITION_BYTES = 48 << 20  # context bytes of suffixes that a task reads, a group at a time
@@ -71,7 +71,7 @@ def anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
                         [pa.array(key.view(np.int64)), pa.array(ids[i + doc]),
                          pa.array((at - words.off[doc]).astype(np.int32))],
                         ["key", "doc", "pos"])
-    return docs.select("doc", "text").mapInArrow(run, "key long, doc long, pos int")
+    return docs.select("doc", "text").mapInArrow(frugal(run), "key long, doc long, pos int")
 
 
 def _documents(batch):
@@ -109,7 +109,7 @@ def contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
                      pa.array(at.astype(np.int32)),
                      pa.array([r.tobytes() for r in rows], pa.binary())],
                     ["key", "doc", "pos", "context"])
-    return placed.mapInArrow(run, "key long, doc long, pos int, context binary")
+    return placed.mapInArrow(frugal(run), "key long, doc long, pos int, context binary")
 
 
 def common_depth(key: np.ndarray, rows: np.ndarray):
@@ -178,13 +178,15 @@ def subtree_marks(suffixes: DataFrame, window: int, gram: int) -> DataFrame:
             held.append(batch.slice(cut))
         if held:
             yield solve(held)
-    return suffixes.mapInArrow(run, "doc long, pos int, mask long")
+    return suffixes.mapInArrow(frugal(run), "doc long, pos int, mask long")
 
 
 def crowded_contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
-    """(c1, c2, windows, docs, spots): of suffixes of crowded groups each distinct context, that is
-    the windows which hold the anchor, by 128-bit hashes (zero where the document has none), and
-    its places among ``CONTEXTS`` suffixes; a context that many documents share is a few rows."""
+    """(c1, c2, windows, docs, spots): of suffixes of crowded groups each distinct context, and its
+    places among ``CONTEXTS`` suffixes, so that one that many documents share is a few rows.
+
+    A context is the 128-bit hashes of the windows whose first smallest gram the anchor is, by the
+    anchor's place in them (zero: none). Equal windows have it at the same place."""
     width = window - gram + 1
     salts = mix(np.arange(1, 4 * width + 1, dtype=np.uint64)).reshape(2, 2 * width)
 
@@ -213,9 +215,16 @@ def crowded_contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
                 if count <= 0:
                     continue
                 at = np.unique(np.array(places[k].as_py(), np.int64))
+                g = ngrams(h, gram)
+                least = sliding(g, width, np.minimum)
+                order = np.argsort(g, kind="stable")
+                before = np.full(len(g), -1)           # the last place with the same gram
+                same = g[order[1:]] == g[order[:-1]]
+                before[order[1:][same]] = order[:-1][same]
                 start = at[:, None] - np.arange(width)[None, :]
                 whole = (start >= 0) & (start < count)
                 start = np.clip(start, 0, count - 1)
+                whole &= (least[start] == g[at][:, None]) & (before[at][:, None] < start)
                 rows = np.concatenate([np.where(whole, ngrams(h, window, seed)[start]
                                                 | np.uint64(1), np.uint64(0))
                                        for seed in (11, 12)], axis=1)
@@ -229,7 +238,7 @@ def crowded_contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
                     found, size = [[], [], []], 0
         if size:
             yield grouped(found)
-    return placed.mapInArrow(run, "c1 long, c2 long, windows binary, docs array<long>, "
+    return placed.mapInArrow(frugal(run), "c1 long, c2 long, windows binary, docs array<long>, "
                                   "spots array<int>")
 
 
@@ -253,10 +262,11 @@ def crowded_marks(contexts: DataFrame, window: int, gram: int) -> DataFrame:
     distinct = contexts.groupBy("c1", "c2").agg(F.sum(F.size("docs")).alias("n"),
                                                 F.first("windows").alias("windows"))
     windows = written(distinct.mapInArrow(
-        each, "c1 long, c2 long, n long, o int, w1 long, w2 long"), "crowded-windows")
+        frugal(each), "c1 long, c2 long, n long, o int, w1 long, w2 long"), "crowded-windows")
     again = windows.groupBy("o", "w1", "w2").agg(F.sum("n").alias("times")).where("times > 1")
     masks = (windows.join(again, ["o", "w1", "w2"]).groupBy("c1", "c2")
              .agg(F.expr("bit_or(shiftleft(1L, o))").alias("mask")))
+    masks = written(masks, "crowded-masks")
     return (contexts.select("c1", "c2", "docs", "spots").join(masks, ["c1", "c2"])
             .select(F.explode(F.arrays_zip("docs", "spots")).alias("at"), "mask")
             .select(F.col("at.docs").alias("doc"), F.col("at.spots").alias("pos"), "mask"))
@@ -307,7 +317,7 @@ def remove_marked(marked: DataFrame, window: int) -> DataFrame:
                         [ids.slice(a + i, j - i), pa.array(total),
                          pa.array(total - np.diff(seen[words.off])), text.cast(pa.string())],
                         ["doc_id", "n_words", "n_removed", "text"])
-    return marked.mapInArrow(run, "doc_id long, n_words long, n_removed long, text string")
+    return marked.mapInArrow(frugal(run), "doc_id long, n_words long, n_removed long, text string")
 
 
 def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
