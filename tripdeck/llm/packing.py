@@ -24,10 +24,10 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tripdeck.llm.stages import written
-from tripdeck.llm.text import (Words, buffers, column, doc_texts, frugal, lowered, slices,
-                               spaced_words)
+from tripdeck.llm.text import (Words, buffers, column, doc_texts, frugal, give_back, lowered,
+                               slices, spaced_words)
 
-SLICE = 4 << 20          # bytes of text tokenised together
+SLICE = 1 << 20          # bytes of text tokenised together
 CACHED_WORDS = 4_000_000  # words a Python worker remembers the ids of
 RANK_BUCKETS = 64         # parts into which the ranking of one length is split
 
@@ -46,6 +46,8 @@ class WordIds:
         self.last = np.zeros(max(vocab.values()) + 1, bool)
         self.last[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.forget()
+        del vocab
+        give_back()
 
     def forget(self):
         self.keys = np.zeros(0, np.uint64)
