@@ -70,7 +70,8 @@ def schema_groups(spark: SparkSession, paths: list[str]) -> list[list[str]]:
     """``paths`` in groups whose footers state the same types, by halving what does not agree.
 
     Types drift between releases, so in the order of time files with the same types stand
-    together: with k changes among n files about k log n jobs read all footers, in parallel."""
+    together: with k changes among n files about k log n jobs read all footers, in parallel. A part
+    that does not agree shows as a failed job in the log, which is expected."""
     groups: dict[str, list[str]] = {}
 
     def divide(part: list[str]) -> None:
