@@ -12,6 +12,8 @@ their length go to consecutive sequences. Ranking and applying the plan are dist
 from __future__ import annotations
 
 import os
+import sys
+import types
 import zlib
 
 import numpy as np
@@ -26,7 +28,7 @@ from tripdeck.llm.text import (Words, buffers, column, doc_texts, frugal, give_b
                                slices, spaced_words)
 
 SLICE = 1 << 20          # bytes of text tokenised together
-CACHED_WORDS = 2_000_000  # words a task remembers the ids of
+CACHED_WORDS = 500_000   # words a Python worker remembers the ids of
 RANK_BUCKETS = 64         # parts into which the ranking of one length is split
 
 
@@ -96,6 +98,14 @@ class WordIds:
         return np.searchsorted(self.keys, keys)
 
 
+def worker_ids(path: str) -> WordIds:
+    """The cache of this Python worker (kept across tasks)."""
+    home = sys.modules.setdefault("_word_ids_of_worker", types.ModuleType("_word_ids_of_worker"))
+    if path not in home.__dict__:
+        home.__dict__[path] = WordIds(path)
+    return home.__dict__[path]
+
+
 def split_points() -> np.ndarray:
     """256 x 256 table: the tokenizer never joins byte a and byte b of one word.
 
@@ -153,7 +163,7 @@ def pieces(docs: DataFrame, tokenizer: str, max_tokens: int = 4096, end_id: int
     null doc_id are left out; repeated rows are pieces of their own; extra columns are ignored.
     """
     def run(batches):
-        ids, split = WordIds(tokenizer), split_points()     # gone with the task
+        ids, split = worker_ids(tokenizer), split_points()
         stop = np.array([end_id], np.uint32)
         for batch in batches:
             doc = column(batch, "doc_id").to_numpy(zero_copy_only=False)
