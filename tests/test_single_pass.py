@@ -40,6 +40,16 @@ def test_monthly_files_make_each_row_once(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_drifted_layouts_join_the_lines_once(spark, monkeypatch):
+    calls, seen = _counted(spark)
+    made = testdata.raw_trips
+    monkeypatch.setattr(testdata, "raw_trips",
+                        lambda *a: made(*a).where(seen("trip_distance")))
+    rows = queries.REGISTRY["ingest_drifted_types"](spark, SF_SMALL).collect()
+    assert calls.value == sum(made(spark, SF_SMALL, s).count() for s in ("yellow", "green"))
+    assert sum(r["rows"] for r in rows) == calls.value
+
+
 def test_a_set_of_partitions_is_tested_by_numbers(spark):
     keys = (("green", 2020, 1), ("yellow", 2019, 12), ("yellow", 2020, 101))
     rows = spark.createDataFrame([*keys, ("yellow", 2020, 1), ("yellow", 2021, 1),
