@@ -73,3 +73,10 @@ def test_keys_are_cut_from_paths_of_any_layout(spark):
     none = spark.createDataFrame([("/l/other.parquet",)], "path string").select(
         *[c.alias(k) for k, c in files.keys_from_path(F.col("path")).items()]).first()
     assert tuple(none) == ("", None, None)
+
+
+def test_a_batch_parses_each_path_once(spark):
+    batch = spark.createDataFrame(
+        [("/l/yellow_tripdata_2020-01.parquet/p",)] * 3 + [("/l/green_tripdata_2020-02.parquet",)],
+        "path string")
+    assert monthly_ingest.touched_partitions(batch, "yellow").keys == (("yellow", 2020, 1),)

@@ -28,16 +28,20 @@ from tripdeck.sources.schemas import raw_file_schema
 
 def monthly_file_stream(spark: SparkSession, landing_root: str, service: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming (path, partition keys) of the rows of the service's newly landed files."""
+    """Streaming path of every row of the newly landed files (of any service)."""
     reader = (spark.readStream.schema(raw_file_schema(service))
               .option("recursiveFileLookup", "true")
               .option("pathGlobFilter", "*.parquet"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     # only paths are used: no column is read, so types that drift don't matter
-    paths = reader.parquet(landing_root).select(F.col("_metadata.file_path").alias("path"))
-    keyed = paths.withColumns(keys_from_path(F.col("path")))
-    return keyed.where(F.col("service_type") == service)
+    return reader.parquet(landing_root).select(F.col("_metadata.file_path").alias("path"))
+
+
+def touched_partitions(batch: DataFrame, service: str) -> PartitionSet:
+    """The partitions of ``service`` that a batch of paths touches; a path is parsed once."""
+    keyed = batch.select("path").distinct().withColumns(keys_from_path(F.col("path")))
+    return PartitionSet.of(keyed.where(F.col("service_type") == service))
 
 
 def start(spark: SparkSession, landing_root: str, service: str, zones: DataFrame,
@@ -50,7 +54,7 @@ def start(spark: SparkSession, landing_root: str, service: str, zones: DataFrame
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         run_id = f"{run_prefix}-{batch_id}"
         at = ingested_at or datetime.now(timezone.utc)
-        touched = PartitionSet.of(batch)
+        touched = touched_partitions(batch, service)
         if touched.size():
             rows = read_monthly_files(spark, landing_root, service, touched)
             raw = ingest(rows, service, run_id, at)
