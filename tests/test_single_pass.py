@@ -80,3 +80,18 @@ def test_a_batch_parses_each_path_once(spark):
         [("/l/yellow_tripdata_2020-01.parquet/p",)] * 3 + [("/l/green_tripdata_2020-02.parquet",)],
         "path string")
     assert monthly_ingest.touched_partitions(batch, "yellow").keys == (("yellow", 2020, 1),)
+
+
+def test_settings_with_l1_share_one_pass(spark, monkeypatch):
+    passes = []
+    whole = md.moments_by_key
+    monkeypatch.setattr(md, "moments_by_key", lambda rows: passes.append(1) or whole(rows))
+    df = md.assemble(spark.range(60).selectExpr("cast(id as double) a", "sin(id) b",
+                                                "3.0 * id + cos(id) y"), ["a", "b"])
+    df = df.select("y", "features")
+    lasso, net = md.Setting("lasso", 0.1, 1.0), md.Setting("elasticnet", 0.1, 0.5)
+    grids = [([lasso, net], "reference", "r"), ([lasso], "library", "l")]
+    got = md.grid_searches(spark, df, df, grids).collect()
+    assert len(passes) == 1
+    single = [r for g in grids for r in md.grid_search(spark, df, df, *g).collect()]
+    assert [r[:12] for r in got] == [r[:12] for r in single]

@@ -21,7 +21,9 @@ driver.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -119,17 +121,24 @@ class GramModel:
 Model = LinearRegressionModel | GramModel
 
 
-def fit_moments(train: DataFrame, s: Setting, objective: str = "reference", y: str = "y"
-                ) -> GramModel:
-    """One setting solved from one pass over an assembled frame, with a proven gap."""
-    m = moments_by_key(rows_of(train, vector_to_array("features"), y, F.lit("all")))["all"]
+def frame_moments(train: DataFrame, y: str = "y") -> Moments:
+    """The moments of an assembled frame: one pass."""
+    return moments_by_key(rows_of(train, vector_to_array("features"), y, F.lit("all")))["all"]
+
+
+def fit_moments(train: DataFrame, s: Setting, objective: str = "reference", y: str = "y",
+                moments: Callable[[], Moments] | None = None) -> GramModel:
+    """One setting solved from one pass over an assembled frame, with a proven gap. ``moments``
+    may give the frame's moments, so that several settings share that pass."""
+    m = moments() if moments else frame_moments(train, y)
     alpha, rho = reference_form(s, m.n, objective)
     w, b, steps, gap = solve_from_moments(m, alpha, rho)
     return GramModel(DenseVector(w), b, steps, gap)
 
 
 def fit(train: DataFrame, s: Setting, sigma_y: float, n: int, objective: str = "reference",
-        y: str = "y", max_iter: int = 500, tol: float = 1e-10) -> tuple[Model, float]:
+        y: str = "y", max_iter: int = 500, tol: float = 1e-10,
+        moments: Callable[[], Moments] | None = None) -> tuple[Model, float]:
     """Fit one setting on an assembled frame; returns the model and the wall time.
 
     With L1 the model is solved from the moments of one pass (``fit_moments``). Otherwise Spark
@@ -137,14 +146,14 @@ def fit(train: DataFrame, s: Setting, sigma_y: float, n: int, objective: str = "
     decide as well."""
     t0 = time.perf_counter()
     if s.alpha > 0.0 and s.rho > 0.0:
-        return fit_moments(train, s, objective, y), time.perf_counter() - t0
+        return fit_moments(train, s, objective, y, moments), time.perf_counter() - t0
     reg, enet = spark_params(s, sigma_y, n, objective)
     lr = LinearRegression(featuresCol="features", labelCol=y, predictionCol="prediction",
                           regParam=reg, elasticNetParam=enet, standardization=False,
                           fitIntercept=True, maxIter=max_iter, tol=tol, solver="normal")
     model = lr.fit(train)
     if iterations(model) >= max_iter:
-        model = fit_moments(train, s, objective, y)
+        model = fit_moments(train, s, objective, y, moments)
     return model, time.perf_counter() - t0
 
 
@@ -224,20 +233,32 @@ def score_models(models: list[Model], frames: dict[str, DataFrame],
 def grid_search(spark: SparkSession, train: DataFrame, val: DataFrame, grid: list[Setting],
                 objective: str = "reference", model_type: str = "spark", y: str = "y"
                 ) -> DataFrame:
-    """Fit every setting on ``train`` and score it on ``train`` and ``val``.
+    """Fit every setting on ``train`` and score it on ``train`` and ``val``: ``grid_searches``
+    of one grid."""
+    return grid_searches(spark, train, val, [(grid, objective, model_type)], y)
+
+
+def grid_searches(spark: SparkSession, train: DataFrame, val: DataFrame,
+                  grids: list[tuple[list[Setting], str, str]], y: str = "y") -> DataFrame:
+    """Fit every setting of every (grid, objective, model type) on ``train`` and score it on
+    ``train`` and ``val``.
 
-    Both frames are persisted for the grid. Each fit is one pass over ``train`` (the Gram
-    matrix); all settings are then scored together in one pass over train ∪ val. The result is
-    one row per setting: metrics, the objective's value (MSE + penalty) and the fit time.
+    Both frames are persisted once for all grids. Each Spark ML fit is one pass over ``train``
+    (the Gram matrix), all settings with L1 share one pass; all settings are then scored together
+    in one pass over train ∪ val. The result is one row per setting: metrics, the objective's
+    value (MSE + penalty) and the fit time (the shared pass counts for its first setting).
     """
+    each = [(s, objective, kind) for grid, objective, kind in grids for s in grid]
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
     val = val.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sigma_y, n = label_moments(train, y)
-        fitted = [fit(train, s, sigma_y, n, objective, y) for s in grid]
+        moments = cache(lambda: frame_moments(train, y))
+        fitted = [fit(train, s, sigma_y, n, objective, y, moments=moments)
+                  for s, objective, _ in each]
         metrics = score_models([m for m, _ in fitted], {"train": train, "val": val}, y)
         rows = []
-        for s, (model, secs), m in zip(grid, fitted, metrics):
+        for (s, _, model_type), (model, secs), m in zip(each, fitted, metrics, strict=True):
             pen = penalty(model, s)
             rows.append(Row(
                 model=s.kind, type=model_type, alpha=float(s.alpha),

@@ -128,8 +128,9 @@ def comparison(spark: SparkSession, prep: Prepared) -> DataFrame:
     """Two implementations side by side — Spark ML fits and the moment solver — for the
     reference-objective winners and the library-objective settings, in one ranked table."""
     library = [md.Setting(k, a, r) for k, a, r in md.LIBRARY_SETTINGS]
-    parts = [grid_spark_ml(spark, prep, list(BEST_REFERENCE), "reference", "spark-ml/reference"),
-             grid_spark_ml(spark, prep, library, "library", "spark-ml/library"),
+    parts = [md.grid_searches(spark, prep.frame("train"), prep.frame("val"),
+                              [(list(BEST_REFERENCE), "reference", "spark-ml/reference"),
+                               (library, "library", "spark-ml/library")]),
              grid(spark, prep, list(BEST_REFERENCE), "reference", "moments/reference"),
              grid(spark, prep, library, "library", "moments/library")]
     out = parts[0]
