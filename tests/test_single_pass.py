@@ -25,6 +25,23 @@ def _counted(spark):
     return calls, F.udf(seen, "boolean")
 
 
+def test_replace_evaluates_the_spec_once_a_row(spark):
+    calls, seen = _counted(spark)
+
+    class Spec(PartitionSpec):
+        def predicate(self):
+            return seen(F.col("source_year"))
+    db = f"once_{abs(hash(scratch_path(spark, 'x'))) % 10**8}"
+    tables.ensure_database(spark, db, scratch_path(spark, db))
+    rows = spark.createDataFrame([(i, "yellow", 2020, 1 + i % 2) for i in range(30)],
+                                 "n int, service_type string, source_year int, source_month int")
+    obs = tables.replace_partitions(rows, f"{db}.t", Spec(2020, 2020), "R")
+    assert obs.get["rows"] == 30 and calls.value == 30
+    assert sorted(tuple(p) for p in obs.get["partitions"]) == [("yellow", 2020, 1),
+                                                               ("yellow", 2020, 2)]
+    assert spark.table(f"{db}.t").columns == ["n", *PARTITION_KEYS]
+
+
 def test_monthly_files_make_each_row_once(spark):
     calls, seen = _counted(spark)
     rows = (testdata.raw_trips(spark, SF_SMALL, "yellow").withColumn("service_type",
