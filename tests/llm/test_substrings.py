@@ -3,8 +3,10 @@ from collections import Counter
 
 import pytest
 from fixtures import corpus, frame, words
+from pyspark.sql import functions as F
 
-from tripdeck.llm.substrings import remove_repeats
+from tripdeck.llm.substrings import anchors, crowded_contexts, remove_repeats
+from tripdeck.llm.text import compact
 
 
 def removed(rows, window):
@@ -52,3 +54,22 @@ def test_rows_of_one_id_with_other_texts_are_documents_of_their_own(spark, group
         out = remove_repeats(frame(spark, rows), 35, 8, group_rows).collect()
         assert sorted((r.doc_id, r.n_words, r.n_removed, r.text) for r in out) \
             == removed(rows, 35)
+
+
+def test_places_of_a_crowded_passage_are_one_row_a_document(spark):
+    passage = " ".join(f"p{k}" for k in range(400))
+    rows = [(i, f"{passage} " + " ".join(f"w{i}x{k}" for k in range(60))) for i in range(50)]
+    docs = frame(spark, rows).select(F.col("doc_id").alias("doc"), "text")
+    lists = anchors(docs, 35, 8).groupBy("doc").agg(F.collect_list("pos").alias("pos"))
+    places = {(r.doc, p) for r in lists.collect() for p in r.pos}
+    out = crowded_contexts(compact(docs, ["doc"]).join(lists, "doc").coalesce(1), 35, 8).collect()
+    marked = [r for r in out if r["at"] is not None]
+    alone = [r for r in out if r["at"] is None]
+    assert sorted(r.doc for r in marked) == list(range(50))
+    assert sum(len(r["at"]) for r in marked) > 20 * 50
+    # every place is in one row: marked there, or the only one of its context
+    got = [(r.doc, a.pos) for r in marked for a in r["at"]]
+    got += [(r.doc, r.pos) for r in alone if r.n == 1]
+    assert len(got) == len(set(got)) and set(got) <= places
+    assert sum(r.n for r in alone) == len(got)
+    assert all((r.doc is None) == (r.n > 1) for r in alone)

@@ -182,28 +182,46 @@ def subtree_marks(suffixes: DataFrame, window: int, gram: int) -> DataFrame:
 
 
 def crowded_contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
-    """(c1, c2, windows, docs, spots): of suffixes of crowded groups each distinct context, and its
-    places among ``CONTEXTS`` suffixes, so that one that many documents share is a few rows.
+    """Suffixes of crowded groups, ``CONTEXTS`` of them at a time. Rows with ``at``: (doc, at), the
+    places and masks of a document's suffixes whose context occurs again among them, so that each of
+    its windows is repeated. Rows without: (c1, c2, n, windows, doc, pos), a distinct context, how
+    often it occurs among them, and its place if it is the only one.
 
     A context is the 128-bit hashes of the windows whose first smallest gram the anchor is, by the
     anchor's place in them (zero: none). Equal windows have it at the same place."""
     width = window - gram + 1
     salts = mix(np.arange(1, 4 * width + 1, dtype=np.uint64)).reshape(2, 2 * width)
+    schema = ("c1 long, c2 long, n long, windows binary, doc long, pos int, "
+              "at array<struct<pos: int, mask: long>>")
+    names = ["c1", "c2", "n", "windows", "doc", "pos", "at"]
+    kind = pa.list_(pa.struct([("pos", pa.int32()), ("mask", pa.int64())]))
 
     def grouped(found):
         rows, docs, spots = map(np.concatenate, found)
         c1, c2 = (mix(rows ^ salt).sum(1, dtype=np.uint64) for salt in salts)
         order = np.lexsort((c2, c1))
-        rows, docs, spots, c1, c2 = (x[order] for x in (rows, docs, spots, c1, c2))
-        new = np.flatnonzero(np.concatenate(
-            ([True], (c1[1:] != c1[:-1]) | (c2[1:] != c2[:-1])))[:len(c1)])
-        ends = pa.array(np.append(new, len(c1)).astype(np.int32))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c1[new].view(np.int64)), pa.array(c2[new].view(np.int64)),
-             pa.array([r.tobytes() for r in rows[new]], pa.binary()),
-             pa.ListArray.from_arrays(ends, pa.array(docs)),
-             pa.ListArray.from_arrays(ends, pa.array(spots))],
-            ["c1", "c2", "windows", "docs", "spots"])
+        k1, k2 = c1[order], c2[order]
+        new = np.flatnonzero(np.concatenate(([True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))))
+        times = np.diff(np.append(new, len(order)))
+        first = order[new]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c1[first].view(np.int64)), pa.array(c2[first].view(np.int64)),
+             pa.array(times), pa.array([r.tobytes() for r in rows[first]], pa.binary()),
+             pa.array(docs[first], mask=times > 1), pa.array(spots[first], mask=times > 1),
+             pa.nulls(len(first), kind)], names)
+        again = np.sort(order[np.repeat(times > 1, times)])
+        if not len(again):
+            return
+        again = again[np.argsort(docs[again], kind="stable")]
+        mask = (rows[again, :width] != 0) @ (1 << np.arange(width))
+        begin = np.flatnonzero(np.concatenate(([True], np.diff(docs[again]) != 0)))
+        places = pa.StructArray.from_arrays([pa.array(spots[again]), pa.array(mask)],
+                                            fields=list(kind.value_type))
+        at = pa.ListArray.from_arrays(pa.array(np.append(begin, len(again)).astype(np.int32)),
+                                      places)
+        yield pa.RecordBatch.from_arrays(
+            [*(pa.nulls(len(begin), t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.binary())),
+             pa.array(docs[again][begin]), pa.nulls(len(begin), pa.int32()), at.cast(kind)], names)
 
     def run(batches):
         found, size = [[], [], []], 0
@@ -234,17 +252,17 @@ def crowded_contexts(placed: DataFrame, window: int, gram: int) -> DataFrame:
                     out.append(x)
                 size += int(some.sum())
                 if size >= CONTEXTS:
-                    yield grouped(found)
+                    yield from grouped(found)
                     found, size = [[], [], []], 0
         if size:
-            yield grouped(found)
-    return placed.mapInArrow(frugal(run), "c1 long, c2 long, windows binary, docs array<long>, "
-                                  "spots array<int>")
+            yield from grouped(found)
+    return placed.mapInArrow(frugal(run), schema)
 
 
 def crowded_marks(contexts: DataFrame, window: int, gram: int) -> DataFrame:
     """(doc, pos, mask) of the suffixes that repeated windows hold, from distinct contexts: the
-    windows of each count as often as it occurs, and are matched by their place at the anchor."""
+    windows of each count as often as it occurs, and are matched by their place at the anchor.
+    Suffixes that ``crowded_contexts`` has marked are left out."""
     width = window - gram + 1
 
     def each(batches):
@@ -259,7 +277,7 @@ def crowded_marks(contexts: DataFrame, window: int, gram: int) -> DataFrame:
                 [*(column(batch, c).take(take) for c in ("c1", "c2", "n")),
                  pa.array(o.astype(np.int32)), pa.array(rows[k, 0, o]), pa.array(rows[k, 1, o])],
                 ["c1", "c2", "n", "o", "w1", "w2"])
-    distinct = contexts.groupBy("c1", "c2").agg(F.sum(F.size("docs")).alias("n"),
+    distinct = contexts.groupBy("c1", "c2").agg(F.sum("n").alias("n"),
                                                 F.first("windows").alias("windows"))
     windows = written(distinct.mapInArrow(
         frugal(each), "c1 long, c2 long, n long, o int, w1 long, w2 long"), "crowded-windows")
@@ -267,9 +285,8 @@ def crowded_marks(contexts: DataFrame, window: int, gram: int) -> DataFrame:
     masks = (windows.join(again, ["o", "w1", "w2"]).groupBy("c1", "c2")
              .agg(F.expr("bit_or(shiftleft(1L, o))").alias("mask")))
     masks = written(masks, "crowded-masks")
-    return (contexts.select("c1", "c2", "docs", "spots").join(masks, ["c1", "c2"])
-            .select(F.explode(F.arrays_zip("docs", "spots")).alias("at"), "mask")
-            .select(F.col("at.docs").alias("doc"), F.col("at.spots").alias("pos"), "mask"))
+    return (contexts.where("doc is not null").select("c1", "c2", "doc", "pos")
+            .join(masks, ["c1", "c2"]).select("doc", "pos", "mask"))
 
 
 def remove_marked(marked: DataFrame, window: int) -> DataFrame:
@@ -356,6 +373,8 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8,
                           gram)
     crowded = written(crowded_contexts(placed(twice.where(F.col("n") > group_rows)), window, gram),
                       "crowded-contexts")
-    marks = marks.union(crowded_marks(crowded, window, gram))
-    per_doc = marks.groupBy("doc").agg(F.collect_set(F.struct("pos", "mask")).alias("marks"))
+    marks = marks.union(crowded_marks(crowded.where("at is null"), window, gram))
+    marks = (marks.select("doc", F.array(F.struct("pos", "mask")).alias("at"))
+             .union(crowded.where("at is not null").select("doc", "at")))
+    per_doc = marks.groupBy("doc").agg(F.flatten(F.collect_set("at")).alias("marks"))
     return remove_marked(compact(docs, ["doc_id", "doc"]).join(per_doc, "doc", "left"), window)
