@@ -45,3 +45,30 @@ def test_compact_round_trip(spark):
     data, off = tx.unpack(pa.array([rows[k] for k in range(len(TEXTS))], pa.binary()))
     got = [data[a:b].tobytes().decode() for a, b in zip(off[:-1], off[1:], strict=True)]
     assert got == [t or "" for t in TEXTS]
+
+
+def test_texts_come_in_batches_of_a_few_megabytes(spark):
+    from tripdeck.llm.stages import BATCH_BYTES, BATCH_CONF
+    from tripdeck.llm.text import doc_texts
+    before = spark.conf.get(BATCH_CONF, None)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])],
+                                             ["n", "size"])
+
+    def met():
+        docs = spark.range(4000, numPartitions=1).selectExpr(
+            "id as doc_id", "repeat('abcdefghij', 500) as text")
+        return doc_texts(docs).mapInArrow(sizes, "n long, size long").collect()
+    try:
+        spark.conf.unset(BATCH_CONF)
+        out = met()
+        assert sum(r.n for r in out) == 4000
+        assert max(r["size"] for r in out) < 1.1 * BATCH_BYTES
+        spark.conf.set(BATCH_CONF, "64m")      # the session's own limit holds
+        assert max(r["size"] for r in met()) > 10 << 20
+    finally:
+        spark.conf.unset(BATCH_CONF)
+        if before is not None:
+            spark.conf.set(BATCH_CONF, before)

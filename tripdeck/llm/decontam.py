@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripdeck.llm.stages import small_batches
 from tripdeck.llm.text import (Words, alnum_words, buffers, column, frugal, lowered, mix, slices)
 
 # Together these have a hit in every region of 12 or more matches of which at least 80 % match,
@@ -150,6 +151,7 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = 12,
     named ``leaks`` is replaced. A benchmark larger than ``BENCHMARK_BYTES`` is searched in
     several passes, each with a part of its items that is proven to fit.
     """
+    small_batches(docs.sparkSession)
     items = (benchmark.select(F.col("item_id").cast("long").alias("item_id"),
                               F.col("text").cast("string").alias("text"))
              .where("item_id is not null and text is not null"))

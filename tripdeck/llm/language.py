@@ -14,10 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripdeck.llm.stages import small_batches
 from tripdeck.llm.text import Words, alnum_words, buffers, column, frugal, lowered, slices
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
+SLICE = 1 << 19          # bytes of text worked on together: each word has a row of all languages
 
 
 def letter_words() -> np.ndarray:
@@ -67,7 +69,7 @@ def fit(labelled: DataFrame, max_languages: int = 64) -> LanguageModel:
         for batch in batches:
             lang = np.array(column(batch, "lang").to_pylist(), object)
             data, off = buffers(column(batch, "text"))
-            for i, j in slices(off):
+            for i, j in slices(off, SLICE):
                 grams = Grams(data[off[i]:off[j]], off[i:j + 1] - off[i])
                 if not len(grams.words):
                     continue
@@ -85,6 +87,7 @@ def fit(labelled: DataFrame, max_languages: int = 64) -> LanguageModel:
                 [pa.array([name] * len(at), pa.string()), pa.array(at.astype(np.int32)),
                  pa.array(row[at])], ["lang", "bucket", "n"])
 
+    small_batches(labelled.sparkSession)
     rows = labelled.select(F.col("lang").cast("string").alias("lang"),
                            F.col("text").cast("string").alias("text"))
     counts = (rows.where("lang is not null and text is not null")
@@ -160,6 +163,7 @@ def languages(docs: DataFrame, model: LanguageModel, rounds: int = 8, least_shar
     with score 0 and an empty set. Rows are kept as they are, repeated ones too; columns that
     already have one of the four names are replaced.
     """
+    small_batches(docs.sparkSession)
     added = ["lang_pred", "score", "lang_set", "lang_shares"]
     kept = docs.drop(*added)
     names = kept.columns
@@ -172,7 +176,7 @@ def languages(docs: DataFrame, model: LanguageModel, rounds: int = 8, least_shar
             pred = np.full(batch.num_rows, UNKNOWN, object)
             score = np.zeros(batch.num_rows)
             sets, shares = [[] for _ in pred], [[] for _ in pred]
-            for i, j in slices(off) if len(label) else ():
+            for i, j in slices(off, SLICE) if len(label) else ():
                 part = data[off[i]:off[j]]
                 grams = Grams(part, off[i:j + 1] - off[i])
                 words = grams.words
