@@ -1,3 +1,4 @@
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -57,6 +58,52 @@ def test_lists_of_differences_are_written_once_and_keys_are_short(spark, monkeyp
     assert max(jc.segment_keys(np.arange(1, 200, dtype=np.uint64) << np.uint64(55), 80)) < 2**48
 
 
+def test_differences_are_kept_for_groups_only_and_dealt_by_bucket(spark, monkeypatch):
+    kept, plans = {}, {}
+    write = jc.written
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        kept[name] = write(df, name)
+        return kept[name]
+    monkeypatch.setattr(jc, "written", noted)
+    monkeypatch.setattr(jc, "small", lambda df: df)  # as with many rows: all joins are shuffled
+    monkeypatch.setattr(jc, "BUCKET", 2, raising=False)
+    common = [f"c{i}" for i in range(60)]
+    rows = [(1, " ".join(common)), (2, " ".join([*common, "p"])),  # a segment of two documents
+            *((10 + k, " ".join(f"g{k if i % 20 < k % 4 else ''}x{i}" for i in range(60)))
+              for k in range(12))]
+    rows += [(100 + i, t) for i, t in corpus(7, 60)]
+    out = jc.near_duplicate_classes(frame(spark, rows), 2, 85).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == classes(rows, 2, 85)
+    near = {(r.a, r.b): r for r in kept["star-overlaps"].collect()}
+    assert near[1, 2].both == 59 and near[1, 2].lack is None and near[1, 2].extra is None
+    assert any(r.lack is not None for r in near.values())
+    assert not [k for k, p in plans.items()
+                if re.search(r"hashpartitioning\(l#\d+L, e#\d+L, \d+\)", p)]
+
+
+def test_shared_differences_whatever_the_buckets(spark):
+    rows = [(5, x, x % 3, [100 * x, -7], [9, x // 2]) for x in range(1, 30)]
+    rows += [(6, 1, 1, [4], []), (6, 2, 2, [], [4]), (6, 3, 2, [8], []), (6, 4, 2, [8], [])]
+    found = []
+    for buckets in (1, 4):
+        at = spark.createDataFrame([(*r, buckets) for r in rows],
+                                   "l long, x long, cx long, lack array<long>, "
+                                   "extra array<long>, buckets long")
+        found.append({(r.l, r.x): list(r.d) for r in jc.shared_differences(at).collect()})
+    mask = (1 << jc.ELEMENT_BITS) - 1
+    each = [(l, x, cx, e & mask) for l, x, cx, lack, extra in rows for e in lack + extra]
+    holders = defaultdict(list)
+    for l, x, cx, e in each:
+        holders[l, e].append(cx)
+    want = defaultdict(list)
+    for l, x, _, e in each:
+        if len(set(holders[l, e])) > 1:
+            want[l, x].append(len(holders[l, e]) << jc.ELEMENT_BITS | e)
+    assert found == [{k: sorted(d) for k, d in want.items()}] * 2
+
+
 def test_null_ids_repeated_rows_and_empty_table(spark):
     rows = [(1, "a b c d e"), (1, "a b c d e"), (None, "a b c d e"), (2, "A b c D e"), (3, None)]
     out = jc.near_duplicate_classes(frame(spark, rows), 4, 85).collect()

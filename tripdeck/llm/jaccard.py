@@ -9,7 +9,8 @@ on (class, fragment, segment). Partial overlaps of a candidate pair are then cou
 vertical partition and summed per pair, which decides the link exactly.
 
 A group of near copies is never expanded into all its pairs. Documents that share a segment are
-first compared with the smallest document there (their leader). Their differences from it, less
+first compared with the smallest document there (their leader), which decides all pairs of a segment
+that only two documents have. Where more have one, their differences from the leader, less
 those that most of them share, are their differences from a consensus set c. If x lacks r(x) of
 its elements and has p(x) others, w(x) = 100 r(x) + percent p(x), and x and y share s elements of
 their differences, then x and y link exactly if
@@ -42,6 +43,7 @@ SAMPLE = 1024   # members of a group that vote on its consensus set
 WEIGHT_BANDS = (*range(0, 64, 4), *range(64, 128, 8), 128, 144)
 PARTS = 8     # vertical partitions in which a pair's overlaps are counted
 KEY_BITS = 48       # of a segment's key; keys that collide only add pairs that are then compared
+BUCKET = 64         # members of a group for each of the buckets its differences are dealt over
 ELEMENT_BITS = 40   # of a difference when shared ones are looked for; the same holds for these
 
 
@@ -159,7 +161,8 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
     """Sizes and exact overlap of pairs (a, b) of doc_ids: (a, b, na, nb, both[, lack, extra]).
 
     Partial overlaps are counted per vertical partition of the hash order, then summed. ``lack``
-    and ``extra`` are the elements of a that b lacks and those that only b has.
+    and ``extra`` are the elements of a that b lacks and those that only b has, given with
+    ``differences`` where the pairs' column ``grouped`` is true.
     """
     def run(batches):
         last_a, last = None, None
@@ -171,6 +174,7 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
                 lefts = packed_sets(column(part, "za").take(pa.array(new)), n)
                 fresh = set(new.tolist())
                 rows, parts, lack, extra = [], [], [], []
+                wanted = column(part, "grouped").to_pylist()
                 for k, v in enumerate(packed_sets(column(part, "zb"), n)):
                     if k in fresh:
                         last_a, last = a[k], next(lefts)
@@ -181,17 +185,20 @@ def overlaps(pairs: DataFrame, texts: DataFrame, n: int,
                                              minlength=PARTS))
                     for out, own in ((lack, last), (extra, v)):
                         out.append(np.setdiff1d(own, common, assume_unique=True).view(np.int64)
-                                   if differences else None)
+                                   if wanted[k] else None)
                 cols = [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*cols, *(pa.array(x, pa.list_(pa.int64())) for x in (parts, lack, extra))],
                     ["a", "b", "na", "nb", "parts", "lack", "extra"])
+    if not differences:
+        pairs = pairs.select("a", "b", F.lit(False).alias("grouped"))
     left = texts.select(F.col("doc_id").alias("a"), F.col("z").alias("za"))
     heads = pairs.select("a").distinct()
     if heads.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:  # only texts of an a are shuffled then
         left = left.join(F.broadcast(heads), "a", "left_semi")
     right = texts.select(F.col("doc_id").alias("b"), F.col("z").alias("zb"))
-    found = (right.join(small(pairs), "b").join(left, "a").select("a", "za", "b", "zb")
+    found = (right.join(small(pairs), "b").join(left, "a")
+             .select("a", "za", "b", "zb", "grouped")
              .mapInArrow(frugal(run), "a long, b long, na long, nb long, parts array<long>, "
                               "lack array<long>, extra array<long>"))
     return found.select("a", "b", "na", "nb", F.aggregate("parts", F.lit(0).cast("long"),
@@ -229,6 +236,48 @@ def around_consensus(near: DataFrame, percent: int) -> DataFrame:
             .withColumn("w", 100 * F.size("lack") + percent * F.size("extra")))
 
 
+def shared_differences(at: DataFrame) -> DataFrame:
+    """(l, x, d): of the members (l, x, cx, buckets, lack, extra) the differences that members of
+    two components cx of group l have, as only these can connect them; each is one number, the
+    rarest of a group first.
+
+    Differences travel as lists, one for each of a group's buckets, of which there are as many as
+    its size asks for: a small group is in one task, and a large one in many.
+    """
+    def run(batches):
+        for batch in batches:
+            l, x, cx, buckets = (column(batch, c).to_numpy(zero_copy_only=False)
+                                 for c in ("l", "x", "cx", "buckets"))
+            lack, extra = (column(batch, c) for c in ("lack", "extra"))
+            row, bucket, lists = [], [], []
+            for k, n in enumerate(buckets):
+                e = np.concatenate([lack[k].values.to_numpy(), extra[k].values.to_numpy()])
+                e &= (1 << ELEMENT_BITS) - 1
+                part = e % n
+                order = np.argsort(part, kind="stable")
+                there, first = np.unique(part[order], return_index=True)
+                row.append(np.full(len(there), k))
+                bucket.append(there)
+                lists += np.split(e[order], first[1:]) if len(there) else []
+            if lists:
+                row = np.concatenate(row)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(l[row]), pa.array(np.concatenate(bucket)), pa.array(x[row]),
+                     pa.array(cx[row]), pa.array(lists, pa.list_(pa.int64()))],
+                    ["l", "bucket", "x", "cx", "e"])
+    holders = Window.partitionBy("l", "bucket", "e")
+    rank = F.expr(f"shiftleft(least(v, {(1 << 63 - ELEMENT_BITS) - 1}), {ELEMENT_BITS}) | e")
+    return (at.mapInArrow(frugal(run), "l long, bucket long, x long, cx long, e array<long>")
+            .repartition("l", "bucket")
+            .select("l", "bucket", "x", "cx", F.explode("e").alias("e"))
+            .select("l", "bucket", "x", "e", F.count(F.lit(1)).over(holders).alias("v"),
+                    F.min("cx").over(holders).alias("least"),
+                    F.max("cx").over(holders).alias("most"))
+            .where("least <> most")
+            .groupBy("l", "bucket", "x").agg(F.collect_list(rank).alias("d"))
+            .groupBy("l", "x").agg(F.sort_array(F.flatten(F.collect_list("d"))).alias("d")))
+
+
 def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80):
     """Returns (sets, links): per document (doc_id, n_shingles, rep) and exact links (a, b)
     between representatives, enough of them to connect each class.
@@ -248,20 +297,25 @@ def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80):
     same = sets.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
 
     key = Window.partitionBy("key").orderBy("doc_id")
+    # grouped: a third document has the segment, so there are pairs without the leader
+    third = (F.row_number().over(key) > 2) | F.lead("doc_id").over(key).isNotNull()
     met = (segments(docs, n, percent).withColumn("leader", F.first("doc_id").over(key))
-           .where("leader <> doc_id").select("leader", "doc_id").distinct())
+           .withColumn("grouped", third).where("leader <> doc_id").groupBy("leader", "doc_id")
+           .agg(F.max("grouped").alias("grouped")))
     rep = sets.where("rep is not null").select("doc_id", "rep").distinct()
-    stars = written(met.join(rep, "doc_id").select("leader", F.col("rep").alias("b"))
+    stars = written(met.join(rep, "doc_id").select("leader", F.col("rep").alias("b"), "grouped")
                     .join(rep.select(F.col("doc_id").alias("leader"), F.col("rep").alias("a")),
                           "leader")
-                    .where("a <> b").select("a", "b").distinct(), "stars")
+                    .where("a <> b").groupBy("a", "b").agg(F.max("grouped").alias("grouped")),
+                    "stars")
     nodes = stars.select(F.col("a").alias("doc_id")).union(stars.select("b")).distinct()
     texts = written(compact(docs).join(small(written(nodes, "candidates")), "doc_id",
                                        "left_semi"), "candidate-texts")
     linked = F.expr(f"100 * both >= {percent} * (na + nb - both)")
     near = written(overlaps(stars, texts, n, differences=True), "star-overlaps")
     links = near.where(linked).select("a", "b")
-    at = written(around_consensus(near, percent), "consensus-differences")
+    at = written(around_consensus(near.where("lack is not null"), percent),
+                 "consensus-differences")
     central = at.groupBy("l").agg(F.min_by("x", "w").alias("a"), F.min("w").alias("least_w"))
     sure = (at.join(central, "l").where(f"x <> a and w + least_w <= {100 - percent} * c")
             .select("a", F.col("x").alias("b")))
@@ -272,25 +326,15 @@ def jaccard_links(docs: DataFrame, n: int = 5, percent: int = 80):
     mine = comp.select(F.col("node").alias("x"), F.col("component").alias("cx"))
     placed = written(at.select("l", "x").distinct().join(small(mine), "x", "left")
                      .select("l", "x", F.coalesce("cx", "x").alias("cx")), "placed")
-    split = placed.groupBy("l").agg(F.min("cx").alias("least"), F.max("cx").alias("most"))
-    split = small(written(split.where("least <> most").select("l"), "split-groups"))
+    split = placed.groupBy("l").agg(F.min("cx").alias("least"), F.max("cx").alias("most"),
+                                    F.ceil(F.count(F.lit(1)) / BUCKET).alias("buckets"))
+    split = small(written(split.where("least <> most").select("l", "buckets"), "split-groups"))
     placed = small(written(placed.join(split, "l"), "split-members"))
-    # only differences that members of two components have can connect them
-    part = F.expr(f"e & {(1 << ELEMENT_BITS) - 1}").alias("e")
-    each = (at.select("l", "x", F.concat("lack", "extra").alias("e")).join(placed, ["l", "x"])
-            .select("l", "x", "cx", F.explode("e").alias("e")).select("l", "x", "cx", part))
-    met = written(each.groupBy("l", "e")
-                  .agg(F.count(F.lit(1)).alias("v"), F.min("cx").alias("least"),
-                       F.max("cx").alias("most"))
-                  .where("least <> most").select("l", "e", "v"), "shared-differences")
-    # one number for a difference, the rarest first
-    rank = F.expr(f"shiftleft(least(v, {(1 << 63 - ELEMENT_BITS) - 1}), {ELEMENT_BITS}) | e")
-    shared = (each.drop("cx").join(small(met), ["l", "e"]).select("l", "x", rank.alias("d"))
-              .groupBy("l", "x").agg(F.sort_array(F.collect_list("d")).alias("d")))
+    shared = shared_differences(at.select("l", "x", "lack", "extra").join(placed, ["l", "x"]))
     low = F.lit([float(x) for x in WEIGHT_BANDS])
     spare = 100 - percent
     at = (at.select("l", "x", "w", "c", F.size("lack").alias("r"), F.size("extra").alias("p"))
-          .join(placed, ["l", "x"]).join(shared, ["l", "x"])
+          .join(placed.drop("buckets"), ["l", "x"]).join(shared, ["l", "x"])
           .where(f"100 * size(d) >= w - {spare} * c")
           .withColumn("band", F.size(F.filter(low, lambda t: t * F.col("c") <= F.col("w")))))
     at = written(at, "shared-lists")
